@@ -138,26 +138,51 @@ def _sum_structs(arr: Column) -> Column:
 
 
 def _polygon_sums(polygon: Column, x0: Column, y0: Column) -> Column:
-    """Shell counts positive, holes negative, whatever the ring orientation."""
-    def ring_term(ring, i):
-        s = _ring_sums(ring, x0, y0)
+    """Shell counts positive, holes negative, whatever the ring orientation.
+    Each ring is summed once; the signs are applied to the summed structs."""
+    rings = F.transform(polygon, lambda ring: _ring_sums(ring, x0, y0))
+
+    def signed(s, i):
         sign = F.signum(s["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
         return F.struct((s["a"] * sign).alias("a"), (s["mx"] * sign).alias("mx"),
                         (s["my"] * sign).alias("my"))
-    return _sum_structs(F.transform(polygon, ring_term))
+    return _sum_structs(F.transform(rings, signed))
 
 
-def centroid_of(coords: Column) -> Column:
-    """struct(x, y): area-weighted centroid of a multipolygon's coordinates.
+def with_centroid(df: DataFrame, coords: str = "COORDINATES", lat: str = "LATITUDE_ZONE",
+                  lon: str = "LONGITUDE_ZONE", projected: bool = False,
+                  proj: "LambertConic | None" = None) -> DataFrame:
+    """Add the area-weighted centroid of each row's multipolygon.
 
     Coordinates are shifted to the first vertex before summing, which keeps
-    the cross products small and the result exact to rounding.
+    the cross products small and the result exact to rounding. With
+    ``projected`` the sums run in the Lambert conformal conic plane and the
+    centroid is mapped back to lon/lat. Every stage is its own column so no
+    expression is evaluated twice.
     """
-    first = coords[0][0][0]
-    x0, y0 = first[0], first[1]
-    tot = _sum_structs(F.transform(coords, lambda poly: _polygon_sums(poly, x0, y0)))
-    return F.struct((x0 + tot["mx"] / (tot["a"] * 3.0)).alias("x"),
-                    (y0 + tot["my"] / (tot["a"] * 3.0)).alias("y"))
+    src = F.col(coords)
+    tmp = ["_c_planar", "_c_x0", "_c_y0", "_c_tot", "_c_x", "_c_y"]
+    if projected:
+        proj = proj or LambertConic()
+
+        def fwd(pt):
+            x, y = proj.forward(pt[0], pt[1])
+            return F.array(x, y)
+        df = df.withColumn("_c_planar", F.transform(src, lambda poly: F.transform(
+            poly, lambda ring: F.transform(ring, fwd))))
+        src = F.col("_c_planar")
+    first = src[0][0][0]
+    df = df.withColumns({"_c_x0": first[0], "_c_y0": first[1]})
+    x0, y0 = F.col("_c_x0"), F.col("_c_y0")
+    df = df.withColumn("_c_tot", _sum_structs(F.transform(src, lambda poly: _polygon_sums(poly, x0, y0))))
+    tot = F.col("_c_tot")
+    df = df.withColumns({"_c_x": x0 + tot["mx"] / (tot["a"] * 3.0),
+                         "_c_y": y0 + tot["my"] / (tot["a"] * 3.0)})
+    if projected:
+        df, tmp = proj.inverse_columns(df, "_c_x", "_c_y", lon, lat), tmp + proj.TEMP_COLUMNS
+    else:
+        df = df.withColumns({lon: F.col("_c_x"), lat: F.col("_c_y")})
+    return df.drop(*[c for c in tmp if c in df.columns])
 
 
 # ---------------------------------------------------------------------------
@@ -198,29 +223,23 @@ class LambertConic:
         theta = (F.radians(lon) - self.lon0) * self.n
         return rho * F.sin(theta), self.rho0 - rho * F.cos(theta)
 
-    def inverse(self, x: Column, y: Column, steps: int = 6) -> tuple[Column, Column]:
-        dy = F.lit(self.rho0) - y
-        rho = F.sqrt(x * x + dy * dy) * (1.0 if self.n > 0 else -1.0)
-        t = F.pow(rho / (self.a * self.F), 1.0 / self.n)
-        theta = F.atan2(x, dy) if self.n > 0 else F.atan2(-x, -dy)
-        lon = theta / self.n + self.lon0
-        phi = math.pi / 2 - 2 * F.atan(t)
+    TEMP_COLUMNS = ["_p_dy", "_p_t", "_p_phi"]
+
+    def inverse_columns(self, df: DataFrame, x: str, y: str, lon: str, lat: str,
+                        steps: int = 6) -> DataFrame:
+        """Add ``lon``/``lat`` (degrees) for planar ``x``/``y``; the latitude
+        iteration runs as successive columns (each step reads the last)."""
+        sgn = 1.0 if self.n > 0 else -1.0
+        X = F.col(x)
+        df = df.withColumn("_p_dy", F.lit(self.rho0) - F.col(y))
+        dy = F.col("_p_dy")
+        rho = F.sqrt(X * X + dy * dy) * sgn
+        df = df.withColumn("_p_t", F.pow(rho / (self.a * self.F), 1.0 / self.n))
+        theta = F.atan2(X * sgn, dy * sgn)
+        df = df.withColumns({lon: F.degrees(theta / self.n + self.lon0),
+                             "_p_phi": math.pi / 2 - 2 * F.atan(F.col("_p_t"))})
         for _ in range(steps):
-            es = F.sin(phi) * self.e
-            phi = math.pi / 2 - 2 * F.atan(t * F.pow((1 - es) / (1 + es), self.e / 2))
-        return F.degrees(lon), F.degrees(phi)
-
-
-def projected_centroid_of(coords: Column, proj: LambertConic | None = None) -> Column:
-    """Centroid computed in the projected plane, returned as lon/lat."""
-    proj = proj or LambertConic()
-
-    def fwd(pt):
-        x, y = proj.forward(pt[0], pt[1])
-        return F.array(x, y)
-
-    planar = F.transform(coords, lambda poly: F.transform(
-        poly, lambda ring: F.transform(ring, fwd)))
-    c = centroid_of(planar)
-    lon, lat = proj.inverse(c["x"], c["y"])
-    return F.struct(lon.alias("x"), lat.alias("y"))
+            es = F.sin(F.col("_p_phi")) * self.e
+            df = df.withColumn("_p_phi", math.pi / 2 - 2 * F.atan(
+                F.col("_p_t") * F.pow((1 - es) / (1 + es), self.e / 2)))
+        return df.withColumn(lat, F.degrees(F.col("_p_phi")))

@@ -260,3 +260,90 @@ def queries_sql() -> dict[str, str]:
         "FROM long JOIN f ON long.VARIABLE = f.VARIABLE WHERE v IS NOT NULL AND NOT isnan(v)\n"
         "GROUP BY f.VARIABLE, f.Q1, f.MEDIAN, f.Q3")
     return q
+
+
+# --- ingest side ------------------------------------------------------------
+
+STATION_LIST = """station_list AS (
+  SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS USAF,
+         '00' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS WBAN,
+         s_name AS "STATION NAME",
+         40.4e0 + ((s_suppkey * 37) % 100) * 0.006e0 AS LAT,
+         -74.4e0 + ((s_suppkey * 53) % 100) * 0.0075e0 AS LON
+  FROM supplier),
+keyed AS (
+  SELECT USAF, WBAN, "STATION NAME", LAT AS LATITUDE, LON AS LONGITUDE, trim(USAF) || trim(WBAN) AS STN_ID
+  FROM station_list),
+kept AS (SELECT * FROM keyed WHERE LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL AND "STATION NAME" IS NOT NULL),
+boxed AS (SELECT * FROM kept WHERE LATITUDE BETWEEN 40.0e0 AND 41.5e0 AND LONGITUDE BETWEEN -75.0e0 AND -73.0e0),
+manifest AS (
+  SELECT s.STN_ID, CAST(y.YEAR AS INTEGER) AS YEAR, '_YEAR=' || CAST(y.YEAR AS VARCHAR) || '/_STN=' || s.STN_ID AS REL_PATH
+  FROM (SELECT DISTINCT STN_ID FROM boxed WHERE STN_ID IS NOT NULL) s
+  CROSS JOIN (SELECT unnest(generate_series(1995, 2001)) AS YEAR) y),
+landed AS (
+  SELECT DISTINCT CAST(year(DATE) AS INTEGER) AS YEAR,
+         lpad(ID_STATION, 6, '0') || '00' || lpad(CAST(S_NATIONKEY AS VARCHAR), 3, '0') AS STN_ID
+  FROM weather_raw)"""
+
+FEED = """feed AS (
+  SELECT CASE WHEN o.o_orderkey % 101 = 0 THEN '999' ELSE CAST(c.c_nationkey AS VARCHAR) END AS GEOJOIN_ID,
+         CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS DATE_MESURE_BRUTE,
+         o.o_orderpriority AS NOM_POLLUANT,
+         CASE WHEN o.o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(o.o_totalprice AS VARCHAR) END AS VALEUR_BRUTE,
+         CAST(o.o_orderkey AS VARCHAR) AS col_1,
+         '{"owner":' || CAST(o.o_custkey AS VARCHAR) || '}' AS col_3
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+_EVEN = "(CAST(GEOCODE AS BIGINT) % 2 = 0)"
+
+
+def ingest_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = _with(ZONES, WEATHER_RAW, STATION_LIST)
+    q["scan_stations_csv"] = _with(STATION_LIST) + "SELECT * FROM station_list"
+    q["station_key"] = _with(STATION_LIST) + "SELECT * FROM keyed"
+    q["drop_null_subset"] = _with(STATION_LIST) + "SELECT * FROM kept"
+    q["bbox_filter"] = _with(STATION_LIST) + "SELECT * FROM boxed"
+    q["ingest_manifest"] = _with(STATION_LIST) + "SELECT * FROM manifest"
+    q["manifest_existing"] = base + \
+        "SELECT * FROM manifest m WHERE EXISTS (SELECT 1 FROM landed l WHERE l.YEAR = m.YEAR AND l.STN_ID = m.STN_ID)"
+    q["manifest_missing"] = base + \
+        "SELECT * FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.YEAR = m.YEAR AND l.STN_ID = m.STN_ID)"
+    files = base + (
+        "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, CAST(DATE AS VARCHAR) AS DATE, TEMP, DEWP, WDSP\n"
+        "FROM weather_raw w WHERE EXISTS (SELECT 1 FROM manifest m WHERE m.YEAR = year(w.DATE)\n"
+        "  AND m.STN_ID = lpad(w.ID_STATION, 6, '0') || '00' || lpad(CAST(w.S_NATIONKEY AS VARCHAR), 3, '0'))")
+    q["scan_weather_csv"] = files
+    q["weather_etl"] = files
+    q["weather_lite"] = _with(ZONES, WEATHER_RAW) + \
+        "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, DATE, TEMP, DEWP, WDSP FROM weather_raw"
+    q["sink_parquet_roundtrip"] = _with(ZONES, WEATHER_RAW) + (
+        "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, DATE, TEMP, DEWP, WDSP FROM weather_raw\n"
+        "WHERE year(DATE) = 1998")
+    q["scan_json_rows"] = _with(FEED) + "SELECT * FROM feed"
+    q["scan_json_envelope"] = q["scan_json_rows"]
+    q["sink_geojson"] = _with(ZONES) + (
+        f"SELECT GEOCODE, 'Feature' AS FEATURE_TYPE, CASE WHEN {_EVEN} THEN 'MultiPolygon' ELSE 'Polygon' END"
+        " AS GEOM_TYPE FROM zones")
+    q["scan_geojson"] = _with(ZONES) + (
+        f"SELECT GEOCODE, GEONAME, BOROUGH, CASE WHEN {_EVEN} THEN 'MultiPolygon' ELSE 'Polygon' END AS GEOM_TYPE,\n"
+        f"  CAST(1 AS INTEGER) AS N_POLYGONS, CAST(CASE WHEN {_EVEN} THEN 2 ELSE 1 END AS INTEGER) AS N_RINGS,\n"
+        f"  CAST(CASE WHEN {_EVEN} THEN 10 ELSE 5 END AS INTEGER) AS N_POINTS FROM zones")
+    q["zone_centroid"] = _with(ZONES) + (
+        "SELECT GEOCODE, round_even(LATITUDE_ZONE * 1e9, 0) / 1e9 AS LATITUDE_ZONE,\n"
+        "  round_even(LONGITUDE_ZONE * 1e9, 0) / 1e9 AS LONGITUDE_ZONE FROM zones")
+    q["zone_centroid_projected"] = _with(ZONES) + (
+        "SELECT GEOCODE, round_even(LATITUDE_ZONE * 1e6, 0) / 1e6 AS LATITUDE_ZONE,\n"
+        "  round_even(LONGITUDE_ZONE * 1e6, 0) / 1e6 AS LONGITUDE_ZONE FROM zones")
+    q["air_etl"] = _with(ZONES, AIR) + (
+        "SELECT GEOJOIN_ID, DATE_OBSERVATION, NOM_POLLUANT, VALEUR, GEONAME,\n"
+        "  round_even(LATITUDE_ZONE * 1e9, 0) / 1e9 AS LATITUDE_ZONE,\n"
+        "  round_even(LONGITUDE_ZONE * 1e9, 0) / 1e9 AS LONGITUDE_ZONE FROM air")
+    return q
+
+
+_queries_sql_core = queries_sql
+
+
+def queries_sql() -> dict[str, str]:  # noqa: F811
+    return {**_queries_sql_core(), **ingest_sql()}

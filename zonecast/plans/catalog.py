@@ -200,3 +200,7 @@ def q_local_weather(spark, d):
 @query("box_stats")
 def q_box_stats(spark, d):
     return _dash(spark, d).box_stats()
+
+
+# ingest-side queries register themselves on import
+from zonecast.plans import ingest_queries  # noqa: E402,F401

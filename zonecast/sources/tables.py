@@ -101,3 +101,38 @@ def station_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("STATION NAME"),
         (F.lit(40.4) + ((s * 37) % 100) * 0.006).alias("LAT"),
         (F.lit(-74.4) + ((s * 53) % 100) * 0.0075).alias("LON"))
+
+
+def station_id(s: Column, nationkey: Column) -> Column:
+    """Inventory key of a supplier-station: USAF (6 digits) || WBAN (00 + 3)."""
+    return F.concat(F.lpad(s.cast("string"), 6, "0"), F.lit("00"),
+                    F.lpad(nationkey.cast("string"), 3, "0"))
+
+
+def weather_files_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather as the daily files carry it (text dates, file column
+    names) plus the layout columns: year and station inventory id."""
+    w = weather_raw(spark, sf_dir, extra=("s_nationkey", "s_suppkey"))
+    return w.select(F.col("ID_STATION").alias("STATION"), F.col("DATE").cast("string").alias("DATE"),
+                    "LATITUDE", "LONGITUDE", "NAME", "TEMP", "DEWP", "WDSP",
+                    F.year("DATE").alias("_YEAR"),
+                    station_id(F.col("s_suppkey"), F.col("s_nationkey")).alias("_STN"))
+
+
+def air_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air records as feed lines: 20-element JSON arrays with the data at
+    positions 10/14/17/18, a number at 1 (the record id) and an object at 3."""
+    from zonecast.sources.jsonfeed import json_text, record_line
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    ok = F.col("o_orderkey")
+    geo = F.when(ok % 101 == 0, F.lit("999")).otherwise(F.col("c_nationkey").cast("string"))
+    value = F.when(ok % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = record_line({
+        1: ok.cast("string"),
+        3: F.concat(F.lit('{"owner":'), F.col("o_custkey").cast("string"), F.lit("}")),
+        10: json_text(F.col("o_orderpriority")), 14: json_text(geo),
+        17: json_text(as_date(o, "o_orderdate").cast("string")), 18: json_text(value),
+    })
+    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(line.alias("line"))
