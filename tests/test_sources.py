@@ -1,0 +1,132 @@
+"""Readers and writers: round trips and malformed input."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonecast.operators import clean
+from zonecast.plans import etl
+from zonecast.sources import csv, geojson, jsonfeed, manifest
+from zonecast.streaming import ingest
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_station_csv_keeps_leading_zeros(spark, tmp_path):
+    p = str(tmp_path / "isd.csv")
+    _write(p, '"USAF","WBAN","STATION NAME","CTRY","LAT","LON"\n'
+              '"007018","99999","WXPOD 7018","","40.1","-74.2"\n'
+              '"725030","14732","LA GUARDIA","US","40.779","-73.88"\n'
+              '"999999","00001","NO POSITION","US","",""\n'
+              '"123456","00002","BAD LAT","US","north","-74.0"\n')
+    st = clean.station_key(csv.read_station_csv(spark, p))
+    rows = {r.STN_ID: r for r in st.collect()}
+    assert "00701899999" in rows and rows["00701899999"].LATITUDE == 40.1
+    kept = clean.bbox_filter(clean.drop_null_subset(st))
+    assert {r.STN_ID for r in kept.collect()} == {"00701899999", "72503014732"}
+
+
+def test_weather_csv_schema_by_position(spark, tmp_path):
+    p = str(tmp_path / "w" / "a.csv")
+    header = ",".join(csv.GSOD_COLUMNS).replace("FRSHHT", "FRSHTT")      # misspelt header still loads
+    good = ["725030", "2022-01-01", "40.7", "-73.8", "3.0", "LGA", "35.5"] + [""] * 21
+    bad = ["725030", "2022-01-02", "oops", "-73.8"]                          # short row, bad number
+    _write(p, header + "\n" + ",".join(good) + "\n" + ",".join(bad) + "\n")
+    rows = csv.read_weather_csv(spark, str(tmp_path / "w")).orderBy("DATE").collect()
+    assert rows[0].ID_STATION == "725030" and rows[0].TEMP == 35.5 and rows[0].FRSHHT is None
+    assert rows[1].LATITUDE is None and rows[1].TEMP is None
+
+
+def test_json_rows_short_long_number_object(spark, tmp_path):
+    p = str(tmp_path / "rows.json")
+    full = [None] * 20
+    full[1], full[3], full[10], full[14], full[17], full[18] = 5, {"a": 1}, "PM", "1", "2020-01-01", "3.5"
+    longer = full + ["extra"]
+    short = ["x"] * 12
+    _write(p, "\n".join(json.dumps(r) for r in (full, longer, short)) + "\n\n")
+    named = jsonfeed.name_fields(jsonfeed.read_json_rows(spark, p)).collect()
+    assert len(named) == 3
+    assert named[0].col_1 == "5" and json.loads(named[0].col_3) == {"a": 1}
+    assert named[1].VALEUR_MESURE_BRUTE == "3.5"                    # long row: first 20 kept
+    assert named[2].NOM_POLLUANT == "x" and named[2].GEOJOIN_ID_BRUT is None   # short row: NULL
+
+
+def test_json_envelope_empty_and_missing_data(spark, tmp_path):
+    _write(str(tmp_path / "e" / "a.json"), json.dumps({"meta": 1, "data": [["a"] * 20, ["b"] * 20]}, indent=1))
+    _write(str(tmp_path / "e" / "b.json"), json.dumps({"meta": 1, "data": []}))
+    _write(str(tmp_path / "e" / "c.json"), json.dumps({"meta": 1}))
+    recs = jsonfeed.read_json_envelope(spark, str(tmp_path / "e"))
+    assert recs.count() == 2
+
+
+def test_json_envelope_writer_bounds_documents(spark, tmp_path):
+    lines = spark.range(0, 2500, numPartitions=3).select(
+        jsonfeed.record_line({10: jsonfeed.json_text(F.col("id").cast("string"))}).alias("line"))
+    out = str(tmp_path / "env")
+    jsonfeed.write_json_envelopes(lines, out, rows_per_doc=400)
+    docs = spark.read.text(out, wholetext=True).select("value").collect()
+    sizes = [len(json.loads(d.value)["data"]) for d in docs]
+    assert sum(sizes) == 2500 and max(sizes) <= 400
+    assert jsonfeed.read_json_envelope(spark, out).count() == 2500
+
+
+def test_geojson_collection_and_sequence(spark, tmp_path):
+    poly = {"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]}
+    multi = {"type": "MultiPolygon", "coordinates": [[[[10, 0], [12, 0], [12, 2], [10, 2], [10, 0]]],
+                                                     [[[20, 0], [21, 0], [21, 1], [20, 1], [20, 0]]]]}
+    feats = [{"type": "Feature", "properties": {"GEOCODE": 101, "GEONAME": "P", "BOROUGH": "X"}, "geometry": poly},
+             {"type": "Feature", "properties": {"GEOCODE": "102", "GEONAME": "M", "BOROUGH": "Y"}, "geometry": multi}]
+    p = str(tmp_path / "fc.geojson")
+    _write(p, json.dumps({"type": "FeatureCollection", "features": feats}, indent=2))
+    z = geojson.read_geojson(spark, p, collection=True)
+    rows = {r.GEOCODE: r for r in z.collect()}
+    assert set(rows) == {"101", "102"}                           # numeric code read as text
+    assert len(rows["101"].COORDINATES) == 1 and len(rows["102"].COORDINATES) == 2
+    out = str(tmp_path / "seq")
+    geojson.write_geojson(z, out)
+    again = {r.GEOCODE: r for r in geojson.read_geojson(spark, out).collect()}
+    assert again["102"].COORDINATES == rows["102"].COORDINATES
+    c = {r.GEOCODE: (r.LONGITUDE_ZONE, r.LATITUDE_ZONE) for r in etl.ensure_centroid(z, projected=False).collect()}
+    assert c["101"] == pytest.approx((1.0, 1.0))
+    # area-weighted: part areas 4 and 1 -> x = (11*4 + 20.5*1) / 5
+    assert c["102"] == pytest.approx(((11 * 4 + 20.5) / 5, (1 * 4 + 0.5) / 5))
+
+
+def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
+    base = str(tmp_path / "gsod")
+    header = ",".join(csv.GSOD_COLUMNS)
+    row = ",".join(["S1", "2001-05-05", "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
+    _write(f"{base}/_YEAR=2001/_STN=00001/part-0.csv", header + "\n" + row + "\n")
+    stations = spark.createDataFrame([("00001",), ("00001",), ("00002",)], "STN_ID string")
+    m = manifest.ingest_manifest(stations, 2000, 2001)
+    assert m.count() == 4                                        # duplicate id listed once
+    landed = manifest.landed_files(spark, base)
+    assert [(r.YEAR, r.STN_ID) for r in manifest.manifest_existing(m, landed).collect()] == [(2001, "00001")]
+    assert manifest.manifest_missing(m, landed).count() == 3
+    assert manifest.read_manifest_files(spark, base, m).count() == 1
+    empty = manifest.ingest_manifest(stations, 1990, 1990)
+    with pytest.raises(FileNotFoundError):
+        manifest.require_inputs(manifest.manifest_existing(empty, landed))
+
+
+def test_stream_lands_only_new_files(spark, tmp_path):
+    base, layer, ckpt = (str(tmp_path / n) for n in ("src", "layer", "ckpt"))
+    header = ",".join(csv.GSOD_COLUMNS)
+
+    def put(year, stn, day):
+        row = ",".join([stn, day, "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
+        _write(f"{base}/_YEAR={year}/_STN={stn}/part-0.csv", header + "\n" + row + "\n")
+    put(2001, "A", "2001-01-01")
+    put(2001, "B", "2001-01-02")
+    assert ingest.land_new_files(spark, base, layer, ckpt) == 2
+    put(2002, "A", "2002-01-01")
+    assert ingest.land_new_files(spark, base, layer, ckpt) == 1       # only the new file
+    assert ingest.land_new_files(spark, base, layer, ckpt) == 0
+    assert sorted(r.DATE for r in ingest.read_landed(spark, layer).collect()) == [
+        "2001-01-01", "2001-01-02", "2002-01-01"]

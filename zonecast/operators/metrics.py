@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.geo import idw_weight
 from zonecast.functions.numeric import round_half_even
+from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
 from zonecast.operators.spatial import radius_pairs, within_radius_of
 
@@ -148,7 +149,7 @@ def kpi_formatted(kpi: DataFrame) -> DataFrame:
     """Indicator cards: 2 decimals for the pollutant, 1 with unit otherwise,
     'N/A' for a missing value."""
     def fmt(c: str, digits: int, unit: str = "") -> Column:
-        text = F.format_string(f"%.{digits}f", round_half_even(c, digits))
+        text = format_fixed(c, digits)
         if unit:
             text = F.concat(text, F.lit(unit))
         return F.coalesce(text, F.lit("N/A"))

@@ -222,7 +222,7 @@ def queries_sql() -> dict[str, str]:
         "FROM a FULL OUTER JOIN w ON a.BUCKET = w.BUCKET")
     q["kpi_global"] = _with(DASH, KPI) + "SELECT * FROM kpi"
     fmt = lambda c, d, unit: (
-        f"coalesce(printf('%.{d}f', round_even({c} * 1e{d}, 0) / 1e{d})" + (f" || '{unit}'" if unit else "")
+        f"coalesce(printf('%.{d}f', {c})" + (f" || '{unit}'" if unit else "")
         + ", 'N/A')")
     q["kpi_formatted"] = _with(DASH, KPI) + (
         f"SELECT {fmt('AVG_POLLUANT', 2, '')} AS VAL_POLLUANT, {fmt('AVG_TEMP', 1, ' °C')} AS VAL_TEMP, "
@@ -315,6 +315,7 @@ def ingest_sql() -> dict[str, str]:
         "  AND m.STN_ID = lpad(w.ID_STATION, 6, '0') || '00' || lpad(CAST(w.S_NATIONKEY AS VARCHAR), 3, '0'))")
     q["scan_weather_csv"] = files
     q["weather_etl"] = files
+    q["stream_ingest_weather"] = files
     q["weather_lite"] = _with(ZONES, WEATHER_RAW) + \
         "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, DATE, TEMP, DEWP, WDSP FROM weather_raw"
     q["sink_parquet_roundtrip"] = _with(ZONES, WEATHER_RAW) + (

@@ -193,3 +193,13 @@ def q_air_etl(spark, d):
     return back.select("GEOJOIN_ID", "DATE_OBSERVATION", "NOM_POLLUANT", "VALEUR", "GEONAME",
                        round_half_even("LATITUDE_ZONE", 9).alias("LATITUDE_ZONE"),
                        round_half_even("LONGITUDE_ZONE", 9).alias("LONGITUDE_ZONE"))
+
+
+@query("stream_ingest_weather")
+def q_stream_ingest_weather(spark, d):
+    """Daily files landed incrementally by the file stream, read back."""
+    from zonecast.streaming import ingest
+    base = _weather_files(spark, d)
+    layer = scratch_path(spark, "weather-stream-layer")
+    ingest.land_new_files(spark, base, layer, scratch_path(spark, "weather-stream-ckpt"))
+    return clean.weather_lite(ingest.read_landed(spark, layer))

@@ -33,7 +33,7 @@ def read_geojson(spark: SparkSession, path, collection: bool = False) -> DataFra
     """Zones from GeoJSON: a text sequence of Features (default) or, with
     ``collection=True``, FeatureCollection documents."""
     if collection:
-        docs = spark.read.option("wholetext", True).text(path)
+        docs = spark.read.text(path, wholetext=True)
         feats = docs.select(F.explode(F.from_json("value", "struct<features:array<string>>")["features"])
                             .alias("value"))
     else:

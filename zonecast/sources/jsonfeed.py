@@ -27,7 +27,7 @@ def read_json_rows(spark: SparkSession, path) -> DataFrame:
 def read_json_envelope(spark: SparkSession, path) -> DataFrame:
     """Records under the ``data`` key of each document; a file without any
     record contributes nothing."""
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.text(path, wholetext=True)
     parsed = docs.select(F.from_json("value", "struct<data:array<array<string>>>").alias("doc"))
     return parsed.select(F.explode("doc.data").alias("r"))
 
@@ -65,11 +65,12 @@ def write_json_rows(lines: DataFrame, path: str) -> None:
 
 
 def write_json_envelopes(lines: DataFrame, path: str, rows_per_doc: int = ENVELOPE_ROWS) -> None:
-    """Envelope documents of at most ``rows_per_doc`` records each. Chunks
+    """Envelope documents of at most ``rows_per_doc`` records, one per file. Chunks
     never cross input partitions (the id's high bits are the partition), so
     no group exceeds the bound."""
     chunk = F.floor(F.monotonically_increasing_id() / rows_per_doc)
     docs = (lines.withColumn("_chunk", chunk).groupBy("_chunk")
             .agg(F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("line")),
                           F.lit("]}")).alias("value")))
-    docs.select("value").write.mode("overwrite").text(path)
+    # one directory per chunk, so every file holds exactly one document
+    docs.write.mode("overwrite").partitionBy("_chunk").text(path)
