@@ -1,0 +1,59 @@
+"""Time the single-machine pandas formulation of the dashboard at a scale.
+
+The reference computes the dashboard in pandas on one machine (after
+collecting both extracts to the driver). This script times that approach
+(tests/model.py, a loop over zones with numpy per station set) on the same
+adapted tables, as a point of comparison for bench.py. Loading the tables
+into pandas is timed separately from the computation.
+
+usage: python scripts/pandas_model_timing.py [sf_dir]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
+
+from tests import model  # noqa: E402
+from zonecast.oracle import AIR, WEATHER_RAW, ZONES, _with  # noqa: E402
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    for t in ("nation", "region", "supplier", "lineitem", "orders", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    t0 = time.perf_counter()
+    geo = con.sql(_with(ZONES) + "SELECT * FROM zones").df()
+    weather = con.sql(_with(ZONES, WEATHER_RAW) + "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, DATE, "
+                      "TEMP, DEWP, WDSP FROM weather_raw").df()
+    air = con.sql(_with(ZONES, AIR) + "SELECT GEOJOIN_ID, DATE_OBSERVATION, NOM_POLLUANT, VALEUR FROM air").df()
+    load = time.perf_counter() - t0
+    start, end, poll, radius = dt.date(1998, 1, 1), dt.date(1998, 12, 31), "1-URGENT", 15.0
+    t0 = time.perf_counter()
+    w = model.clean_weather(weather)
+    stations = w[["ID_STATION", "NAME", "LATITUDE", "LONGITUDE"]].drop_duplicates()
+    wf = model.in_range(w, "DATE", start, end)
+    af = model.in_range(air, "DATE_OBSERVATION", start, end)
+    zm = model.zone_metrics(geo, wf, stations, radius)
+    disp = model.display(geo, af, poll, zm)
+    model.kpis(disp)
+    model.resample(af[af.NOM_POLLUANT == poll], "DATE_OBSERVATION", ("VALEUR",), "M")
+    model.resample(wf, "DATE", ("TEMP", "WDSP", "DEWP"), "M")
+    compute = time.perf_counter() - t0
+    print(json.dumps({"sf_dir": sf_dir, "load_sec": round(load, 3), "compute_sec": round(compute, 3),
+                      "rows": {"weather": len(weather), "air": len(air), "zones": len(geo)},
+                      "pandas": pd.__version__}))
+
+
+if __name__ == "__main__":
+    main()

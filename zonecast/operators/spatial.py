@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +67,11 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
     """Every (left row, right row) with haversine distance <= ``radius_km``
     (inclusive), plus the distance. Column names of the sides must differ."""
     if strategy == "broadcast":
-        n_right = right.count()
-        if n_right > max_broadcast_rows:
+        # the size check materialises the right side once; the join then
+        # reuses it instead of recomputing it
+        right = right.persist(StorageLevel.MEMORY_AND_DISK)
+        if right.count() > max_broadcast_rows:
+            right.unpersist()
             strategy = "grid"          # size check failed: fall back to the hash plan
     if strategy == "broadcast":
         dist = haversine_km(left_lon, left_lat, right_lon, right_lat)

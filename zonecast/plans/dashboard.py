@@ -40,12 +40,51 @@ class Dashboard:
         self.zones = zones
         self.air_clean = clean.clean_air(air_raw)
         self.weather = clean.clean_weather(weather_raw)
+        # optional narrower sources for in-range views (partition-pruned reads)
+        self._air_range_src: DataFrame | None = None
+        self._weather_range_src: DataFrame | None = None
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, params: Params = Params()) -> "Dashboard":
         return cls(tables.zones(spark, sf_dir), tables.air_raw(spark, sf_dir),
                    tables.weather_raw(spark, sf_dir), params)
 
+    @classmethod
+    def from_extracts(cls, spark: SparkSession, air_extract: str, weather_extract: str,
+                      zones: DataFrame, params: Params = Params()) -> "Dashboard":
+        """Serve from the ETL's parquet extracts (partitioned by year, so the
+        date range prunes whole directories). The air extract is already
+        typed and cleaned; only the zone join is redone (small side)."""
+        empty_raw = spark.createDataFrame(
+            [], "GEOJOIN_ID string, DATE_MESURE_BRUTE string, NOM_POLLUANT string, VALEUR_BRUTE string")
+        dash = cls(zones, empty_raw, spark.read.parquet(weather_extract).drop("YEAR"), params)
+        air = spark.read.parquet(air_extract)
+        cols = ("GEOJOIN_ID", "DATE_OBSERVATION", "NOM_POLLUANT", "VALEUR")
+        dash.air_clean = air.select(*cols)
+        # in-range views read only the range's year directories; the station
+        # dimension and the date bounds still see every date
+        years = F.col("YEAR").between(params.start.year, params.end.year)
+        dash._air_range_src = air.where(years).select(*cols)
+        dash._weather_range_src = clean.clean_weather(
+            spark.read.parquet(weather_extract).where(years))
+        return dash
+
+    def persist(self) -> "Dashboard":
+        """Keep the cleaned layers across interactions (the page cache of the
+        model): each view then starts from the cleaned rows."""
+        from pyspark import StorageLevel
+        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src"):
+            df = getattr(self, name)
+            if df is not None:
+                setattr(self, name, df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self
+
+    def views(self) -> dict[str, DataFrame]:
+        """Every view of one page refresh."""
+        return {"display": self.display(), "kpi": self.kpi_formatted(),
+                "pollutants": self.pollutant_list(), "air_series": self.resample_air(),
+                "weather_series": self.resample_weather(), "paired": self.paired_series()}
+
     # --- cleaned layers -------------------------------------------------
     @cached_property
     def air(self) -> DataFrame:
@@ -54,11 +93,14 @@ class Dashboard:
 
     @cached_property
     def air_in_range(self) -> DataFrame:
-        return clean.date_range_filter(self.air, "DATE_OBSERVATION", self.p.start, self.p.end)
+        src = self.air if self._air_range_src is None else \
+            clean.air_zone_join(self._air_range_src, self.zones)
+        return clean.date_range_filter(src, "DATE_OBSERVATION", self.p.start, self.p.end)
 
     @cached_property
     def weather_in_range(self) -> DataFrame:
-        return clean.date_range_filter(self.weather, "DATE", self.p.start, self.p.end)
+        src = self.weather if self._weather_range_src is None else self._weather_range_src
+        return clean.date_range_filter(src, "DATE", self.p.start, self.p.end)
 
     @cached_property
     def stations(self) -> DataFrame:
@@ -80,7 +122,8 @@ class Dashboard:
                                    strategy or self.p.strategy)
 
     def pollutant_means(self) -> DataFrame:
-        return metrics.pollutant_zone_mean(self.air_clean, self.zones, self.p.pollutant,
+        src = self.air_clean if self._air_range_src is None else self._air_range_src
+        return metrics.pollutant_zone_mean(src, self.zones, self.p.pollutant,
                                            self.p.start, self.p.end)
 
     def display(self, keep_position: bool = False) -> DataFrame:

@@ -47,13 +47,14 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
 
 def write_weather_csv(weather: DataFrame, base: str, year_col: str = "_YEAR",
                       station_col: str = "_STN") -> None:
-    """One directory per station and year (``{base}/_YEAR=y/_STN=id``),
-    one file in each: rows are shuffled by (year, station) first. The
-    weather frame needs the 28 file columns (missing ones are left empty)
-    plus the two layout columns."""
+    """One directory per station and year (``{base}/_YEAR=y/_STN=id``).
+    Rows are rebalanced on (year, station) first, so a directory normally
+    gets one file; AQE splits an oversized station-year into several files
+    rather than one straggler task. The weather frame needs the 28 file
+    columns (missing ones are left empty) plus the two layout columns."""
     cols = [F.col(c) if c in weather.columns else F.lit(None).cast(GSOD_SCHEMA[c].dataType).alias(c)
             for c in GSOD_COLUMNS]
     (weather.select(*cols, F.col(year_col), F.col(station_col))
-     .repartition(year_col, station_col)
+     .hint("rebalance", year_col, station_col)
      .write.mode("overwrite").partitionBy(year_col, station_col)
      .option("header", True).csv(base))
