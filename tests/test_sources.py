@@ -63,6 +63,8 @@ def test_json_envelope_empty_and_missing_data(spark, tmp_path):
     _write(str(tmp_path / "e" / "c.json"), json.dumps({"meta": 1}))
     recs = jsonfeed.read_json_envelope(spark, str(tmp_path / "e"))
     assert recs.count() == 2
+    with pytest.raises(FileNotFoundError):
+        etl.air_extract(spark, str(tmp_path / "e" / "b.json"), str(tmp_path / "nozones"))
 
 
 def test_json_envelope_writer_bounds_documents(spark, tmp_path):

@@ -246,9 +246,26 @@ def queries_sql() -> dict[str, str]:
         "SELECT w.ID_STATION, w.NAME, w.LATITUDE, w.LONGITUDE, w.DATE, w.TEMP, w.DEWP, w.WDSP\n"
         "FROM weather_range w WHERE w.ID_STATION IN (SELECT s.ID_STATION FROM stations s, sel c WHERE "
         + hav("c.LONGITUDE_ZONE", "c.LATITUDE_ZONE", "s.LONGITUDE", "s.LATITUDE") + f" <= {RADIUS})")
-    q["box_stats"] = _with(W_ALL) + (
-        ", long AS (SELECT 'TEMP' AS VARIABLE, TEMP AS v FROM weather_range UNION ALL\n"
-        "  SELECT 'WDSP', WDSP FROM weather_range UNION ALL SELECT 'DEWP', DEWP FROM weather_range),\n"
+    local_w = ("(SELECT w.* FROM weather_range w WHERE w.ID_STATION IN (SELECT s.ID_STATION FROM stations s, sel c"
+               " WHERE " + hav("c.LONGITUDE_ZONE", "c.LATITUDE_ZONE", "s.LONGITUDE", "s.LATITUDE")
+               + f" <= {RADIUS}))")
+    a_series = resample_sql(f"(SELECT * FROM air_range WHERE NOM_POLLUANT = {POLL} AND GEOJOIN_ID = {ZONE})",
+                            "DATE_OBSERVATION", ("VALEUR",), P.rule, "BUCKET")
+    lw_series = resample_sql(local_w, "DATE", ("TEMP", "WDSP", "DEWP"), P.rule, "BUCKET")
+    q["paired_series_local"] = _with(W_ALL, AIR, SEL_ZONE) + (
+        f", a AS (WITH {a_series}), w AS (WITH {lw_series})\n"
+        "SELECT coalesce(a.BUCKET, w.BUCKET) AS BUCKET, a.VALEUR, w.TEMP, w.WDSP, w.DEWP\n"
+        "FROM a FULL OUTER JOIN w ON a.BUCKET = w.BUCKET")
+    q["box_stats"] = _box_sql(_with(W_ALL), "weather_range")
+    q["box_stats_local"] = _box_sql(_with(W_ALL, SEL_ZONE), local_w)
+    return q
+
+
+def _box_sql(prefix: str, src: str) -> str:
+    return prefix + (
+        f", src AS (SELECT * FROM {src}),\n"
+        "long AS (SELECT 'TEMP' AS VARIABLE, TEMP AS v FROM src UNION ALL\n"
+        "  SELECT 'WDSP', WDSP FROM src UNION ALL SELECT 'DEWP', DEWP FROM src),\n"
         "q AS (SELECT VARIABLE,\n"
         + ",\n".join(f"  {r6(f'quantile_cont(v, {p})')} AS {n}"
                      for p, n in ((0.25, "Q1"), (0.5, "MEDIAN"), (0.75, "Q3")))
@@ -259,7 +276,6 @@ def queries_sql() -> dict[str, str]:
         "  count(CASE WHEN NOT (v >= lf AND v <= uf) THEN 1 END) AS N_OUTLIERS\n"
         "FROM long JOIN f ON long.VARIABLE = f.VARIABLE WHERE v IS NOT NULL AND NOT isnan(v)\n"
         "GROUP BY f.VARIABLE, f.Q1, f.MEDIAN, f.Q3")
-    return q
 
 
 # --- ingest side ------------------------------------------------------------

@@ -202,5 +202,15 @@ def q_box_stats(spark, d):
     return _dash(spark, d).box_stats()
 
 
+@query("paired_series_local")
+def q_paired_series_local(spark, d):
+    return _dash(spark, d).local_paired_series()
+
+
+@query("box_stats_local")
+def q_box_stats_local(spark, d):
+    return _dash(spark, d).local_box_stats()
+
+
 # ingest-side queries register themselves on import
 from zonecast.plans import ingest_queries  # noqa: E402,F401

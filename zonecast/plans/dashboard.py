@@ -178,3 +178,14 @@ class Dashboard:
 
     def box_stats(self) -> DataFrame:
         return stats.box_stats(self.weather_in_range, metrics.WEATHER_VARS)
+
+    # --- one-zone view: the same charts over the selected zone -----------
+    def local_air_source(self) -> DataFrame:
+        return self.air_series_source().where(F.col("GEOJOIN_ID") == self.p.zone)
+
+    def local_paired_series(self, rule: str | None = None) -> DataFrame:
+        return timeseries.paired_series(self.local_air_source(), self.local_weather(),
+                                        rule or self.p.rule)
+
+    def local_box_stats(self) -> DataFrame:
+        return stats.box_stats(self.local_weather(), metrics.WEATHER_VARS)

@@ -47,9 +47,10 @@ def manifest_missing(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return manifest.join(landed, ["YEAR", "STN_ID"], "left_anti")
 
 
-def require_inputs(df: DataFrame, what: str = "daily weather file") -> DataFrame:
+def require_inputs(df: DataFrame, what: str = "daily weather file for the manifest") -> DataFrame:
+    """Fail fast when there is nothing to load (one row is enough to pass)."""
     if df.isEmpty():
-        raise FileNotFoundError(f"no {what} found for the manifest")
+        raise FileNotFoundError(f"no {what} found")
     return df
 
 

@@ -8,13 +8,24 @@ double literals throughout, so any SQL engine reproduces the same values.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's (read-only) tables. The DataFrame is reused per
+    session, so its schema is read once instead of by a job per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = _READS.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def as_date(df: DataFrame, name: str) -> Column:
