@@ -181,15 +181,23 @@ def active_stations(weather_in_range: DataFrame, stations: DataFrame) -> DataFra
     return ids.join(stations, "ID_STATION", "inner")
 
 
+def _point(df: DataFrame, lat: Column, lon: Column) -> tuple[Column, Column]:
+    """(lat, lon) fields of ONE struct-valued scalar subquery: every use
+    refers to the same subquery, which Spark evaluates once and reuses."""
+    p = df.select(F.struct(lat.alias("lat"), lon.alias("lon"))).scalar()
+    return p["lat"], p["lon"]
+
+
 def city_centre(zones: DataFrame) -> tuple[Column, Column]:
-    """Mean zone centroid as two scalar subqueries (lat, lon)."""
-    return (zones.select(F.avg("LATITUDE_ZONE")).scalar(),
-            zones.select(F.avg("LONGITUDE_ZONE")).scalar())
+    """Mean zone centroid (lat, lon), as a scalar subquery."""
+    return _point(zones.agg(F.avg("LATITUDE_ZONE").alias("a"), F.avg("LONGITUDE_ZONE").alias("o")),
+                  F.col("a"), F.col("o"))
 
 
 def zone_position(zones: DataFrame, geocode: str) -> tuple[Column, Column]:
+    """Position of the first row of one zone, as a scalar subquery."""
     row = first_zone_row(zones.select(*ZONE_KEY), geocode)
-    return row.select("LATITUDE_ZONE").scalar(), row.select("LONGITUDE_ZONE").scalar()
+    return _point(row, F.col("LATITUDE_ZONE"), F.col("LONGITUDE_ZONE"))
 
 
 def count_near(stations: DataFrame, lat: Column, lon: Column, radius_km: float) -> DataFrame:

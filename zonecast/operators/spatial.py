@@ -105,9 +105,12 @@ def radius_join_left(left: DataFrame, right: DataFrame, radius_km: float, *, lef
 def within_radius_of(df: DataFrame, lat: str, lon: str, point_lat: Column, point_lon: Column,
                      radius_km: float, dist_col: str = "DIST_KM") -> DataFrame:
     """Rows within ``radius_km`` of one point (the point is a scalar
-    subquery or literal, so this is a plain filter, no join)."""
-    dist = haversine_km(point_lon, point_lat, lon, lat)
-    return df.withColumn(dist_col, dist).where(F.col(dist_col) <= radius_km)
+    subquery or literal, so this is a plain filter, no join). The point is
+    projected once so the distance expression refers to columns."""
+    with_point = df.withColumns({"_pt_lat": point_lat, "_pt_lon": point_lon})
+    dist = haversine_km("_pt_lon", "_pt_lat", lon, lat)
+    return (with_point.withColumn(dist_col, dist).where(F.col(dist_col) <= radius_km)
+            .drop("_pt_lat", "_pt_lon"))
 
 
 # ---------------------------------------------------------------------------

@@ -1,0 +1,36 @@
+"""Physical-plan facts used to review every registered query."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                "PythonUDF")
+PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def plan_text(df: DataFrame) -> str:
+    """The physical plan as Spark prints it (initial plan under AQE)."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_facts(df: DataFrame) -> dict:
+    text = plan_text(df)
+
+    def count(pattern: str) -> int:
+        return len(re.findall(pattern, text))
+
+    return {
+        "exchanges": count(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition"
+                           r"|Exchange RoundRobinPartitioning"),
+        "broadcasts": count(r"BroadcastExchange"),
+        "hash_joins": count(r"BroadcastHashJoin|ShuffledHashJoin"),
+        "sort_merge_joins": count(r"SortMergeJoin"),
+        "pair_joins": sum(count(n) for n in PAIR_NODES),
+        "windows": count(r"\bWindow\b"),
+        "python": sum(count(n) for n in PYTHON_NODES),
+        "subqueries": count(r"Subquery subquery#|ReusedSubquery"),
+        "pushed_filters": count(r"PushedFilters: \[[^\]]+\]"),
+    }

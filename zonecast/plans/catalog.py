@@ -63,8 +63,9 @@ def q_station_means(spark, d):
 def q_haversine(spark, d):
     dash = _dash(spark, d)
     lat, lon = metrics.city_centre(dash.zones)
-    return dash.stations.withColumn(
-        "DIST_CENTER_KM", round_half_even(haversine_km(lon, lat, "LONGITUDE", "LATITUDE"), 6))
+    with_centre = dash.stations.withColumns({"_c_lat": lat, "_c_lon": lon})
+    dist = round_half_even(haversine_km("_c_lon", "_c_lat", "LONGITUDE", "LATITUDE"), 6)
+    return with_centre.withColumn("DIST_CENTER_KM", dist).drop("_c_lat", "_c_lon")
 
 
 def _radius(spark, d, strategy):
