@@ -62,8 +62,9 @@ def outlier_filter(weather: DataFrame) -> DataFrame:
 
 
 def clean_weather(weather_raw: DataFrame) -> DataFrame:
-    """The eight working columns, converted and outlier-filtered."""
-    return outlier_filter(unit_convert(weather_raw.select(*WEATHER_LITE_COLUMNS)))
+    """The eight working columns (those present), converted and outlier-filtered."""
+    cols = [c for c in WEATHER_LITE_COLUMNS if c in weather_raw.columns]
+    return outlier_filter(unit_convert(weather_raw.select(*cols)))
 
 
 def date_range_filter(df: DataFrame, date_col: str, start, end) -> DataFrame:

@@ -27,29 +27,37 @@ def station_means(weather_in_range: DataFrame) -> DataFrame:
         *[F.avg(v).alias(v) for v in WEATHER_VARS])
 
 
-def stations_with_means(weather: DataFrame, start, end) -> DataFrame:
+def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None = None) -> DataFrame:
     """Station dimension rows (all dates) carrying their station's means over
     [start, end]; stations without a row in range are dropped.
 
     One pass over the observations: a renamed or moved station keeps one
     row per variant, each with the id-level mean (the fan-out of the model).
+
+    With ``names`` (ID_STATION, NAME), the observations carry no name and
+    the name dimension is joined after aggregation: the shuffle then moves
+    one row per station position instead of every observation.
     """
+    keys = [c for c in STATION_COLUMNS if c != "NAME" or names is None]
     in_range = F.col("DATE").between(lit_date(start), lit_date(end))
     sums = []
     for v in WEATHER_VARS:
         x = F.when(in_range, F.col(v))
         sums += [F.sum(x).alias(f"_s_{v}"), F.count(x).alias(f"_n_{v}")]
-    per_variant = weather.groupBy(*STATION_COLUMNS).agg(
+    per_variant = weather.groupBy(*keys).agg(
         *sums, F.count(F.when(in_range, F.lit(1))).alias("_rows"))
     by_id = Window.partitionBy("ID_STATION")
     means = {}
     for v in WEATHER_VARS:
         n = F.sum(f"_n_{v}").over(by_id)
         means[v] = F.when(n > 0, F.sum(f"_s_{v}").over(by_id) / n)
-    return (per_variant
-            .withColumns({**means, "_id_rows": F.sum("_rows").over(by_id)})
-            .where(F.col("_id_rows") > 0)
-            .select(*STATION_COLUMNS, *WEATHER_VARS))
+    out = (per_variant
+           .withColumns({**means, "_id_rows": F.sum("_rows").over(by_id)})
+           .where(F.col("_id_rows") > 0)
+           .select(*keys, *WEATHER_VARS))
+    if names is not None:
+        out = out.join(names, "ID_STATION", "inner")
+    return out.select(*STATION_COLUMNS, *WEATHER_VARS)
 
 
 def station_join_means(stations: DataFrame, means: DataFrame) -> DataFrame:

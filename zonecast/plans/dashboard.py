@@ -35,11 +35,17 @@ class Params:
 
 class Dashboard:
     def __init__(self, zones: DataFrame, air_raw: DataFrame, weather_raw: DataFrame,
-                 params: Params = Params()):
+                 params: Params = Params(), observations: DataFrame | None = None,
+                 station_names: DataFrame | None = None):
+        """``observations`` + ``station_names`` optionally give the weather as
+        a star (observations without NAME, names by station id); the zone
+        metrics then aggregate before meeting the names."""
         self.p = params
         self.zones = zones
         self.air_clean = clean.clean_air(air_raw)
         self.weather = clean.clean_weather(weather_raw)
+        self.observations = None if observations is None else clean.clean_weather(observations)
+        self.station_names = station_names
         # optional narrower sources for in-range views (partition-pruned reads)
         self._air_range_src: DataFrame | None = None
         self._weather_range_src: DataFrame | None = None
@@ -47,7 +53,9 @@ class Dashboard:
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, params: Params = Params()) -> "Dashboard":
         return cls(tables.zones(spark, sf_dir), tables.air_raw(spark, sf_dir),
-                   tables.weather_raw(spark, sf_dir), params)
+                   tables.weather_raw(spark, sf_dir), params,
+                   observations=tables.weather_observations(spark, sf_dir),
+                   station_names=tables.station_names(spark, sf_dir))
 
     @classmethod
     def from_extracts(cls, spark: SparkSession, air_extract: str, weather_extract: str,
@@ -73,7 +81,8 @@ class Dashboard:
         """Keep the cleaned layers across interactions (the page cache of the
         model): each view then starts from the cleaned rows."""
         from pyspark import StorageLevel
-        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src"):
+        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src",
+                     "observations"):
             df = getattr(self, name)
             if df is not None:
                 setattr(self, name, df.persist(StorageLevel.MEMORY_AND_DISK))
@@ -111,6 +120,9 @@ class Dashboard:
         return metrics.station_means(self.weather_in_range)
 
     def stations_with_means(self) -> DataFrame:
+        if self.observations is not None and self.station_names is not None:
+            return metrics.stations_with_means(self.observations, self.p.start, self.p.end,
+                                               names=self.station_names)
         return metrics.stations_with_means(self.weather, self.p.start, self.p.end)
 
     def zone_weather(self, strategy: str | None = None) -> DataFrame:

@@ -51,14 +51,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(-74.25) + ((key * 11) % 25) * 0.025).alias("LONGITUDE_ZONE")))
 
 
-def _weather_columns(date: Column) -> list[Column]:
-    s = F.col("s_suppkey")
+def _weather_columns(date: Column, s: Column | None = None, with_name: bool = True) -> list[Column]:
+    s = F.col("s_suppkey") if s is None else s
     pk = F.col("l_partkey")
     qty = F.col("l_quantity")
     moved = (s % 10 == 3) & (date >= F.lit("1999-01-01").cast("date"))
     return [
         s.cast("string").alias("ID_STATION"),
-        F.col("s_name").alias("NAME"),
+        *([F.col("s_name").alias("NAME")] if with_name else []),
         date.alias("DATE"),
         (F.lit(40.4) + ((s * 37) % 100) * 0.006
          + F.when(moved, F.lit(0.05)).otherwise(F.lit(0.0))).alias("LATITUDE"),
@@ -87,6 +87,21 @@ def weather_raw(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -
     return joined.select(*_weather_columns(as_date(li, "l_shipdate")), *extra)
 
 
+def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same observations without the station name: every column comes
+    from lineitem alone (station id = l_suppkey), so aggregations over them
+    need no join of the raw rows."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    return li.select(*_weather_columns(as_date(li, "l_shipdate"), F.col("l_suppkey"), with_name=False))
+
+
+def station_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station name dimension (supplier): ID_STATION, NAME."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("ID_STATION"), F.col("s_name").alias("NAME"))
+
+
 def air_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Air-quality records as the open-data feed ships them: every field text."""
     o = table(spark, sf_dir, "orders").select(
