@@ -151,3 +151,23 @@ def test_box_stats_edge(spark):
     temps = [t for t in model.in_range(model.clean_weather(E.WEATHER), "DATE", E.START, E.END).TEMP
              if not math.isnan(t)]
     assert out["TEMP"].N == len(temps)
+
+
+def test_no_weather_in_range(spark):
+    import datetime as dt
+    d = dash(spark, start=dt.date(1980, 1, 1), end=dt.date(1980, 12, 31))
+    rows = d.display().collect()
+    assert all(r.NB_STATIONS == 0 and r.W_WIND is None and r.W_TEMP == 0.0 for r in rows)
+    assert d.resample_weather("D").count() == 0
+    k = d.kpi_global().first()
+    assert (k.AVG_POLLUANT, k.NB_ZONES) == (0.0, 0)
+
+
+def test_single_day_range(spark):
+    import datetime as dt
+    day = dt.date(1998, 1, 4)
+    d = dash(spark, start=day, end=day)
+    assert d.p.rule == "D"
+    series = d.resample_weather().collect()
+    assert [r.DATE for r in series] == [day]
+    assert d.display().where("GEOCODE = '1'").first().NB_STATIONS == 1     # only A reports that day

@@ -14,7 +14,7 @@ def _rows(df):
 
 def test_dashboard_from_extracts_equals_from_tables(spark, tmp_path):
     d = SF_SMALL
-    stations_csv, weather_csv = str(tmp_path / "st"), str(tmp_path / "gsod")
+    stations_csv, weather_csv = str(tmp_path / "st"), str(tmp_path / "daily")
     csv.write_station_csv(tables.station_list(spark, d), stations_csv)
     csv.write_weather_csv(tables.weather_files_frame(spark, d), weather_csv)
     layer = etl.weather_layer(spark, stations_csv, weather_csv, 1995, 2001)

@@ -34,7 +34,7 @@ def test_station_csv_keeps_leading_zeros(spark, tmp_path):
 
 def test_weather_csv_schema_by_position(spark, tmp_path):
     p = str(tmp_path / "w" / "a.csv")
-    header = ",".join(csv.GSOD_COLUMNS).replace("FRSHHT", "FRSHTT")      # misspelt header still loads
+    header = ",".join(csv.DAILY_COLUMNS).replace("FRSHHT", "FRSHTT")      # misspelt header still loads
     good = ["725030", "2022-01-01", "40.7", "-73.8", "3.0", "LGA", "35.5"] + [""] * 21
     bad = ["725030", "2022-01-02", "oops", "-73.8"]                          # short row, bad number
     _write(p, header + "\n" + ",".join(good) + "\n" + ",".join(bad) + "\n")
@@ -101,8 +101,8 @@ def test_geojson_collection_and_sequence(spark, tmp_path):
 
 
 def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
-    base = str(tmp_path / "gsod")
-    header = ",".join(csv.GSOD_COLUMNS)
+    base = str(tmp_path / "daily")
+    header = ",".join(csv.DAILY_COLUMNS)
     row = ",".join(["S1", "2001-05-05", "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
     _write(f"{base}/_YEAR=2001/_STN=00001/part-0.csv", header + "\n" + row + "\n")
     stations = spark.createDataFrame([("00001",), ("00001",), ("00002",)], "STN_ID string")
@@ -119,7 +119,7 @@ def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
 
 def test_stream_lands_only_new_files(spark, tmp_path):
     base, layer, ckpt = (str(tmp_path / n) for n in ("src", "layer", "ckpt"))
-    header = ",".join(csv.GSOD_COLUMNS)
+    header = ",".join(csv.DAILY_COLUMNS)
 
     def put(year, stn, day):
         row = ",".join([stn, day, "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)

@@ -130,3 +130,13 @@ def test_lambert_round_trip(spark):
     a, e2 = 6378137.0, proj.e ** 2
     n_radius = a / math.sqrt(1 - e2 * math.sin(math.radians(lat1)) ** 2)
     assert planar == pytest.approx(n_radius * math.cos(math.radians(lat1)) * math.radians(1e-4), rel=1e-7)
+
+
+def test_broadcast_strategy_falls_back_when_too_large(spark):
+    L = _points(spark, [(1, 40.7, -74.0)], "L")
+    R = _points(spark, [(i, 40.7 + i * 1e-4, -74.0) for i in range(50)], "R")
+    kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
+    df = radius_pairs(L, R, 5.0, strategy="broadcast", max_broadcast_rows=10, **kw)
+    from zonecast.plans.audit import plan_facts
+    assert plan_facts(df)["pair_joins"] == 0          # grid plan taken
+    assert len(_pairs(df)) == 50

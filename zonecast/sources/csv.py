@@ -7,17 +7,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 # Fixed values of the daily weather file format: the 28 fields in file order.
-_GSOD_FIELDS = [
-    ("STATION", "s"), ("DATE", "s"), ("LATITUDE", "d"), ("LONGITUDE", "d"), ("ELEVATION", "d"),
-    ("NAME", "s"), ("TEMP", "d"), ("TEMP_ATTRIBUTES", "s"), ("DEWP", "d"), ("DEWP_ATTRIBUTES", "s"),
-    ("SLP", "d"), ("SLP_ATTRIBUTES", "s"), ("STP", "d"), ("STP_ATTRIBUTES", "s"), ("VISIB", "d"),
-    ("VISIB_ATTRIBUTES", "s"), ("WDSP", "d"), ("WDSP_ATTRIBUTES", "s"), ("MXSPD", "d"), ("GUST", "d"),
-    ("MAX", "d"), ("MAX_ATTRIBUTES", "s"), ("MIN", "d"), ("MIN_ATTRIBUTES", "s"), ("PRCP", "d"),
-    ("PRCP_ATTRIBUTES", "s"), ("SNDP", "d"), ("FRSHHT", "s"),
-]
-GSOD_SCHEMA = StructType([StructField(n, StringType() if t == "s" else DoubleType(), True)
-                          for n, t in _GSOD_FIELDS])
-GSOD_COLUMNS = [n for n, _ in _GSOD_FIELDS]
+DAILY_FIELDS = """
+STATION string
+DATE string
+LATITUDE double
+LONGITUDE double
+ELEVATION double
+NAME string
+TEMP double
+TEMP_ATTRIBUTES string
+DEWP double
+DEWP_ATTRIBUTES string
+SLP double
+SLP_ATTRIBUTES string
+STP double
+STP_ATTRIBUTES string
+VISIB double
+VISIB_ATTRIBUTES string
+WDSP double
+WDSP_ATTRIBUTES string
+MXSPD double
+GUST double
+MAX double
+MAX_ATTRIBUTES string
+MIN double
+MIN_ATTRIBUTES string
+PRCP double
+PRCP_ATTRIBUTES string
+SNDP double
+FRSHHT string
+"""
+_TYPES = {"string": StringType(), "double": DoubleType()}
+DAILY_SCHEMA = StructType([StructField(name, _TYPES[kind], True)
+                           for name, kind in (line.split() for line in DAILY_FIELDS.strip().splitlines())])
+DAILY_COLUMNS = [f.name for f in DAILY_SCHEMA.fields]
 
 STATION_FIELDS = ("USAF", "WBAN", "STATION NAME", "LAT", "LON")
 
@@ -42,7 +65,7 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
     (applied by position; malformed or short cells become NULL). The
     station column is renamed ID_STATION for the raw layer."""
     reader = spark.read.option("header", True).option("sep", ",").option("mode", "PERMISSIVE")
-    return reader.schema(GSOD_SCHEMA).csv(paths).withColumnRenamed("STATION", "ID_STATION")
+    return reader.schema(DAILY_SCHEMA).csv(paths).withColumnRenamed("STATION", "ID_STATION")
 
 
 def write_weather_csv(weather: DataFrame, base: str, year_col: str = "_YEAR",
@@ -52,8 +75,8 @@ def write_weather_csv(weather: DataFrame, base: str, year_col: str = "_YEAR",
     gets one file; AQE splits an oversized station-year into several files
     rather than one straggler task. The weather frame needs the 28 file
     columns (missing ones are left empty) plus the two layout columns."""
-    cols = [F.col(c) if c in weather.columns else F.lit(None).cast(GSOD_SCHEMA[c].dataType).alias(c)
-            for c in GSOD_COLUMNS]
+    cols = [F.col(c) if c in weather.columns else F.lit(None).cast(DAILY_SCHEMA[c].dataType).alias(c)
+            for c in DAILY_COLUMNS]
     (weather.select(*cols, F.col(year_col), F.col(station_col))
      .hint("rebalance", year_col, station_col)
      .write.mode("overwrite").partitionBy(year_col, station_col)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from zonecast.sources.csv import GSOD_SCHEMA
+from zonecast.sources.csv import DAILY_SCHEMA
 
 YEAR_DIR, STATION_DIR = "_YEAR", "_STN"
 
@@ -58,7 +58,7 @@ def read_manifest_files(spark: SparkSession, base: str, manifest: DataFrame) ->
     """Daily weather rows of the manifest's files. The directory layout is
     a partitioned dataset; the semi join on its partition columns lets
     dynamic partition pruning skip every directory outside the manifest."""
-    schema = StructType(list(GSOD_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
+    schema = StructType(list(DAILY_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
                                                     StructField(STATION_DIR, StringType())])
     rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(base))
     keys = manifest.select(F.col("YEAR").alias(YEAR_DIR), F.col("STN_ID").alias(STATION_DIR))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from zonecast.sources.csv import GSOD_SCHEMA
+from zonecast.sources.csv import DAILY_SCHEMA
 from zonecast.sources.manifest import STATION_DIR, YEAR_DIR
 
 MAX_FILES_PER_TRIGGER = 1000
@@ -22,7 +22,7 @@ def weather_file_stream(spark: SparkSession, source_dir: str,
                         max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Streaming rows of the daily files under ``source_dir`` (the
     year/station directory layout supplies two partition columns)."""
-    schema = StructType(list(GSOD_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
+    schema = StructType(list(DAILY_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
                                                     StructField(STATION_DIR, StringType())])
     return (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir)
