@@ -12,7 +12,6 @@ dashboard reads both extracts; date filters then prune whole years.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from zonecast.operators import clean
 from zonecast.operators.spatial import with_centroid
