@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import queries
 from tests.conftest import SF_SMALL
-from zonecast.plans.audit import plan_facts, plan_text
+from zonecast.plans.audit import plan_facts, plan_text, raw_shuffles
 
 # the only plan allowed a nested-loop join: the broadcast strategy, taken
 # after the station side's row count was checked
@@ -32,3 +32,21 @@ def test_flagship_reads_observations_once(spark):
     text = plan_text(queries()["zone_display"](spark, SF_SMALL))
     assert text.count("lineitem.parquet") == 1
     assert text.count("orders.parquet") == 1
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_fact_rows_are_never_shuffled_raw(spark, name):
+    """No exchange moves raw observation or measurement rows: aggregates run
+    map-side first and the bounded sides are broadcast, so a station or zone
+    holding a third of all rows costs one partial row per task."""
+    df = queries()[name](spark, SF_SMALL)
+    assert raw_shuffles(df, "lineitem.parquet") == []
+    assert raw_shuffles(df, "orders.parquet") == []
+
+
+def test_raw_shuffle_checker_flags_a_raw_join(spark):
+    from zonecast.sources import tables
+    li = tables.table(spark, SF_SMALL, "lineitem")
+    su = tables.table(spark, SF_SMALL, "supplier")
+    joined = li.join(su.hint("merge"), li.l_suppkey == su.s_suppkey)
+    assert raw_shuffles(joined, "lineitem.parquet") != []

@@ -1,0 +1,24 @@
+"""Size-checked broadcasting."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may have to be broadcast after its count is checked.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows,
+    else ``(df, False)`` (the planner then shuffles, with AQE skew splits).
+
+    The count materialises ``df`` once (persisted), so the join that follows
+    reuses it instead of recomputing it; an oversized side is released.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept), True
+    kept.unpersist()
+    return df, False

@@ -9,6 +9,7 @@ from zonecast.functions.geo import idw_weight
 from zonecast.functions.numeric import round_half_even
 from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
+from zonecast.operators.joins import broadcast_if_small
 from zonecast.operators.spatial import radius_pairs, within_radius_of
 
 WEATHER_VARS = ("TEMP", "WDSP", "DEWP")
@@ -216,10 +217,16 @@ def count_near(stations: DataFrame, lat: Column, lon: Column, radius_km: float)
 
 def local_weather(weather_in_range: DataFrame, stations: DataFrame, lat: Column, lon: Column,
                   radius_km: float) -> DataFrame:
-    """Observations of the stations within the radius of one zone (semi join
-    on the ids found; the id set is bounded by the stations of one circle)."""
+    """Observations of the stations within the radius of one zone.
+
+    The id set is bounded by the stations of one circle, so after a row
+    count it is broadcast and the observations are filtered where they lie
+    (no shuffle of observation rows); a larger set falls back to a shuffled
+    semi join with AQE skew splitting.
+    """
     ids = (within_radius_of(stations, "LATITUDE", "LONGITUDE", lat, lon, radius_km)
            .select("ID_STATION").distinct())
+    ids, _ = broadcast_if_small(ids)
     return weather_in_range.join(ids, "ID_STATION", "left_semi")
 
 

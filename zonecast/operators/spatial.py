@@ -16,14 +16,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import angular_radius_deg, haversine_km, lon_half_extent_deg
-
-# Rows a right side may have for the broadcast nested-loop plan.
-MAX_BROADCAST_ROWS = 200_000
+from zonecast.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 KM_PER_DEG = 111.0          # a little under 111.19, so cells are never too small
 EPS_DEG = 1e-9              # guard against rounding at the circle's edge
 
@@ -67,16 +64,11 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
     """Every (left row, right row) with haversine distance <= ``radius_km``
     (inclusive), plus the distance. Column names of the sides must differ."""
     if strategy == "broadcast":
-        # the size check materialises the right side once; the join then
-        # reuses it instead of recomputing it
-        right = right.persist(StorageLevel.MEMORY_AND_DISK)
-        if right.count() > max_broadcast_rows:
-            right.unpersist()
-            strategy = "grid"          # size check failed: fall back to the hash plan
-    if strategy == "broadcast":
-        dist = haversine_km(left_lon, left_lat, right_lon, right_lat)
-        return (left.join(F.broadcast(right), dist <= radius_km, "inner")
-                .withColumn(dist_col, dist))
+        small, ok = broadcast_if_small(right, max_broadcast_rows)
+        if ok:
+            dist = haversine_km(left_lon, left_lat, right_lon, right_lat)
+            return left.join(small, dist <= radius_km, "inner").withColumn(dist_col, dist)
+        strategy = "grid"              # size check failed: fall back to the hash plan
     if strategy != "grid":
         raise ValueError(f"unknown strategy {strategy!r}")
     lcells = _search_cells(left, left_lat, left_lon, radius_km)

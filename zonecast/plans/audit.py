@@ -34,3 +34,40 @@ def plan_facts(df: DataFrame) -> dict:
         "subqueries": count(r"Subquery subquery#|ReusedSubquery"),
         "pushed_filters": count(r"PushedFilters: \[[^\]]+\]"),
     }
+
+
+def _children(node) -> list:
+    kids = node.children()
+    return [kids.apply(i) for i in range(kids.size())]
+
+
+def physical_root(df: DataFrame):
+    """The physical plan with its exchanges (under AQE: the current plan,
+    i.e. the initial one before any stage has run)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+
+
+def raw_shuffles(df: DataFrame, table_marker: str) -> list[str]:
+    """Exchanges that would move raw rows of the scan whose description
+    contains ``table_marker``, i.e. with no aggregate between the scan and
+    the exchange. An empty list means every shuffle of that table's rows is
+    pre-aggregated (or the table is only broadcast/streamed)."""
+    found = []
+
+    def scans_below(node, seen_agg: bool) -> bool:
+        name = node.nodeName()
+        if "Scan" in name and table_marker in node.toString():
+            return not seen_agg
+        agg = seen_agg or "Aggregate" in name
+        return any(scans_below(c, agg) for c in _children(node))
+
+    def walk(node):
+        if node.nodeName() == "Exchange" and "Broadcast" not in node.toString().split("\n")[0]:
+            if any(scans_below(c, False) for c in _children(node)):
+                found.append(node.toString().split("\n")[0][:120])
+        for c in _children(node):
+            walk(c)
+
+    walk(physical_root(df))
+    return found
