@@ -171,3 +171,15 @@ def test_single_day_range(spark):
     series = d.resample_weather().collect()
     assert [r.DATE for r in series] == [day]
     assert d.display().where("GEOCODE = '1'").first().NB_STATIONS == 1     # only A reports that day
+
+
+def test_temp_ceiling_is_optional(spark):
+    import datetime as dt
+    rows = [("X", "X", 40.7, -74.0, dt.date(1998, 1, 1), 9999.9, 30.0, 5.0),
+            ("X", "X", 40.7, -74.0, dt.date(1998, 1, 2), 50.0, 30.0, 5.0)]
+    w = spark.createDataFrame(rows, WSCHEMA)
+    from zonecast.operators import clean
+    kept = [r.TEMP for r in clean.clean_weather(w).orderBy("DATE").collect()]
+    assert kept[0] > 5000                                   # compatible default: not filtered
+    capped = [r.TEMP for r in clean.clean_weather(w, temp_max=60.0).orderBy("DATE").collect()]
+    assert capped[0] is None and capped[1] == kept[1]

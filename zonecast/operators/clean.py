@@ -56,15 +56,20 @@ def unit_convert(weather: DataFrame) -> DataFrame:
     })
 
 
-def outlier_filter(weather: DataFrame) -> DataFrame:
-    """Keep WDSP <= 150 km/h and DEWP <= 40 C; NULL fails both. TEMP is not filtered."""
-    return weather.where((F.col("WDSP") <= WDSP_MAX_KMH) & (F.col("DEWP") <= DEWP_MAX_C))
+def outlier_filter(weather: DataFrame, temp_max: float | None = None) -> DataFrame:
+    """Keep WDSP <= 150 km/h and DEWP <= 40 C; NULL fails both. TEMP is not
+    filtered by default (a missing-value code in TEMP passes, as in the
+    model); ``temp_max`` (Celsius) turns values above it into NULL."""
+    kept = weather.where((F.col("WDSP") <= WDSP_MAX_KMH) & (F.col("DEWP") <= DEWP_MAX_C))
+    if temp_max is not None:
+        kept = kept.withColumn("TEMP", F.when(F.col("TEMP") <= temp_max, F.col("TEMP")))
+    return kept
 
 
-def clean_weather(weather_raw: DataFrame) -> DataFrame:
+def clean_weather(weather_raw: DataFrame, temp_max: float | None = None) -> DataFrame:
     """The eight working columns (those present), converted and outlier-filtered."""
     cols = [c for c in WEATHER_LITE_COLUMNS if c in weather_raw.columns]
-    return outlier_filter(unit_convert(weather_raw.select(*cols)))
+    return outlier_filter(unit_convert(weather_raw.select(*cols)), temp_max)
 
 
 def date_range_filter(df: DataFrame, date_col: str, start, end) -> DataFrame:

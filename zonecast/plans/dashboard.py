@@ -27,6 +27,7 @@ class Params:
     radius_km: float = 15.0
     zone: str = "1"
     strategy: str = "grid"        # radius join plan: "grid" or "broadcast"
+    temp_max: float | None = None  # optional TEMP ceiling (C); off, as in the model
 
     @property
     def rule(self) -> str:
@@ -43,8 +44,9 @@ class Dashboard:
         self.p = params
         self.zones = zones
         self.air_clean = clean.clean_air(air_raw)
-        self.weather = clean.clean_weather(weather_raw)
-        self.observations = None if observations is None else clean.clean_weather(observations)
+        self.weather = clean.clean_weather(weather_raw, params.temp_max)
+        self.observations = (None if observations is None
+                             else clean.clean_weather(observations, params.temp_max))
         self.station_names = station_names
         # optional narrower sources for in-range views (partition-pruned reads)
         self._air_range_src: DataFrame | None = None
@@ -88,6 +90,16 @@ class Dashboard:
                 setattr(self, name, df.persist(StorageLevel.MEMORY_AND_DISK))
         return self
 
+    def with_params(self, params: Params) -> "Dashboard":
+        """The same (possibly persisted) cleaned layers under new widget
+        values: one interaction of the page."""
+        other = object.__new__(Dashboard)
+        other.__dict__.update({k: v for k, v in self.__dict__.items()
+                               if k in ("zones", "air_clean", "weather", "observations",
+                                        "station_names", "_air_range_src", "_weather_range_src")})
+        other.p = params
+        return other
+
     def views(self) -> dict[str, DataFrame]:
         """Every view of one page refresh."""
         return {"display": self.display(), "kpi": self.kpi_formatted(),
