@@ -37,6 +37,8 @@ WEATHER = pd.DataFrame([
     # E: NULL wind row dropped; one valid row near zone 4
     _w("E", "Echo", 40.62, -74.06, D(1998, 7, 1), 80.0, 50.0, None),
     _w("E", "Echo", 40.62, -74.06, D(2000, 2, 29), 82.0, 52.0, 8.0),      # leap day
+    # no station id: forms no station
+    _w(None, "Ghost", 40.70, -74.00, D(1998, 1, 5), 10.0, 5.0, 1.0),
     # F: only outside the date range
     _w("F", "Fox", 40.76, -73.96, D(1990, 1, 1), 40.0, 20.0, 2.0),
 ], columns=["ID_STATION", "NAME", "LATITUDE", "LONGITUDE", "DATE", "TEMP", "DEWP", "WDSP"])

@@ -23,9 +23,10 @@ ALL_ZONES_LABEL = "Tous quartiers"   # fixed value: the "all zones" option label
 
 def station_means(weather_in_range: DataFrame) -> DataFrame:
     """Mean TEMP, WDSP, DEWP per station id (NULLs skipped; hash aggregate
-    with map-side partial sums, so a hot station costs one row per task)."""
-    return weather_in_range.groupBy("ID_STATION").agg(
-        *[F.avg(v).alias(v) for v in WEATHER_VARS])
+    with map-side partial sums, so a hot station costs one row per task).
+    Rows without a station id form no group (as a pandas groupby)."""
+    return (weather_in_range.where(F.col("ID_STATION").isNotNull())
+            .groupBy("ID_STATION").agg(*[F.avg(v).alias(v) for v in WEATHER_VARS]))
 
 
 def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None = None) -> DataFrame:
@@ -45,7 +46,7 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
     for v in WEATHER_VARS:
         x = F.when(in_range, F.col(v))
         sums += [F.sum(x).alias(f"_s_{v}"), F.count(x).alias(f"_n_{v}")]
-    per_variant = weather.groupBy(*keys).agg(
+    per_variant = weather.where(F.col("ID_STATION").isNotNull()).groupBy(*keys).agg(
         *sums, F.count(F.when(in_range, F.lit(1))).alias("_rows"))
     by_id = Window.partitionBy("ID_STATION")
     means = {}

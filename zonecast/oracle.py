@@ -62,7 +62,7 @@ weather AS (SELECT * FROM weather_conv WHERE WDSP <= 150e0 AND DEWP <= 40e0),
 weather_range AS (SELECT * FROM weather WHERE DATE BETWEEN {START} AND {END}),
 stations AS (SELECT DISTINCT ID_STATION, NAME, LATITUDE, LONGITUDE FROM weather),
 means AS (SELECT ID_STATION, avg(TEMP) AS TEMP, avg(WDSP) AS WDSP, avg(DEWP) AS DEWP
-          FROM weather_range GROUP BY ID_STATION),
+          FROM weather_range WHERE ID_STATION IS NOT NULL GROUP BY ID_STATION),
 sw AS (SELECT s.ID_STATION, s.NAME, s.LATITUDE, s.LONGITUDE, m.TEMP, m.WDSP, m.DEWP
        FROM stations s JOIN means m ON s.ID_STATION = m.ID_STATION)""".format(START=START, END=END)
 
