@@ -105,6 +105,7 @@ def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
     header = ",".join(csv.DAILY_COLUMNS)
     row = ",".join(["S1", "2001-05-05", "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
     _write(f"{base}/_YEAR=2001/_STN=00001/part-0.csv", header + "\n" + row + "\n")
+    _write(f"{base}/stray/notes.csv", "a,b\n")                  # outside the layout: ignored
     stations = spark.createDataFrame([("00001",), ("00001",), ("00002",)], "STN_ID string")
     m = manifest.ingest_manifest(stations, 2000, 2001)
     assert m.count() == 4                                        # duplicate id listed once

@@ -139,3 +139,10 @@ def test_broadcast_strategy_falls_back_when_too_large(spark):
     from zonecast.plans.audit import plan_facts
     assert plan_facts(df)["pair_joins"] == 0          # grid plan taken
     assert len(_pairs(df)) == 50
+
+
+def test_degenerate_polygon_has_null_centroid(spark):
+    flat = [[[[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [0.0, 0.0]]]]
+    df = spark.createDataFrame([(1, flat)], "ID int, COORDINATES array<array<array<array<double>>>>")
+    r = with_centroid(df).first()
+    assert r.LATITUDE_ZONE is None and r.LONGITUDE_ZONE is None

@@ -175,8 +175,9 @@ def with_centroid(df: DataFrame, coords: str = "COORDINATES", lat: str = "LATITU
     x0, y0 = F.col("_c_x0"), F.col("_c_y0")
     df = df.withColumn("_c_tot", _sum_structs(F.transform(src, lambda poly: _polygon_sums(poly, x0, y0))))
     tot = F.col("_c_tot")
-    df = df.withColumns({"_c_x": x0 + tot["mx"] / (tot["a"] * 3.0),
-                         "_c_y": y0 + tot["my"] / (tot["a"] * 3.0)})
+    # a degenerate (zero-area) geometry has no centroid: NULL, not an error
+    area3 = F.when(tot["a"] != 0, tot["a"] * 3.0)
+    df = df.withColumns({"_c_x": x0 + tot["mx"] / area3, "_c_y": y0 + tot["my"] / area3})
     if projected:
         df, tmp = proj.inverse_columns(df, "_c_x", "_c_y", lon, lat), tmp + proj.TEMP_COLUMNS
     else:

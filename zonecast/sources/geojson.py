@@ -68,7 +68,7 @@ def square_zones(zones: DataFrame, half: float = 0.01, hole: float = 0.004) -> D
             pts = pts[::-1]
         return F.array(*[F.array(x + dx, y + dy) for dx, dy in pts])
 
-    even = (F.col("GEOCODE").cast("long") % 2) == 0
+    even = (F.col("GEOCODE").try_cast("long") % 2) == 0
     with_hole = F.array(ring(half, False), ring(hole, True))
     coords = F.when(even, F.array(with_hole)).otherwise(F.array(F.array(ring(half, False))))
     return zones.select(*PROPERTIES, F.when(even, "MultiPolygon").otherwise("Polygon").alias("GEOM_TYPE"),

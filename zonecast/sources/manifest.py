@@ -34,8 +34,8 @@ def landed_files(spark: SparkSession, base: str) -> DataFrame:
                .option("pathGlobFilter", "*.csv").load(base).select("path"))
     year = F.regexp_extract("path", rf"/{YEAR_DIR}=([0-9]+)/", 1)
     stn = F.regexp_extract("path", rf"/{STATION_DIR}=([^/]+)/", 1)
-    return (listing.select(year.cast("int").alias("YEAR"), stn.alias("STN_ID"))
-            .where(F.col("STN_ID") != "").distinct())
+    return (listing.select(year.try_cast("int").alias("YEAR"), stn.alias("STN_ID"))
+            .where(F.col("YEAR").isNotNull() & (F.col("STN_ID") != "")).distinct())
 
 
 def manifest_existing(manifest: DataFrame, landed: DataFrame) -> DataFrame:
@@ -60,7 +60,9 @@ def read_manifest_files(spark: SparkSession, base: str, manifest: DataFrame) ->
     dynamic partition pruning skip every directory outside the manifest."""
     schema = StructType(list(DAILY_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
                                                     StructField(STATION_DIR, StringType())])
-    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(base))
+    # the glob keeps anything outside the year/station layout out of the scan
+    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("basePath", base)
+            .schema(schema).csv(f"{base.rstrip('/')}/{YEAR_DIR}=*/{STATION_DIR}=*"))
     keys = manifest.select(F.col("YEAR").alias(YEAR_DIR), F.col("STN_ID").alias(STATION_DIR))
     return (rows.join(keys, [YEAR_DIR, STATION_DIR], "left_semi")
             .withColumnRenamed("STATION", "ID_STATION"))
