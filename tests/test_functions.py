@@ -69,3 +69,14 @@ def test_bucket_labels_match_pandas(spark):
             # the bucket containing d is the first label on or after d
             want = labels[labels.searchsorted(pd.Timestamp(d))].date()
             assert g == want, (rule, d)
+
+
+def test_scale_conf_sizes_partitions():
+    from zonecast.session import scale_conf
+    small = scale_conf(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    huge = scale_conf(100 << 40, executor_memory_gb=32, executor_cores=8)   # 100 TB
+    assert int(huge["spark.sql.shuffle.partitions"]) == 200_000
+    assert huge["spark.sql.files.maxPartitionBytes"] == "256m"
+    tight = scale_conf(1 << 40, executor_memory_gb=4, executor_cores=4)
+    assert tight["spark.sql.files.maxPartitionBytes"] == "128m"

@@ -35,6 +35,38 @@ def build_session(master: str | None = None, app: str = "zonecast",
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4) -> dict[str, str]:
+    """Partition sizing for a large run, from the input size and executors.
+
+    * Scans split at <= 256 MB (compressed parquet expands 3-5x in memory),
+      less when a core's share of executor memory is small.
+    * Shuffles start with one partition per ~64 MB of input (at least 200,
+      at most 200,000) and AQE coalesces them towards 128 MB, so a stage
+      never has partitions larger than a core's memory share, even before
+      map-side aggregation shrinks the data.
+    * Skewed partitions above 256 MB (and 5x the median) are split by AQE;
+      broadcasts stay capped at 64 MB per measured side.
+    """
+    per_core_mb = executor_memory_gb * 1024 / max(executor_cores, 1)
+    split_mb = int(max(32, min(256, per_core_mb / 8)))
+    shuffle_parts = int(min(200_000, max(200, input_bytes // (64 * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
