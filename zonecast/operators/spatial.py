@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.geo import angular_radius_deg, haversine_km, lon_half_extent_deg
 from zonecast.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+
 KM_PER_DEG = 111.0          # a little under 111.19, so cells are never too small
 EPS_DEG = 1e-9              # guard against rounding at the circle's edge
 
@@ -85,7 +86,9 @@ def radius_join_left(left: DataFrame, right: DataFrame, radius_km: float, *, lef
                      left_lat: str, left_lon: str, right_lat: str, right_lon: str,
                      strategy: str = "grid", dist_col: str = "DIST_KM") -> DataFrame:
     """Left-outer form: left rows with no right row within the radius are
-    kept once, with NULL right columns."""
+    kept once, with NULL right columns. The unmatched rows come from an
+    anti join on the distinct matched keys (an aggregate), not from a
+    per-key window, so a key with a third of all pairs stays spread out."""
     pairs = radius_pairs(left, right, radius_km, left_lat=left_lat, left_lon=left_lon,
                          right_lat=right_lat, right_lon=right_lon, strategy=strategy,
                          dist_col=dist_col)
