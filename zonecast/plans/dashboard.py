@@ -35,29 +35,55 @@ class Params:
 
 
 class Dashboard:
-    def __init__(self, zones: DataFrame, air_raw: DataFrame, weather_raw: DataFrame,
-                 params: Params = Params(), observations: DataFrame | None = None,
-                 station_names: DataFrame | None = None):
-        """``observations`` + ``station_names`` optionally give the weather as
+    def __init__(self, zones, air_raw, weather_raw, params: Params = Params(),
+                 observations=None, station_names=None):
+        """Inputs are DataFrames or zero-argument callables returning one;
+        every layer is built on first use, so a view only plans what it reads.
+
+        ``observations`` + ``station_names`` optionally give the weather as
         a star (observations without NAME, names by station id); the zone
         metrics then aggregate before meeting the names."""
         self.p = params
-        self.zones = zones
-        self.air_clean = clean.clean_air(air_raw)
-        self.weather = clean.clean_weather(weather_raw, params.temp_max)
-        self.observations = (None if observations is None
-                             else clean.clean_weather(observations, params.temp_max))
-        self.station_names = station_names
+        self._inputs = {"zones": zones, "air_raw": air_raw, "weather_raw": weather_raw,
+                        "observations": observations, "station_names": station_names}
         # optional narrower sources for in-range views (partition-pruned reads)
         self._air_range_src: DataFrame | None = None
         self._weather_range_src: DataFrame | None = None
 
+    def _input(self, name: str) -> DataFrame | None:
+        value = self._inputs[name]
+        if value is not None and not isinstance(value, DataFrame):
+            value = self._inputs[name] = value()
+        return value
+
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, params: Params = Params()) -> "Dashboard":
-        return cls(tables.zones(spark, sf_dir), tables.air_raw(spark, sf_dir),
-                   tables.weather_raw(spark, sf_dir), params,
-                   observations=tables.weather_observations(spark, sf_dir),
-                   station_names=tables.station_names(spark, sf_dir))
+        return cls(lambda: tables.zones(spark, sf_dir), lambda: tables.air_raw(spark, sf_dir),
+                   lambda: tables.weather_raw(spark, sf_dir), params,
+                   observations=lambda: tables.weather_observations(spark, sf_dir),
+                   station_names=lambda: tables.station_names(spark, sf_dir))
+
+    # --- inputs and cleaned layers (built on first use) ------------------
+    @cached_property
+    def zones(self) -> DataFrame:
+        return self._input("zones")
+
+    @cached_property
+    def air_clean(self) -> DataFrame:
+        return clean.clean_air(self._input("air_raw"))
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return clean.clean_weather(self._input("weather_raw"), self.p.temp_max)
+
+    @cached_property
+    def observations(self) -> DataFrame | None:
+        obs = self._input("observations")
+        return None if obs is None else clean.clean_weather(obs, self.p.temp_max)
+
+    @cached_property
+    def station_names(self) -> DataFrame | None:
+        return self._input("station_names")
 
     @classmethod
     def from_extracts(cls, spark: SparkSession, air_extract: str, weather_extract: str,
@@ -65,9 +91,7 @@ class Dashboard:
         """Serve from the ETL's parquet extracts (partitioned by year, so the
         date range prunes whole directories). The air extract is already
         typed and cleaned; only the zone join is redone (small side)."""
-        empty_raw = spark.createDataFrame(
-            [], "GEOJOIN_ID string, DATE_MESURE_BRUTE string, NOM_POLLUANT string, VALEUR_BRUTE string")
-        dash = cls(zones, empty_raw, spark.read.parquet(weather_extract).drop("YEAR"), params)
+        dash = cls(zones, None, spark.read.parquet(weather_extract).drop("YEAR"), params)
         air = spark.read.parquet(air_extract)
         cols = ("GEOJOIN_ID", "DATE_OBSERVATION", "NOM_POLLUANT", "VALEUR")
         dash.air_clean = air.select(*cols)
@@ -91,12 +115,15 @@ class Dashboard:
         return self
 
     def with_params(self, params: Params) -> "Dashboard":
-        """The same (possibly persisted) cleaned layers under new widget
-        values: one interaction of the page."""
+        """The same (possibly persisted) layers under new widget values: one
+        interaction of the page. Cleaned weather is shared only when the
+        cleaning parameters are unchanged."""
         other = object.__new__(Dashboard)
-        other.__dict__.update({k: v for k, v in self.__dict__.items()
-                               if k in ("zones", "air_clean", "weather", "observations",
-                                        "station_names", "_air_range_src", "_weather_range_src")})
+        keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names"]
+        if params.temp_max == self.p.temp_max:
+            keep += ["weather", "observations"]
+        other.__dict__.update({k: v for k, v in self.__dict__.items() if k in keep})
+        other._inputs = dict(self._inputs)
         other.p = params
         return other
 
