@@ -178,11 +178,17 @@ def queries_sql() -> dict[str, str]:
     q["haversine"] = _with(W_ALL) + (
         "SELECT s.*, " + r6(hav("c.LON_C", "c.LAT_C", "s.LONGITUDE", "s.LATITUDE")) + " AS DIST_CENTER_KM\n"
         "FROM stations s, (SELECT avg(LATITUDE_ZONE) AS LAT_C, avg(LONGITUDE_ZONE) AS LON_C FROM zones) c")
-    radius = _with(W_ALL, PAIRS) + (
+    row_pairs = (f"SELECT z.GEOCODE, z.LATITUDE_ZONE, z.LONGITUDE_ZONE, sw.ID_STATION, sw.NAME, sw.LATITUDE,"
+                 f" sw.LONGITUDE, {hav('z.LONGITUDE_ZONE', 'z.LATITUDE_ZONE', 'sw.LONGITUDE', 'sw.LATITUDE')}"
+                 f" AS DIST_KM FROM zones z, sw WHERE "
+                 f"{hav('z.LONGITUDE_ZONE', 'z.LATITUDE_ZONE', 'sw.LONGITUDE', 'sw.LATITUDE')} <= {RADIUS}")
+    radius = _with(W_ALL) + (
+        f", rp AS ({row_pairs})\n"
         "SELECT GEOCODE, LATITUDE_ZONE, LONGITUDE_ZONE, ID_STATION, NAME, LATITUDE, LONGITUDE, "
-        + r6("DIST_KM") + " AS DIST_KM FROM pairs\n"
-        "UNION ALL SELECT GEOCODE, LATITUDE_ZONE, LONGITUDE_ZONE, NULL, NULL, NULL, NULL, NULL FROM zkeys z\n"
-        "WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.GEOCODE = z.GEOCODE)")
+        + r6("DIST_KM") + " AS DIST_KM FROM rp\n"
+        "UNION ALL SELECT GEOCODE, LATITUDE_ZONE, LONGITUDE_ZONE, NULL, NULL, NULL, NULL, NULL FROM zones z\n"
+        "WHERE NOT EXISTS (SELECT 1 FROM rp WHERE rp.GEOCODE = z.GEOCODE\n"
+        "  AND rp.LATITUDE_ZONE = z.LATITUDE_ZONE AND rp.LONGITUDE_ZONE = z.LONGITUDE_ZONE)")
     q["radius_join"] = radius
     q["radius_join_grid"] = radius
     q["zone_weather_idw"] = _with(W_ALL, PAIRS, ZONE_WEATHER) + "SELECT * FROM zw"
