@@ -38,13 +38,18 @@ def _ranges_frame(spark, ranges: dict) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs,
-                    buckets: int = BUCKETS) -> dict:
-    """{group: {p: value}} for a small number of groups (e.g. one per variable)."""
+                    buckets: int = BUCKETS, cache: bool = True) -> dict:
+    """{group: {p: value}} for a small number of groups (e.g. one per variable).
+
+    The passes re-read ``df``; with ``cache`` its projection is persisted for
+    the duration of the search (pass ``cache=False`` when the caller already
+    holds a cached input)."""
     spark = df.sparkSession
     base = (df.select(F.col(group_col).cast("string").alias("_g"),
                       F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    if cache:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
                                        F.max("_v").alias("hi")).collect()
@@ -93,16 +98,27 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs,
             out.setdefault(g, {})[p] = lo_v + (pos - math.floor(pos)) * (hi_v - lo_v)
         return out
     finally:
-        base.unpersist()
+        if cache:
+            base.unpersist()
 
 
 def box_stats(df: DataFrame, columns, group_name: str = "VARIABLE") -> DataFrame:
     """Per column: N, Q1, MEDIAN, Q3 (exact, linear), whiskers at the most
     extreme values inside 1.5 IQR of the quartiles, and the outlier count."""
     spark = df.sparkSession
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
-    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS ({group_name}, _v)")
-    quants = exact_quantiles(long, group_name, "_v", (0.25, 0.5, 0.75))
+    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    stack = f"stack({len(columns)}, {pairs}) AS ({group_name}, _v)"
+    # the search caches the numeric columns side by side (columnar and
+    # compressed), not the stacked (name, value) rows; the final pass below
+    # reads the source again after the cache is released
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        quants = exact_quantiles(wide.selectExpr(stack), group_name, "_v", (0.25, 0.5, 0.75),
+                                 cache=False)
+    finally:
+        wide.unpersist()
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).selectExpr(stack)
     scale = 10.0 ** QUANTILE_DIGITS
     rows = []
     for g, q in quants.items():
