@@ -10,14 +10,12 @@ from zonecast.functions.numeric import round_half_even
 from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
 from zonecast.operators.joins import broadcast_if_small
-from zonecast.operators.spatial import radius_pairs, within_radius_of
+from zonecast.operators.spatial import radius_join_left, radius_pairs, within_radius_of
 
 WEATHER_VARS = ("TEMP", "WDSP", "DEWP")
 # zone metric name for each weather variable
 ZONE_METRIC = {"TEMP": "W_TEMP", "WDSP": "W_WIND", "DEWP": "W_DEWP"}
 ZONE_KEY = ("GEOCODE", "LATITUDE_ZONE", "LONGITUDE_ZONE")
-DISPLAY_COLUMNS = ("GEOCODE", "GEONAME", "BOROUGH", "MEAN_POLLUANT",
-                   "W_TEMP", "W_WIND", "W_DEWP", "NB_STATIONS")
 ALL_ZONES_LABEL = "Tous quartiers"   # fixed value: the "all zones" option label
 
 
@@ -62,11 +60,6 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
     return out.select(*STATION_COLUMNS, *WEATHER_VARS)
 
 
-def station_join_means(stations: DataFrame, means: DataFrame) -> DataFrame:
-    """Station dimension x per-id means, inner on id (two-input form)."""
-    return stations.join(means, "ID_STATION", "inner")
-
-
 def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float,
                      strategy: str = "grid") -> DataFrame:
     """Inverse-distance-weighted TEMP/WDSP/DEWP per zone row.
@@ -96,7 +89,6 @@ def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float,
 def radius_join(zones: DataFrame, stations: DataFrame, radius_km: float,
                 strategy: str = "grid") -> DataFrame:
     """Zone x station rows within the radius (left outer on zones)."""
-    from zonecast.operators.spatial import radius_join_left
     z = zones.select(*ZONE_KEY)
     s = stations.select(*STATION_COLUMNS)
     return radius_join_left(z, s, radius_km, left_key=list(ZONE_KEY),
