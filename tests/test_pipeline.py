@@ -45,3 +45,23 @@ def test_zone_centroid_added_only_when_absent(spark):
     assert {"LATITUDE_ZONE", "LONGITUDE_ZONE"} <= set(with_c.columns)
     again = etl.ensure_centroid(with_c.withColumn("LATITUDE_ZONE", F.lit(1.0)))
     assert again.select("LATITUDE_ZONE").first()[0] == 1.0
+
+
+def test_command_line_etl_then_dashboard(spark, tmp_path):
+    from zonecast.__main__ import main
+    d = SF_SMALL
+    stations_csv, weather_csv = str(tmp_path / "st"), str(tmp_path / "daily")
+    csv.write_station_csv(tables.station_list(spark, d), stations_csv)
+    csv.write_weather_csv(tables.weather_files_frame(spark, d), weather_csv)
+    feed, zones_path = str(tmp_path / "feed"), str(tmp_path / "zones")
+    jsonfeed.write_json_envelopes(tables.air_feed_lines(spark, d), feed)
+    geojson.write_geojson(geojson.square_zones(tables.zones(spark, d)), zones_path)
+    out, views = str(tmp_path / "x"), str(tmp_path / "views")
+    main(["etl", "--stations", stations_csv, "--weather", weather_csv, "--first-year", "1995",
+          "--last-year", "2001", "--feed", feed, "--zones", zones_path, "--out", out], spark=spark)
+    main(["dashboard", "--extracts", out, "--zones", zones_path, "--out", views], spark=spark)
+    disp = spark.read.parquet(f"{views}/display")
+    direct = Dashboard.from_tables(spark, d, Params()).display()
+    # the CLI takes zone centroids from the (projected) geometry: equal to 1e-6 degrees
+    assert _rows(disp.drop("W_TEMP", "W_WIND", "W_DEWP")) == _rows(direct.drop("W_TEMP", "W_WIND", "W_DEWP"))
+    assert spark.read.parquet(f"{views}/kpi").count() == 1
