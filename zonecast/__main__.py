@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
+import sys
 
-from zonecast.plans import etl
-from zonecast.plans.dashboard import Dashboard, Params
-from zonecast.session import build_session
-from zonecast.sources import geojson
+if not __package__:     # run as a script (spark-submit zonecast/__main__.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from zonecast.plans import etl  # noqa: E402
+from zonecast.plans.dashboard import Dashboard, Params  # noqa: E402
+from zonecast.session import build_session  # noqa: E402
+from zonecast.sources import geojson  # noqa: E402
 
 
 def _date(text: str) -> dt.date:
