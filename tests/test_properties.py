@@ -44,3 +44,21 @@ def test_idw_between_extremes_and_one_row_per_zone(spark, zones, stations, radiu
         if r.NB_STATIONS and near and len(near) == r.NB_STATIONS:
             temps = [m.TEMP for m in near]
             assert min(temps) - 0.05 <= r.W_TEMP <= max(temps) + 0.05 or r.W_TEMP == 0.0
+
+
+day = st.dates(min_value=dt.date(1999, 11, 1), max_value=dt.date(2001, 3, 31))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(day, st.one_of(st.none(), st.floats(-50, 50))), min_size=1, max_size=40))
+def test_resample_matches_pandas_on_random_gaps(spark, rows):
+    import pandas as pd
+    from zonecast.operators.timeseries import resample_mean
+    df = spark.createDataFrame(rows, "DATE date, TEMP double")
+    pdf = pd.DataFrame(rows, columns=["DATE", "TEMP"]).astype({"TEMP": float})
+    for rule in ("D", "W", "M", "Q"):
+        got = resample_mean(df, "DATE", "TEMP", rule).orderBy("DATE").collect()
+        want = model.resample(pdf, "DATE", ("TEMP",), rule)
+        assert [r.DATE for r in got] == [t.date() for t in want.DATE]
+        for r, w in zip(got, want.TEMP):
+            assert (r.TEMP is None and w != w) or abs(r.TEMP - w) < 1e-9
