@@ -133,3 +133,21 @@ def test_stream_lands_only_new_files(spark, tmp_path):
     assert ingest.land_new_files(spark, base, layer, ckpt) == 0
     assert sorted(r.DATE for r in ingest.read_landed(spark, layer).collect()) == [
         "2001-01-01", "2001-01-02", "2002-01-01"]
+
+
+def test_air_stream_lands_only_new_feed_files(spark, tmp_path):
+    feed, out, ckpt = (str(tmp_path / n) for n in ("feed", "extract", "ckpt"))
+    zones = spark.createDataFrame([("1", "Alpha", 40.7, -74.0)],
+                                  "GEOCODE string, GEONAME string, LATITUDE_ZONE double, LONGITUDE_ZONE double")
+
+    def record(zone, day, value):
+        r = [None] * 20
+        r[10], r[14], r[17], r[18] = "PM", zone, day, value
+        return json.dumps(r)
+    _write(f"{feed}/a.json", "\n".join([record("1", "2001-01-01", "1.5"), record("9", "2001-01-01", "2.0"),
+                                        record("1", "2001-01-02", "n/a")]) + "\n")
+    assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 3
+    _write(f"{feed}/b.json", record("1", "2002-02-02", "4.0") + "\n")
+    assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 1
+    rows = sorted((str(r.DATE_OBSERVATION), r.VALEUR, r.GEONAME) for r in spark.read.parquet(out).collect())
+    assert rows == [("2001-01-01", 1.5, "Alpha"), ("2002-02-02", 4.0, "Alpha")]

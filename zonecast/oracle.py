@@ -358,6 +358,7 @@ def ingest_sql() -> dict[str, str]:
     q["zone_centroid_projected"] = _with(ZONES) + (
         "SELECT GEOCODE, round_even(LATITUDE_ZONE * 1e6, 0) / 1e6 AS LATITUDE_ZONE,\n"
         "  round_even(LONGITUDE_ZONE * 1e6, 0) / 1e6 AS LONGITUDE_ZONE FROM zones")
+    q["stream_ingest_air"] = _with(ZONES, AIR) + "SELECT * FROM air"
     q["air_etl"] = _with(ZONES, AIR) + (
         "SELECT GEOJOIN_ID, DATE_OBSERVATION, NOM_POLLUANT, VALEUR, GEONAME,\n"
         "  round_even(LATITUDE_ZONE * 1e9, 0) / 1e9 AS LATITUDE_ZONE,\n"

@@ -203,3 +203,15 @@ def q_stream_ingest_weather(spark, d):
     layer = scratch_path(spark, "weather-stream-layer")
     ingest.land_new_files(spark, base, layer, scratch_path(spark, "weather-stream-ckpt"))
     return clean.weather_lite(ingest.read_landed(spark, layer))
+
+
+@query("stream_ingest_air")
+def q_stream_ingest_air(spark, d):
+    """Air feed files landed incrementally into the air extract, read back."""
+    from zonecast.streaming import ingest
+    feed = scratch_path(spark, "air-feed-lines")
+    jsonfeed.write_json_rows(tables.air_feed_lines(spark, d), feed)
+    out = scratch_path(spark, "air-stream-extract")
+    ingest.land_new_feed_lines(spark, feed, tables.zones(spark, d), out,
+                               scratch_path(spark, "air-stream-ckpt"))
+    return parquet.read_layer(spark, out).drop("YEAR")

@@ -46,3 +46,29 @@ def read_landed(spark: SparkSession, layer_path: str) -> DataFrame:
     """The raw layer as committed by the stream (reads through the sink's
     metadata log, so files of an unfinished batch are never seen)."""
     return spark.read.parquet(layer_path)
+
+
+def land_new_feed_lines(spark: SparkSession, feed_dir: str, zones: DataFrame, extract_path: str,
+                        checkpoint: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> int:
+    """Append the air records of not-yet-landed feed files (one record array
+    per line) to the air extract, partitioned by year.
+
+    Records are typed and cleaned as in the batch ETL, then joined to the
+    zone table (a stream-static join: the zone side is a small static
+    dimension, re-read each micro-batch). Returns the rows read by this run.
+    """
+    from pyspark.sql import functions as F
+
+    from zonecast.operators import clean
+    from zonecast.sources import jsonfeed
+
+    lines = spark.readStream.schema("value string").option("maxFilesPerTrigger",
+                                                          max_files_per_trigger).text(feed_dir)
+    records = lines.select(F.from_json("value", "array<string>").alias("r")).where(F.col("r").isNotNull())
+    air = clean.air_zone_join(clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(records))), zones)
+    q = (air.withColumn("YEAR", F.year("DATE_OBSERVATION"))
+         .writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).partitionBy("YEAR")
+         .trigger(availableNow=True).start(extract_path))
+    q.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
