@@ -91,8 +91,11 @@ def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same observations without the station name: every column comes
     from lineitem alone (station id = l_suppkey), so aggregations over them
     need no join of the raw rows."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    return observations_from(table(spark, sf_dir, "lineitem"))
+
+
+def observations_from(lineitem: DataFrame) -> DataFrame:
+    li = lineitem.select("l_suppkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
     return li.select(*_weather_columns(as_date(li, "l_shipdate"), F.col("l_suppkey"), with_name=False))
 
 
