@@ -48,3 +48,9 @@ def test_box_stats_whiskers_and_outliers(spark):
         assert r.LOWER_WHISKER == x[x >= lf].min() and r.UPPER_WHISKER == x[x <= uf].max()
         assert r.N_OUTLIERS == int(((x < lf) | (x > uf)).sum()) == 2
         assert r.N == len(vals)
+
+
+def test_quantiles_with_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 5.0), ("a", 2.0), ("a", 4.0)], "g string, v double")
+    got = exact_quantiles(df, "g", "v", (0.5,))
+    assert got[None][0.5] == 3.0 and got["a"][0.5] == 3.0

@@ -73,7 +73,7 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs,
             bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets),
                              F.lit(buckets - 1))
             hist = (base.join(F.broadcast(ranges),
-                              (base._g == ranges._g) & base._v.between(ranges._lo, ranges._hi))
+                              base._g.eqNullSafe(ranges._g) & base._v.between(ranges._lo, ranges._hi))
                     .groupBy("_rid", bucket.alias("_b"))
                     .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"),
                          F.max("_v").alias("mx"))
@@ -86,7 +86,10 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs,
                 if val is not None:
                     continue
                 cum = below
-                for _, c, mn, mx in sorted(by_range[open_ranges[(g, lo, hi)]]):
+                buckets_of = by_range.get(open_ranges[(g, lo, hi)])
+                if not buckets_of:          # the range lost its rows: input changed under us
+                    raise RuntimeError("quantile search found no rows in an open range")
+                for _, c, mn, mx in sorted(buckets_of):
                     if cum + c > k:
                         st[:] = [mn, mx, cum, mn if mn == mx else None]
                         break
