@@ -151,3 +151,14 @@ def test_air_stream_lands_only_new_feed_files(spark, tmp_path):
     assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 1
     rows = sorted((str(r.DATE_OBSERVATION), r.VALEUR, r.GEONAME) for r in spark.read.parquet(out).collect())
     assert rows == [("2001-01-01", 1.5, "Alpha"), ("2002-02-02", 4.0, "Alpha")]
+
+
+def test_bare_list_of_lists_document(spark, tmp_path):
+    rec = [None] * 20
+    rec[10], rec[14], rec[17], rec[18] = "PM", "1", "2001-01-01", 2.5      # number at 18
+    _write(str(tmp_path / "a" / "doc.json"), json.dumps([rec, rec[:15]], indent=2))
+    named = jsonfeed.name_fields(jsonfeed.read_records(spark, str(tmp_path / "a"), "array")).collect()
+    assert len(named) == 2 and named[0].VALEUR_MESURE_BRUTE == "2.5"
+    assert named[1].DATE_MESURE_BRUTE is None
+    with pytest.raises(ValueError):
+        jsonfeed.read_records(spark, str(tmp_path / "a"), "csv")

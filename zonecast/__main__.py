@@ -34,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--first-year", type=int, required=True)
     e.add_argument("--last-year", type=int, required=True)
     e.add_argument("--feed", required=True, help="air-quality feed (JSON envelopes or lines)")
-    e.add_argument("--feed-lines", action="store_true", help="feed is one record array per line")
+    e.add_argument("--feed-layout", choices=("envelope", "lines", "array"), default="envelope",
+                   help="envelope documents, one record array per line, or bare list-of-lists documents")
     e.add_argument("--zones", required=True, help="zone GeoJSON (Feature per line)")
     e.add_argument("--zones-collection", action="store_true", help="zones are FeatureCollection documents")
     e.add_argument("--out", required=True, help="output root")
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         layer = etl.weather_layer(spark, args.stations, args.weather, args.first_year, args.last_year)
         etl.write_weather_layer(layer, f"{args.out}/weather_raw")
         raw = spark.read.parquet(f"{args.out}/weather_raw").drop("YEAR")
-        air = etl.air_extract(spark, args.feed, args.zones, envelope=not args.feed_lines)
+        air = etl.air_extract(spark, args.feed, args.zones, layout=args.feed_layout)
         etl.write_extracts(air, raw, f"{args.out}/air", f"{args.out}/weather")
         return
     zones = etl.ensure_centroid(geojson.read_geojson(spark, args.zones, collection=args.zones_collection))

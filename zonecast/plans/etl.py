@@ -46,11 +46,12 @@ def ensure_centroid(zones: DataFrame, projected: bool = True) -> DataFrame:
 
 
 def air_extract(spark: SparkSession, feed_path, zones_path, envelope: bool = True,
-                projected: bool = True) -> DataFrame:
-    """Air extract from the feed; fails when the feed holds no record (an
-    empty ``data`` array stops the load)."""
-    records = (jsonfeed.read_json_envelope(spark, feed_path) if envelope
-               else jsonfeed.read_json_rows(spark, feed_path))
+                projected: bool = True, layout: str | None = None) -> DataFrame:
+    """Air extract from the feed (``layout``: envelope, lines or array;
+    ``envelope`` is the older switch between the first two); fails when the
+    feed holds no record (an empty ``data`` array stops the load)."""
+    layout = layout or ("envelope" if envelope else "lines")
+    records = jsonfeed.read_records(spark, feed_path, layout)
     manifest.require_inputs(records, "air-quality record in the feed")
     air = clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(records)))
     zones = ensure_centroid(geojson.read_geojson(spark, zones_path), projected)

@@ -1,9 +1,10 @@
 """The air-quality open-data feed: records are positional JSON arrays.
 
-Two layouts are read: JSON lines (one record array per line, splittable)
-and envelope documents ``{"data": [[...], ...]}`` (one document per file;
-a JSON document cannot be split, so envelopes are written in bounded
-chunks and each file is one task).
+Three layouts are read: JSON lines (one record array per line, splittable),
+envelope documents ``{"data": [[...], ...]}`` and bare list-of-lists
+documents ``[[...], ...]`` (one document per file; a JSON document cannot
+be split, so envelopes are written in bounded chunks and each file is one
+task).
 """
 
 from __future__ import annotations
@@ -32,6 +33,22 @@ def read_json_envelope(spark: SparkSession, path) -> DataFrame:
     return parsed.select(F.explode("doc.data").alias("r"))
 
 
+def read_json_array(spark: SparkSession, path) -> DataFrame:
+    """Records of bare list-of-lists documents (``[[...], [...]]``, one
+    document per file, one task per file)."""
+    docs = spark.read.text(path, wholetext=True)
+    return docs.select(F.explode(F.from_json("value", "array<array<string>>")).alias("r"))
+
+
+def read_records(spark: SparkSession, path, layout: str = "envelope") -> DataFrame:
+    """Record arrays from a feed laid out as ``envelope`` documents, JSON
+    ``lines`` (one record per line, splittable) or bare ``array`` documents."""
+    readers = {"envelope": read_json_envelope, "lines": read_json_rows, "array": read_json_array}
+    if layout not in readers:
+        raise ValueError(f"unknown feed layout {layout!r}")
+    return readers[layout](spark, path)
+
+
 def name_fields(records: DataFrame) -> DataFrame:
     """Twenty named text columns from the record arrays. A short record gives
     NULL in the missing positions (``get``), a long one is cut to 20."""
