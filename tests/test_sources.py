@@ -162,3 +162,13 @@ def test_bare_list_of_lists_document(spark, tmp_path):
     assert named[1].DATE_MESURE_BRUTE is None
     with pytest.raises(ValueError):
         jsonfeed.read_records(spark, str(tmp_path / "a"), "csv")
+
+
+def test_weather_csv_quoted_padded_cells(spark, tmp_path):
+    header = ",".join(f'"{c}"' for c in csv.DAILY_COLUMNS)
+    cells = ['"72503014732"', '"2022-01-01"', '"40.77944"', '"-73.88"', '"3.4"',
+             '"LA GUARDIA AIRPORT, NY US"', '"   50.6"', '"24"', '"   42.8"', '"24"'] + ['""'] * 18
+    _write(str(tmp_path / "q" / "a.csv"), header + "\n" + ",".join(cells) + "\n")
+    r = csv.read_weather_csv(spark, str(tmp_path / "q")).first()
+    assert r.ID_STATION == "72503014732" and r.NAME == "LA GUARDIA AIRPORT, NY US"
+    assert (r.TEMP, r.DEWP, r.LATITUDE) == (50.6, 42.8, 40.77944)
