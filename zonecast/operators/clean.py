@@ -77,10 +77,16 @@ def date_range_filter(df: DataFrame, date_col: str, start, end) -> DataFrame:
     return df.where(F.col(date_col).between(lit_date(start), lit_date(end)))
 
 
-def station_dim(weather: DataFrame) -> DataFrame:
+def station_dim(weather: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Distinct (id, name, position) over every date: a renamed or moved
-    station keeps one row per variant (partial aggregation map-side)."""
-    return weather.select(*STATION_COLUMNS).distinct()
+    station keeps one row per variant (partial aggregation map-side).
+
+    With ``names`` (ID_STATION, NAME) the observations carry no name: the
+    distinct (id, position) set is built first and then meets the names."""
+    if names is None:
+        return weather.select(*STATION_COLUMNS).distinct()
+    positions = weather.select("ID_STATION", "LATITUDE", "LONGITUDE").distinct()
+    return positions.join(names, "ID_STATION", "inner").select(*STATION_COLUMNS).distinct()
 
 
 def clean_air(air_raw: DataFrame) -> DataFrame:

@@ -179,7 +179,12 @@ def zone_detail(display: DataFrame, geocode: str) -> DataFrame:
 
 def active_stations(weather_in_range: DataFrame, stations: DataFrame) -> DataFrame:
     """Station dimension rows of the ids that report in the range."""
-    ids = weather_in_range.select("ID_STATION").distinct()
+    return active_station_rows(weather_in_range.select("ID_STATION").distinct(), stations)
+
+
+def active_station_rows(ids: DataFrame, stations: DataFrame) -> DataFrame:
+    """Station dimension rows of a set of station ids (distinct ids first,
+    so the join meets one row per id)."""
     return ids.join(stations, "ID_STATION", "inner")
 
 

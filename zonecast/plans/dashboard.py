@@ -150,12 +150,31 @@ class Dashboard:
         src = self.weather if self._weather_range_src is None else self._weather_range_src
         return clean.date_range_filter(src, "DATE", self.p.start, self.p.end)
 
+    @property
+    def _star(self) -> bool:
+        """Observations without names + a name dimension are available: the
+        station aggregates then run before meeting the names."""
+        return (self._weather_range_src is None and self.observations is not None
+                and self.station_names is not None)
+
     @cached_property
     def stations(self) -> DataFrame:
+        if self._star:
+            return clean.station_dim(self.observations, names=self.station_names)
         return clean.station_dim(self.weather)
 
+    def _station_ids_in_range(self) -> DataFrame:
+        if self._star:
+            obs = clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
+            return obs.select("ID_STATION").distinct()
+        return self.weather_in_range.select("ID_STATION").distinct()
+
     # --- zone map ------------------------------------------------------
     def station_means(self) -> DataFrame:
+        if self._star:
+            obs = clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
+            named = self.station_names.select("ID_STATION").distinct()
+            return metrics.station_means(obs).join(named, "ID_STATION", "left_semi")
         return metrics.station_means(self.weather_in_range)
 
     def stations_with_means(self) -> DataFrame:
@@ -192,7 +211,7 @@ class Dashboard:
         return metrics.zone_detail(self.display(), self.p.zone)
 
     def active_stations(self) -> DataFrame:
-        return metrics.active_stations(self.weather_in_range, self.stations)
+        return metrics.active_station_rows(self._station_ids_in_range(), self.stations)
 
     def stations_near_center(self) -> DataFrame:
         lat, lon = metrics.city_centre(self.zones)
