@@ -50,3 +50,23 @@ def test_raw_shuffle_checker_flags_a_raw_join(spark):
     su = tables.table(spark, SF_SMALL, "supplier")
     joined = li.join(su.hint("merge"), li.l_suppkey == su.s_suppkey)
     assert raw_shuffles(joined, "lineitem.parquet") != []
+
+
+WEATHER_AGGREGATES = ["zone_weather_idw", "radius_join_grid", "station_dim", "station_means",
+                      "active_stations", "stations_near_center", "stations_near_zone", "haversine"]
+
+
+@pytest.fixture(scope="module")
+def no_auto_broadcast(spark):
+    """A session where no side is broadcast unless explicitly size-checked:
+    the plans a cluster gets when every dimension is large."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    s.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    return s
+
+
+@pytest.mark.parametrize("name", WEATHER_AGGREGATES)
+def test_weather_aggregates_never_shuffle_raw_rows_with_large_dimensions(no_auto_broadcast, name):
+    df = queries()[name](no_auto_broadcast, SF_SMALL)
+    assert raw_shuffles(df, "lineitem.parquet") == []
