@@ -70,3 +70,11 @@ def no_auto_broadcast(spark):
 def test_weather_aggregates_never_shuffle_raw_rows_with_large_dimensions(no_auto_broadcast, name):
     df = queries()[name](no_auto_broadcast, SF_SMALL)
     assert raw_shuffles(df, "lineitem.parquet") == []
+
+
+def test_audit_sees_through_persisted_relations(spark, no_auto_broadcast):
+    """A size-checked broadcast persists its (aggregated) side; later plans
+    that read that cache must not be mistaken for raw scans."""
+    queries()["radius_join"](spark, SF_SMALL).count()
+    df = queries()["radius_join_grid"](no_auto_broadcast, SF_SMALL)
+    assert raw_shuffles(df, "lineitem.parquet") == []

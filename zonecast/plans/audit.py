@@ -57,6 +57,9 @@ def raw_shuffles(df: DataFrame, table_marker: str) -> list[str]:
 
     def scans_below(node, seen_agg: bool) -> bool:
         name = node.nodeName()
+        if name.startswith("InMemoryTableScan"):
+            # a persisted relation: judge the plan that produced the cache
+            return scans_below(node.relation().cachedPlan(), seen_agg)
         if "Scan" in name and table_marker in node.toString():
             return not seen_agg
         agg = seen_agg or "Aggregate" in name
