@@ -183,3 +183,17 @@ def test_temp_ceiling_is_optional(spark):
     assert kept[0] > 5000                                   # compatible default: not filtered
     capped = [r.TEMP for r in clean.clean_weather(w, temp_max=60.0).orderBy("DATE").collect()]
     assert capped[0] is None and capped[1] == kept[1]
+
+
+def test_keyed_resample_equals_filter_then_resample(spark):
+    from zonecast.operators.timeseries import resample_mean
+    w = _spark_df(spark, E.WEATHER, WSCHEMA)
+    keys = spark.createDataFrame([("A",), ("B",), ("B",), ("E",)], "ID_STATION string")
+    for rule in ("D", "W", "M", "Q"):
+        keyed = resample_mean(w, "DATE", ("TEMP", "WDSP"), rule, keep_keys=keys).orderBy("DATE").collect()
+        plain = resample_mean(w.where("ID_STATION IN ('A', 'B', 'E')"), "DATE", ("TEMP", "WDSP"), rule) \
+            .orderBy("DATE").collect()
+        assert [r.DATE for r in keyed] == [r.DATE for r in plain]
+        for a, b in zip(keyed, plain):
+            for c in ("TEMP", "WDSP"):
+                assert (a[c] is None and b[c] is None) or abs(a[c] - b[c]) < 1e-9

@@ -9,27 +9,42 @@ from zonecast.functions.time import bucket_label, calendar_labels
 
 
 def resample_mean(df: DataFrame, date_col: str, value_cols, rule: str,
-                  out_col: str | None = None) -> DataFrame:
+                  out_col: str | None = None, keep_keys: DataFrame | None = None,
+                  key_col: str = "ID_STATION") -> DataFrame:
     """Mean of ``value_cols`` per calendar bucket, one row for every bucket
     between the first and the last observed bucket (empty ones NULL).
 
     The bucket aggregate is tiny (one row per bucket); the calendar is
     generated from its min/max, so the observations are scanned once (the
     shared aggregate exchange is reused by both branches).
+
+    ``keep_keys`` restricts the rows to those whose ``key_col`` appears in it
+    (e.g. stations present in a name dimension). The rows are then summed per
+    (key, bucket) first and only those sums meet the key set, so no raw row
+    is joined; means are combined as sum of sums over sum of counts.
     """
     out_col = out_col or date_col
     values = [value_cols] if isinstance(value_cols, str) else list(value_cols)
-    per_bucket = (df.where(F.col(date_col).isNotNull())
-                  .groupBy(bucket_label(F.col(date_col), rule).alias(out_col))
-                  .agg(*[F.avg(v).alias(v) for v in values]))
+    rows = df.where(F.col(date_col).isNotNull())
+    bucket = bucket_label(F.col(date_col), rule).alias(out_col)
+    if keep_keys is None:
+        per_bucket = rows.groupBy(bucket).agg(*[F.avg(v).alias(v) for v in values])
+    else:
+        sums = [agg for v in values for agg in (F.sum(v).alias(f"_s_{v}"), F.count(v).alias(f"_n_{v}"))]
+        per_key = (rows.groupBy(F.col(key_col), bucket).agg(*sums)
+                   .join(keep_keys.select(key_col).distinct(), key_col, "left_semi"))
+        per_bucket = per_key.groupBy(out_col).agg(*[
+            F.when(F.sum(f"_n_{v}") > 0, F.sum(f"_s_{v}") / F.sum(f"_n_{v}")).alias(v) for v in values])
     calendar = (per_bucket
                 .agg(F.min(out_col).alias("_lo"), F.max(out_col).alias("_hi"))
                 .select(F.explode(calendar_labels(F.col("_lo"), F.col("_hi"), rule)).alias(out_col)))
     return calendar.join(per_bucket, out_col, "left")
 
 
-def paired_series(air: DataFrame, weather: DataFrame, rule: str) -> DataFrame:
+def paired_series(air: DataFrame, weather: DataFrame, rule: str,
+                  weather_keys: DataFrame | None = None) -> DataFrame:
     """Pollutant and weather series on one time axis (full outer on bucket)."""
     a = resample_mean(air, "DATE_OBSERVATION", "VALEUR", rule, out_col="BUCKET")
-    w = resample_mean(weather, "DATE", ("TEMP", "WDSP", "DEWP"), rule, out_col="BUCKET")
+    w = resample_mean(weather, "DATE", ("TEMP", "WDSP", "DEWP"), rule, out_col="BUCKET",
+                      keep_keys=weather_keys)
     return a.join(w, "BUCKET", "full")

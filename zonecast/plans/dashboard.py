@@ -165,16 +165,14 @@ class Dashboard:
 
     def _station_ids_in_range(self) -> DataFrame:
         if self._star:
-            obs = clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
-            return obs.select("ID_STATION").distinct()
+            return self._observations_in_range().select("ID_STATION").distinct()
         return self.weather_in_range.select("ID_STATION").distinct()
 
     # --- zone map ------------------------------------------------------
     def station_means(self) -> DataFrame:
         if self._star:
-            obs = clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
             named = self.station_names.select("ID_STATION").distinct()
-            return metrics.station_means(obs).join(named, "ID_STATION", "left_semi")
+            return metrics.station_means(self._observations_in_range()).join(named, "ID_STATION", "left_semi")
         return metrics.station_means(self.weather_in_range)
 
     def stations_with_means(self) -> DataFrame:
@@ -234,7 +232,13 @@ class Dashboard:
     def air_series_source(self) -> DataFrame:
         return self.air_in_range.where(F.col("NOM_POLLUANT") == self.p.pollutant)
 
+    def _observations_in_range(self) -> DataFrame:
+        return clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
+
     def resample_weather(self, rule: str | None = None) -> DataFrame:
+        if self._star:
+            return timeseries.resample_mean(self._observations_in_range(), "DATE", metrics.WEATHER_VARS,
+                                            rule or self.p.rule, keep_keys=self.station_names)
         return timeseries.resample_mean(self.weather_in_range, "DATE", metrics.WEATHER_VARS,
                                         rule or self.p.rule)
 
@@ -243,6 +247,9 @@ class Dashboard:
                                         rule or self.p.rule)
 
     def paired_series(self, rule: str | None = None) -> DataFrame:
+        if self._star:
+            return timeseries.paired_series(self.air_series_source(), self._observations_in_range(),
+                                            rule or self.p.rule, weather_keys=self.station_names)
         return timeseries.paired_series(self.air_series_source(), self.weather_in_range,
                                         rule or self.p.rule)
 
