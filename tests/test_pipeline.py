@@ -65,3 +65,12 @@ def test_command_line_etl_then_dashboard(spark, tmp_path):
     # the CLI takes zone centroids from the (projected) geometry: equal to 1e-6 degrees
     assert _rows(disp.drop("W_TEMP", "W_WIND", "W_DEWP")) == _rows(direct.drop("W_TEMP", "W_WIND", "W_DEWP"))
     assert spark.read.parquet(f"{views}/kpi").count() == 1
+
+
+def test_persist_and_unpersist_layers(spark):
+    dash = Dashboard.from_tables(spark, SF_SMALL, Params()).persist()
+    assert dash.weather.is_cached and dash.observations.is_cached and dash.air_clean.is_cached
+    page = dash.with_params(Params(pollutant="2-HIGH"))
+    assert page.weather is dash.weather                    # layers shared across interactions
+    dash.unpersist()
+    assert not dash.weather.is_cached and not dash.air_clean.is_cached

@@ -114,6 +114,15 @@ class Dashboard:
                 setattr(self, name, df.persist(StorageLevel.MEMORY_AND_DISK))
         return self
 
+    def unpersist(self) -> "Dashboard":
+        """Release the layers kept by :meth:`persist` (the caller ends the session)."""
+        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src",
+                     "observations"):
+            df = self.__dict__.get(name)
+            if df is not None and df.is_cached:
+                df.unpersist()
+        return self
+
     def with_params(self, params: Params) -> "Dashboard":
         """The same (possibly persisted) layers under new widget values: one
         interaction of the page. Cleaned weather is shared only when the
