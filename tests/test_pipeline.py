@@ -74,3 +74,18 @@ def test_persist_and_unpersist_layers(spark):
     assert page.weather is dash.weather                    # layers shared across interactions
     dash.unpersist()
     assert not dash.weather.is_cached and not dash.air_clean.is_cached
+
+
+def test_weather_series_with_a_large_name_set(spark, monkeypatch):
+    """Beyond the broadcast bound the series are summed per (station, bucket)
+    before meeting the names; the result is the same."""
+    from zonecast.operators import joins
+    small = Dashboard.from_tables(spark, SF_SMALL, Params()).resample_weather("M").collect()
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    dash = Dashboard.from_tables(spark, SF_SMALL, Params())
+    assert dash._named_ids[1] is False
+    large = dash.resample_weather("M").collect()
+    assert [r.DATE for r in large] == [r.DATE for r in small]
+    for a, b in zip(large, small):
+        for c in ("TEMP", "WDSP", "DEWP"):
+            assert abs(a[c] - b[c]) < 1e-9

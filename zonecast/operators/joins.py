@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows,
     else ``(df, False)`` (the planner then shuffles, with AQE skew splits).
 
     The count materialises ``df`` once (persisted), so the join that follows
     reuses it instead of recomputing it; an oversized side is released.
     """
+    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
+    if kept.count() <= limit:
         return F.broadcast(kept), True
     kept.unpersist()
     return df, False

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import angular_radius_deg, haversine_km, lon_half_extent_deg
-from zonecast.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from zonecast.operators.joins import broadcast_if_small
 
 KM_PER_DEG = 111.0          # a little under 111.19, so cells are never too small
 EPS_DEG = 1e-9              # guard against rounding at the circle's edge
@@ -61,7 +61,7 @@ def _search_cells(df: DataFrame, lat: str, lon: str, radius_km: float) -> DataFr
 def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
                  left_lat: str, left_lon: str, right_lat: str, right_lon: str,
                  strategy: str = "grid", dist_col: str = "DIST_KM",
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Every (left row, right row) with haversine distance <= ``radius_km``
     (inclusive), plus the distance. Column names of the sides must differ."""
     if strategy == "broadcast":

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.time import resample_rule
 from zonecast.operators import clean, metrics, stats, timeseries
+from zonecast.operators.joins import broadcast_if_small
 from zonecast.sources import tables
 
 
@@ -128,7 +129,8 @@ class Dashboard:
         interaction of the page. Cleaned weather is shared only when the
         cleaning parameters are unchanged."""
         other = object.__new__(Dashboard)
-        keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names"]
+        keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names",
+                "_named_ids"]
         if params.temp_max == self.p.temp_max:
             keep += ["weather", "observations"]
         other.__dict__.update({k: v for k, v in self.__dict__.items() if k in keep})
@@ -244,10 +246,28 @@ class Dashboard:
     def _observations_in_range(self) -> DataFrame:
         return clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
 
+    @cached_property
+    def _named_ids(self) -> tuple[DataFrame, bool]:
+        """Ids of the named stations: broadcast when a count proves the set
+        small, else left for keyed pre-aggregation."""
+        return broadcast_if_small(self.station_names.select("ID_STATION").distinct())
+
+    def _weather_series_input(self) -> tuple[DataFrame, DataFrame | None]:
+        """(rows, keep_keys) for the weather series of the star layout: a
+        small name set filters the observations map-side (broadcast semi
+        join, one aggregation); a large one is met after per-(station,
+        bucket) sums, so raw observations are never joined."""
+        ids, small = self._named_ids
+        obs = self._observations_in_range()
+        if small:
+            return obs.join(ids, "ID_STATION", "left_semi"), None
+        return obs, self.station_names
+
     def resample_weather(self, rule: str | None = None) -> DataFrame:
         if self._star:
-            return timeseries.resample_mean(self._observations_in_range(), "DATE", metrics.WEATHER_VARS,
-                                            rule or self.p.rule, keep_keys=self.station_names)
+            rows, keys = self._weather_series_input()
+            return timeseries.resample_mean(rows, "DATE", metrics.WEATHER_VARS, rule or self.p.rule,
+                                            keep_keys=keys)
         return timeseries.resample_mean(self.weather_in_range, "DATE", metrics.WEATHER_VARS,
                                         rule or self.p.rule)
 
@@ -257,8 +277,9 @@ class Dashboard:
 
     def paired_series(self, rule: str | None = None) -> DataFrame:
         if self._star:
-            return timeseries.paired_series(self.air_series_source(), self._observations_in_range(),
-                                            rule or self.p.rule, weather_keys=self.station_names)
+            rows, keys = self._weather_series_input()
+            return timeseries.paired_series(self.air_series_source(), rows, rule or self.p.rule,
+                                            weather_keys=keys)
         return timeseries.paired_series(self.air_series_source(), self.weather_in_range,
                                         rule or self.p.rule)
 
