@@ -284,7 +284,12 @@ class Dashboard:
                                         rule or self.p.rule)
 
     def box_stats(self) -> DataFrame:
-        return stats.box_stats(self.weather_in_range, metrics.WEATHER_VARS)
+        rows = self.weather_in_range
+        if self._star:
+            ids, small = self._named_ids
+            if small:       # filter observations map-side; no row meets the names table
+                rows = self._observations_in_range().join(ids, "ID_STATION", "left_semi")
+        return stats.box_stats(rows, metrics.WEATHER_VARS)
 
     # --- one-zone view: the same charts over the selected zone -----------
     def local_air_source(self) -> DataFrame:
