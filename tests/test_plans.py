@@ -54,7 +54,7 @@ def test_raw_shuffle_checker_flags_a_raw_join(spark):
 
 WEATHER_AGGREGATES = ["zone_weather_idw", "radius_join_grid", "station_dim", "station_means",
                       "active_stations", "stations_near_center", "stations_near_zone", "haversine",
-                      "resample_day", "resample_week", "resample_month", "resample_quarter", "box_stats"]
+                      "resample_day", "resample_week", "resample_month", "resample_quarter", "box_stats", "box_stats_local"]
 
 
 @pytest.fixture(scope="module")

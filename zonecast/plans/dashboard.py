@@ -295,9 +295,19 @@ class Dashboard:
     def local_air_source(self) -> DataFrame:
         return self.air_series_source().where(F.col("GEOJOIN_ID") == self.p.zone)
 
+    def _local_rows(self) -> DataFrame:
+        """Weather rows of the stations near the selected zone, for views that
+        need no station name: with the star layout the observations are
+        filtered directly (the nearby ids come from the named dimension)."""
+        if not self._star:
+            return self.local_weather()
+        lat, lon = metrics.zone_position(self.zones, self.p.zone)
+        return metrics.local_weather(self._observations_in_range(), self.stations, lat, lon,
+                                     self.p.radius_km)
+
     def local_paired_series(self, rule: str | None = None) -> DataFrame:
-        return timeseries.paired_series(self.local_air_source(), self.local_weather(),
+        return timeseries.paired_series(self.local_air_source(), self._local_rows(),
                                         rule or self.p.rule)
 
     def local_box_stats(self) -> DataFrame:
-        return stats.box_stats(self.local_weather(), metrics.WEATHER_VARS)
+        return stats.box_stats(self._local_rows(), metrics.WEATHER_VARS)
