@@ -72,8 +72,12 @@ def test_persist_and_unpersist_layers(spark):
     assert dash.weather.is_cached and dash.observations.is_cached and dash.air_clean.is_cached
     page = dash.with_params(Params(pollutant="2-HIGH"))
     assert page.weather is dash.weather                    # layers shared across interactions
+    dash.resample_weather("M")                                # caches the named-station ids
+    ids_plan = dash.station_names.select("ID_STATION").distinct()
+    assert ids_plan.storageLevel.useMemory or ids_plan.storageLevel.useDisk
     dash.unpersist()
     assert not dash.weather.is_cached and not dash.air_clean.is_cached
+    assert not (ids_plan.storageLevel.useMemory or ids_plan.storageLevel.useDisk)
 
 
 def test_weather_series_with_a_large_name_set(spark, monkeypatch):

@@ -122,9 +122,9 @@ class Dashboard:
             df = self.__dict__.get(name)
             if df is not None and df.is_cached:
                 df.unpersist()
-        named = self.__dict__.get("_named_ids")
-        if named is not None and named[0].is_cached:
-            named[0].unpersist()
+        if "_named_ids" in self.__dict__:
+            # the cache is keyed by plan: an identical plan releases it
+            self.station_names.select("ID_STATION").distinct().unpersist()
         return self
 
     def with_params(self, params: Params) -> "Dashboard":
