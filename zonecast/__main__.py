@@ -59,7 +59,8 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         layer = etl.weather_layer(spark, args.stations, args.weather, args.first_year, args.last_year)
         etl.write_weather_layer(layer, f"{args.out}/weather_raw")
         raw = spark.read.parquet(f"{args.out}/weather_raw").drop("YEAR")
-        air = etl.air_extract(spark, args.feed, args.zones, layout=args.feed_layout)
+        air = etl.air_extract(spark, args.feed, args.zones, layout=args.feed_layout,
+                              zones_collection=args.zones_collection)
         etl.write_extracts(air, raw, f"{args.out}/air", f"{args.out}/weather")
         return
     zones = etl.ensure_centroid(geojson.read_geojson(spark, args.zones, collection=args.zones_collection))

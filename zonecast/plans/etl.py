@@ -46,7 +46,8 @@ def ensure_centroid(zones: DataFrame, projected: bool = True) -> DataFrame:
 
 
 def air_extract(spark: SparkSession, feed_path, zones_path, envelope: bool = True,
-                projected: bool = True, layout: str | None = None) -> DataFrame:
+                projected: bool = True, layout: str | None = None,
+                zones_collection: bool = False) -> DataFrame:
     """Air extract from the feed (``layout``: envelope, lines or array;
     ``envelope`` is the older switch between the first two); fails when the
     feed holds no record (an empty ``data`` array stops the load)."""
@@ -54,7 +55,8 @@ def air_extract(spark: SparkSession, feed_path, zones_path, envelope: bool = Tru
     records = jsonfeed.read_records(spark, feed_path, layout)
     manifest.require_inputs(records, "air-quality record in the feed")
     air = clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(records)))
-    zones = ensure_centroid(geojson.read_geojson(spark, zones_path), projected)
+    zones = ensure_centroid(geojson.read_geojson(spark, zones_path, collection=zones_collection),
+                            projected)
     return clean.air_zone_join(air, zones)
 
 
