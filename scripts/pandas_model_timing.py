@@ -1,10 +1,10 @@
 """Time the single-machine pandas formulation of the dashboard at a scale.
 
 The reference computes the dashboard in pandas on one machine (after
-collecting both extracts to the driver). This script times that approach
-(tests/model.py, a loop over zones with numpy per station set) on the same
-adapted tables, as a point of comparison for bench.py. Loading the tables
-into pandas is timed separately from the computation.
+collecting both extracts to the driver). This script times a single-machine
+pandas formulation (tests/model.py: vectorised, all zone x station pairs in
+memory) on the same adapted tables, as a point of comparison for bench.py.
+Loading the tables into pandas is timed separately from the computation.
 
 usage: python scripts/pandas_model_timing.py [sf_dir]
 """
