@@ -197,3 +197,13 @@ def test_keyed_resample_equals_filter_then_resample(spark):
         for a, b in zip(keyed, plain):
             for c in ("TEMP", "WDSP"):
                 assert (a[c] is None and b[c] is None) or abs(a[c] - b[c]) < 1e-9
+
+
+def test_views_and_display_positions(spark):
+    d = dash(spark)
+    views = d.views()
+    assert set(views) == {"display", "kpi", "pollutants", "air_series", "weather_series", "paired"}
+    assert [r.NOM_POLLUANT for r in views["pollutants"].collect()] == ["NO2", "PM"]
+    with_pos = d.display(keep_position=True)
+    assert with_pos.columns[-2:] == ["LATITUDE_ZONE", "LONGITUDE_ZONE"]
+    assert with_pos.where("GEOCODE = '1'").first().LATITUDE_ZONE == 40.70
