@@ -75,15 +75,16 @@ def scale_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_core
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests)
-    a private folder is created and registered.
+    Read from the session. Where it is unset, a session whose driver and
+    executors are one process (``local[...]``) gets a folder of its own;
+    a cluster session raises, since its executors do not share local disks.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="zonecast-ckpt-")
-        sc.setCheckpointDir(root)
-        return sc.getCheckpointDir() or root
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
