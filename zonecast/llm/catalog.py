@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from zonecast.llm import exact_dedup, sharding
+from zonecast.llm import exact_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_quality_classifier": quality_classifier.op3_quality_classifier,
+    "op4_packing": packing.op4_packing,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op7_mixing": mixing.op7_mixing,
     "op10_sharding": sharding.op10_sharding,
 }
 
