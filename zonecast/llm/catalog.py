@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from zonecast.llm import exact_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, sharding
+from zonecast.llm import (exact_dedup, jaccard_join, language_id, mixing, packing, pii, quality_classifier,
+                          quality_rules, sharding, substring_dedup)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,7 +11,10 @@ QUERIES = {
     "op3_quality_classifier": quality_classifier.op3_quality_classifier,
     "op4_packing": packing.op4_packing,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op6_language_id": language_id.op6_language_id,
     "op7_mixing": mixing.op7_mixing,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
 }
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.storage import column_named, documents, written
+from zonecast.llm.storage import column_of, documents, numbered, picked, written
 from zonecast.llm.text import one_spaced, whole
 
 BLOCK = 8192
@@ -34,8 +34,7 @@ SALTS = 64
 
 def _blocks(docs: DataFrame, block: int) -> DataFrame:
     """One row a block: oid numbers all blocks, so a document's follow each other."""
-    norm = docs.select(column_named(docs, "doc_id").alias("doc_id"),
-                       one_spaced(column_named(docs, "text")).alias("norm"))
+    norm = docs.select("doc_id", one_spaced(F.col("text")).alias("norm"))
     cut = norm.select("doc_id", F.sha2("norm", 256).alias("sha"), F.col("norm").cast("binary").alias("bytes"))
     cut = cut.withColumn("n", F.greatest(F.lit(1), F.ceil(F.length("bytes") / block).cast("int")))
     parts = F.expr(f"transform(sequence(0, n - 1), i -> substring(bytes, i * {block} + 1, {block}))")
@@ -48,7 +47,7 @@ def _blocks(docs: DataFrame, block: int) -> DataFrame:
 
 def _first_names(docs: DataFrame, block: int) -> DataFrame:
     """(oid, pos, n, doc_id, sha, name): equal blocks have equal names."""
-    bytes_ = F.octet_length(whole(column_named(docs, "text")))
+    bytes_ = F.octet_length(whole(F.col("text")))
     total = docs.select(F.sum(F.floor(bytes_ / block) + 1).alias("t")).first()["t"] or 0
     often = max(64, total // HOT_SHARE)                     # so at most HOT_SHARE blocks are hot
     rows = _blocks(docs, block)
@@ -71,7 +70,7 @@ def _first_names(docs: DataFrame, block: int) -> DataFrame:
 
 def name_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(rid, doc_id, sha, level, name): one row a document, named by content."""
-    named = _first_names(docs, block)
+    named = _first_names(picked(docs, "doc_id", "text"), block)
     done = [named.where("n = 1").select(F.col("oid").alias("rid"), "doc_id", "sha",
                                         F.lit(0).alias("level"), "name")]
     left = named.where("n > 1").select((F.col("oid") - F.col("pos")).alias("rid"), "pos", "n",
@@ -112,12 +111,13 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
-    kept = exact_dedup(docs).where("kept").select(key.alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_id", F.coalesce(column_named(docs, "doc_id").cast("string"), F.lit("-"))).withColumn(
-        "_sha", F.sha2(one_spaced(column_named(docs, "text")), 256))
-    one = keyed.dropDuplicates(["_id", "_sha"])             # of repeated rows one, before the shuffle
-    return one.join(kept, ["_id", "_sha"], "left_semi").select(docs.columns)
+    key = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    kept = exact_dedup(docs).where("kept").select(key(F.col("doc_id")).alias("id"), F.col("text_sha256").alias("sha"))
+    rows = numbered(docs)
+    keyed = rows.withColumns({"id": key(column_of(docs, "doc_id")),
+                              "sha": F.sha2(one_spaced(column_of(docs, "text")), 256)})
+    one = keyed.dropDuplicates(["id", "sha"])               # of repeated rows one, before the shuffle
+    return one.join(kept, ["id", "sha"], "left_semi").select(rows.columns).toDF(*docs.columns)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

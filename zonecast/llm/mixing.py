@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm.storage import column_named, documents, written
+from zonecast.llm.storage import column_of, documents, numbered, written
 from zonecast.llm.text import SPACES, whole
 
 OTHER = "other"
@@ -102,38 +102,35 @@ def _sum(columns: list[Column]) -> Column:
 def with_probability(docs: DataFrame, languages: dict[str, float] | None = None,
                      topics: dict[str, float] | None = None, temper: float = TEMPER,
                      rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with _source, _lang, _topic, _tokens, _p and _u (sampled if _u < _p)."""
+    """``numbered(docs)`` with source, lang, topic, tokens, p and u (sampled if u < p)."""
     languages, topics = languages or LANGUAGES, topics or TOPICS
-    lang = column_named(docs, "lang")
-    text = whole(column_named(docs, "text"))
+    lang, text = column_of(docs, "lang"), whole(column_of(docs, "text"))
     tokens = (F.size(F.split(text, SPACES)) - (text == "").cast("int") - text.rlike(r"^[\x20\x09-\x0D]").cast("int")
               - text.rlike(r"[\x20\x09-\x0D]\z").cast("int"))
-    rows = docs.select(
-        "*", F.coalesce(column_named(docs, "source").cast("string"), F.lit("")).alias("_source"),
-        F.when(lang.isin(*languages), lang).otherwise(F.lit(OTHER)).alias("_lang"),
-        F.greatest(tokens, F.lit(0)).cast("long").alias("_tokens"),
-        uniform(column_named(docs, "doc_id"), text).alias("_u"))
-    kind = topic_of(text, F.col("_tokens"))
-    rows = rows.withColumn("_topic", F.when(kind.isin(*topics), kind).otherwise(F.lit(OTHER)))
-    cells = rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-                         F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
+    rows = numbered(docs).select(
+        "*", F.coalesce(column_of(docs, "source").cast("string"), F.lit("")).alias("source"),
+        F.when(lang.isin(*languages), lang).otherwise(F.lit(OTHER)).alias("lang"),
+        F.greatest(tokens, F.lit(0)).cast("long").alias("tokens"),
+        uniform(column_of(docs, "doc_id"), text).alias("u"))
+    kind = topic_of(text, F.col("tokens"))
+    rows = rows.withColumn("topic", F.when(kind.isin(*topics), kind).otherwise(F.lit(OTHER)))
+    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
     weights = fit_weights(written(cells, "cells"), languages, topics, temper, rounds)
     weights = written(weights, "weights")
     most = weights.agg(F.max("weight").alias("m")).first()["m"] or 1.0
-    probability = weights.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"),
-                                 F.col("topic").alias("_topic"), (F.col("weight") / F.lit(most)).alias("_p"))
-    out = rows.join(probability, ["_source", "_lang", "_topic"], "left")
-    return out.withColumn("_p", F.coalesce("_p", F.lit(0.0)))
+    probability = weights.select("source", "lang", "topic", (F.col("weight") / F.lit(most)).alias("p"))
+    out = rows.join(probability, ["source", "lang", "topic"], "left")
+    return out.withColumn("p", F.coalesce("p", F.lit(0.0)))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
     rows = with_probability(docs, **options)
-    return rows.where(F.col("_u") < F.col("_p")).select(docs.columns)
+    return rows.where(F.col("u") < F.col("p")).select(numbered(docs).columns).toDF(*docs.columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_probability(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
-    return rows.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-                       F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
-                       F.round("_p", 6).alias("probability"), (F.col("_u") < F.col("_p")).alias("selected"))
+    docs = documents(spark, sf_dir)
+    return with_probability(docs).select(
+        column_of(docs, "doc_id").alias("doc_id"), "source", "lang", "topic", "tokens",
+        F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("selected"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.llm.storage import bound_batches, column_named, documents, written
+from zonecast.llm.storage import bound_batches, documents, picked, written
 
 ROOM = 2048
 PARTS = 256
@@ -111,7 +111,7 @@ def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM) -
                  *[pa.array(c, pa.int64()) for c in columns[1:]]], names=schema.names)
 
     bound_batches(docs.sparkSession)
-    return docs.select(column_named(docs, "doc_id"), column_named(docs, "text")).mapInArrow(cut, schema)
+    return picked(docs, "doc_id", "text").mapInArrow(cut, schema)
 
 
 def fullest(counts: list[int], room: int) -> list[tuple[int, int]]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.statistics import FEATURES, id_remainder, labelled_statistics, with_statistics
-from zonecast.llm.storage import column_named, documents
+from zonecast.llm.storage import column_of, documents, numbered, picked
 
 SAMPLE = 20_000
 FOLDS, HELD_OUT = 5, 0
@@ -98,27 +98,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
     return fit(table[list(FEATURES)].to_numpy(float), (table["quality"].to_numpy() != 0).astype(float))
 
 
-def with_score(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
-    """``docs`` with the score of each text in column ``name``."""
+def with_score(docs: DataFrame, forest: Forest) -> DataFrame:
+    """``numbered(docs)`` with the score of each text in column score."""
     @F.pandas_udf("double")
     def scored(*columns: pd.Series) -> pd.Series:
         return pd.Series(forest.score(np.column_stack([c.to_numpy(float) for c in columns])))
 
-    plain = [f"_c{i}" for i in range(len(docs.columns))]
-    rows = with_statistics(docs.toDF(*plain), F.col(plain[docs.columns.index("text")]))
-    found = rows.select(*plain, scored(*[F.col(f) for f in FEATURES]).alias(name))
-    return found.toDF(*docs.columns, name)
+    scored = scored.asNondeterministic()        # a filter on the score stays above its computation
+    rows = numbered(docs)
+    counted = with_statistics(rows, column_of(docs, "text"))
+    return counted.select(*rows.columns, scored(*[F.col(f) for f in FEATURES]).alias("score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier doesn't reject, with all their columns."""
-    scored = with_score(docs, train(docs, labels), "_score")
-    return scored.where(F.col("_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    scored = with_score(docs, train(docs, labels))
+    return scored.where(F.col("score") >= threshold).drop("score").toDF(*docs.columns)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     forest = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = with_score(docs.select(column_named(docs, "doc_id").alias("doc_id"), column_named(docs, "text").alias("text")), forest)
-    return rows.select("doc_id", (id_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score",
+    doc_id = column_of(docs, "doc_id")
+    return with_score(docs, forest).select(
+                       doc_id.alias("doc_id"), (id_remainder(doc_id, FOLDS) == HELD_OUT).alias("held_out"), "score",
                        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

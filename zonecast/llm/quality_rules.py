@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.statistics import FEATURES, labelled_statistics, with_statistics
-from zonecast.llm.storage import column_named, documents
+from zonecast.llm.storage import documents, picked
 
 SAMPLE = 20_000
 MAX_RULES = 8
@@ -146,8 +146,7 @@ def learn(table: DataFrame) -> DecisionList:
 
 def apply_rules(docs: DataFrame, rules: DecisionList) -> DataFrame:
     """doc_id, the statistics, base_failed and kept of every document."""
-    rows = docs.select(column_named(docs, "doc_id").alias("doc_id"), column_named(docs, "text").alias("text"))
-    rows = with_statistics(rows, F.col("text"))
+    rows = with_statistics(picked(docs, "doc_id", "text"), F.col("text"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), (~failed & rules.verdict()).alias("kept"))

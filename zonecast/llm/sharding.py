@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.storage import column_named, documents, written
+from zonecast.llm.storage import documents, picked, written
 from zonecast.llm.text import whole
 
 SHARDS = 24
@@ -36,9 +36,9 @@ ROW_BYTES = 8
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, buckets: int = BUCKETS,
                    group_share: float = GROUP_SHARE) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard: one row a document."""
-    text = whole(column_named(docs, "text"))
-    slim = docs.select(column_named(docs, "doc_id").alias("doc_id"),
-                       (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
+    text = whole(F.col("text"))
+    slim = picked(docs, "doc_id", "text").select(
+                       "doc_id", (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"),
                        F.xxhash64(text).alias("h"),
                        F.monotonically_increasing_id().alias("rid"))

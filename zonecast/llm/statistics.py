@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.storage import column_named, written
+from zonecast.llm.storage import picked, written
 from zonecast.llm.text import SPACE_CHARS, whole, words
 
 SYMBOLS = "#*$%&|<>"
@@ -89,13 +89,12 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, bound: int, where: C
     only those (a list of bounded size, hence broadcast) have their statistics
     computed. ``where`` is a condition on ``doc_id``.
     """
-    known = labels.select(F.col("doc_id"), F.col("quality")).dropna()
+    known = picked(labels, "doc_id", "quality").dropna()
     if where is not None:
         known = known.where(where)
     rate = min(1.0, bound / max(known.count(), 1))
     known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(rate * 1_000_000))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.select(column_named(docs, "doc_id").alias("doc_id"), column_named(docs, "text").alias("text"))
-    rows = rows.join(F.broadcast(known), "doc_id")
+    rows = picked(docs, "doc_id", "text").join(F.broadcast(known), "doc_id")
     table = with_statistics(rows, F.col("text")).select("doc_id", "quality", *FEATURES)
     return written(table, "labelled").coalesce(1)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.session import scratch_path
 
@@ -29,9 +30,22 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
-def column_named(df: DataFrame, name: str):
-    """The column called exactly ``name``; clashing spellings stay apart."""
-    found = [c for c in df.columns if c == name]
-    if not found:
-        raise ValueError(f"no column {name!r} among {df.columns}")
-    return df[f"`{name}`"]
+def _first(docs: DataFrame, name: str) -> str:
+    if name not in docs.columns:
+        raise ValueError(f"no column {name!r} among {docs.columns}")
+    return f"_c{docs.columns.index(name)}"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named _c0, _c1, ...: no name clashes with one of ours."""
+    return docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+
+
+def column_of(docs: DataFrame, name: str) -> Column:
+    """The column of ``numbered(docs)`` that is called exactly ``name`` in ``docs``."""
+    return F.col(_first(docs, name))
+
+
+def picked(docs: DataFrame, *names: str) -> DataFrame:
+    """Only the columns called exactly ``names``, whatever else ``docs`` has."""
+    return numbered(docs).select(*[column_of(docs, n).alias(n) for n in names])
