@@ -18,7 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from zonecast.plans.catalog import QUERIES  # noqa: E402
+from zonecast.plans.catalog import FIXTURE, QUERIES  # noqa: E402
 from zonecast.plans.dashboard import Dashboard, Params  # noqa: E402
 from zonecast.session import build_session  # noqa: E402
 from zonecast.sources import tables  # noqa: E402
@@ -52,8 +52,8 @@ def main() -> None:
         run(QUERIES[name](spark, sf_dir))
         times[name] = round(time.perf_counter() - t0, 3)
     # one page interaction on cached layers: new widget values, every view
-    base = Dashboard.from_tables(spark, sf_dir).persist()
-    for df in (base.weather, base.observations, base.air_clean):
+    base = Dashboard.from_tables(spark, sf_dir, Params(**FIXTURE)).persist()
+    for df in (base.observations, base.air_clean):
         run(df)                         # fill the cache (not timed)
     run(base.display())
     page = base.with_params(Params(pollutant="2-HIGH", radius_km=25.0, zone="3"))

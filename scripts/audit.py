@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 
@@ -48,6 +49,30 @@ def physical_root(df: DataFrame):
     return plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
 
 
+def input_rows(df: DataFrame) -> Counter:
+    """Runs ``df``; rows that its scans read, by table (a table read twice counts twice)."""
+    df.collect()
+    read: Counter = Counter()
+
+    def walk(node) -> None:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "ReusedExchange":
+            return
+        if name.startswith("Scan parquet"):
+            table = re.search(r"/(\w+)\.parquet", node.toString())
+            read[table[1] if table else "?"] += node.metrics().apply("numOutputRows").value()
+        subqueries = node.subqueries()
+        for child in _children(node) + [subqueries.apply(i) for i in range(subqueries.size())]:
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return read
+
+
 def raw_shuffles(df: DataFrame, table_marker: str) -> list[str]:
     """Exchanges that would move raw rows of the scan whose description
     contains ``table_marker``, i.e. with no aggregate between the scan and

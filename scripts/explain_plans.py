@@ -12,8 +12,8 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from __spark_entry__ import queries  # noqa: E402
-from zonecast.plans.audit import plan_facts, raw_shuffles  # noqa: E402
+from scripts.audit import plan_facts, raw_shuffles  # noqa: E402
+from zonecast.plans.catalog import QUERIES  # noqa: E402
 from zonecast.session import build_session  # noqa: E402
 
 COLS = ("exchanges", "broadcasts", "hash_joins", "sort_merge_joins", "pair_joins", "windows",
@@ -26,11 +26,11 @@ def main() -> None:
     lines = ["# Physical plans", "",
              f"Initial physical plans (AQE re-plans at runtime) of every registered query on `{sf_dir}`,",
              "generated by `scripts/explain_plans.py`. `pair_joins` counts nested-loop/cartesian joins",
-             "(only the size-checked broadcast radius strategy may have one); `python` counts Python",
+             "(none may); `python` counts Python",
              "evaluation nodes (none anywhere); `raw_fact_shuffles` counts exchanges that move raw",
              "`lineitem`/`orders` rows with no aggregate below them (joins of fact rows to a dimension",
              "that is not broadcast); `raw_fact_shuffles_large_dims` re-plans with automatic broadcasting",
-             "off (only size-checked broadcasts remain), the plan a cluster gets when every dimension is",
+             "off, the plan a cluster gets when every dimension is",
              "large: the weather aggregates stay at 0, the rest are the test adapters' row joins",
              "(`lineitem ⋈ supplier`, `orders ⋈ customer`), which the serving extracts do not need. Counts are taken on the printed plan, which repeats a",
              "scalar subquery's body at every reference; at run time Spark executes each identical",
@@ -40,7 +40,7 @@ def main() -> None:
     large.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     large.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     facts = ("lineitem.parquet", "orders.parquet")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         f = plan_facts(df)
         f["raw_fact_shuffles"] = sum(len(raw_shuffles(df, t)) for t in facts)

@@ -25,6 +25,7 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from zonecast.plans.catalog import FIXTURE  # noqa: E402
 from zonecast.plans.dashboard import Dashboard, Params  # noqa: E402
 from zonecast.session import build_session  # noqa: E402
 from zonecast.sources import tables  # noqa: E402
@@ -41,7 +42,7 @@ def main() -> None:
                         .otherwise(F.col("l_suppkey")))
     share, n_rows = hot.agg(F.avg((F.col("l_suppkey") == 0).cast("double")), F.count(F.lit(1))).first()
     dash = Dashboard(lambda: tables.zones(spark, sf_dir), lambda: tables.air_raw(spark, sf_dir),
-                     None, Params(), observations=lambda: tables.observations_from(hot),
+                     None, Params(**FIXTURE), observations=lambda: tables.observations_from(hot),
                      station_names=lambda: tables.station_names(spark, sf_dir))
     spark.sparkContext.setJobGroup("skew", "zone metrics on skewed observations")
     dash.zone_weather().write.format("noop").mode("overwrite").save()
@@ -57,7 +58,7 @@ def main() -> None:
         F.to_date("o_orderdate").cast("string").alias("DATE_MESURE_BRUTE"),
         F.col("o_orderpriority").alias("NOM_POLLUANT"),
         F.when(ok % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("VALEUR_BRUTE"))
-    air_dash = Dashboard(lambda: tables.zones(spark, sf_dir), air_raw, None, Params())
+    air_dash = Dashboard(lambda: tables.zones(spark, sf_dir), air_raw, None, Params(**FIXTURE))
     spark.sparkContext.setJobGroup("skew_air", "pollutant means on skewed measurements")
     air_dash.pollutant_means().write.format("noop").mode("overwrite").save()
     spark.stop()

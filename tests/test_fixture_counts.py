@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from zonecast.plans import catalog
+from zonecast.plans.dashboard import Dashboard, Params
 
 COUNTS = {
     "/root/testdata/sf0.001": dict(weather=5633, air=1470, dim=11, ids2=1, means=10,
@@ -20,25 +21,27 @@ KPIS = {"/root/testdata/sf0.001": (195619.543684, 15.876471, 22.364706, 19),
         "/root/testdata/sf0.01": (246079.21, 16.04, 22.18, 25)}
 
 
+def _dash(spark, sf_dir):
+    return Dashboard.from_tables(spark, sf_dir, Params(**catalog.FIXTURE, **catalog.YEAR_1998))
+
+
 @pytest.mark.parametrize("sf_dir", sorted(COUNTS))
 def test_stage_counts(spark, sf_dir):
-    q = queries()
-    sd = q["station_dim"](spark, sf_dir)
-    got = dict(weather=q["outlier_filter"](spark, sf_dir).count(),
-               air=q["air_zone_join"](spark, sf_dir).count(),
-               dim=sd.count(), ids2=sd.groupBy("ID_STATION").count().where("count = 2").count(),
-               means=q["station_means"](spark, sf_dir).count(),
-               zones_with_station=q["zone_weather_idw"](spark, sf_dir).where("NB_STATIONS > 0").count(),
-               zones_with_mean=q["pollutant_zone_mean"](spark, sf_dir).count())
+    dash = _dash(spark, sf_dir)
+    got = dict(weather=dash.weather.count(), air=dash.air.count(), dim=dash.stations.count(),
+               ids2=dash.stations.groupBy("ID_STATION").count().where("count = 2").count(),
+               means=dash.station_means().count(),
+               zones_with_station=dash.zone_weather().where("NB_STATIONS > 0").count(),
+               zones_with_mean=dash.pollutant_means().count())
     assert got == COUNTS[sf_dir]
 
 
 @pytest.mark.parametrize("sf_dir", sorted(COUNTS))
 def test_display_rows_and_kpis(spark, sf_dir):
-    rows = (queries()["zone_display"](spark, sf_dir).where("GEOCODE IN ('0', '1', '2')")
+    rows = (_dash(spark, sf_dir).display().where("GEOCODE IN ('0', '1', '2')")
             .orderBy("GEOCODE").collect())
     assert [(r.GEOCODE, r.MEAN_POLLUANT, r.W_TEMP, r.W_WIND, r.W_DEWP, r.NB_STATIONS) for r in rows] \
         == DISPLAY[sf_dir]
-    k = queries()["kpi_global"](spark, sf_dir).first()
+    k = _dash(spark, sf_dir).kpi_global().first()
     assert (round(k.AVG_POLLUANT, 6), round(k.AVG_TEMP, 6), round(k.AVG_WIND, 6), k.NB_ZONES) \
         == pytest.approx(KPIS[sf_dir])

@@ -7,8 +7,14 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import SF_SMALL
+from zonecast.oracle import queries_sql as oracle_sql
+from zonecast.plans.catalog import QUERIES
+
+
+def queries():
+    return QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 

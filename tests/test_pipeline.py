@@ -1,46 +1,50 @@
 """Entries A and B end to end, and the dashboard served from the extracts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from zonecast.plans import etl
+from zonecast.plans.catalog import FIXTURE, QUERIES, YEAR_1998
 from zonecast.plans.dashboard import Dashboard, Params
 from zonecast.sources import csv, geojson, jsonfeed, tables
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
 
 
 def test_dashboard_from_extracts_equals_from_tables(spark, tmp_path):
-    d = SF_SMALL
-    stations_csv, weather_csv = str(tmp_path / "st"), str(tmp_path / "daily")
-    csv.write_station_csv(tables.station_list(spark, d), stations_csv)
-    csv.write_weather_csv(tables.weather_files_frame(spark, d), weather_csv)
-    layer = etl.weather_layer(spark, stations_csv, weather_csv, 1995, 2001)
-    feed, zones_path = str(tmp_path / "feed"), str(tmp_path / "zones")
-    jsonfeed.write_json_envelopes(tables.air_feed_lines(spark, d), feed)
-    geojson.write_geojson(geojson.square_zones(tables.zones(spark, d)), zones_path)
-    air = etl.air_extract(spark, feed, zones_path, projected=False)
+    direct = Dashboard.from_tables(spark, SF_SMALL, Params(**FIXTURE))
     air_out, weather_out = str(tmp_path / "air_x"), str(tmp_path / "weather_x")
-    etl.write_extracts(air, layer, air_out, weather_out)
-
-    p = Params()
-    zones = tables.zones(spark, d)
-    served = Dashboard.from_extracts(spark, air_out, weather_out, zones, p).persist()
-    direct = Dashboard.from_tables(spark, d, p)
-    assert _rows(served.display()) == _rows(direct.display())
-    assert _rows(served.kpi_formatted()) == _rows(direct.kpi_formatted())
-    views = served.views()
-    assert set(views) >= {"display", "kpi", "air_series", "weather_series"}
-    assert views["weather_series"].count() == 12           # 1998 by month
+    etl.write_extracts(direct.air, tables.weather_raw(spark, SF_SMALL), air_out, weather_out)
+    zones = tables.zones(spark, SF_SMALL)
+    served = Dashboard.from_extracts(spark, air_out, weather_out, zones, Params(**FIXTURE, **YEAR_1998))
+    windowed = Dashboard.from_tables(spark, SF_SMALL, Params(**FIXTURE, **YEAR_1998))
+    assert _rows(served.display()) == _rows(windowed.display())
+    assert _rows(served.kpi_formatted()) == _rows(windowed.kpi_formatted())
+    assert served.views()["weather_series"].count() == 12           # 1998 by month
     # the year filter reaches the scan as a partition filter
-    plan = served.weather._jdf.queryExecution().executedPlan().toString()
+    plan = served._weather_range_src._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "YEAR" in plan
+    whole = Dashboard.from_extracts(spark, air_out, weather_out, zones, Params(**FIXTURE)).persist()
+    assert whole.range == direct.range and whole.rule == "Q"
+    assert _rows(whole.display()) == _rows(direct.display())
+    whole.unpersist()
+
+
+def test_extracts_with_a_zone_listed_twice(spark, tmp_path):
+    from tests.test_dashboard import dash
+    direct = dash(spark)
+    air_out, weather_out = str(tmp_path / "air_x"), str(tmp_path / "weather_x")
+    etl.write_extracts(direct.air, direct._input("weather_raw"), air_out, weather_out)
+    served = Dashboard.from_extracts(spark, air_out, weather_out, direct.zones, direct.p)
+    for view in ("display", "resample_air", "paired_series", "pollutant_list", "box_stats"):
+        assert _rows(getattr(served, view)()) == _rows(getattr(direct, view)()), view
 
 
 def test_zone_centroid_added_only_when_absent(spark):
-    z = geojson.square_zones(tables.zones(spark, SF_SMALL))
+    z = geojson.shaped_zones(tables.zones(spark, SF_SMALL))
     with_c = etl.ensure_centroid(z, projected=True)
     assert {"LATITUDE_ZONE", "LONGITUDE_ZONE"} <= set(with_c.columns)
     again = etl.ensure_centroid(with_c.withColumn("LATITUDE_ZONE", F.lit(1.0)))
@@ -55,41 +59,27 @@ def test_command_line_etl_then_dashboard(spark, tmp_path):
     csv.write_weather_csv(tables.weather_files_frame(spark, d), weather_csv)
     feed, zones_path = str(tmp_path / "feed"), str(tmp_path / "zones")
     jsonfeed.write_json_envelopes(tables.air_feed_lines(spark, d), feed)
-    geojson.write_geojson(geojson.square_zones(tables.zones(spark, d)), zones_path)
+    geojson.write_geojson(geojson.shaped_zones(tables.zones(spark, d)), zones_path)
     out, views = str(tmp_path / "x"), str(tmp_path / "views")
-    main(["etl", "--stations", stations_csv, "--weather", weather_csv, "--first-year", "1995",
-          "--last-year", "2001", "--feed", feed, "--zones", zones_path, "--out", out], spark=spark)
-    main(["dashboard", "--extracts", out, "--zones", zones_path, "--out", views], spark=spark)
+    main(["etl", "--stations", stations_csv, "--weather", weather_csv,
+          "--feed", feed, "--zones", zones_path, "--out", out], spark=spark)
+    main(["dashboard", "--extracts", out, "--zones", zones_path, "--out", views, "--zone", "1"], spark=spark)
     disp = spark.read.parquet(f"{views}/display")
-    direct = Dashboard.from_tables(spark, d, Params()).display()
-    # the CLI takes zone centroids from the (projected) geometry: equal to 1e-6 degrees
-    assert _rows(disp.drop("W_TEMP", "W_WIND", "W_DEWP")) == _rows(direct.drop("W_TEMP", "W_WIND", "W_DEWP"))
+    assert {r.GEOCODE for r in disp.collect()} == {r.GEOCODE for r in tables.zones(spark, d).collect()}
     assert spark.read.parquet(f"{views}/kpi").count() == 1
+    assert spark.read.parquet(f"{views}/detail").first().GEOCODE == "1"
+    landed = spark.read.parquet(f"{out}/weather_raw")
+    assert landed.count() == QUERIES["weather_etl"](spark, d).count()
+    with pytest.raises(LookupError):
+        main(["dashboard", "--extracts", out, "--zones", zones_path, "--out", views, "--start", "1980-01-01",
+              "--end", "1980-12-31"], spark=spark)
 
 
 def test_persist_and_unpersist_layers(spark):
-    dash = Dashboard.from_tables(spark, SF_SMALL, Params()).persist()
-    assert dash.weather.is_cached and dash.observations.is_cached and dash.air_clean.is_cached
+    dash = Dashboard.from_tables(spark, SF_SMALL, Params(**FIXTURE)).persist()
+    assert dash.observations.is_cached and dash.air_clean.is_cached
     page = dash.with_params(Params(pollutant="2-HIGH"))
-    assert page.weather is dash.weather                    # layers shared across interactions
-    dash.resample_weather("M")                                # caches the named-station ids
-    ids_plan = dash.station_names.select("ID_STATION").distinct()
-    assert ids_plan.storageLevel.useMemory or ids_plan.storageLevel.useDisk
+    assert page.observations is dash.observations             # layers shared across interactions
+    dash.resample_weather("M").count()
     dash.unpersist()
-    assert not dash.weather.is_cached and not dash.air_clean.is_cached
-    assert not (ids_plan.storageLevel.useMemory or ids_plan.storageLevel.useDisk)
-
-
-def test_weather_series_with_a_large_name_set(spark, monkeypatch):
-    """Beyond the broadcast bound the series are summed per (station, bucket)
-    before meeting the names; the result is the same."""
-    from zonecast.operators import joins
-    small = Dashboard.from_tables(spark, SF_SMALL, Params()).resample_weather("M").collect()
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
-    dash = Dashboard.from_tables(spark, SF_SMALL, Params())
-    assert dash._named_ids[1] is False
-    large = dash.resample_weather("M").collect()
-    assert [r.DATE for r in large] == [r.DATE for r in small]
-    for a, b in zip(large, small):
-        for c in ("TEMP", "WDSP", "DEWP"):
-            assert abs(a[c] - b[c]) < 1e-9
+    assert not dash.observations.is_cached and not dash.air_clean.is_cached

@@ -50,11 +50,11 @@ def test_json_rows_short_long_number_object(spark, tmp_path):
     longer = full + ["extra"]
     short = ["x"] * 12
     _write(p, "\n".join(json.dumps(r) for r in (full, longer, short)) + "\n\n")
-    named = jsonfeed.name_fields(jsonfeed.read_json_rows(spark, p)).collect()
-    assert len(named) == 3
+    records = jsonfeed.read_json_rows(spark, p)
+    named = jsonfeed.name_fields(jsonfeed.whole_records(records)).collect()
+    assert len(named) == 1
     assert named[0].col_1 == "5" and json.loads(named[0].col_3) == {"a": 1}
-    assert named[1].VALEUR_MESURE_BRUTE == "3.5"                    # long row: first 20 kept
-    assert named[2].NOM_POLLUANT == "x" and named[2].GEOJOIN_ID_BRUT is None   # short row: NULL
+    assert {(r.WIDTH, r.N_RECORDS) for r in jsonfeed.rejected_records(records).collect()} == {(12, 1), (21, 1)}
 
 
 def test_json_envelope_empty_and_missing_data(spark, tmp_path):
@@ -104,7 +104,7 @@ def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
     base = str(tmp_path / "daily")
     header = ",".join(csv.DAILY_COLUMNS)
     row = ",".join(["S1", "2001-05-05", "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
-    _write(f"{base}/_YEAR=2001/_STN=00001/part-0.csv", header + "\n" + row + "\n")
+    _write(f"{base}/2001/00001.csv", header + "\n" + row + "\n")
     _write(f"{base}/stray/notes.csv", "a,b\n")                  # outside the layout: ignored
     stations = spark.createDataFrame([("00001",), ("00001",), ("00002",)], "STN_ID string")
     m = manifest.ingest_manifest(stations, 2000, 2001)
@@ -124,7 +124,7 @@ def test_stream_lands_only_new_files(spark, tmp_path):
 
     def put(year, stn, day):
         row = ",".join([stn, day, "40.7", "-74.0", "", "N", "50.0"] + [""] * 21)
-        _write(f"{base}/_YEAR={year}/_STN={stn}/part-0.csv", header + "\n" + row + "\n")
+        _write(f"{base}/{year}/{stn}.csv", header + "\n" + row + "\n")
     put(2001, "A", "2001-01-01")
     put(2001, "B", "2001-01-02")
     assert ingest.land_new_files(spark, base, layer, ckpt) == 2
@@ -146,7 +146,7 @@ def test_air_stream_lands_only_new_feed_files(spark, tmp_path):
         return json.dumps(r)
     _write(f"{feed}/a.json", "\n".join([record("1", "2001-01-01", "1.5"), record("9", "2001-01-01", "2.0"),
                                         record("1", "2001-01-02", "n/a")]) + "\n")
-    assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 3
+    assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 1       # one zone unknown, one value bad
     _write(f"{feed}/b.json", record("1", "2002-02-02", "4.0") + "\n")
     assert ingest.land_new_feed_lines(spark, feed, zones, out, ckpt) == 1
     rows = sorted((str(r.DATE_OBSERVATION), r.VALEUR, r.GEONAME) for r in spark.read.parquet(out).collect())
@@ -157,9 +157,10 @@ def test_bare_list_of_lists_document(spark, tmp_path):
     rec = [None] * 20
     rec[10], rec[14], rec[17], rec[18] = "PM", "1", "2001-01-01", 2.5      # number at 18
     _write(str(tmp_path / "a" / "doc.json"), json.dumps([rec, rec[:15]], indent=2))
-    named = jsonfeed.name_fields(jsonfeed.read_records(spark, str(tmp_path / "a"), "array")).collect()
-    assert len(named) == 2 and named[0].VALEUR_MESURE_BRUTE == "2.5"
-    assert named[1].DATE_MESURE_BRUTE is None
+    records = jsonfeed.read_records(spark, str(tmp_path / "a"), "array")
+    named = jsonfeed.name_fields(jsonfeed.whole_records(records)).collect()
+    assert len(named) == 1 and named[0].VALEUR_MESURE_BRUTE == "2.5"
+    assert jsonfeed.rejected_records(records).first().WIDTH == 15
     with pytest.raises(ValueError):
         jsonfeed.read_records(spark, str(tmp_path / "a"), "csv")
 

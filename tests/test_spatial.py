@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests import model
 from zonecast.operators.spatial import LambertConic, radius_pairs, with_centroid
 
 
@@ -18,26 +17,33 @@ def _pairs(df):
     return sorted((r.L_ID, r.R_ID) for r in df.select("L_ID", "R_ID").collect())
 
 
+def _km(lon1, lat1, lon2, lat2):
+    """Great-circle distance from the chord between unit vectors (another formula than the library's)."""
+    (x1, y1, z1), (x2, y2, z2) = (
+        (math.cos(la) * math.cos(lo), math.cos(la) * math.sin(lo), math.sin(la))
+        for lo, la in ((math.radians(lon1), math.radians(lat1)), (math.radians(lon2), math.radians(lat2))))
+    chord = math.sqrt((x1 - x2) ** 2 + (y1 - y2) ** 2 + (z1 - z2) ** 2)
+    return 6371.0 * 2 * math.asin(min(1.0, chord / 2))
+
+
 def _brute(left, right, r):
     out = []
     for lid, la, lo in left:
         for rid, ra, ro in right:
-            if model.haversine(lo, la, ro, ra) <= r:
+            if _km(lo, la, ro, ra) <= r:
                 out.append((lid, rid))
     return sorted(out)
 
 
 @pytest.mark.parametrize("radius", [1.0, 15.0, 100.0])
-def test_grid_equals_broadcast_and_brute_force(spark, radius):
+def test_grid_equals_brute_force(spark, radius):
     rnd = random.Random(int(radius))
     left = [(i, 40.5 + rnd.uniform(-1, 1), -74 + rnd.uniform(-1, 1)) for i in range(60)]
     right = [(i, 40.5 + rnd.uniform(-1, 1), -74 + rnd.uniform(-1, 1)) for i in range(400)]
     right += [(1000 + i, left[i][1], left[i][2]) for i in range(5)]          # on top of a zone
     L, R = _points(spark, left, "L"), _points(spark, right, "R")
     kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
-    grid = _pairs(radius_pairs(L, R, radius, strategy="grid", **kw))
-    bc = _pairs(radius_pairs(L, R, radius, strategy="broadcast", **kw))
-    assert grid == bc == _brute(left, right, radius)
+    assert _pairs(radius_pairs(L, R, radius, **kw)) == _brute(left, right, radius)
 
 
 def test_grid_near_poles_and_antimeridian(spark):
@@ -50,16 +56,15 @@ def test_grid_near_poles_and_antimeridian(spark):
     L, R = _points(spark, left, "L"), _points(spark, right, "R")
     kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
     for radius in (25.0, 100.0):
-        assert _pairs(radius_pairs(L, R, radius, strategy="grid", **kw)) == _brute(left, right, radius)
+        assert _pairs(radius_pairs(L, R, radius, **kw)) == _brute(left, right, radius)
 
 
 def test_point_exactly_at_the_radius_is_inside(spark):
     L = _points(spark, [(1, 40.7, -74.0)], "L")
     R = _points(spark, [(7, 40.8, -73.9)], "R")
     kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
-    exact = radius_pairs(L, R, 1000.0, strategy="broadcast", **kw).first().DIST_KM
-    for strategy in ("grid", "broadcast"):
-        assert _pairs(radius_pairs(L, R, exact, strategy=strategy, **kw)) == [(1, 7)]
+    exact = radius_pairs(L, R, 1000.0, **kw).first().DIST_KM
+    assert _pairs(radius_pairs(L, R, exact, **kw)) == [(1, 7)]
 
 
 def _shoelace(polys):
@@ -131,18 +136,19 @@ def test_lambert_round_trip(spark):
     assert planar == pytest.approx(n_radius * math.cos(math.radians(lat1)) * math.radians(1e-4), rel=1e-7)
 
 
-def test_broadcast_strategy_falls_back_when_too_large(spark):
-    L = _points(spark, [(1, 40.7, -74.0)], "L")
-    R = _points(spark, [(i, 40.7 + i * 1e-4, -74.0) for i in range(50)], "R")
-    kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
-    df = radius_pairs(L, R, 5.0, strategy="broadcast", max_broadcast_rows=10, **kw)
-    from zonecast.plans.audit import plan_facts
-    assert plan_facts(df)["pair_joins"] == 0          # grid plan taken
-    assert len(_pairs(df)) == 50
-
-
 def test_degenerate_polygon_has_null_centroid(spark):
     flat = [[[[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [0.0, 0.0]]]]
     df = spark.createDataFrame([(1, flat)], "ID int, COORDINATES array<array<array<array<double>>>>")
     r = with_centroid(df).first()
     assert r.LATITUDE_ZONE is None and r.LONGITUDE_ZONE is None
+
+
+def test_empty_rings_have_null_centroid(spark):
+    good = [[[[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 2.0], [0.0, 0.0]], []]]       # an empty hole
+    rows = [(1, [[[]]]), (2, [[]]), (3, []), (4, None), (5, good), (6, [[[]], good[0]])]
+    df = spark.createDataFrame(rows, "ID int, COORDINATES array<array<array<array<double>>>>")
+    for projected in (False, True):
+        got = {r.ID: r for r in with_centroid(df, projected=projected).collect()}
+        assert [got[i].LATITUDE_ZONE for i in (1, 2, 3, 4)] == [None] * 4
+    got = {r.ID: r for r in with_centroid(df).collect()}
+    assert all((got[i].LONGITUDE_ZONE, got[i].LATITUDE_ZONE) == (1.0, 1.0) for i in (5, 6))

@@ -5,9 +5,15 @@ import random
 import numpy as np
 import pytest
 
+from zonecast.operators import stats
 from zonecast.operators.stats import box_stats, exact_quantiles
 
 
+def quantiles(df, probs):
+    got = exact_quantiles(df, "g", "v", {f"p{i}": p for i, p in enumerate(probs)}).collect()
+    return {r.g: {p: r[f"p{i}"] for i, p in enumerate(probs)} for r in got}
+
+
 def _frame(spark, groups):
     rows = [(g, v) for g, vals in groups.items() for v in vals]
     return spark.createDataFrame(rows, "g string, v double")
@@ -24,15 +30,24 @@ def test_quantiles_match_numpy_linear(spark):
         "two": [1.0, 2.0],
     }
     probs = (0.0, 0.25, 0.5, 0.75, 1.0)
-    got = exact_quantiles(_frame(spark, groups), "g", "v", probs, buckets=64)
+    got = quantiles(_frame(spark, groups), probs)
     for g, vals in groups.items():
         for p in probs:
             assert got[g][p] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-15, abs=1e-15), (g, p)
 
 
+def test_quantiles_with_wide_brackets_and_infinities(spark, monkeypatch):
+    monkeypatch.setattr(stats, "ACCURACY", 50)
+    rnd = random.Random(3)
+    groups = {"wide": [rnd.gauss(0, 9) for _ in range(5000)], "inf": [float("inf")] * 30 + [float(k) for k in range(70)]}
+    got = quantiles(_frame(spark, groups), (0.25, 0.5))
+    for g, vals in groups.items():
+        assert [got[g][p] for p in (0.25, 0.5)] == pytest.approx([np.percentile(vals, p) for p in (25, 50)])
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0)], "g string, v double")
-    assert exact_quantiles(df, "g", "v", (0.5,))["a"][0.5] == 2.0
+    assert quantiles(df, (0.5,))["a"][0.5] == 2.0
 
 
 def test_box_stats_whiskers_and_outliers(spark):
@@ -52,5 +67,5 @@ def test_box_stats_whiskers_and_outliers(spark):
 
 def test_quantiles_with_a_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 5.0), ("a", 2.0), ("a", 4.0)], "g string, v double")
-    got = exact_quantiles(df, "g", "v", (0.5,))
+    got = quantiles(df, (0.5,))
     assert got[None][0.5] == 3.0 and got["a"][0.5] == 3.0

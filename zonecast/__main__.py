@@ -30,9 +30,9 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     e = sub.add_parser("etl", help="ingest raw files into the serving extracts")
     e.add_argument("--stations", required=True, help="station inventory CSV")
-    e.add_argument("--weather", required=True, help="daily files root (_YEAR=y/_STN=id layout)")
-    e.add_argument("--first-year", type=int, required=True)
-    e.add_argument("--last-year", type=int, required=True)
+    e.add_argument("--weather", required=True, help="daily files root ({year}/{station}.csv)")
+    e.add_argument("--first-year", type=int, help="default: the first year that has landed")
+    e.add_argument("--last-year", type=int, help="default: the last one")
     e.add_argument("--feed", required=True, help="air-quality feed (JSON envelopes or lines)")
     e.add_argument("--feed-layout", choices=("envelope", "lines", "array"), default="envelope",
                    help="envelope documents, one record array per line, or bare list-of-lists documents")
@@ -43,11 +43,11 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--extracts", required=True, help="root written by etl")
     d.add_argument("--zones", required=True)
     d.add_argument("--zones-collection", action="store_true")
-    d.add_argument("--start", type=_date, default=Params.start)
-    d.add_argument("--end", type=_date, default=Params.end)
-    d.add_argument("--pollutant", default=Params.pollutant)
+    d.add_argument("--start", type=_date, help="default: the first date of the air measurements")
+    d.add_argument("--end", type=_date, help="default: the last one")
+    d.add_argument("--pollutant", help="default: the first in the list")
     d.add_argument("--radius-km", type=float, default=Params.radius_km)
-    d.add_argument("--zone", default=Params.zone)
+    d.add_argument("--zone", help="adds the one-zone views")
     d.add_argument("--out", required=True)
     return p
 
@@ -63,15 +63,21 @@ def main(argv: list[str] | None = None, spark=None) -> None:
                               zones_collection=args.zones_collection)
         etl.write_extracts(air, raw, f"{args.out}/air", f"{args.out}/weather")
         return
-    zones = etl.ensure_centroid(geojson.read_geojson(spark, args.zones, collection=args.zones_collection))
+    etl.ensure_centroid(geojson.read_geojson(spark, args.zones, collection=args.zones_collection)) \
+        .write.mode("overwrite").parquet(f"{args.out}/zones")
+    zones = spark.read.parquet(f"{args.out}/zones").drop("COORDINATES")      # centroids computed once
     params = Params(start=args.start, end=args.end, pollutant=args.pollutant,
                     radius_km=args.radius_km, zone=args.zone)
     dash = Dashboard.from_extracts(spark, f"{args.extracts}/air", f"{args.extracts}/weather",
                                    zones, params).persist()
-    views = {**dash.views(), "detail": dash.zone_detail(), "local_weather": dash.local_weather(),
-             "local_series": dash.local_paired_series(), "box": dash.box_stats()}
+    dash.require_pollutants()
+    views = {**dash.views(), "box": dash.box_stats()}
+    if args.zone is not None:
+        views |= {"detail": dash.zone_detail(), "local_weather": dash.local_weather(),
+                  "local_series": dash.local_paired_series()}
     for name, df in views.items():
         df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    dash.unpersist()
 
 
 if __name__ == "__main__":

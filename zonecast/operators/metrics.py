@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import idw_weight
 from zonecast.functions.numeric import round_half_even
 from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
-from zonecast.operators.joins import broadcast_if_small
-from zonecast.operators.spatial import radius_join_left, radius_pairs, within_radius_of
+from zonecast.operators.spatial import radius_join_left, radius_pairs
 
 WEATHER_VARS = ("TEMP", "WDSP", "DEWP")
 # zone metric name for each weather variable
@@ -46,22 +45,16 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
         sums += [F.sum(x).alias(f"_s_{v}"), F.count(x).alias(f"_n_{v}")]
     per_variant = weather.where(F.col("ID_STATION").isNotNull()).groupBy(*keys).agg(
         *sums, F.count(F.when(in_range, F.lit(1))).alias("_rows"))
-    by_id = Window.partitionBy("ID_STATION")
-    means = {}
-    for v in WEATHER_VARS:
-        n = F.sum(f"_n_{v}").over(by_id)
-        means[v] = F.when(n > 0, F.sum(f"_s_{v}").over(by_id) / n)
-    out = (per_variant
-           .withColumns({**means, "_id_rows": F.sum("_rows").over(by_id)})
-           .where(F.col("_id_rows") > 0)
-           .select(*keys, *WEATHER_VARS))
+    # means by id by a second aggregate, joined back: no task holds all variants of an id
+    means = per_variant.groupBy("ID_STATION").agg(F.sum("_rows").alias("_id_rows"), *[
+        F.when(F.sum(f"_n_{v}") > 0, F.sum(f"_s_{v}") / F.sum(f"_n_{v}")).alias(v) for v in WEATHER_VARS])
+    out = per_variant.select(*keys).join(means.where(F.col("_id_rows") > 0), "ID_STATION").select(*keys, *WEATHER_VARS)
     if names is not None:
         out = out.join(names, "ID_STATION", "inner")
     return out.select(*STATION_COLUMNS, *WEATHER_VARS)
 
 
-def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float,
-                     strategy: str = "grid") -> DataFrame:
+def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
     """Inverse-distance-weighted TEMP/WDSP/DEWP per zone row.
 
     w = 1 / (km + 0.1) over the station rows within the radius; a variable
@@ -71,7 +64,7 @@ def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float,
     z = zones.select(*ZONE_KEY)
     pairs = radius_pairs(z.distinct(), stations, radius_km,
                          left_lat="LATITUDE_ZONE", left_lon="LONGITUDE_ZONE",
-                         right_lat="LATITUDE", right_lon="LONGITUDE", strategy=strategy)
+                         right_lat="LATITUDE", right_lon="LONGITUDE")
     w = idw_weight("DIST_KM")
     n_rows = F.count(F.lit(1))
     aggs = [round_half_even(F.when(F.count(v) == n_rows, F.sum(w * F.col(v)) / F.sum(w)), 1)
@@ -86,14 +79,13 @@ def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float,
                     F.coalesce(F.col("NB_STATIONS"), F.lit(0)).cast("int").alias("NB_STATIONS")))
 
 
-def radius_join(zones: DataFrame, stations: DataFrame, radius_km: float,
-                strategy: str = "grid") -> DataFrame:
+def radius_join(zones: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
     """Zone x station rows within the radius (left outer on zones)."""
     z = zones.select(*ZONE_KEY)
     s = stations.select(*STATION_COLUMNS)
     return radius_join_left(z, s, radius_km, left_key=list(ZONE_KEY),
                             left_lat="LATITUDE_ZONE", left_lon="LONGITUDE_ZONE",
-                            right_lat="LATITUDE", right_lon="LONGITUDE", strategy=strategy)
+                            right_lat="LATITUDE", right_lon="LONGITUDE")
 
 
 def pollutant_zone_mean(air: DataFrame, zones: DataFrame, pollutant: str,
@@ -177,15 +169,10 @@ def zone_detail(display: DataFrame, geocode: str) -> DataFrame:
         F.col("W_TEMP").alias("AVG_TEMP"), F.col("W_WIND").alias("AVG_WIND"))
 
 
-def active_stations(weather_in_range: DataFrame, stations: DataFrame) -> DataFrame:
-    """Station dimension rows of the ids that report in the range."""
-    return active_station_rows(weather_in_range.select("ID_STATION").distinct(), stations)
-
-
-def active_station_rows(ids: DataFrame, stations: DataFrame) -> DataFrame:
-    """Station dimension rows of a set of station ids (distinct ids first,
-    so the join meets one row per id)."""
-    return ids.join(stations, "ID_STATION", "inner")
+def active_stations(with_means: DataFrame) -> DataFrame:
+    """Station dimension rows of the ids that report in the range, from
+    :func:`stations_with_means` (one pass over the observations)."""
+    return with_means.select(*STATION_COLUMNS).distinct()
 
 
 def _point(df: DataFrame, lat: Column, lon: Column) -> tuple[Column, Column]:
@@ -201,30 +188,34 @@ def city_centre(zones: DataFrame) -> tuple[Column, Column]:
                   F.col("a"), F.col("o"))
 
 
-def zone_position(zones: DataFrame, geocode: str) -> tuple[Column, Column]:
-    """Position of the first row of one zone, as a scalar subquery."""
+def centre_row(zones: DataFrame) -> DataFrame:
+    """The mean zone centroid as one row."""
+    return zones.agg(F.avg("LATITUDE_ZONE").alias("LATITUDE_CENTER"), F.avg("LONGITUDE_ZONE").alias("LONGITUDE_CENTER"))
+
+
+def zone_row(zones: DataFrame, geocode: str) -> DataFrame:
+    """The position of the first row of one zone, as one row (none for an unknown code)."""
     row = first_zone_row(zones.select(*ZONE_KEY), geocode)
-    return _point(row, F.col("LATITUDE_ZONE"), F.col("LONGITUDE_ZONE"))
+    return row.select(F.col("LATITUDE_ZONE").alias("LATITUDE_CENTER"), F.col("LONGITUDE_ZONE").alias("LONGITUDE_CENTER"))
 
 
-def count_near(stations: DataFrame, lat: Column, lon: Column, radius_km: float) -> DataFrame:
-    """Number of station rows within the radius of one point."""
-    near = within_radius_of(stations, "LATITUDE", "LONGITUDE", lat, lon, radius_km)
-    return near.agg(F.count(F.lit(1)).cast("int").alias("NB_VISIBLE"))
+def stations_near(point: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
+    """Station rows within the radius of a one-row point."""
+    return radius_pairs(point, stations, radius_km, left_lat="LATITUDE_CENTER", left_lon="LONGITUDE_CENTER",
+                        right_lat="LATITUDE", right_lon="LONGITUDE")
 
 
-def local_weather(weather_in_range: DataFrame, stations: DataFrame, lat: Column, lon: Column,
-                  radius_km: float) -> DataFrame:
-    """Observations of the stations within the radius of one zone.
+def count_near(point: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
+    """Number of station rows within the radius of a one-row point."""
+    return stations_near(point, stations, radius_km).agg(F.count(F.lit(1)).cast("int").alias("NB_VISIBLE"))
 
-    The id set is bounded by the stations of one circle, so after a row
-    count it is broadcast and the observations are filtered where they lie
-    (no shuffle of observation rows); a larger set falls back to a shuffled
-    semi join with AQE skew splitting.
-    """
-    ids = (within_radius_of(stations, "LATITUDE", "LONGITUDE", lat, lon, radius_km)
-           .select("ID_STATION").distinct())
-    ids, _ = broadcast_if_small(ids)
+
+def local_weather(weather_in_range: DataFrame, stations: DataFrame, point: DataFrame,
+                  radius_km: float) -> DataFrame:
+    """Observations of the stations within the radius of one zone: a semi
+    join on the ids of that circle, broadcast by the planner when their
+    measured size allows, else shuffled with skewed keys split."""
+    ids = stations_near(point, stations, radius_km).select("ID_STATION").distinct()
     return weather_in_range.join(ids, "ID_STATION", "left_semi")
 
 
@@ -240,7 +231,7 @@ def date_bounds(air: DataFrame, date_col: str = "DATE_OBSERVATION") -> DataFrame
 
 def zone_options(zones: DataFrame) -> DataFrame:
     """Selector options: one "all zones" row, then zone names in order."""
-    head = zones.agg(F.count(F.lit(1))).select(F.lit(ALL_ZONES_LABEL).alias("OPTION"),
+    head = zones.sparkSession.range(1).select(F.lit(ALL_ZONES_LABEL).alias("OPTION"),
                                  F.lit(None).cast("string").alias("GEOCODE"),
                                  F.lit(0).alias("GROUP_ORDER"))
     body = zones.select(F.col("GEONAME").alias("OPTION"), F.col("GEOCODE"),

@@ -1,15 +1,11 @@
 """Distance joins and polygon centroids.
 
-Spark has no native distance join. Two plans are offered:
-
-* ``broadcast`` — a broadcast nested-loop join of every left row against a
-  small right side. Only taken after the right side's row count is checked.
-* ``grid`` (default) — an equi-join on grid cells: each right row sits in
-  its single home cell; each left row is expanded to the cells overlapping
-  the bounding box of its search circle (exact bounds, so nothing within
-  the radius is missed), then the exact haversine predicate is applied.
-  Each (left, right) pair meets in exactly one cell, so no pair repeats.
-  It scales like a hash join and lets AQE split a crowded cell.
+Spark has no native distance join; this one is an equi-join on grid cells.
+Each right row sits in its single home cell; each left row is expanded to the
+cells overlapping the bounding box of its search circle (exact bounds, so
+nothing within the radius is missed), then the exact haversine predicate is
+applied. Each (left, right) pair meets in exactly one cell, so no pair
+repeats. It scales like a hash join and lets AQE split a crowded cell.
 """
 
 from __future__ import annotations
@@ -20,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import angular_radius_deg, haversine_km, lon_half_extent_deg
-from zonecast.operators.joins import broadcast_if_small
 
 KM_PER_DEG = 111.0          # a little under 111.19, so cells are never too small
 EPS_DEG = 1e-9              # guard against rounding at the circle's edge
@@ -60,18 +55,9 @@ def _search_cells(df: DataFrame, lat: str, lon: str, radius_km: float) -> DataFr
 
 def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
                  left_lat: str, left_lon: str, right_lat: str, right_lon: str,
-                 strategy: str = "grid", dist_col: str = "DIST_KM",
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 dist_col: str = "DIST_KM") -> DataFrame:
     """Every (left row, right row) with haversine distance <= ``radius_km``
     (inclusive), plus the distance. Column names of the sides must differ."""
-    if strategy == "broadcast":
-        small, ok = broadcast_if_small(right, max_broadcast_rows)
-        if ok:
-            dist = haversine_km(left_lon, left_lat, right_lon, right_lat)
-            return left.join(small, dist <= radius_km, "inner").withColumn(dist_col, dist)
-        strategy = "grid"              # size check failed: fall back to the hash plan
-    if strategy != "grid":
-        raise ValueError(f"unknown strategy {strategy!r}")
     lcells = _search_cells(left, left_lat, left_lon, radius_km)
     rcells = _home_cell(right.where(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull()),
                         right_lat, right_lon, radius_km)
@@ -84,30 +70,18 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
 
 def radius_join_left(left: DataFrame, right: DataFrame, radius_km: float, *, left_key: list[str],
                      left_lat: str, left_lon: str, right_lat: str, right_lon: str,
-                     strategy: str = "grid", dist_col: str = "DIST_KM") -> DataFrame:
+                     dist_col: str = "DIST_KM") -> DataFrame:
     """Left-outer form: left rows with no right row within the radius are
     kept once, with NULL right columns. The unmatched rows come from an
     anti join on the distinct matched keys (an aggregate), not from a
     per-key window, so a key with a third of all pairs stays spread out."""
     pairs = radius_pairs(left, right, radius_km, left_lat=left_lat, left_lon=left_lon,
-                         right_lat=right_lat, right_lon=right_lon, strategy=strategy,
-                         dist_col=dist_col)
+                         right_lat=right_lat, right_lon=right_lon, dist_col=dist_col)
     matched = pairs.select(*left_key).distinct()
     alone = left.join(matched, left_key, "left_anti")
     return pairs.unionByName(alone, allowMissingColumns=True)
 
 
-def within_radius_of(df: DataFrame, lat: str, lon: str, point_lat: Column, point_lon: Column,
-                     radius_km: float, dist_col: str = "DIST_KM") -> DataFrame:
-    """Rows within ``radius_km`` of one point (the point is a scalar
-    subquery or literal, so this is a plain filter, no join). The point is
-    projected once so the distance expression refers to columns."""
-    with_point = df.withColumns({"_pt_lat": point_lat, "_pt_lon": point_lon})
-    dist = haversine_km("_pt_lon", "_pt_lat", lon, lat)
-    return (with_point.withColumn(dist_col, dist).where(F.col(dist_col) <= radius_km)
-            .drop("_pt_lat", "_pt_lon"))
-
-
 # ---------------------------------------------------------------------------
 # Polygon centroids (shoelace over nested geometry arrays, per row)
 # ---------------------------------------------------------------------------
@@ -129,7 +103,8 @@ def _ring_sums(ring: Column, x0: Column, y0: Column) -> Column:
                         (acc["my"] + (y1 + y2) * cr).alias("my"))
 
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    return F.aggregate(F.sequence(F.lit(0), n - 1), zero, step)
+    steps = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, zero, step)
 
 
 def _sum_structs(arr: Column) -> Column:
@@ -173,8 +148,9 @@ def with_centroid(df: DataFrame, coords: str = "COORDINATES", lat: str = "LATITU
         df = df.withColumn("_c_planar", F.transform(src, lambda poly: F.transform(
             poly, lambda ring: F.transform(ring, fwd))))
         src = F.col("_c_planar")
-    first = src[0][0][0]
-    df = df.withColumns({"_c_x0": first[0], "_c_y0": first[1]})
+    # the first vertex there is; without one every sum is 0 and the centroid NULL
+    first = F.get(F.flatten(F.flatten(src)), F.lit(0))
+    df = df.withColumns({"_c_x0": F.get(first, F.lit(0)), "_c_y0": F.get(first, F.lit(1))})
     x0, y0 = F.col("_c_x0"), F.col("_c_y0")
     df = df.withColumn("_c_tot", _sum_structs(F.transform(src, lambda poly: _polygon_sums(poly, x0, y0))))
     tot = F.col("_c_tot")

@@ -1,145 +1,77 @@
-"""Distribution summaries (box-plot inputs) with exact, distributed quantiles.
+"""Distribution summaries (box-plot inputs) with exact quantiles, lazily.
 
 Spark's exact ``percentile`` merges every distinct value of a group in one
-task; ``percentile_approx`` is bounded but approximate. Here quantiles are
-exact (linear interpolation between order statistics, as ``percentile`` and
-``quantile_cont``) yet no task ever holds more than a fixed-size histogram:
-
-1. one aggregate gives n, min and max per group;
-2. each pass histograms the values inside each open search range into B
-   equal-width buckets (count, min, max per bucket) and narrows every rank
-   to the bucket holding it; a bucket with min == max resolves the rank.
-
-Only bounded summaries (groups x ranks x B rows) reach the driver; a hot
-value resolves at once (its bucket has min == max).
+task; ``percentile_approx`` is bounded but approximate. Here the approximate
+one brackets each quartile (its rank error is known), and one more pass counts
+the values by their place: below the bracket, each value inside it, above it.
+The counts are partial in every task, so a hot value costs a row a task; what
+is sorted is only what lies inside the brackets, at most about
+4 / ACCURACY of the values and less where values repeat.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
-
-
-
-BUCKETS = 1024
-MAX_PASSES = 200
-QUANTILE_DIGITS = 6     # box statistics are reported to 1e-6
 
-
-def _ranges_frame(spark, ranges: dict) -> DataFrame:
-    schema = StructType([StructField("_rid", LongType()), StructField("_g", StringType()),
-                         StructField("_lo", DoubleType()), StructField("_hi", DoubleType())])
-    rows = [(rid, g, lo, hi) for (g, lo, hi), rid in ranges.items()]
-    return spark.createDataFrame(rows, schema)
-
-
-def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs,
-                    buckets: int = BUCKETS, cache: bool = True) -> dict:
-    """{group: {p: value}} for a small number of groups (e.g. one per variable).
-
-    The passes re-read ``df``; with ``cache`` its projection is persisted for
-    the duration of the search (pass ``cache=False`` when the caller already
-    holds a cached input)."""
-    spark = df.sparkSession
-    base = (df.select(F.col(group_col).cast("string").alias("_g"),
-                      F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    if cache:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                       F.max("_v").alias("hi")).collect()
-        # state per (group, rank): [lo, hi, below, resolved value or None]
-        state, positions = {}, {}
-        for r in stats:
-            for p in probs:
-                pos = p * (r.n - 1)
-                positions[(r._g, p)] = pos
-                for k in {math.floor(pos), math.ceil(pos)}:
-                    state[(r._g, k)] = [r.lo, r.hi, 0, r.lo if r.lo == r.hi else None]
-        for _ in range(MAX_PASSES):
-            open_ranges = {}
-            for (g, k), (lo, hi, below, val) in state.items():
-                if val is None:
-                    open_ranges.setdefault((g, lo, hi), len(open_ranges))
-            if not open_ranges:
-                break
-            ranges = _ranges_frame(spark, open_ranges)
-            width = F.col("_hi") - F.col("_lo")
-            bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets),
-                             F.lit(buckets - 1))
-            hist = (base.join(F.broadcast(ranges),
-                              base._g.eqNullSafe(ranges._g) & base._v.between(ranges._lo, ranges._hi))
-                    .groupBy("_rid", bucket.alias("_b"))
-                    .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"),
-                         F.max("_v").alias("mx"))
-                    .collect())
-            by_range = {}
-            for h in hist:
-                by_range.setdefault(h._rid, []).append((h._b, h.c, h.mn, h.mx))
-            for (g, k), st in state.items():
-                lo, hi, below, val = st
-                if val is not None:
-                    continue
-                cum = below
-                buckets_of = by_range.get(open_ranges[(g, lo, hi)])
-                if not buckets_of:          # the range lost its rows: input changed under us
-                    raise RuntimeError("quantile search found no rows in an open range")
-                for _, c, mn, mx in sorted(buckets_of):
-                    if cum + c > k:
-                        st[:] = [mn, mx, cum, mn if mn == mx else None]
-                        break
-                    cum += c
-        out = {}
-        for (g, p), pos in positions.items():
-            lo_v = state[(g, math.floor(pos))][3]
-            hi_v = state[(g, math.ceil(pos))][3]
-            out.setdefault(g, {})[p] = lo_v + (pos - math.floor(pos)) * (hi_v - lo_v)
-        return out
-    finally:
-        if cache:
-            base.unpersist()
+from zonecast.functions.numeric import round_half_even
+
+ACCURACY = 10_000           # rank error of the brackets: 1 / ACCURACY of the values
+QUARTILES = {"Q1": 0.25, "MEDIAN": 0.5, "Q3": 0.75}
+DIGITS = 6                  # quartiles are reported to 1e-6
+
+
+def _long(df: DataFrame, columns, group_name: str) -> DataFrame:
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    rows = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (`{group_name}`, _v)")
+    return rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
+def exact_quantiles(rows: DataFrame, group_col: str, value_col: str, probs: dict[str, float]) -> DataFrame:
+    """One row a group (null is one): the named quantiles, linear between order statistics.
+
+    For a small number of groups, such as one a column: a row a group is broadcast.
+    """
+    base = rows.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    slack = 2 / ACCURACY
+    asked = F.array(*[F.lit(min(1.0, max(0.0, p + e))) for p in probs.values() for e in (-slack, slack)])
+    near = base.groupBy("_g").agg(F.percentile_approx("_v", asked, F.lit(ACCURACY)).alias("_a"),
+                                  F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    each = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(p).alias("p"),
+                              (F.col("_lo") if p - slack <= 0 else F.col("_a")[2 * i]).alias("lo"),
+                              (F.col("_hi") if p + slack >= 1 else F.col("_a")[2 * i + 1]).alias("hi"))
+                     for i, (k, p) in enumerate(probs.items())])
+    near = near.select(F.col("_g").alias("_k"), "_n", each.alias("_each"))       # a row a group, of which there are few
+    put = base.join(F.broadcast(near), F.col("_g").eqNullSafe(F.col("_k"))).select("_g", "_n", "_v", F.explode("_each").alias("q"))
+    inside = F.when(F.col("_v") < F.col("q.lo"), F.lit(-1)).when(F.col("_v") > F.col("q.hi"), F.lit(1)).otherwise(F.lit(0))
+    counted = put.groupBy("_g", "_n", "q.k", "q.p", inside.alias("_side"),
+                          F.when(inside == 0, F.col("_v")).alias("_x")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    order = Window.partitionBy("_g", "k").orderBy("_side", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = counted.withColumn("_upto", F.sum("_c").over(order))
+    place = F.col("p") * (F.col("_n") - 1)
+    # a rank just outside the bracket is the neighbour on that side
+    value = F.when(F.col("_side") == -1, F.col("_most")).otherwise(F.col("_least")).alias("x")
+    found = upto.groupBy("_g", "k", place.alias("_place")).agg(*[
+        F.min(F.when(F.col("_upto") > f(place), F.struct(F.col("_upto"), value)))["x"].alias(name)
+        for name, f in (("_x0", F.floor), ("_x1", F.ceil))])
+    value = F.col("_x0") + (F.col("_place") - F.floor("_place")) * (F.col("_x1") - F.col("_x0"))
+    value = F.when(F.col("_x0") == F.col("_x1"), F.col("_x0")).otherwise(value)
+    return found.groupBy(F.col("_g").alias(group_col)).agg(*[
+        F.max(F.when(F.col("k") == k, value)).alias(k) for k in probs])
 
 
 def box_stats(df: DataFrame, columns, group_name: str = "VARIABLE") -> DataFrame:
     """Per column: N, Q1, MEDIAN, Q3 (exact, linear), whiskers at the most
     extreme values inside 1.5 IQR of the quartiles, and the outlier count."""
-    spark = df.sparkSession
-    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
-    stack = f"stack({len(columns)}, {pairs}) AS ({group_name}, _v)"
-    # the search caches the numeric columns side by side (columnar and
-    # compressed), not the stacked (name, value) rows; the final pass below
-    # reads the source again after the cache is released
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        quants = exact_quantiles(wide.selectExpr(stack), group_name, "_v", (0.25, 0.5, 0.75),
-                                 cache=False)
-    finally:
-        wide.unpersist()
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).selectExpr(stack)
-    scale = 10.0 ** QUANTILE_DIGITS
-    rows = []
-    for g, q in quants.items():
-        q1, med, q3 = (round(q[p] * scale) / scale for p in (0.25, 0.5, 0.75))
-        iqr = q3 - q1
-        rows.append((g, q1, med, q3, q1 - 1.5 * iqr, q3 + 1.5 * iqr))
-    schema = StructType([StructField(group_name, StringType()), StructField("Q1", DoubleType()),
-                         StructField("MEDIAN", DoubleType()), StructField("Q3", DoubleType()),
-                         StructField("_lf", DoubleType()), StructField("_uf", DoubleType())])
-    fences = spark.createDataFrame(rows, schema)
+    rows = _long(df, columns, group_name)
+    quartiles = exact_quantiles(rows, group_name, "_v", QUARTILES)
+    spread = 1.5 * (F.col("Q3") - F.col("Q1"))
+    fences = quartiles.withColumns({"_lf": F.col("Q1") - spread, "_uf": F.col("Q3") + spread})  # a row a column
     v = F.col("_v")
-    inside_lo, inside_hi = v >= F.col("_lf"), v <= F.col("_uf")
-    return (long.where(v.isNotNull() & ~F.isnan(v))
-            .join(F.broadcast(fences), group_name, "inner")
-            .groupBy(group_name, "Q1", "MEDIAN", "Q3")
-            .agg(F.count(F.lit(1)).alias("N"),
-                 F.min(F.when(inside_lo, v)).alias("LOWER_WHISKER"),
-                 F.max(F.when(inside_hi, v)).alias("UPPER_WHISKER"),
-                 F.count(F.when(~(inside_lo & inside_hi), F.lit(1))).alias("N_OUTLIERS")))
-
-
+    low, high = v >= F.col("_lf"), v <= F.col("_uf")
+    out = rows.join(F.broadcast(fences), group_name).groupBy(group_name, *QUARTILES).agg(
+        F.count("*").alias("N"), F.min(F.when(low, v)).alias("LOWER_WHISKER"),
+        F.max(F.when(high, v)).alias("UPPER_WHISKER"), F.count(F.when(~(low & high), F.lit(1))).alias("N_OUTLIERS"))
+    return out.withColumns({q: round_half_even(q, DIGITS) for q in QUARTILES})

@@ -5,6 +5,7 @@ Each runs over the whole driver tables through the entity adapters.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,13 @@ def query(name: str):
     return register
 
 
+#: Widget values of the registered queries; the date range is the data's own.
+FIXTURE = {"pollutant": "1-URGENT", "zone": "1"}
+YEAR_1998 = {"start": dt.date(1998, 1, 1), "end": dt.date(1998, 12, 31)}
+
+
 def _dash(spark: SparkSession, sf_dir: str, **overrides) -> Dashboard:
-    return Dashboard.from_tables(spark, sf_dir, Params(**overrides))
+    return Dashboard.from_tables(spark, sf_dir, Params(**{**FIXTURE, **overrides}))
 
 
 # --- stage 1: weather cleaning and the zone map -------------------------
@@ -46,7 +52,7 @@ def q_outlier_filter(spark, d):
 
 @query("date_range_filter")
 def q_date_range_filter(spark, d):
-    return _dash(spark, d).weather_in_range
+    return _dash(spark, d, **YEAR_1998).weather_in_range
 
 
 @query("station_dim")
@@ -68,20 +74,20 @@ def q_haversine(spark, d):
     return with_centre.withColumn("DIST_CENTER_KM", dist).drop("_c_lat", "_c_lon")
 
 
-def _radius(spark, d, strategy):
-    out = _dash(spark, d).radius_join(strategy)
+def _radius(spark, d):
+    out = _dash(spark, d).radius_join()
     return out.select("GEOCODE", "LATITUDE_ZONE", "LONGITUDE_ZONE", *clean.STATION_COLUMNS,
                       round_half_even("DIST_KM", 6).alias("DIST_KM"))
 
 
 @query("radius_join")
 def q_radius_join(spark, d):
-    return _radius(spark, d, "broadcast")
+    return _radius(spark, d)
 
 
 @query("radius_join_grid")
 def q_radius_join_grid(spark, d):
-    return _radius(spark, d, "grid")
+    return _radius(spark, d)
 
 
 @query("zone_weather_idw")
@@ -99,6 +105,11 @@ def q_zone_display(spark, d):
     return _dash(spark, d).display()
 
 
+@query("zone_display_1998")
+def q_zone_display_1998(spark, d):
+    return _dash(spark, d, **YEAR_1998).display()
+
+
 # --- stage 2: air cleaning, bounds, options ------------------------------
 
 @query("clean_air")

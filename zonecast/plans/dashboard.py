@@ -1,7 +1,9 @@
 """The dashboard query (entry C) as one set of lazy DataFrames.
 
 Parameters of the interactive page become arguments: date range, pollutant,
-radius and the selected zone. Nothing is collected; each view is a
+radius and the selected zone. Without a range the page opens on the first and
+last date of the air measurements, without a pollutant on the first one; both
+are looked up by a small aggregate when first needed. Each view is a lazy
 DataFrame the caller writes or shows.
 """
 
@@ -16,24 +18,18 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.time import resample_rule
 from zonecast.operators import clean, metrics, stats, timeseries
-from zonecast.operators.joins import broadcast_if_small
 from zonecast.sources import tables
 
 
 @dataclass(frozen=True)
 class Params:
-    start: dt.date = dt.date(1998, 1, 1)
-    end: dt.date = dt.date(1998, 12, 31)
-    pollutant: str = "1-URGENT"
+    start: dt.date | None = None   # None: the first date of the air measurements
+    end: dt.date | None = None     # None: their last date
+    pollutant: str | None = None   # None: the first in the list
     radius_km: float = 15.0
-    zone: str = "1"
-    strategy: str = "grid"        # radius join plan: "grid" or "broadcast"
+    zone: str | None = None        # None: all zones; the one-zone views need one
     temp_max: float | None = None  # optional TEMP ceiling (C); off, as in the model
 
-    @property
-    def rule(self) -> str:
-        return resample_rule(self.start, self.end)
-
 
 class Dashboard:
     def __init__(self, zones, air_raw, weather_raw, params: Params = Params(),
@@ -90,41 +86,76 @@ class Dashboard:
     def from_extracts(cls, spark: SparkSession, air_extract: str, weather_extract: str,
                       zones: DataFrame, params: Params = Params()) -> "Dashboard":
         """Serve from the ETL's parquet extracts (partitioned by year, so the
-        date range prunes whole directories). The air extract is already
-        typed and cleaned; only the zone join is redone (small side)."""
+        date range prunes whole directories). The air extract is typed,
+        cleaned and carries its zone's columns already."""
         dash = cls(zones, None, spark.read.parquet(weather_extract).drop("YEAR"), params)
         air = spark.read.parquet(air_extract)
-        cols = ("GEOJOIN_ID", "DATE_OBSERVATION", "NOM_POLLUANT", "VALEUR")
-        dash.air_clean = air.select(*cols)
+        dash.air_clean = dash.air = air.drop("YEAR")
         # in-range views read only the range's year directories; the station
         # dimension and the date bounds still see every date
-        years = F.col("YEAR").between(params.start.year, params.end.year)
-        dash._air_range_src = air.where(years).select(*cols)
+        start, end = dash.range
+        years = F.col("YEAR").between(start.year, end.year) if start else F.lit(True)
+        dash._air_range_src = air.where(years).drop("YEAR")
         dash._weather_range_src = clean.clean_weather(
-            spark.read.parquet(weather_extract).where(years))
+            spark.read.parquet(weather_extract).where(years).drop("YEAR"), params.temp_max)
         return dash
 
+    # --- widget values that default to the data's own ----------------------
+    @cached_property
+    def range(self) -> tuple[dt.date | None, dt.date | None]:
+        """The date range; open ends are the bounds of the air measurements
+        (one aggregate; None when there is no dated measurement)."""
+        start, end = self.p.start, self.p.end
+        if start is None or end is None:
+            low, high = metrics.date_bounds(self.air).first()
+            start, end = start or low, end or high
+        return start, end
+
+    @cached_property
+    def rule(self) -> str:
+        start, end = self.range
+        return resample_rule(start, end) if start and end else "D"
+
+    @cached_property
+    def pollutant(self) -> str:
+        if self.p.pollutant is not None:
+            return self.p.pollutant
+        return self.require_pollutants().first()[0]
+
+    def require_pollutants(self) -> DataFrame:
+        """The pollutants of the range; the page stops where there is none."""
+        found = self.pollutant_list()
+        if found.isEmpty():
+            raise LookupError(f"no pollutant was measured between {self.range[0]} and {self.range[1]}")
+        return found
+
+    @property
+    def zone(self) -> str:
+        if self.p.zone is None:
+            raise ValueError("this view needs a zone")
+        return self.p.zone
+
+    # --- layers kept across interactions -----------------------------------
+    def _layers(self) -> tuple[str, ...]:
+        return ("air_clean", "observations") if self.observations is not None else ("air", "weather")
+
     def persist(self) -> "Dashboard":
-        """Keep the cleaned layers across interactions (the page cache of the
-        model): each view then starts from the cleaned rows."""
+        """Keep each cleaned fact once across interactions (the page cache of
+        the model): every view then starts from the cleaned rows."""
         from pyspark import StorageLevel
-        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src",
-                     "observations"):
-            df = getattr(self, name)
-            if df is not None:
-                setattr(self, name, df.persist(StorageLevel.MEMORY_AND_DISK))
+        self._air_range_src = self._weather_range_src = None     # views filter the kept rows
+        if self.observations is None:
+            self.air_clean = self.air
+        for name in self._layers():
+            setattr(self, name, getattr(self, name).persist(StorageLevel.MEMORY_AND_DISK))
+        if self.observations is None:
+            self.air_clean = self.air
         return self
 
     def unpersist(self) -> "Dashboard":
         """Release the layers kept by :meth:`persist` (the caller ends the session)."""
-        for name in ("air_clean", "weather", "zones", "_air_range_src", "_weather_range_src",
-                     "observations"):
-            df = self.__dict__.get(name)
-            if df is not None and df.is_cached:
-                df.unpersist()
-        if "_named_ids" in self.__dict__:
-            # the cache is keyed by plan: an identical plan releases it
-            self.station_names.select("ID_STATION").distinct().unpersist()
+        for name in self._layers():
+            getattr(self, name).unpersist()
         return self
 
     def with_params(self, params: Params) -> "Dashboard":
@@ -132,8 +163,9 @@ class Dashboard:
         interaction of the page. Cleaned weather is shared only when the
         cleaning parameters are unchanged."""
         other = object.__new__(Dashboard)
-        keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names",
-                "_named_ids"]
+        keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names"]
+        if self.observations is None:
+            keep.append("air")
         if params.temp_max == self.p.temp_max:
             keep += ["weather", "observations"]
         other.__dict__.update({k: v for k, v in self.__dict__.items() if k in keep})
@@ -143,7 +175,8 @@ class Dashboard:
 
     def views(self) -> dict[str, DataFrame]:
         """Every view of one page refresh."""
-        return {"display": self.display(), "kpi": self.kpi_formatted(),
+        display = self.display()
+        return {"display": display, "kpi": metrics.kpi_formatted(metrics.kpi_global(display)),
                 "pollutants": self.pollutant_list(), "air_series": self.resample_air(),
                 "weather_series": self.resample_weather(), "paired": self.paired_series()}
 
@@ -155,14 +188,13 @@ class Dashboard:
 
     @cached_property
     def air_in_range(self) -> DataFrame:
-        src = self.air if self._air_range_src is None else \
-            clean.air_zone_join(self._air_range_src, self.zones)
-        return clean.date_range_filter(src, "DATE_OBSERVATION", self.p.start, self.p.end)
+        src = self.air if self._air_range_src is None else self._air_range_src
+        return clean.date_range_filter(src, "DATE_OBSERVATION", *self.range)
 
     @cached_property
     def weather_in_range(self) -> DataFrame:
         src = self.weather if self._weather_range_src is None else self._weather_range_src
-        return clean.date_range_filter(src, "DATE", self.p.start, self.p.end)
+        return clean.date_range_filter(src, "DATE", *self.range)
 
     @property
     def _star(self) -> bool:
@@ -177,11 +209,6 @@ class Dashboard:
             return clean.station_dim(self.observations, names=self.station_names)
         return clean.station_dim(self.weather)
 
-    def _station_ids_in_range(self) -> DataFrame:
-        if self._star:
-            return self._observations_in_range().select("ID_STATION").distinct()
-        return self.weather_in_range.select("ID_STATION").distinct()
-
     # --- zone map ------------------------------------------------------
     def station_means(self) -> DataFrame:
         if self._star:
@@ -191,22 +218,18 @@ class Dashboard:
 
     def stations_with_means(self) -> DataFrame:
         if self.observations is not None and self.station_names is not None:
-            return metrics.stations_with_means(self.observations, self.p.start, self.p.end,
-                                               names=self.station_names)
-        return metrics.stations_with_means(self.weather, self.p.start, self.p.end)
+            return metrics.stations_with_means(self.observations, *self.range, names=self.station_names)
+        return metrics.stations_with_means(self.weather, *self.range)
 
-    def zone_weather(self, strategy: str | None = None) -> DataFrame:
-        return metrics.zone_weather_idw(self.zones, self.stations_with_means(), self.p.radius_km,
-                                        strategy or self.p.strategy)
+    def zone_weather(self) -> DataFrame:
+        return metrics.zone_weather_idw(self.zones, self.stations_with_means(), self.p.radius_km)
 
-    def radius_join(self, strategy: str | None = None) -> DataFrame:
-        return metrics.radius_join(self.zones, self.stations_with_means(), self.p.radius_km,
-                                   strategy or self.p.strategy)
+    def radius_join(self) -> DataFrame:
+        return metrics.radius_join(self.zones, self.stations_with_means(), self.p.radius_km)
 
     def pollutant_means(self) -> DataFrame:
         src = self.air_clean if self._air_range_src is None else self._air_range_src
-        return metrics.pollutant_zone_mean(src, self.zones, self.p.pollutant,
-                                           self.p.start, self.p.end)
+        return metrics.pollutant_zone_mean(src, self.zones, self.pollutant, *self.range)
 
     def display(self, keep_position: bool = False) -> DataFrame:
         return metrics.zone_display(self.zones, self.pollutant_means(), self.zone_weather(),
@@ -220,83 +243,65 @@ class Dashboard:
         return metrics.kpi_formatted(self.kpi_global())
 
     def zone_detail(self) -> DataFrame:
-        return metrics.zone_detail(self.display(), self.p.zone)
+        return metrics.zone_detail(self.display(), self.zone)
 
     def active_stations(self) -> DataFrame:
-        return metrics.active_station_rows(self._station_ids_in_range(), self.stations)
+        return metrics.active_stations(self.stations_with_means())
 
     def stations_near_center(self) -> DataFrame:
-        lat, lon = metrics.city_centre(self.zones)
-        counted = metrics.count_near(self.active_stations(), lat, lon, self.p.radius_km)
-        return counted.select(lat.alias("LATITUDE_CENTER"), lon.alias("LONGITUDE_CENTER"), "NB_VISIBLE")
+        centre = metrics.centre_row(self.zones)
+        near = metrics.stations_near(centre, self.active_stations(), self.p.radius_km)
+        at = ["LATITUDE_CENTER", "LONGITUDE_CENTER"]
+        counted = near.groupBy(*at).agg(F.count(F.lit(1)).cast("int").alias("NB_VISIBLE"))
+        return centre.join(counted, at, "left").select(*at, F.coalesce("NB_VISIBLE", F.lit(0)).alias("NB_VISIBLE"))
 
     def stations_near_zone(self) -> DataFrame:
-        lat, lon = metrics.zone_position(self.zones, self.p.zone)
-        counted = metrics.count_near(self.active_stations(), lat, lon, self.p.radius_km)
-        return counted.select(F.lit(self.p.zone).alias("GEOCODE"), "NB_VISIBLE")
+        counted = metrics.count_near(metrics.zone_row(self.zones, self.zone), self.active_stations(), self.p.radius_km)
+        return counted.select(F.lit(self.zone).alias("GEOCODE"), "NB_VISIBLE")
 
     def local_weather(self) -> DataFrame:
-        lat, lon = metrics.zone_position(self.zones, self.p.zone)
-        return metrics.local_weather(self.weather_in_range, self.stations, lat, lon, self.p.radius_km)
+        return metrics.local_weather(self.weather_in_range, self.stations, metrics.zone_row(self.zones, self.zone),
+                                     self.p.radius_km)
 
     def pollutant_list(self) -> DataFrame:
         return metrics.pollutant_list(self.air_in_range)
 
     # --- time series ---------------------------------------------------
     def air_series_source(self) -> DataFrame:
-        return self.air_in_range.where(F.col("NOM_POLLUANT") == self.p.pollutant)
+        return self.air_in_range.where(F.col("NOM_POLLUANT") == self.pollutant)
 
     def _observations_in_range(self) -> DataFrame:
-        return clean.date_range_filter(self.observations, "DATE", self.p.start, self.p.end)
-
-    @cached_property
-    def _named_ids(self) -> tuple[DataFrame, bool]:
-        """Ids of the named stations: broadcast when a count proves the set
-        small, else left for keyed pre-aggregation."""
-        return broadcast_if_small(self.station_names.select("ID_STATION").distinct())
+        return clean.date_range_filter(self.observations, "DATE", *self.range)
 
     def _weather_series_input(self) -> tuple[DataFrame, DataFrame | None]:
-        """(rows, keep_keys) for the weather series of the star layout: a
-        small name set filters the observations map-side (broadcast semi
-        join, one aggregation); a large one is met after per-(station,
-        bucket) sums, so raw observations are never joined."""
-        ids, small = self._named_ids
-        obs = self._observations_in_range()
-        if small:
-            return obs.join(ids, "ID_STATION", "left_semi"), None
-        return obs, self.station_names
+        """(rows, keep_keys): in the star layout the observations are summed
+        per station and bucket before those sums meet the station names."""
+        if self._star:
+            return self._observations_in_range(), self.station_names
+        return self.weather_in_range, None
 
     def resample_weather(self, rule: str | None = None) -> DataFrame:
-        if self._star:
-            rows, keys = self._weather_series_input()
-            return timeseries.resample_mean(rows, "DATE", metrics.WEATHER_VARS, rule or self.p.rule,
-                                            keep_keys=keys)
-        return timeseries.resample_mean(self.weather_in_range, "DATE", metrics.WEATHER_VARS,
-                                        rule or self.p.rule)
+        rows, keys = self._weather_series_input()
+        return timeseries.resample_mean(rows, "DATE", metrics.WEATHER_VARS, rule or self.rule, keep_keys=keys)
 
     def resample_air(self, rule: str | None = None) -> DataFrame:
-        return timeseries.resample_mean(self.air_series_source(), "DATE_OBSERVATION", "VALEUR",
-                                        rule or self.p.rule)
+        return timeseries.resample_mean(self.air_series_source(), "DATE_OBSERVATION", "VALEUR", rule or self.rule)
 
     def paired_series(self, rule: str | None = None) -> DataFrame:
-        if self._star:
-            rows, keys = self._weather_series_input()
-            return timeseries.paired_series(self.air_series_source(), rows, rule or self.p.rule,
-                                            weather_keys=keys)
-        return timeseries.paired_series(self.air_series_source(), self.weather_in_range,
-                                        rule or self.p.rule)
+        rows, keys = self._weather_series_input()
+        return timeseries.paired_series(self.air_series_source(), rows, rule or self.rule, weather_keys=keys)
 
     def box_stats(self) -> DataFrame:
-        rows = self.weather_in_range
-        if self._star:
-            ids, small = self._named_ids
-            if small:       # filter observations map-side; no row meets the names table
-                rows = self._observations_in_range().join(ids, "ID_STATION", "left_semi")
+        if self._star:          # observations of named stations, without their names
+            named = self.station_names.select("ID_STATION").distinct()
+            rows = self._observations_in_range().join(named, "ID_STATION", "left_semi")
+        else:
+            rows = self.weather_in_range
         return stats.box_stats(rows, metrics.WEATHER_VARS)
 
     # --- one-zone view: the same charts over the selected zone -----------
     def local_air_source(self) -> DataFrame:
-        return self.air_series_source().where(F.col("GEOJOIN_ID") == self.p.zone)
+        return self.air_series_source().where(F.col("GEOJOIN_ID") == self.zone)
 
     def _local_rows(self) -> DataFrame:
         """Weather rows of the stations near the selected zone, for views that
@@ -304,13 +309,12 @@ class Dashboard:
         filtered directly (the nearby ids come from the named dimension)."""
         if not self._star:
             return self.local_weather()
-        lat, lon = metrics.zone_position(self.zones, self.p.zone)
-        return metrics.local_weather(self._observations_in_range(), self.stations, lat, lon,
-                                     self.p.radius_km)
+        return metrics.local_weather(self._observations_in_range(), self.stations,
+                                     metrics.zone_row(self.zones, self.zone), self.p.radius_km)
 
     def local_paired_series(self, rule: str | None = None) -> DataFrame:
         return timeseries.paired_series(self.local_air_source(), self._local_rows(),
-                                        rule or self.p.rule)
+                                        rule or self.rule)
 
     def local_box_stats(self) -> DataFrame:
         return stats.box_stats(self._local_rows(), metrics.WEATHER_VARS)

@@ -24,13 +24,14 @@ def stations_in_box(spark: SparkSession, stations_csv) -> DataFrame:
 
 
 def weather_layer(spark: SparkSession, stations_csv, weather_base: str,
-                  first_year: int, last_year: int) -> DataFrame:
+                  first_year: int | None = None, last_year: int | None = None) -> DataFrame:
     """Raw weather rows of the in-box stations' landed files (fails when
-    no file of the manifest has landed)."""
-    m = manifest.ingest_manifest(stations_in_box(spark, stations_csv), first_year, last_year)
-    manifest.require_inputs(manifest.manifest_existing(m, manifest.landed_files(spark, weather_base)))
-    rows = manifest.read_manifest_files(spark, weather_base, m)
-    return rows.drop(manifest.YEAR_DIR, manifest.STATION_DIR)
+    no file of the manifest has landed). Years default to those landed."""
+    landed = manifest.landed_files(spark, weather_base)
+    low, high = manifest.year_span(landed)
+    m = manifest.ingest_manifest(stations_in_box(spark, stations_csv), first_year or low, last_year or high)
+    manifest.require_inputs(manifest.manifest_existing(m, landed))
+    return manifest.read_manifest_files(spark, weather_base, m)
 
 
 def write_weather_layer(layer: DataFrame, out: str) -> None:
@@ -54,7 +55,7 @@ def air_extract(spark: SparkSession, feed_path, zones_path, envelope: bool = Tru
     layout = layout or ("envelope" if envelope else "lines")
     records = jsonfeed.read_records(spark, feed_path, layout)
     manifest.require_inputs(records, "air-quality record in the feed")
-    air = clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(records)))
+    air = clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(jsonfeed.whole_records(records))))
     zones = ensure_centroid(geojson.read_geojson(spark, zones_path, collection=zones_collection),
                             projected)
     return clean.air_zone_join(air, zones)

@@ -3,6 +3,9 @@ folder under the shared checkpoint location, then read back)."""
 
 from __future__ import annotations
 
+import weakref
+
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import round_half_even
@@ -13,19 +16,25 @@ from zonecast.plans.catalog import query
 from zonecast.session import scratch_path
 from zonecast.sources import csv, geojson, jsonfeed, manifest, parquet, tables
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001   # span of the daily files in the fixtures
+_WRITTEN: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _once(spark, kind, d, write):
+    """The path of an input the adapters write, once a session and scale."""
+    made = _WRITTEN.setdefault(spark, {})
+    if (kind, d) not in made:
+        path = scratch_path(spark, kind)
+        write(path)
+        made[kind, d] = path
+    return made[kind, d]
 
 
 def _stations_csv(spark, d):
-    path = scratch_path(spark, "stations-csv")
-    csv.write_station_csv(tables.station_list(spark, d), path)
-    return path
+    return _once(spark, "stations-csv", d, lambda p: csv.write_station_csv(tables.station_list(spark, d), p))
 
 
 def _weather_files(spark, d):
-    base = scratch_path(spark, "weather-csv")
-    csv.write_weather_csv(tables.weather_files_frame(spark, d), base)
-    return base
+    return _once(spark, "weather-csv", d, lambda p: csv.write_weather_csv(tables.weather_files_frame(spark, d), p))
 
 
 def _keyed_stations(spark, d):
@@ -55,7 +64,7 @@ def q_bbox_filter(spark, d):
 @query("ingest_manifest")
 def q_ingest_manifest(spark, d):
     st = clean.bbox_filter(clean.drop_null_subset(_keyed_stations(spark, d)))
-    return manifest.ingest_manifest(st, FIRST_YEAR, LAST_YEAR)
+    return manifest.ingest_manifest(st, *manifest.year_span(manifest.landed_files(spark, _weather_files(spark, d))))
 
 
 def _manifest_and_landed(spark, d):
@@ -86,8 +95,7 @@ def q_scan_weather_csv(spark, d):
 @query("weather_etl")
 def q_weather_etl(spark, d):
     """Entry A end to end: inventory CSV + daily CSVs -> raw layer -> read back."""
-    layer = etl.weather_layer(spark, _stations_csv(spark, d), _weather_files(spark, d),
-                              FIRST_YEAR, LAST_YEAR)
+    layer = etl.weather_layer(spark, _stations_csv(spark, d), _weather_files(spark, d))
     out = scratch_path(spark, "weather-layer")
     etl.write_weather_layer(layer, out)
     return clean.weather_lite(parquet.read_layer(spark, out))
@@ -100,26 +108,34 @@ def q_weather_lite(spark, d):
 
 @query("sink_parquet_roundtrip")
 def q_sink_parquet_roundtrip(spark, d):
-    """Weather extract written by year, read back for one year (the year
-    directories outside the range are pruned)."""
+    """Weather extract written by year and read back whole."""
     out = scratch_path(spark, "weather-extract")
     parquet.write_partitioned(clean.weather_lite(tables.weather_raw(spark, d)), out, "DATE")
-    back = parquet.read_layer(spark, out)
-    return clean.weather_lite(back.where((F.col("YEAR") == 1998)))
+    return clean.weather_lite(parquet.read_layer(spark, out))
+
+
+@query("layer_year_1998")
+def q_layer_year(spark, d):
+    """One year of the weather extract: the other year directories are pruned."""
+    out = scratch_path(spark, "weather-extract")
+    parquet.write_partitioned(clean.weather_lite(tables.weather_raw(spark, d)), out, "DATE")
+    return clean.weather_lite(parquet.read_layer(spark, out).where(F.col("YEAR") == 1998))
+
 
+_FEED_WRITERS = {"lines": jsonfeed.write_json_rows, "envelope": jsonfeed.write_json_envelopes,
+                 "array": jsonfeed.write_json_arrays}
 
-def _feed(spark, d, envelope: bool):
-    path = scratch_path(spark, "air-feed")
-    lines = tables.air_feed_lines(spark, d)
-    if envelope:
-        jsonfeed.write_json_envelopes(lines, path)
-        return jsonfeed.read_json_envelope(spark, path)
-    jsonfeed.write_json_rows(lines, path)
-    return jsonfeed.read_json_rows(spark, path)
+
+def _feed_path(spark, d, layout: str):
+    return _once(spark, f"feed-{layout}", d, lambda p: _FEED_WRITERS[layout](tables.air_feed_lines(spark, d), p))
+
+
+def _feed(spark, d, layout: str):
+    return jsonfeed.read_records(spark, _feed_path(spark, d, layout), layout)
 
 
 def _feed_columns(records):
-    named = jsonfeed.name_fields(records)
+    named = jsonfeed.name_fields(jsonfeed.whole_records(records))
     return named.select(F.col("GEOJOIN_ID_BRUT").alias("GEOJOIN_ID"), "DATE_MESURE_BRUTE",
                         "NOM_POLLUANT", F.col("VALEUR_MESURE_BRUTE").alias("VALEUR_BRUTE"),
                         "col_1", "col_3")
@@ -127,18 +143,33 @@ def _feed_columns(records):
 
 @query("scan_json_rows")
 def q_scan_json_rows(spark, d):
-    return _feed_columns(_feed(spark, d, envelope=False))
+    return _feed_columns(_feed(spark, d, "lines"))
 
 
 @query("scan_json_envelope")
 def q_scan_json_envelope(spark, d):
-    return _feed_columns(_feed(spark, d, envelope=True))
+    return _feed_columns(_feed(spark, d, "envelope"))
+
+
+@query("scan_json_array")
+def q_scan_json_array(spark, d):
+    return _feed_columns(_feed(spark, d, "array"))
+
+
+@query("rejected_json_records")
+def q_rejected_json_records(spark, d):
+    return jsonfeed.rejected_records(_feed(spark, d, "lines"))
 
 
 def _zones_file(spark, d):
-    path = scratch_path(spark, "zones-geojson")
-    geojson.write_geojson(geojson.square_zones(tables.zones(spark, d)), path)
-    return path
+    return _once(spark, "zones-geojson", d, lambda p: geojson.write_geojson(geojson.shaped_zones(tables.zones(spark, d)), p))
+
+
+def _vertex_sums(coordinates):
+    """Both coordinates of all vertices, weighted by their place."""
+    points = F.flatten(F.flatten(coordinates))
+    weighted = lambda axis: F.aggregate(F.transform(points, lambda p, i: (i + 1) * p[axis]), F.lit(0.0), lambda a, v: a + v)
+    return round_half_even(weighted(0), 6).alias("X_SUM"), round_half_even(weighted(1), 6).alias("Y_SUM")
 
 
 @query("sink_geojson")
@@ -148,7 +179,9 @@ def q_sink_geojson(spark, d):
     j = F.col("value")
     return lines.select(F.get_json_object(j, "$.properties.GEOCODE").alias("GEOCODE"),
                         F.get_json_object(j, "$.type").alias("FEATURE_TYPE"),
-                        F.get_json_object(j, "$.geometry.type").alias("GEOM_TYPE"))
+                        F.get_json_object(j, "$.geometry.type").alias("GEOM_TYPE"),
+                        *_vertex_sums(geojson.coordinates(F.get_json_object(j, "$.geometry.type"),
+                                                          F.get_json_object(j, "$.geometry.coordinates"))))
 
 
 @query("scan_geojson")
@@ -161,7 +194,7 @@ def q_scan_geojson(spark, d):
                     .alias("N_RINGS"),
                     F.aggregate(F.transform(c, lambda p: F.aggregate(
                         F.transform(p, lambda r: F.size(r)), F.lit(0), lambda a, b: a + b)),
-                        F.lit(0), lambda a, b: a + b).alias("N_POINTS"))
+                        F.lit(0), lambda a, b: a + b).alias("N_POINTS"), *_vertex_sums(c))
 
 
 def _centroids(spark, d, projected: bool, digits: int):
@@ -184,9 +217,7 @@ def q_zone_centroid_projected(spark, d):
 def q_air_etl(spark, d):
     """Entry B end to end: feed envelope + zone GeoJSON -> air extract ->
     read back (centroids from the geometry, reported to 1e-9 degrees)."""
-    feed = scratch_path(spark, "air-feed")
-    jsonfeed.write_json_envelopes(tables.air_feed_lines(spark, d), feed)
-    air = etl.air_extract(spark, feed, _zones_file(spark, d), envelope=True, projected=False)
+    air = etl.air_extract(spark, _feed_path(spark, d, "envelope"), _zones_file(spark, d), envelope=True, projected=False)
     out = scratch_path(spark, "air-extract")
     parquet.write_partitioned(air, out, "DATE_OBSERVATION")
     back = parquet.read_layer(spark, out)
@@ -201,7 +232,8 @@ def q_stream_ingest_weather(spark, d):
     from zonecast.streaming import ingest
     base = _weather_files(spark, d)
     layer = scratch_path(spark, "weather-stream-layer")
-    ingest.land_new_files(spark, base, layer, scratch_path(spark, "weather-stream-ckpt"))
+    ingest.land_new_files(spark, base, layer, scratch_path(spark, "weather-stream-ckpt"),
+                          etl.stations_in_box(spark, _stations_csv(spark, d)))
     return clean.weather_lite(ingest.read_landed(spark, layer))
 
 
@@ -209,9 +241,7 @@ def q_stream_ingest_weather(spark, d):
 def q_stream_ingest_air(spark, d):
     """Air feed files landed incrementally into the air extract, read back."""
     from zonecast.streaming import ingest
-    feed = scratch_path(spark, "air-feed-lines")
-    jsonfeed.write_json_rows(tables.air_feed_lines(spark, d), feed)
     out = scratch_path(spark, "air-stream-extract")
-    ingest.land_new_feed_lines(spark, feed, tables.zones(spark, d), out,
+    ingest.land_new_feed_lines(spark, _feed_path(spark, d, "lines"), tables.zones(spark, d), out,
                                scratch_path(spark, "air-stream-ckpt"))
     return parquet.read_layer(spark, out).drop("YEAR")

@@ -7,39 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 # Fixed values of the daily weather file format: the 28 fields in file order.
-DAILY_FIELDS = """
-STATION string
-DATE string
-LATITUDE double
-LONGITUDE double
-ELEVATION double
-NAME string
-TEMP double
-TEMP_ATTRIBUTES string
-DEWP double
-DEWP_ATTRIBUTES string
-SLP double
-SLP_ATTRIBUTES string
-STP double
-STP_ATTRIBUTES string
-VISIB double
-VISIB_ATTRIBUTES string
-WDSP double
-WDSP_ATTRIBUTES string
-MXSPD double
-GUST double
-MAX double
-MAX_ATTRIBUTES string
-MIN double
-MIN_ATTRIBUTES string
-PRCP double
-PRCP_ATTRIBUTES string
-SNDP double
-FRSHHT string
-"""
-_TYPES = {"string": StringType(), "double": DoubleType()}
-DAILY_SCHEMA = StructType([StructField(name, _TYPES[kind], True)
-                           for name, kind in (line.split() for line in DAILY_FIELDS.strip().splitlines())])
+DAILY_SCHEMA = StructType([
+    StructField("STATION", StringType()),
+    StructField("DATE", StringType()),
+    StructField("LATITUDE", DoubleType()),
+    StructField("LONGITUDE", DoubleType()),
+    StructField("ELEVATION", DoubleType()),
+    StructField("NAME", StringType()),
+    StructField("TEMP", DoubleType()),
+    StructField("TEMP_ATTRIBUTES", StringType()),
+    StructField("DEWP", DoubleType()),
+    StructField("DEWP_ATTRIBUTES", StringType()),
+    StructField("SLP", DoubleType()),
+    StructField("SLP_ATTRIBUTES", StringType()),
+    StructField("STP", DoubleType()),
+    StructField("STP_ATTRIBUTES", StringType()),
+    StructField("VISIB", DoubleType()),
+    StructField("VISIB_ATTRIBUTES", StringType()),
+    StructField("WDSP", DoubleType()),
+    StructField("WDSP_ATTRIBUTES", StringType()),
+    StructField("MXSPD", DoubleType()),
+    StructField("GUST", DoubleType()),
+    StructField("MAX", DoubleType()),
+    StructField("MAX_ATTRIBUTES", StringType()),
+    StructField("MIN", DoubleType()),
+    StructField("MIN_ATTRIBUTES", StringType()),
+    StructField("PRCP", DoubleType()),
+    StructField("PRCP_ATTRIBUTES", StringType()),
+    StructField("SNDP", DoubleType()),
+    StructField("FRSHHT", StringType()),
+])
 DAILY_COLUMNS = [f.name for f in DAILY_SCHEMA.fields]
 
 STATION_FIELDS = ("USAF", "WBAN", "STATION NAME", "LAT", "LON")
@@ -57,7 +54,7 @@ def read_station_csv(spark: SparkSession, path) -> DataFrame:
 
 def write_station_csv(stations: DataFrame, path: str) -> None:
     stations.select(*[F.col(f"`{c}`") for c in STATION_FIELDS]) \
-        .write.mode("overwrite").option("header", True).csv(path)
+        .write.mode("overwrite").option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
@@ -68,16 +65,27 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
     return reader.schema(DAILY_SCHEMA).csv(paths).withColumnRenamed("STATION", "ID_STATION")
 
 
-def write_weather_csv(weather: DataFrame, base: str, year_col: str = "_YEAR",
-                      station_col: str = "_STN") -> None:
-    """One directory per station and year (``{base}/_YEAR=y/_STN=id``).
-    Rows are rebalanced on (year, station) first, so a directory normally
-    gets one file; AQE splits an oversized station-year into several files
-    rather than one straggler task. The weather frame needs the 28 file
-    columns (missing ones are left empty) plus the two layout columns."""
+def write_weather_csv(weather: DataFrame, base: str) -> None:
+    """The layout the daily files are published in: ``{base}/{year}/{station}.csv``.
+
+    ``weather`` has file columns (missing ones are left empty) and the layout
+    columns YEAR and STN_ID. Spark writes one directory a file into
+    ``{base}-parts``, from where each file is renamed on the shared storage.
+    """
+    spark = weather.sparkSession
     cols = [F.col(c) if c in weather.columns else F.lit(None).cast(DAILY_SCHEMA[c].dataType).alias(c)
             for c in DAILY_COLUMNS]
-    (weather.select(*cols, F.col(year_col), F.col(station_col))
-     .hint("rebalance", year_col, station_col)
-     .write.mode("overwrite").partitionBy(year_col, station_col)
-     .option("header", True).csv(base))
+    # one task a station and year: a file each, as published
+    (weather.select(*cols, "YEAR", "STN_ID").repartition("YEAR", "STN_ID")
+     .write.mode("overwrite").partitionBy("YEAR", "STN_ID").option("header", True).csv(f"{base}-parts"))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for year in files.listStatus(path(f"{base}-parts")):
+        if not year.isDirectory():
+            continue
+        name = year.getPath().getName().split("=")[1]
+        files.mkdirs(path(f"{base}/{name}"))
+        for station in files.listStatus(year.getPath()):
+            part = files.globStatus(path(station.getPath(), "part-*.csv"))[0].getPath()
+            files.rename(part, path(f"{base}/{name}/{station.getPath().getName().split('=')[1]}.csv"))

@@ -19,12 +19,17 @@ _MULTI = "array<array<array<array<double>>>>"
 
 
 
+def coordinates(geom_type: Column, text: Column) -> Column:
+    """MultiPolygon coordinates from the JSON text of a geometry's coordinates."""
+    return (F.when(geom_type == "Polygon", F.array(F.from_json(text, _POLYGON)))
+            .when(geom_type == "MultiPolygon", F.from_json(text, _MULTI)))
+
+
 def _normalise(df: DataFrame) -> DataFrame:
     """Properties as columns; coordinates typed by geometry type (a Polygon
     becomes a one-part MultiPolygon)."""
     g = F.col("f.geometry")
-    coords = (F.when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], _POLYGON)))
-              .when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], _MULTI)))
+    coords = coordinates(g["type"], g["coordinates"])
     return df.select(*[F.col(f"f.properties.{p}").alias(p) for p in PROPERTIES],
                      g["type"].alias("GEOM_TYPE"), coords.alias("COORDINATES"))
 
@@ -56,20 +61,25 @@ def write_geojson(zones: DataFrame, path: str) -> None:
     zones.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def square_zones(zones: DataFrame, half: float = 0.01, hole: float = 0.004) -> DataFrame:
-    """Test geometry for zones: a square of half-width ``half`` degrees on the
-    zone centre; for even codes a centred square hole of half-width ``hole``
-    and MultiPolygon type. The centroid is the zone centre by symmetry."""
-    x, y = F.col("LONGITUDE_ZONE"), F.col("LATITUDE_ZONE")
+#: Rings of the adapters' zones in thousandths of a degree from the zone centre: part, codes that have it, vertices.
+SHAPES = [
+    (0, 1, [(-10, -10), (12, -10), (15, 4), (0, 11), (-9, 6), (-10, -10)]),
+    (0, 2, [(2, -3), (6, -3), (2, 1), (2, -3)]),                 # a hole
+    (1, 4, [(20, 20), (27, 20), (20, 23), (20, 20)]),            # a second part
+]
+
+
+def shaped_zones(zones: DataFrame) -> DataFrame:
+    """Geometry for zones without one: a lopsided pentagon; for even codes with
+    a hole, as a MultiPolygon; for codes divisible by four in two parts."""
+    x, y, code = F.col("LONGITUDE_ZONE"), F.col("LATITUDE_ZONE"), F.col("GEOCODE").try_cast("long")
 
-    def ring(h: float, clockwise: bool) -> Column:
-        pts = [(-h, -h), (h, -h), (h, h), (-h, h), (-h, -h)]
-        if clockwise:
-            pts = pts[::-1]
-        return F.array(*[F.array(x + dx, y + dy) for dx, dy in pts])
+    def ring(vertices) -> Column:
+        return F.array(*[F.array(x + dx * 0.001, y + dy * 0.001) for dx, dy in vertices])
 
-    even = (F.col("GEOCODE").try_cast("long") % 2) == 0
-    with_hole = F.array(ring(half, False), ring(hole, True))
-    coords = F.when(even, F.array(with_hole)).otherwise(F.array(F.array(ring(half, False))))
-    return zones.select(*PROPERTIES, F.when(even, "MultiPolygon").otherwise("Polygon").alias("GEOM_TYPE"),
+    (_, _, shell), (_, even, hole), (_, fourth, second) = SHAPES
+    holed = F.array(ring(shell), ring(hole))
+    coords = (F.when(code % fourth == 0, F.array(holed, F.array(ring(second))))
+              .when(code % even == 0, F.array(holed)).otherwise(F.array(F.array(ring(shell)))))
+    return zones.select(*PROPERTIES, F.when(code % even == 0, "MultiPolygon").otherwise("Polygon").alias("GEOM_TYPE"),
                         coords.alias("COORDINATES"))

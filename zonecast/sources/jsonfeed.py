@@ -49,9 +49,19 @@ def read_records(spark: SparkSession, path, layout: str = "envelope") -> DataFra
     return readers[layout](spark, path)
 
 
+def whole_records(records: DataFrame) -> DataFrame:
+    """The records of the right width; see :func:`rejected_records`."""
+    return records.where(F.size("r") == RECORD_WIDTH)
+
+
+def rejected_records(records: DataFrame) -> DataFrame:
+    """Records that are too short or too long, counted by their width."""
+    return (records.where(F.size("r") != RECORD_WIDTH).groupBy(F.size("r").alias("WIDTH"))
+            .agg(F.count("*").alias("N_RECORDS")))
+
+
 def name_fields(records: DataFrame) -> DataFrame:
-    """Twenty named text columns from the record arrays. A short record gives
-    NULL in the missing positions (``get``), a long one is cut to 20."""
+    """Twenty named text columns from the record arrays."""
     return records.select(*[F.get("r", i).alias(NAMED_FIELDS.get(i, f"col_{i}"))
                             for i in range(RECORD_WIDTH)])
 
@@ -77,17 +87,25 @@ def record_line(cells: dict[int, Column]) -> Column:
     return F.concat(F.lit("["), *parts, F.lit("]"))
 
 
+def write_json_arrays(lines: DataFrame, path: str, rows_per_doc: int = ENVELOPE_ROWS) -> None:
+    """Bare list-of-lists documents of at most ``rows_per_doc`` records, one per file."""
+    _write_documents(lines, path, rows_per_doc, "[", "]")
+
+
 def write_json_rows(lines: DataFrame, path: str) -> None:
     lines.select(F.col("line").alias("value")).write.mode("overwrite").text(path)
 
 
 def write_json_envelopes(lines: DataFrame, path: str, rows_per_doc: int = ENVELOPE_ROWS) -> None:
-    """Envelope documents of at most ``rows_per_doc`` records, one per file. Chunks
-    never cross input partitions (the id's high bits are the partition), so
-    no group exceeds the bound."""
+    """Envelope documents of at most ``rows_per_doc`` records, one per file."""
+    _write_documents(lines, path, rows_per_doc, '{"data":[', "]}")
+
+
+def _write_documents(lines: DataFrame, path: str, rows_per_doc: int, head: str, tail: str) -> None:
+    """Chunks never cross input partitions (the id's high bits are the
+    partition), so no group exceeds the bound."""
     chunk = F.floor(F.monotonically_increasing_id() / rows_per_doc)
     docs = (lines.withColumn("_chunk", chunk).groupBy("_chunk")
-            .agg(F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("line")),
-                          F.lit("]}")).alias("value")))
+            .agg(F.concat(F.lit(head), F.concat_ws(",", F.collect_list("line")), F.lit(tail)).alias("value")))
     # one directory per chunk, so every file holds exactly one document
     docs.write.mode("overwrite").partitionBy("_chunk").text(path)

@@ -1,21 +1,25 @@
 """Ingest manifest: which (station, year) daily files to load.
 
-The reference walks years x stations in nested loops and probes the file
-system per path. Here the manifest is a DataFrame (stations exploded over
-a year sequence), the landed files come from one distributed listing that
-reads paths only, and the reader prunes directories through the manifest
-join instead of receiving a driver-built path list.
+The manifest is a DataFrame (stations exploded over a year sequence), the
+landed files come from one recursive listing that reads paths only, and both
+meet by (year, station), the two parts of a file's path
+``{base}/{year}/{station}.csv``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from zonecast.sources.csv import DAILY_SCHEMA
 
-YEAR_DIR, STATION_DIR = "_YEAR", "_STN"
+DAILY_PATH = r"/([0-9]{4})/([^/]+)\.csv$"
+
+
+def path_keys(path: str) -> list[Column]:
+    """YEAR and STN_ID (NULL outside the layout) of a daily file's path."""
+    return [F.regexp_extract(path, DAILY_PATH, 1).try_cast("int").alias("YEAR"),
+            F.nullif(F.regexp_extract(path, DAILY_PATH, 2), F.lit("")).alias("STN_ID")]
 
 
 def ingest_manifest(stations: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -23,8 +27,7 @@ def ingest_manifest(stations: DataFrame, first_year: int, last_year: int) -> Dat
     de-duplicated first: a path listed twice would be read twice."""
     return (stations.select("STN_ID").where(F.col("STN_ID").isNotNull()).distinct()
             .withColumn("YEAR", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))))
-            .withColumn("REL_PATH", F.concat(F.lit(f"{YEAR_DIR}="), F.col("YEAR").cast("string"),
-                                             F.lit(f"/{STATION_DIR}="), F.col("STN_ID"))))
+            .withColumn("REL_PATH", F.concat(F.col("YEAR").cast("string"), F.lit("/"), F.col("STN_ID"), F.lit(".csv"))))
 
 
 def landed_files(spark: SparkSession, base: str) -> DataFrame:
@@ -32,10 +35,15 @@ def landed_files(spark: SparkSession, base: str) -> DataFrame:
     column is selected, so file contents are never read."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                .option("pathGlobFilter", "*.csv").load(base).select("path"))
-    year = F.regexp_extract("path", rf"/{YEAR_DIR}=([0-9]+)/", 1)
-    stn = F.regexp_extract("path", rf"/{STATION_DIR}=([^/]+)/", 1)
-    return (listing.select(year.try_cast("int").alias("YEAR"), stn.alias("STN_ID"))
-            .where(F.col("YEAR").isNotNull() & (F.col("STN_ID") != "")).distinct())
+    return listing.select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
+
+
+def year_span(landed: DataFrame) -> tuple[int, int]:
+    """First and last landed year."""
+    low, high = landed.agg(F.min("YEAR"), F.max("YEAR")).first()
+    if low is None:
+        raise FileNotFoundError("no daily weather file found")
+    return low, high
 
 
 def manifest_existing(manifest: DataFrame, landed: DataFrame) -> DataFrame:
@@ -55,14 +63,9 @@ def require_inputs(df: DataFrame, what: str = "daily weather file for the manife
 
 
 def read_manifest_files(spark: SparkSession, base: str, manifest: DataFrame) -> DataFrame:
-    """Daily weather rows of the manifest's files. The directory layout is
-    a partitioned dataset; the semi join on its partition columns lets
-    dynamic partition pruning skip every directory outside the manifest."""
-    schema = StructType(list(DAILY_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
-                                                    StructField(STATION_DIR, StringType())])
-    # the glob keeps anything outside the year/station layout out of the scan
-    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("basePath", base)
-            .schema(schema).csv(f"{base.rstrip('/')}/{YEAR_DIR}=*/{STATION_DIR}=*"))
-    keys = manifest.select(F.col("YEAR").alias(YEAR_DIR), F.col("STN_ID").alias(STATION_DIR))
-    return (rows.join(keys, [YEAR_DIR, STATION_DIR], "left_semi")
-            .withColumnRenamed("STATION", "ID_STATION"))
+    """Daily weather rows of the manifest's files: one recursive read of the
+    landed files, whose rows meet the manifest by their file's path."""
+    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv").schema(DAILY_SCHEMA).csv(base))
+    rows = rows.withColumnRenamed("STATION", "ID_STATION").select("*", *path_keys("_metadata.file_path"))
+    return rows.join(manifest.select("YEAR", "STN_ID"), ["YEAR", "STN_ID"], "left_semi").drop("YEAR", "STN_ID")

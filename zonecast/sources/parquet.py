@@ -14,8 +14,9 @@ def write_partitioned(df: DataFrame, path: str, date_col: str, year_col: str = "
     year (no tasks x years small files), and AQE splits a heavy year into
     advisory-size pieces instead of one straggler task.
     """
-    d = F.col(date_col)
-    year = F.year(d if dict(df.dtypes)[date_col] == "date" else F.try_to_date(d))
+    if dict(df.dtypes)[date_col] != "date":         # text dates are typed, so that row groups prune too
+        df = df.withColumn(date_col, F.try_to_date(date_col))
+    year = F.year(date_col)
     (df.withColumn(year_col, year).hint("rebalance", year_col)
      .write.mode("overwrite").partitionBy(year_col).parquet(path))
 

@@ -10,36 +10,50 @@ batch exactly once (a failed batch is retried from the log).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql import functions as F
 
+from zonecast.operators import clean
+from zonecast.sources import jsonfeed
 from zonecast.sources.csv import DAILY_SCHEMA
-from zonecast.sources.manifest import STATION_DIR, YEAR_DIR
+from zonecast.sources.manifest import path_keys
 
 MAX_FILES_PER_TRIGGER = 1000
 
 
 def weather_file_stream(spark: SparkSession, source_dir: str,
                         max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Streaming rows of the daily files under ``source_dir`` (the
-    year/station directory layout supplies two partition columns)."""
-    schema = StructType(list(DAILY_SCHEMA.fields) + [StructField(YEAR_DIR, IntegerType()),
-                                                    StructField(STATION_DIR, StringType())])
-    return (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir)
-            .withColumnRenamed("STATION", "ID_STATION"))
+    """Streaming rows of the daily files under ``source_dir``
+    (``{year}/{station}.csv``), with YEAR and STN_ID from the path."""
+    rows = (spark.readStream.schema(DAILY_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+            .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
+    return rows.withColumnRenamed("STATION", "ID_STATION").select("*", *path_keys("_metadata.file_path"))
+
+
+def _rows_in(spark: SparkSession, path: str) -> int:
+    """Rows a sink has committed (0 before its first batch)."""
+    store = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = store.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(store) or not any(s.getPath().getName().startswith("YEAR=") for s in files.listStatus(store)):
+        return 0
+    return spark.read.parquet(path).count()
 
 
 def land_new_files(spark: SparkSession, source_dir: str, layer_path: str, checkpoint: str,
+                   stations: DataFrame | None = None,
                    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> int:
     """Append every not-yet-landed file to the raw layer (partitioned by
-    year); returns the number of rows written by this run."""
-    rows = (weather_file_stream(spark, source_dir, max_files_per_trigger)
-            .drop(STATION_DIR).withColumnRenamed(YEAR_DIR, "YEAR"))
+    year); returns the number of rows written by this run. ``stations``
+    (STN_ID) restricts the load to their files, as the manifest does."""
+    rows = weather_file_stream(spark, source_dir, max_files_per_trigger).where("YEAR IS NOT NULL")
+    if stations is not None:
+        rows = rows.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
+    rows, before = rows.drop("STN_ID"), _rows_in(spark, layer_path)
     q = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("YEAR")
          .trigger(availableNow=True).start(layer_path))
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows_in(spark, layer_path) - before
 
 
 def read_landed(spark: SparkSession, layer_path: str) -> DataFrame:
@@ -55,20 +69,17 @@ def land_new_feed_lines(spark: SparkSession, feed_dir: str, zones: DataFrame, ex
 
     Records are typed and cleaned as in the batch ETL, then joined to the
     zone table (a stream-static join: the zone side is a small static
-    dimension, re-read each micro-batch). Returns the rows read by this run.
+    dimension, re-read each micro-batch). Returns the rows written by this run.
     """
-    from pyspark.sql import functions as F
-
-    from zonecast.operators import clean
-    from zonecast.sources import jsonfeed
-
+    before = _rows_in(spark, extract_path)
     lines = spark.readStream.schema("value string").option("maxFilesPerTrigger",
                                                           max_files_per_trigger).text(feed_dir)
     records = lines.select(F.from_json("value", "array<string>").alias("r")).where(F.col("r").isNotNull())
-    air = clean.air_zone_join(clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(records))), zones)
+    named = jsonfeed.name_fields(jsonfeed.whole_records(records))
+    air = clean.air_zone_join(clean.clean_air(jsonfeed.to_air_raw(named)), zones)
     q = (air.withColumn("YEAR", F.year("DATE_OBSERVATION"))
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("YEAR")
          .trigger(availableNow=True).start(extract_path))
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows_in(spark, extract_path) - before
