@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import idw_weight
@@ -45,10 +45,14 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
         sums += [F.sum(x).alias(f"_s_{v}"), F.count(x).alias(f"_n_{v}")]
     per_variant = weather.where(F.col("ID_STATION").isNotNull()).groupBy(*keys).agg(
         *sums, F.count(F.when(in_range, F.lit(1))).alias("_rows"))
-    # means by id by a second aggregate, joined back: no task holds all variants of an id
-    means = per_variant.groupBy("ID_STATION").agg(F.sum("_rows").alias("_id_rows"), *[
-        F.when(F.sum(f"_n_{v}") > 0, F.sum(f"_s_{v}") / F.sum(f"_n_{v}")).alias(v) for v in WEATHER_VARS])
-    out = per_variant.select(*keys).join(means.where(F.col("_id_rows") > 0), "ID_STATION").select(*keys, *WEATHER_VARS)
+    # over the positions of an id, already aggregated; joining means back would read the observations twice
+    by_id = Window.partitionBy("ID_STATION")
+    means = {}
+    for v in WEATHER_VARS:
+        n = F.sum(f"_n_{v}").over(by_id)
+        means[v] = F.when(n > 0, F.sum(f"_s_{v}").over(by_id) / n)
+    out = (per_variant.withColumns({**means, "_id_rows": F.sum("_rows").over(by_id)})
+           .where(F.col("_id_rows") > 0).select(*keys, *WEATHER_VARS))
     if names is not None:
         out = out.join(names, "ID_STATION", "inner")
     return out.select(*STATION_COLUMNS, *WEATHER_VARS)
