@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm.storage import picked, written
-from zonecast.llm.text import SPACE_CHARS, whole, words
+from zonecast.llm.text import whole, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -19,27 +19,37 @@ FEATURES = ("log_words", "mean_word", "symbol_share", "dup_line_share", "repeat_
 
 
 def _without(text: str, chars: str) -> str:
-    quoted = chars.replace("\\", "\\\\").replace("'", "\\'")
-    return f"char_length(translate({text}, '{quoted}', ''))"
+    return f"char_length(translate({text}, '{chars}', ''))"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``value`` computed once and called ``name``.
+
+    A column used inside a lambda may be copied into it and evaluated for
+    every element; a lambda variable is not.
+    """
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 def _repeat_words(w: str) -> str:
     """SQL for the words inside windows that are found twice or more.
 
-    Windows are compared by 64-bit hashes of their words. Mostly all differ
-    and nothing more is done; else the hashes are sorted with their places,
-    and the union of the repeated windows is measured from place to place.
-    Each ``transform(array(x), v -> ...)`` computes x once and names it v.
+    Windows of 8 words are compared by 64-bit hashes, made of the hashes of
+    words, pairs and fours. Mostly all differ and nothing more is done; else
+    the hashes are sorted with their places, and the union of the repeated
+    windows is measured from place to place.
     """
+    joined = lambda x, step: f"transform({x}, (v, i) -> xxhash64(v, get({x}, i + {step})))"
     near = "coalesce(get(s, j - 1).h = s[j].h, false) OR coalesce(get(s, j + 1).h = s[j].h, false)"
     union = f"""aggregate(transform(p, (x, k) -> least({WINDOW}, coalesce(get(p, k + 1) - x, {WINDOW}))),
         0L, (a, x) -> a + x)"""
     places = f"sort_array(transform(filter(sequence(0, size(s) - 1), j -> {near}), j -> s[j].i))"
     ranked = "sort_array(transform(h, (x, i) -> struct(x AS h, i AS i)))"
-    hashes = f"transform(sequence(1, size({w}) - {WINDOW - 1}), i -> xxhash64(slice({w}, i, {WINDOW})))"
-    return f"""CASE WHEN size({w}) <= {WINDOW} THEN 0L ELSE get(transform(array({hashes}), h ->
-      CASE WHEN size(array_distinct(h)) = size(h) THEN 0L ELSE
-        get(transform(array({ranked}), s -> get(transform(array({places}), p -> {union}), 0)), 0) END), 0) END"""
+    counted = f"""CASE WHEN size(array_distinct(h)) = size(h) THEN 0L
+        ELSE {_let('s', ranked, _let('p', places, union))} END"""
+    hashes = _let("h1", f"transform({w}, x -> xxhash64(x))", _let("h2", joined("h1", 1), _let(
+        "h4", joined("h2", 2), f"slice({joined('h4', 4)}, 1, size({w}) - {WINDOW - 1})")))
+    return f"CASE WHEN size({w}) <= {WINDOW} THEN 0L ELSE {_let('h', hashes, counted)} END"
 
 
 def with_statistics(df: DataFrame, text: Column) -> DataFrame:
@@ -49,17 +59,20 @@ def with_statistics(df: DataFrame, text: Column) -> DataFrame:
     df = df.withColumn("_l", F.expr(
         r"filter(split(_t, '\n'), x -> translate(x, ' \t\u000b\f\r', '') != '')".replace(
             r"\u000b", "\x0b").replace(r"\f", "\x0c")))
+    marks = SYMBOLS + string.ascii_uppercase + string.digits + "!?"
+    df = df.withColumn("_m", F.regexp_replace("_t", f"[^{marks}]+", ""))
+    count = lambda chars: f"CAST(char_length(_m) - {_without('_m', chars)} AS BIGINT)"
     counts = {
         "n_words": "CAST(size(_w) AS BIGINT)",
-        "word_chars": f"CAST({_without('_t', SPACE_CHARS)} AS BIGINT)",
-        "n_symbols": f"CAST(char_length(_t) - {_without('_t', SYMBOLS)} AS BIGINT)",
+        "word_chars": "CAST(char_length(array_join(_w, '')) AS BIGINT)",
+        "n_symbols": count(SYMBOLS),
         "n_dup_lines": "CAST(size(_l) - size(array_distinct(_l)) AS BIGINT)",
         "n_repeat_words": _repeat_words("_w"),
         "_lines": "size(_l)",
         "_distinct": "size(array_distinct(_w))",
-        "_upper": f"char_length(_t) - {_without('_t', string.ascii_uppercase)}",
-        "_digits": f"char_length(_t) - {_without('_t', string.digits)}",
-        "_shout": f"char_length(_t) - {_without('_t', '!?')}",
+        "_upper": count(string.ascii_uppercase),
+        "_digits": count(string.digits),
+        "_shout": count("!?"),
     }
     df = df.select(*kept, *[F.expr(e).alias(k) for k, e in counts.items()])
     per = lambda a, b: F.col(a).cast("double") / F.greatest(F.col(b), F.lit(1))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -22,12 +21,3 @@ def words(text: Column) -> Column:
 def one_spaced(text: Column) -> Column:
     """Every run of white space as one space."""
     return F.regexp_replace(whole(text), SPACES, " ")
-
-
-def bound(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row.
-
-    A column named twice inside a lambda would be copied into it and
-    evaluated for every element; a lambda variable is not.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
