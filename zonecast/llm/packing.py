@@ -25,8 +25,9 @@ ids are packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,8 +42,11 @@ from zonecast.llm.storage import bound_batches, documents, picked, written
 ROOM = 2048
 PARTS = 256
 VOCABULARY = "byte_bpe_50k"
-WORDS_KEPT = 400_000
-_NOT_APART = re.compile(r"\s\s|^\s|\s\Z|[^\S ]")
+WORDS_KEPT = 800_000
+#: White space besides a single space or line feed between visible characters.
+APART = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+WIDE = ("\x85", "\xa0", "\u1680", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", *map(chr, range(0x2000, 0x200B)))
+NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 @cache
@@ -56,35 +60,39 @@ def _tokenizer(vocabulary: str):
     return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Encoder:
-    """Ids of texts, as little-endian unsigned 32-bit bytes; a word's ids are kept for its next use.
+class Encoder(dict):
+    """Ids of texts, as little-endian unsigned 32-bit bytes; the ids of a word are kept for its next use.
 
-    A single space between two visible characters always begins a token, so a
-    line without other white space is encoded word by word, each with its space.
+    A single space between two visible characters always begins a token, and a
+    single line feed is one. So a text whose white space is only such spaces
+    and line feeds is encoded word by word, a space or the line feed included.
     """
 
     def __init__(self, vocabulary: str):
-        self.encode, self.kept = _tokenizer(vocabulary).encode_ordinary, {}
+        super().__init__()
+        self.encode = _tokenizer(vocabulary).encode_ordinary
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        ids = self[word] = self.plain(word if word[0] == "\n" else " " + word)
+        return ids
 
     def ids(self, text: str) -> bytes:
-        return b"".join([self._line(x) for x in re.split(r"(?<=\S)(?=\n\S)", text)])
-
-    def _line(self, line: str) -> bytes:
-        head = line[:1] == "\n"
-        if _NOT_APART.search(line, int(head)):
-            return self._plain(line)
-        first, *rest = line.split(" ")
-        kept, out = self.kept, [self._plain(first)]
-        for word in rest:
-            if (ids := kept.get(word)) is None:
-                if len(kept) >= WORDS_KEPT:
-                    kept.clear()
-                ids = kept[word] = self._plain(" " + word)
-            out.append(ids)
-        return b"".join(out)
-
-    def _plain(self, text: str) -> bytes:
-        return np.asarray(self.encode(text), dtype="<u4").tobytes()
+        if (not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in APART)
+                or not text.isascii() and any(x in text for x in WIDE)):
+            return self.plain(text)
+        words = text.replace("\n", " \n").split(" ")
+        return self.plain(words[0]) + b"".join(map(self.__getitem__, words[1:]))
+
+    def plain(self, text: str) -> bytes:
+        return array("I", self.encode(text)).tobytes() if NATIVE else np.array(self.encode(text), "<u4").tobytes()
+
+
+@cache
+def _encoder(vocabulary: str) -> Encoder:
+    """One a worker process, for all its tasks."""
+    return Encoder(vocabulary)
 
 
 def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM) -> DataFrame:
@@ -95,7 +103,7 @@ def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM) -
                            T.StructField("ids_crc32", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         for batch in batches:
             rows, numbers = [], []
             for i, text in enumerate(batch.column(1)):
@@ -179,7 +187,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM, parts:
 
     within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "rid")
     ranked = pieces.withColumn("row", F.row_number().over(within)).join(
-        F.broadcast(tally.select("length", "part", "first")), ["length", "part"])
+        tally.select("length", "part", "first"), ["length", "part"])        # dealt alike already
     ranked = ranked.withColumn("nth", F.col("first") + F.col("row") - 1).join(F.broadcast(table), "length")
     mine = F.get(F.filter("slots", lambda s: (s["slot0"] <= F.col("nth")) & (F.col("nth") < s["slot1"])), F.lit(0))
     placed = ranked.withColumn("slot", mine).withColumn("k", F.col("nth") - F.col("slot.slot0"))
