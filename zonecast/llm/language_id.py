@@ -37,7 +37,7 @@ from zonecast.llm.wordhash import slices
 
 SAMPLE = 6_000
 FOLDS, HELD_OUT = 4, 2
-GRAM = 3
+GRAMS = (2, 3)
 GRAMS_KEPT = 60_000
 SWITCH = 15.0
 SMOOTH = 0.5
@@ -73,7 +73,7 @@ def script_of(letters: str) -> str:
 
 def grams_of(letters: str) -> list[str]:
     marked = f"<{letters}>"
-    return [marked[i:i + n] for n in range(1, GRAM + 1) for i in range(len(marked) - n + 1)]
+    return [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
 
 
 @dataclass
