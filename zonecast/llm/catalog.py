@@ -20,4 +20,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op7_mixing": mixing.oracle_sql(),
 }

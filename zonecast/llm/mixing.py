@@ -134,3 +134,42 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_probability(docs).select(
         column_of(docs, "doc_id").alias("doc_id"), "source", "lang", "topic", "tokens",
         F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("selected"))
+
+
+def oracle_sql() -> str:
+    """The same in DuckDB SQL: the rounds of the raking written out one after the other."""
+    def case(column: str, named: dict[str, float], to: str) -> str:
+        listed = ", ".join(f"('{k}', {v!r}e0)" for k, v in named.items())
+        rest = max(max(0.0, 1 - sum(named.values())), 1e-3)
+        return f"""{to}0 AS MATERIALIZED (SELECT t.k AS {column}, t.v FROM (VALUES {listed}, ('{OTHER}', {rest!r}e0)) t(k, v)
+  WHERE t.k IN (SELECT {column} FROM cells WHERE tokens > 0)),
+{to} AS MATERIALIZED (SELECT {column}, v / sum(v) OVER () AS goal FROM {to}0)"""
+
+    space = r"[\x20\x09-\x0D]"
+    ctes = [rf"""d AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS t,
+  CASE WHEN lang IN ({', '.join(f"'{x}'" for x in LANGUAGES)}) THEN lang ELSE '{OTHER}' END AS lang,
+  len(list_filter(regexp_split_to_array(coalesce(text, ''), '{space}+'), lambda x: x <> '')) AS tokens FROM documents)""",
+            rf"""rows AS MATERIALIZED (SELECT *, CASE WHEN regexp_matches(t, '(?i)licen[cs]e') THEN 'licence'
+  WHEN contains(t, '@') OR contains(t, '://') OR regexp_matches(t, '\+[0-9]') THEN 'contact'
+  WHEN tokens >= 1500 THEN 'long' ELSE 'prose' END AS topic,
+  CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(t)), 1, 12) AS BIGINT) / {float(16 ** 12)!r}e0 AS u
+  FROM d)""",
+            "cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM rows GROUP BY ALL)",
+            f"""sources AS MATERIALIZED (SELECT source, g / sum(g) OVER () AS goal FROM
+  (SELECT source, pow(sum(tokens), {TEMPER!r}e0) AS g FROM cells GROUP BY source HAVING sum(tokens) > 0))""",
+            case("lang", LANGUAGES, "langs"), case("topic", TOPICS, "topics"),
+            "b0 AS (SELECT lang, goal, 1e0 AS b FROM langs)", "c0 AS (SELECT topic, goal, 1e0 AS c FROM topics)"]
+    for i in range(ROUNDS + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT source, any_value(s.goal) / sum(x.tokens * b * c) AS a
+  FROM cells x JOIN sources s USING (source) JOIN b{i} USING (lang) JOIN c{i} USING (topic) GROUP BY source)""")
+        if i < ROUNDS:
+            ctes.append(f"""b{i + 1} AS MATERIALIZED (SELECT lang, any_value(b{i}.goal) AS goal, any_value(b{i}.goal) / sum(x.tokens * a * c) AS b
+  FROM cells x JOIN a{i} USING (source) JOIN b{i} USING (lang) JOIN c{i} USING (topic) GROUP BY lang)""")
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT topic, any_value(c{i}.goal) AS goal, any_value(c{i}.goal) / sum(x.tokens * a * b) AS c
+  FROM cells x JOIN a{i} USING (source) JOIN b{i + 1} USING (lang) JOIN c{i} USING (topic) GROUP BY topic)""")
+    ctes.append(f"""weights AS MATERIALIZED (SELECT source, lang, topic, a * b * c AS w
+  FROM a{ROUNDS} CROSS JOIN b{ROUNDS} CROSS JOIN c{ROUNDS})""")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT doc_id, r.source, r.lang, r.topic, r.tokens, round(coalesce(w / (SELECT max(w) FROM weights), 0e0), 6) AS probability,
+       u < coalesce(w / (SELECT max(w) FROM weights), 0e0) AS selected
+FROM rows r LEFT JOIN weights USING (source, lang, topic)"""
