@@ -13,9 +13,10 @@ window found twice are removed.
 Scale. A row of two numbers a super-k-mer is shuffled to find the repeated
 minimisers; texts and packed strings move only for documents that have some.
 Documents of equal word sequences are one sequence with a number of copies (a
-sequence of at least WINDOW words with two copies is removed whole). Windows
-of hot minimisers (at most sharedkeys.HOT_KEYS) don't meet in one bucket: they
-are counted by their sha256 with partial aggregation.
+sequence of at least WINDOW words with two copies is removed whole). Strings
+of hot minimisers (at most sharedkeys.HOT_KEYS) don't meet in one bucket: equal
+ones are counted by their sha256 with partial aggregation, and only the
+windows of strings that occur once are then counted singly.
 
 Defined cases: null has no words; a text of fewer than WINDOW words is kept;
 words stay unchanged and kept ones are joined by one space; repeated rows are
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from zonecast.llm.sharedkeys import repeated
 from zonecast.llm.storage import bound_batches, documents, picked, written
 from zonecast.llm.text import one_spaced
-from zonecast.llm.wordhash import slices, windows, words_of
+from zonecast.llm.wordhash import least, slices, windows, words_of
 
 WINDOW = 35
 GRAM = 14
@@ -55,8 +56,7 @@ def super_kmers(texts: pa.Array, window: int, gram: int):
     i = np.flatnonzero(w.text[:n] == w.text[window - 1:])
     if not len(i):
         return none, none, none, none
-    least = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1)
-    place = i + np.concatenate([least[i[a:a + 65536]].argmin(1) for a in range(0, len(i), 65536)])
+    place = least(grams, window - gram + 1)[i]
     begin = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (i[1:] != i[:-1] + 1)]))
     size = np.diff(np.append(begin, len(i)))
     owner = w.text[i[begin]]
@@ -96,10 +96,7 @@ def _sequences(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _pack(texts: DataFrame, window: int, hot: bool) -> DataFrame:
-    """bucket, sid, start, packed: the super-k-mers in ``runs`` of each text that are hot or not.
-
-    Hot ones come as single windows, packed being the window's sha256.
-    """
+    """bucket, sid, start, packed: the super-k-mers in ``runs`` of each text, the hot or the others."""
     schema = "bucket long, sid long, start int, packed binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,21 +106,49 @@ def _pack(texts: DataFrame, window: int, hot: bool) -> DataFrame:
                 for sid, text, runs in zip(*(rows.column(k).to_pylist() for k in range(3)), strict=True):
                     words = text.encode().split()
                     for r in runs:
-                        a, n = r["start"], r["size"]
-                        if r["hot"] != hot:
-                            continue
-                        if hot:
-                            out.extend((r["mini"], sid, k, hashlib.sha256(b" ".join(words[k:k + window])).digest())
-                                       for k in range(a, a + n))
-                        else:
-                            out.append((r["mini"], sid, a, b" ".join(words[a:a + n + window - 1])))
+                        a = r["start"]
+                        out.append((r["mini"], sid, a, b" ".join(words[a:a + r["size"] + window - 1])))
                 columns = list(zip(*out, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())],
-                    names=["bucket", "sid", "start", "packed"])
+                kinds = pa.int64(), pa.int64(), pa.int32(), pa.binary()
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                                 names=["bucket", "sid", "start", "packed"])
+
+    wanted = F.filter("runs", lambda r: r["hot"] if hot else ~r["hot"])
+    return texts.select("sid", "text", wanted.alias("runs")).where(F.size("runs") > 0).mapInArrow(run, schema)
+
 
-    return texts.mapInArrow(run, schema)
+def _count_hot(packed: DataFrame, window: int) -> DataFrame:
+    """sid, starts of repeated windows of hot super-k-mers, without a bucket.
+
+    Equal strings are counted first, by their sha256: all windows of one that
+    occurs twice repeat. Of the others the windows are counted one by one,
+    against those of one string of each kind.
+    """
+    rows = written(packed.withColumn("name", F.unhex(F.sha2("packed", 256))).select(
+        "sid", "start", "name", "packed", (F.size(F.split(F.col("packed").cast("string"), " ")) - window).alias("last")), "hot")
+    names = written(rows.groupBy("name").agg(F.count("*").alias("n"), F.min(F.struct("sid", "start")).alias("one")), "strings")
+    twice = rows.select("sid", "start", "name", "last").join(names.where("n > 1").select("name"), "name", "left_semi").select(
+        "sid", F.sequence("start", F.col("start") + F.col("last")).alias("starts"))
+    each = rows.join(names, "name").where((F.col("sid") == F.col("one.sid")) & (F.col("start") == F.col("one.start")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 3):
+                sid, start, single, window_ = [], [], [], []
+                for s, a, n, string in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    words = string.split(b" ")
+                    for k in range(len(words) - window + 1):
+                        sid.append(s)
+                        start.append(a + k)
+                        single.append(n == 1)
+                        window_.append(hashlib.sha256(b" ".join(words[k:k + window])).digest())
+                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(start, pa.int32()), pa.array(single),
+                                                  pa.array(window_, pa.binary())], names=["sid", "start", "single", "w"])
+
+    parts = written(each.select("sid", "start", "n", "packed").mapInArrow(run, "sid long, start int, single boolean, w binary"), "parts")
+    common = parts.groupBy("w").agg(F.count("*").alias("n"), F.bool_or("single").alias("some")).where("n > 1 AND some")
+    alone = parts.where("single").join(common.select("w"), "w", "left_semi")
+    return twice.unionByName(alone.select("sid", F.array("start").alias("starts")))
 
 
 def repeated_windows(packed: pa.Array, bucket: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,9 +242,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     texts = written(runs.join(texts, "seq").select("sid", "text", "runs"), "texts")
 
     cold = _count(_pack(texts, window, False), window)
-    single = written(_pack(texts, window, True).select("sid", "start", "packed"), "hot")
-    twice = single.groupBy("packed").agg(F.count("*").alias("n")).where("n > 1").select("packed")
-    hot = single.join(written(twice, "twice"), "packed", "left_semi").select("sid", F.array("start").alias("starts"))
+    hot = _count_hot(_pack(texts, window, True), window)
     marks = written(cold.unionByName(hot), "marks").groupBy("sid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     cut = written(_cut(texts.join(marks, "sid").select("sid", "text", "starts"), window), "cut")
 

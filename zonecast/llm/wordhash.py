@@ -69,23 +69,44 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     size = end - begin
     power = np.cumprod(np.full(int(size.max()), _BASE, U))
     place = np.arange(begin[0], len(data)) - np.repeat(begin, np.diff(np.append(begin, len(data))))
-    term = value[data[begin[0]:]] * power[np.minimum(place, len(power) - 1)]
+    term = value.take(data[begin[0]:])
+    term *= power.take(place, mode="clip")
     h = mix(np.add.reduceat(term, begin - begin[0]) + size.astype(U) * _BASE)
     return Words(data, begin, end, text, first, h)
 
 
-def windows(w: Words, size: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of each window of ``size`` words inside one text."""
+def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of each window of ``size`` words inside one text.
+
+    Hashes of 1, 2, 4, ... words are combined to the size's binary parts.
+    """
     n = len(w.hash) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U)
+    part, span, taken, h = w.hash, 1, 0, None
+    while True:
+        if size & span:
+            piece = part[taken:taken + n]
+            h = piece if h is None else mix(h * _BASE + piece)
+            taken += span
+        if 2 * span > size:
+            break
+        part, span = mix(part[:-span] * _BASE + part[span:], span), 2 * span
     at = np.flatnonzero(w.text[:n] == w.text[size - 1:])
-    h = np.full(n, salt, U)
-    for k in range(size):
-        h = mix(h * _BASE + w.hash[k:k + n])
     return at, h[at]
 
 
+def least(values: np.ndarray, size: int) -> np.ndarray:
+    """Place of the (leftmost) smallest of each ``size`` values in a row."""
+    best, place, span = values, np.arange(len(values)), 1
+    while span < size:
+        step = min(span, size - span)
+        later = best[step:] < best[:-step]
+        best, place = np.where(later, best[step:], best[:-step]), np.where(later, place[step:], place[:-step])
+        span += step
+    return place
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``most`` bytes in a string column (one row at least)."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
