@@ -153,6 +153,23 @@ def test_sampling_follows_the_probabilities(spark):
     assert sorted(r.doc_id for r in mixing.sample(docs).collect()) == sorted(r[0] for r in rows if r.u < r.p)
 
 
+def test_empty_cells_do_not_scale_the_sample(spark):
+    rows = mixing.with_probability(spark.read.parquet(f"{data.SMALL}/documents.parquet")).collect()
+    assert max(r.p for r in rows if r.tokens) == 1.0
+
+
+def test_margins_without_tokens_have_no_weight(spark, tmp_path):
+    rows = [(k, data.prose(k, 20 + k), ("en", "de")[k % 2], f"s{k % 3}", 0) for k in range(12)]
+    rows += [(20, "", None, "s0", 0), (21, "", "en", "s1", 0), (22, " ", "fr", "s9", 0)]
+    spark.createDataFrame(rows, data.SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(mixing.oracle_sql())
+    columns = [d[0] for d in want.description]
+    got = mixing.op7_mixing(spark, str(tmp_path)).select(columns).collect()
+    assert Counter(map(tuple, got)) == Counter(want.fetchall())
+
+
 def test_mixing_awkward_rows(spark):
     df = data.docs(spark)
     got = mixing.with_probability(df).collect()

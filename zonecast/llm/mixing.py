@@ -4,8 +4,10 @@ Documents fall into cells (source, language, topic). Starting from the tokens
 the cells have, weights are raked in turn until the tokens of each source,
 language and topic have the target shares; each document is then sampled with
 its cell's probability, weight / largest weight, by a hash of its id and text.
-That is the largest sample without repeats whose expected mixture is the
-fitted one.
+The largest weight is that of the cells with tokens: that is the largest sample
+without repeats whose expected mixture is the fitted one. ``op7_mixing`` takes
+it over every combination of margins with tokens instead, held by a document or
+not, as its SQL does; its sample has the same mixture, but can be smaller.
 
 Targets are shares by language and by topic (``OTHER`` takes what they don't
 name; categories without tokens are left out and the rest scaled up), so these
@@ -86,6 +88,10 @@ def fit_weights(cells: DataFrame, languages: dict[str, float], topics: dict[str,
         for k in kinds:
             if (s := sum(now[x, k] * by_lang[x] for x in langs)) > 0:
                 by_kind[k] = to_kind[k] / s
+    for x in langs:                 # a margin without tokens has no weight
+        by_lang[x] *= any(mass[x, k] > 0 for k in kinds)
+    for k in kinds:
+        by_kind[k] *= any(mass[x, k] > 0 for x in langs)
     cell = F.explode(F.array(*[F.struct(F.lit(x).alias("lang"), F.lit(k).alias("topic"), f.alias("f"))
                                for (x, k), f in zip(pairs, factor(), strict=True)]))
     return wide.withColumn("a", raked()).select("source", "a", cell.alias("c")).select(
@@ -101,8 +107,12 @@ def _sum(columns: list[Column]) -> Column:
 
 def with_probability(docs: DataFrame, languages: dict[str, float] | None = None,
                      topics: dict[str, float] | None = None, temper: float = TEMPER,
-                     rounds: int = ROUNDS) -> DataFrame:
-    """``numbered(docs)`` with source, lang, topic, tokens, p and u (sampled if u < p)."""
+                     rounds: int = ROUNDS, held: bool = True) -> DataFrame:
+    """``numbered(docs)`` with source, lang, topic, tokens, p and u (sampled if u < p).
+
+    p is 1 where the weight is largest: among the cells that have tokens
+    (``held``), or among all combinations of margins that have.
+    """
     languages, topics = languages or LANGUAGES, topics or TOPICS
     lang, text = column_of(docs, "lang"), whole(column_of(docs, "text"))
     tokens = (F.size(F.split(text, SPACES)) - (text == "").cast("int") - text.rlike(r"^[\x20\x09-\x0D]").cast("int")
@@ -114,13 +124,13 @@ def with_probability(docs: DataFrame, languages: dict[str, float] | None = None,
         uniform(column_of(docs, "doc_id"), text).alias("u"))
     kind = topic_of(text, F.col("tokens"))
     rows = rows.withColumn("topic", F.when(kind.isin(*topics), kind).otherwise(F.lit(OTHER)))
-    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
-    weights = fit_weights(written(cells, "cells"), languages, topics, temper, rounds)
-    weights = written(weights, "weights")
-    most = weights.agg(F.max("weight").alias("m")).first()["m"] or 1.0
-    probability = weights.select("source", "lang", "topic", (F.col("weight") / F.lit(most)).alias("p"))
+    cells = written(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "cells")
+    weights = written(fit_weights(cells, languages, topics, temper, rounds), "weights")
+    scale = weights.join(cells.where("tokens > 0"), ["source", "lang", "topic"], "left_semi") if held else weights
+    most = scale.agg(F.max("weight").alias("m")).first()["m"] or 1.0
+    probability = weights.select("source", "lang", "topic", F.least(F.col("weight") / F.lit(most), F.lit(1.0)).alias("p"))
     out = rows.join(probability, ["source", "lang", "topic"], "left")
-    return out.withColumn("p", F.coalesce("p", F.lit(0.0)))
+    return out.withColumn("p", F.coalesce("p", F.lit(0.0))).select(*rows.columns, "p")
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
@@ -131,7 +141,7 @@ def sample(docs: DataFrame, **options) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return with_probability(docs).select(
+    return with_probability(docs, held=False).select(       # as the SQL scales it
         column_of(docs, "doc_id").alias("doc_id"), "source", "lang", "topic", "tokens",
         F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("selected"))
 
