@@ -69,6 +69,22 @@ def test_packing_of_the_table(spark, tokenizer):
     assert used <= least + 1
 
 
+def test_packing_finds_added_tokens(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{end}\n  {end} \n", f"one two\n{end}three  four{end}", "<|endoftext| >", "<|<|endoftext|>|>",
+             f"{data.prose(8, 900)}{end} {data.prose(9, 900)}", f"é{end}漢\u3000{end}", "no token here", None]
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, data.SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert default.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for got in (packing.op4_packing(spark, str(tmp_path)), corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))):
+        check_packing(got.collect(), dict(enumerate(texts)), default, 2048)
+
+
 def test_fullest_combination():
     pick = np.random.default_rng(4)
     for _ in range(60):

@@ -18,6 +18,11 @@ each number.
 Scale. Texts are read and tokenized once, in Arrow batches of bounded bytes;
 what is written and shuffled is one narrow row a piece.
 
+The vocabulary's added tokens (``<|endoftext|>``) are, with ``added``, one id
+each where a text spells them, as ``tokenizers`` encodes by default; the text
+between two of them is encoded by itself. The query and the pipeline's stage
+do so. Without ``added`` they are ordinary text.
+
 Defined cases: null and empty texts are one piece of one id; repeated rows and
 ids are packed each; an empty table gives an empty result.
 """
@@ -25,6 +30,8 @@ ids are packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import sys
 import zlib
 from array import array
@@ -60,6 +67,19 @@ def _tokenizer(vocabulary: str):
     return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@cache
+def _added(vocabulary: str) -> dict[str, int]:
+    """The tokens that ``<vocabulary>.json`` adds to the merges, found in texts before any merge."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"added token {t['content']!r} of {vocabulary} is matched by more than its letters")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class Encoder(dict):
     """Ids of texts, as little-endian unsigned 32-bit bytes; the ids of a word are kept for its next use.
 
@@ -68,9 +88,11 @@ class Encoder(dict):
     and line feeds is encoded word by word, a space or the line feed included.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, added: bool = False):
         super().__init__()
         self.encode = _tokenizer(vocabulary).encode_ordinary
+        self.added = {k: np.array([i], "<u4").tobytes() for k, i in (_added(vocabulary) if added else {}).items()}
+        self.cuts = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
@@ -79,6 +101,11 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if any(x in text for x in self.added):
+            return b"".join(self.added[x] if k % 2 else self.between(x) for k, x in enumerate(self.cuts.split(text)))
+        return self.between(text)
+
+    def between(self, text: str) -> bytes:
         if (not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in APART)
                 or not text.isascii() and any(x in text for x in WIDE)):
             return self.plain(text)
@@ -90,12 +117,12 @@ class Encoder(dict):
 
 
 @cache
-def _encoder(vocabulary: str) -> Encoder:
+def _encoder(vocabulary: str, added: bool) -> Encoder:
     """One a worker process, for all its tasks."""
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, added)
 
 
-def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM) -> DataFrame:
+def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM, added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document."""
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()),
@@ -103,7 +130,7 @@ def pieces_of(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM) -
                            T.StructField("ids_crc32", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
+        encoder = _encoder(vocabulary, added)
         for batch in batches:
             rows, numbers = [], []
             for i, text in enumerate(batch.column(1)):
@@ -160,10 +187,11 @@ def minimum_bin_slack(counts: list[int], room: int = ROOM) -> list[tuple[int, li
     return out
 
 
-def pack(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM, parts: int = PARTS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM, parts: int = PARTS,
+         added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row a piece."""
     spark = docs.sparkSession
-    pieces = pieces_of(docs, vocabulary, room).withColumn("rid", F.monotonically_increasing_id())
+    pieces = pieces_of(docs, vocabulary, room, added).withColumn("rid", F.monotonically_increasing_id())
     pieces = written(pieces.withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int")), "pieces")
     tally = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,4 +226,4 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, room: int = ROOM, parts:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir))
+    return pack(documents(spark, sf_dir), added=True)
