@@ -278,3 +278,13 @@ def test_pipeline_stages(spark, tokenizer):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, data.SMALL).count() > 20
+
+
+def test_written_steps_do_not_collect_garbage(spark):
+    from zonecast.llm.storage import written
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    assert written(spark.range(10), "ten").count() == 10
+    assert full() == before
