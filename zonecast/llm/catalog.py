@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from zonecast.llm import (exact_dedup, jaccard_join, language_id, mixing, packing, pii, quality_classifier,
+from zonecast.llm import (exact_dedup, jaccard_join, language_id, mixing, packing, pii, prefix_trie, quality_classifier,
                           quality_rules, sharding, substring_dedup)
 
 QUERIES = {
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op7_mixing": mixing.oracle_sql(),
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
