@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from zonecast.llm import (exact_dedup, jaccard_join, language_id, mixing, packing, pii, prefix_trie, quality_classifier,
-                          quality_rules, sharding, substring_dedup, whitening)
+                          quality_rules, sharding, substring_dedup, suffix_dedup, whitening)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
     "op12_whitening": whitening.op12_whitening,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
@@ -23,5 +24,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op7_mixing": mixing.oracle_sql(),
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }
