@@ -18,7 +18,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned and nothing reads any more (what did is written itself)."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._written)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

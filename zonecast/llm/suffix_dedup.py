@@ -17,11 +17,11 @@ for documents that have some, and again for those that are cut. Equal texts
 are one text, that of the smallest id; a later copy is covered whole and needs
 no join (the joins are by text and id, so that no group of copies meets).
 Before pieces are shuffled each task keeps the earliest of equal ones and only
-marks the others. A bucket whose pieces have more than PART bytes, or whose
-minimiser is hot (those are dealt to SALTS parts), is sorted in parts: each
-gives the earliest start of its different windows, which are then compared
+marks the others. A bucket whose pieces have more than HELD bytes, still have
+more than PART when trimmed, or whose minimiser is hot (those are dealt to
+SALTS parts), is sorted in parts: each gives the earliest start of its different windows, which are then compared
 over the parts by their sha256, with partial aggregation. No bucket is
-gathered beyond BATCH bytes and nothing is dropped. Intervals of one text, at
+gathered beyond HELD, no batch beyond BATCH bytes, and nothing is dropped. Intervals of one text, at
 most one for each of its bytes, meet in a row.
 
 Defined cases: null is empty; a text shorter than a window stays whole; rows
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.sharedkeys import repeated
-from zonecast.llm.storage import bound_batches, documents, picked, written
+from zonecast.llm.storage import bound_batches, discard, documents, picked, written
 from zonecast.llm.suffix_array import suffix_arrays
 from zonecast.llm.text import whole
 from zonecast.llm.wordhash import least, mix, slices
@@ -51,7 +51,8 @@ from zonecast.llm.wordhash import least, mix, slices
 WINDOW = 100
 GRAM = 24
 PIECE = 2048            # windows
-PART = 16 << 10         # bytes
+HELD = 1 << 20          # bytes of one bucket
+PART = 16 << 10         # bytes of one suffix array
 BATCH = 4 << 20         # bytes
 SALTS = 64
 NO_ID = -2 ** 63
@@ -59,6 +60,8 @@ NO_ID = -2 ** 63
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
 _BYTES = mix(np.arange(256, dtype=U), 11)
+_BITS = 21
+_PLACE = 1 << _BITS     # bytes of texts that are hashed at once, but for longer ones
 
 
 def _laid(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +73,10 @@ def _laid(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
+def _power(n: int) -> np.uint64:
+    return U(pow(int(_BASE), n, 2 ** 64))
+
+
 def _grams(data: np.ndarray, size: int) -> np.ndarray:
     """A hash of each ``size`` bytes in a row: polynomials of 1, 2, 4, ... bytes, combined."""
     n = len(data) - size + 1
@@ -77,49 +84,60 @@ def _grams(data: np.ndarray, size: int) -> np.ndarray:
     while True:
         if size & span:
             piece = part[taken:taken + n]
-            out = piece if out is None else out * _power(span) + piece
+            out = piece.copy() if out is None else out * _power(span) + piece
             taken += span
         if 2 * span > size:
-            return mix(out)
+            break
         part, span = part[:-span] * _power(span) + part[span:], 2 * span
+    out ^= out >> U(32)
+    out *= U(0xD6E8FEB86659FD93)
+    return out
 
 
-def _power(n: int) -> np.uint64:
-    return U(pow(int(_BASE), n, 2 ** 64))
+def _least(grams: np.ndarray, size: int) -> np.ndarray:
+    """Place of the (leftmost) gram with the smallest leading bits of each ``size`` in a row."""
+    if len(grams) > _PLACE:
+        return least(grams >> U(_BITS), size)
+    best = (grams & ~U(_PLACE - 1)) | np.arange(len(grams), dtype=U)       # the place lies in the bits behind
+    span = 1
+    while span < size:
+        step = min(span, size - span)
+        best = np.minimum(best[:-step], best[step:])
+        span += step
+    return best & U(_PLACE - 1)
 
 
 def pieces(texts: pa.Array, window: int = WINDOW, gram: int = GRAM, most: int = PIECE):
-    """(text, first window, windows, minimiser, many) of each piece, and the texts' bytes and begins.
+    """(text, first window, windows, minimiser, place) of each piece, and the texts' bytes and begins.
 
-    ``many``: a window of the piece's whole run may be equal to another of it.
+    ``place`` is where the minimiser lies in the piece; -1 if it lies at
+    several places of its run, so that windows of one run may be equal.
     """
     data, at = _laid(texts)
     none = np.zeros(0, np.int64)
-    n = len(data) - window + 1
-    if n <= 0:
-        return none, none, none, none, none.astype(bool), data, at
+    if len(data) < window:
+        return none, none, none, none, none, data, at
     grams = _grams(data, gram)
-    place = least(grams, window - gram + 1)
-    ends = np.repeat(at[1:], np.diff(at))[:n]
-    inside = np.arange(n) + window <= ends
-    value = grams[place]
-    edge = np.zeros(n + 1, bool)
-    edge[at[at <= n]] = True
-    new = edge[:n] | np.append(True, value[1:] != value[:-1])
-    moved = ~new & np.append(False, place[1:] != place[:-1])
-    begin = np.flatnonzero(new & inside)                      # a run's windows are all inside its text, or none
-    heads = np.flatnonzero(new)
-    last = np.append(heads[1:], n)[np.searchsorted(heads, begin)]
+    place = _least(grams, window - gram + 1)
+    n = len(place)
+    edge = np.append(True, place[1:] != place[:-1])
+    edge[at[at < n]] = True
+    begin = np.flatnonzero(edge)                              # of windows with one place, in one text
     owner = np.searchsorted(at, begin, "right") - 1
-    last = np.minimum(last, at[owner + 1] - window + 1)
-    upto = np.append(0, np.cumsum(moved))
-    many = upto[last] > upto[begin]
+    last = np.minimum(np.append(begin[1:], n), at[owner + 1] - window + 1)
+    inside = last > begin
+    begin, last, owner, place = begin[inside], last[inside], owner[inside], place[begin[inside]].astype(np.int64)
+    value = grams[place]
+    heads = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1]))) if len(begin) else none
+    places = np.diff(np.append(heads, len(begin)))
+    place = np.where(places == 1, place[heads] - begin[heads], -1)
+    last = last[heads + places - 1]
+    begin, owner, value = begin[heads], owner[heads], value[heads]
     size = last - begin
-    parts = -(-size // most)
+    parts = -(-size // most)                                  # more than one only where the place is -1
     k = np.repeat(np.arange(len(begin)), parts)
-    nth = np.arange(len(k)) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = begin[k] + nth * most
-    return (owner[k], start - at[owner[k]], np.minimum(most, last[k] - start), value[begin[k]].view(np.int64), many[k], data, at)
+    start = begin[k] + most * (np.arange(len(k)) - np.repeat(np.cumsum(parts) - parts, parts))
+    return owner[k], start - at[owner[k]], np.minimum(most, last[k] - start), value[k].view(np.int64), place[k], data, at
 
 
 def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -129,8 +147,8 @@ def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            for rows in slices(batch, 2):
-                owner, _, _, mini, many, data, at = pieces(rows.column(2), window, gram)
+            for rows in slices(batch, 2, _PLACE):
+                owner, _, _, mini, place, data, at = pieces(rows.column(2), window, gram)
                 raw = data.tobytes()
                 key = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 fresh = np.zeros(rows.num_rows, bool)
@@ -138,7 +156,7 @@ def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     if key[i] not in seen:
                         seen.add(key[i])
                         fresh[i] = True
-                use = np.repeat(np.arange(len(mini)), 1 + many)            # twice: such a minimiser counts as repeated
+                use = np.repeat(np.arange(len(mini)), 1 + (place < 0))     # twice: such a minimiser counts as repeated
                 use = use[fresh[owner[use]]]
                 offsets = pa.array(np.append(0, np.cumsum(np.bincount(owner[use], minlength=rows.num_rows))), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -151,7 +169,7 @@ def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return written(out.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))), "scanned")
 
 
-SENT = "mini long, salt int, digest binary, piece binary, many boolean, did long, start int, tid long, begin int, stop int"
+SENT = "mini long, salt int, digest binary, piece binary, place int, did long, start int, tid long, begin int, stop int"
 
 
 class _Sent:
@@ -187,13 +205,13 @@ def _arrow(fields: str) -> pa.Schema:
 
 
 def _send(texts: DataFrame, window: int, gram: int, salts: int) -> DataFrame:
-    """SENT: the earliest of equal pieces of a task's texts (4 MB at a time), and marks over the others."""
+    """SENT: the earliest of equal pieces of a task's texts (2 MB at a time), and marks over the others."""
     schema = _arrow(SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, 2):
-                owner, start, size, mini, many, data, at = pieces(rows.column(2), window, gram)
+            for rows in slices(batch, 2, _PLACE):
+                owner, start, size, mini, place, data, at = pieces(rows.column(2), window, gram)
                 wanted = np.zeros(len(owner), bool)
                 hot = np.zeros(len(owner), bool)
                 edge = np.searchsorted(owner, np.arange(rows.num_rows + 1))
@@ -206,7 +224,7 @@ def _send(texts: DataFrame, window: int, gram: int, salts: int) -> DataFrame:
                 tid, did = rows.column(0).to_pylist(), rows.column(1).to_pylist()
                 use = np.flatnonzero(wanted)
                 for i, a, n, m, some, split in zip(owner[use].tolist(), start[use].tolist(), size[use].tolist(), mini[use].tolist(),
-                                                   many[use].tolist(), hot[use].tolist(), strict=True):
+                                                   place[use].tolist(), hot[use].tolist(), strict=True):
                     piece = raw[at[i] + a:at[i] + a + n + window - 1]
                     digest = hashlib.sha256(piece).digest()[:16]
                     best = found.setdefault((m, digest), [])
@@ -227,12 +245,43 @@ def _send(texts: DataFrame, window: int, gram: int, salts: int) -> DataFrame:
 FOUND = "tid long, begin int, stop int, did long, window binary"
 
 
+def _alike(a: bytes, b: bytes) -> int:
+    """Bytes that two strings have in common at their start."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:                                                    # a[:low] equal, a[:high] not
+        mid = (low + high) // 2
+        low, high = (mid, high) if a[:mid] == b[:mid] else (low, mid)
+    return low
+
+
+def trimmed(group: list[tuple], window: int) -> list[tuple]:
+    """Pieces of one whole bucket, less what can't lie in a window of two of them.
+
+    An equal window has the minimiser at an equal place, so it reaches no
+    further to each side of it than the piece has in common with any other.
+    """
+    if len(group) < 2 or any(p[4] < 0 for p in group):                      # a minimiser at several places
+        return group
+    reach = []
+    for side in ([p[0][:p[4]][::-1] for p in group], [p[0][p[4]:] for p in group]):
+        order = sorted(range(len(group)), key=side.__getitem__)
+        most = [0] * len(group)
+        for i, j in zip(order, order[1:], strict=False):
+            n = _alike(side[i], side[j])
+            most[i], most[j] = max(most[i], n), max(most[j], n)
+        reach.append(most)
+    return [(p[0][p[4] - left:p[4] + right], p[1], p[2] + p[4] - left, p[3], left)
+            for p, left, right in zip(group, *reach, strict=True) if left + right >= window]
+
+
 class _Bucket:
     """Different pieces, to be laid end to end: sorted once enough of them wait."""
 
     def __init__(self, window: int, out: _Sent) -> None:
         self.window, self.out = window, out
-        self.texts: list[list[tuple]] = []           # each: (piece, did, start, tid), to be one text of the suffix arrays
+        self.texts: list[list[tuple]] = []           # each: (piece, did, start, tid, place), to be one text of the suffix arrays
         self.partial: list[bool] = []
         self.bytes = 0
 
@@ -295,14 +344,26 @@ def _buckets(sent: DataFrame, window: int, part: int, batch_bytes: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Sent()
         bucket = _Bucket(window, out)
-        key = digest = least_ = None
+        key = digest = least_ = None                                          # of the row before
         group: list[tuple] = []
-        held, parts, some = 0, False, False
-
-        def leave() -> None:                                                 # the bucket at hand is at its end, or full
-            nonlocal group, held
-            if len(group) > 1 or parts or (some and group):
-                bucket.add(group, parts)
+        held, parts = 0, False
+
+        def leave(end: bool) -> None:                                        # the bucket at hand is at its end, or full
+            nonlocal group, held, parts
+            if end and not parts:
+                group = trimmed(group, window)
+            parts |= not end
+            many = any(p[4] < 0 for p in group)
+            texts, size = [[]], 0
+            for p in group:
+                if size and size + len(p[0]) > part:
+                    texts.append([])
+                    size = 0
+                texts[-1].append(p)
+                size += len(p[0])
+            for text in texts if len(group) > 1 or parts or many else []:
+                if text:
+                    bucket.add(text, parts or len(texts) > 1)
             group, held = [], 0
 
         def ready() -> Iterator[pa.RecordBatch]:
@@ -312,27 +373,25 @@ def _buckets(sent: DataFrame, window: int, part: int, batch_bytes: int) -> DataF
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(8)]
-            for mini, salt, name, piece, many, did, start, tid in zip(*columns, strict=True):
+            for mini, salt, name, piece, place, did, start, tid in zip(*columns, strict=True):
                 if (mini, salt) != key:
-                    leave()
-                    key, digest, parts, some = (mini, salt), None, salt >= 0, False
+                    leave(True)
+                    key, digest, parts = (mini, salt), None, salt >= 0
                 if name == digest and (did, start) > least_:
                     out.mark(tid, start, start + len(piece))
                     continue
                 if name != digest:
                     digest, least_ = name, (did, start)
-                if held and held + len(piece) > part:
-                    parts = True
-                    leave()
-                some |= many
-                group.append((piece, did, start, tid))
+                if held and held + len(piece) > HELD:
+                    leave(False)
+                group.append((piece, did, start, tid, place))
                 held += len(piece)
                 if bucket.bytes >= batch_bytes:
                     yield from ready()
-        leave()
+        leave(True)
         yield from ready()
 
-    names = ["mini", "salt", "digest", "piece", "many", "did", "start", "tid"]
+    names = ["mini", "salt", "digest", "piece", "place", "did", "start", "tid"]
     dealt = sent.where("mini IS NOT NULL").select(*names).repartition("mini", "salt").sortWithinPartitions(
         "mini", "salt", "digest", "did", "start")
     return dealt.mapInArrow(run, FOUND)
@@ -372,11 +431,14 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part:
     docs = picked(docs, "doc_id", "text")
     bound_batches(docs.sparkSession)
     scanned = _scan(docs, window, gram)
+    rows = written(scanned.drop("minis", "rid"), "rows")
     first = written(scanned.groupBy("key").agg(F.min("did").alias("did"), F.min("rid").alias("tid")), "first")
-    minis = scanned.where(F.size("minis") > 0).select("rid", "minis").join(
-        first.select(F.col("tid").alias("rid")), "rid", "left_semi").select("rid", F.explode("minis").alias("mini"))
-    again = repeated(written(minis, "minis"), "mini", "rid").groupBy(F.col("rid").alias("tid")).agg(
-        *[F.collect_set(F.when(is_, F.col("mini"))).alias(c) for c, is_ in (("cold", ~F.col("hot")), ("hot", F.col("hot")))])
+    minis = written(scanned.where(F.size("minis") > 0).select("rid", "minis").join(
+        first.select(F.col("tid").alias("rid")), "rid", "left_semi").select("rid", F.explode("minis").alias("mini")), "minis")
+    discard(scanned)
+    again = written(repeated(minis, "mini", "rid").groupBy(F.col("rid").alias("tid")).agg(
+        *[F.collect_set(F.when(is_, F.col("mini"))).alias(c) for c, is_ in (("cold", ~F.col("hot")), ("hot", F.col("hot")))]), "again")
+    discard(minis)
     wanted = again.join(first, "tid")
     whole_ = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), whole(F.col("text")).alias("text"))
     texts = whole_.withColumn("key", F.unhex(F.sha2("text", 256))).join(wanted, ["key", "did"]).dropDuplicates(["key", "did"])
@@ -391,8 +453,10 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part:
         found.where("window IS NULL").select("tid", "begin", "stop")).unionByName(over)
     marks = marks.groupBy("tid").agg(F.collect_list(F.struct("begin", "stop")).alias("marks"))
     cut = _cut(texts.select("tid", "key", "did", "text").join(marks, "tid").select("key", "did", "text", "marks"))
-    cut = first.select("key", "did").join(written(cut, "cut"), ["key", "did"], "left").withColumn("here", F.lit(True))
-    rows = scanned.select("doc_id", "did", "key", "n_bytes").join(cut, ["key", "did"], "left")
+    cut = written(cut, "cut")
+    discard(again, texts, sent, found)
+    cut = first.select("key", "did").join(cut, ["key", "did"], "left").withColumn("here", F.lit(True))
+    rows = rows.join(cut, ["key", "did"], "left")
     gone = F.col("here").isNull() & (F.col("n_bytes") >= window)              # a later copy of an equal text
     return rows.select(
         "doc_id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
