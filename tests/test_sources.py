@@ -2,6 +2,7 @@
 
 import json
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,7 +113,7 @@ def test_manifest_dedup_existing_missing_and_guard(spark, tmp_path):
     landed = manifest.landed_files(spark, base)
     assert [(r.YEAR, r.STN_ID) for r in manifest.manifest_existing(m, landed).collect()] == [(2001, "00001")]
     assert manifest.manifest_missing(m, landed).count() == 3
-    assert manifest.read_manifest_files(spark, base, m).count() == 1
+    assert manifest.read_manifest_files(spark, base, manifest.manifest_existing(m, landed)).count() == 1
     empty = manifest.ingest_manifest(stations, 1990, 1990)
     with pytest.raises(FileNotFoundError):
         manifest.require_inputs(manifest.manifest_existing(empty, landed))
@@ -173,3 +174,26 @@ def test_weather_csv_quoted_padded_cells(spark, tmp_path):
     r = csv.read_weather_csv(spark, str(tmp_path / "q")).first()
     assert r.ID_STATION == "72503014732" and r.NAME == "LA GUARDIA AIRPORT, NY US"
     assert (r.TEMP, r.DEWP, r.LATITUDE) == (50.6, 42.8, 40.77944)
+
+
+def test_only_the_files_of_the_manifest_are_opened(spark, tmp_path):
+    base, header = str(tmp_path / "d"), ",".join(csv.DAILY_COLUMNS)
+    for year in (2001, 2002):
+        for station in ("in", "out", "a[1]*{x}"):
+            _write(f"{base}/{year}/{station}.csv", f"{header}\n{station},{year}-01-01,1.0,2.0" + "," * 24 + "\n")
+    wanted = spark.createDataFrame([("in",), ("a[1]*{x}",), ("absent",)], "STN_ID string")
+    landed = manifest.landed_files(spark, base)
+    existing = manifest.manifest_existing(manifest.ingest_manifest(wanted, 2001, 2003), landed)
+    for most in (1, 3, 100):
+        rows = manifest.read_manifest_files(spark, base, existing, paths_per_read=most)
+        opened = {f.removeprefix("file://") for f in map(unquote, rows.inputFiles())}
+        assert opened == {f"{base}/{r.REL_PATH}" for r in existing.collect()} and len(opened) == 4
+        assert sorted((r.ID_STATION, r.DATE[:4]) for r in rows.collect()) == [(s, y) for s in ("a[1]*{x}", "in") for y in ("2001", "2002")]
+    assert manifest.read_manifest_files(spark, base, existing.where("YEAR > 2002")).collect() == []
+
+
+def test_registered_scan_opens_what_the_manifest_lists(spark):
+    from tests.conftest import SF_SMALL
+    from zonecast.plans.catalog import QUERIES
+    opened = {"/".join(unquote(f).split("/")[-2:]) for f in QUERIES["scan_weather_csv"](spark, SF_SMALL).inputFiles()}
+    assert opened == {r.REL_PATH for r in QUERIES["manifest_existing"](spark, SF_SMALL).collect()}

@@ -30,8 +30,9 @@ def weather_layer(spark: SparkSession, stations_csv, weather_base: str,
     landed = manifest.landed_files(spark, weather_base)
     low, high = manifest.year_span(landed)
     m = manifest.ingest_manifest(stations_in_box(spark, stations_csv), first_year or low, last_year or high)
-    manifest.require_inputs(manifest.manifest_existing(m, landed))
-    return manifest.read_manifest_files(spark, weather_base, m)
+    existing = manifest.manifest_existing(m, landed)
+    manifest.require_inputs(existing)
+    return manifest.read_manifest_files(spark, weather_base, existing)
 
 
 def write_weather_layer(layer: DataFrame, out: str) -> None:

@@ -87,8 +87,8 @@ def q_manifest_missing(spark, d):
 
 @query("scan_weather_csv")
 def q_scan_weather_csv(spark, d):
-    base, m, _ = _manifest_and_landed(spark, d)
-    rows = manifest.read_manifest_files(spark, base, m)
+    base, m, landed = _manifest_and_landed(spark, d)
+    rows = manifest.read_manifest_files(spark, base, manifest.manifest_existing(m, landed))
     return clean.weather_lite(rows)
 
 

@@ -62,6 +62,7 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
     (applied by position; malformed or short cells become NULL). The
     station column is renamed ID_STATION for the raw layer."""
     reader = spark.read.option("header", True).option("sep", ",").option("mode", "PERMISSIVE")
+    paths = paths if isinstance(paths, str) else list(paths)
     return reader.schema(DAILY_SCHEMA).csv(paths).withColumnRenamed("STATION", "ID_STATION")
 
 
@@ -87,5 +88,7 @@ def write_weather_csv(weather: DataFrame, base: str) -> None:
         name = year.getPath().getName().split("=")[1]
         files.mkdirs(path(f"{base}/{name}"))
         for station in files.listStatus(year.getPath()):
-            part = files.globStatus(path(station.getPath(), "part-*.csv"))[0].getPath()
-            files.rename(part, path(f"{base}/{name}/{station.getPath().getName().split('=')[1]}.csv"))
+            parts = files.globStatus(path(station.getPath(), "part-*.csv"))
+            if len(parts) != 1:
+                raise OSError(f"{len(parts)} files instead of one in {station.getPath()}")
+            files.rename(parts[0].getPath(), path(f"{base}/{name}/{station.getPath().getName().split('=')[1]}.csv"))

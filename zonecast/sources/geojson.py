@@ -2,7 +2,7 @@
 
 Writing produces GeoJSON text sequences (one Feature per line), so both
 the write and the read split across tasks. FeatureCollection documents
-are read too (one document per file). Geometry is normalised to
+are read too (one document per file, by as many tasks as it has splits). Geometry is normalised to
 MultiPolygon coordinates: array(polygon) of array(ring) of array([x, y]).
 """
 
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.sources.jsonsplit import array_elements
+
 PROPERTIES = ("GEOCODE", "GEONAME", "BOROUGH")
 _FEATURE = ("struct<type:string,properties:struct<GEOCODE:string,GEONAME:string,BOROUGH:string>,"
             "geometry:struct<type:string,coordinates:string>>")
@@ -38,9 +40,7 @@ def read_geojson(spark: SparkSession, path, collection: bool = False) -> DataFra
     """Zones from GeoJSON: a text sequence of Features (default) or, with
     ``collection=True``, FeatureCollection documents."""
     if collection:
-        docs = spark.read.text(path, wholetext=True)
-        feats = docs.select(F.explode(F.from_json("value", "struct<features:array<string>>")["features"])
-                            .alias("value"))
+        feats = array_elements(spark, path, key="features", objects=True).withColumnRenamed("element", "value")
     else:
         feats = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     return _normalise(feats.select(F.from_json("value", _FEATURE).alias("f")))

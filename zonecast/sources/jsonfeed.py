@@ -1,10 +1,9 @@
 """The air-quality open-data feed: records are positional JSON arrays.
 
-Three layouts are read: JSON lines (one record array per line, splittable),
-envelope documents ``{"data": [[...], ...]}`` and bare list-of-lists
-documents ``[[...], ...]`` (one document per file; a JSON document cannot
-be split, so envelopes are written in bounded chunks and each file is one
-task).
+Three layouts are read: JSON lines (one record array per line), envelope
+documents ``{"data": [[...], ...]}`` and bare list-of-lists documents
+``[[...], ...]`` (one document per file, read by as many tasks as it has
+splits, see ``jsonsplit``).
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.sources.jsonsplit import array_elements
+
 # Fixed values of the feed: record width and the positions that carry data.
 RECORD_WIDTH = 20
 NAMED_FIELDS = {10: "NOM_POLLUANT", 14: "GEOJOIN_ID_BRUT", 17: "DATE_MESURE_BRUTE",
@@ -26,18 +27,18 @@ def read_json_rows(spark: SparkSession, path) -> DataFrame:
 
 
 def read_json_envelope(spark: SparkSession, path) -> DataFrame:
-    """Records under the ``data`` key of each document; a file without any
-    record contributes nothing."""
-    docs = spark.read.text(path, wholetext=True)
-    parsed = docs.select(F.from_json("value", "struct<data:array<array<string>>>").alias("doc"))
-    return parsed.select(F.explode("doc.data").alias("r"))
+    """Records under the top-level ``data`` key of each document; a file
+    without any record contributes nothing."""
+    return _parsed(array_elements(spark, path, key="data"))
 
 
 def read_json_array(spark: SparkSession, path) -> DataFrame:
-    """Records of bare list-of-lists documents (``[[...], [...]]``, one
-    document per file, one task per file)."""
-    docs = spark.read.text(path, wholetext=True)
-    return docs.select(F.explode(F.from_json("value", "array<array<string>>")).alias("r"))
+    """Records of bare list-of-lists documents (``[[...], [...]]``)."""
+    return _parsed(array_elements(spark, path))
+
+
+def _parsed(elements: DataFrame) -> DataFrame:
+    return elements.select(F.from_json("element", "array<string>").alias("r")).where(F.col("r").isNotNull())
 
 
 def read_records(spark: SparkSession, path, layout: str = "envelope") -> DataFrame:

@@ -8,11 +8,17 @@ meet by (year, station), the two parts of a file's path
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from itertools import batched
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.sources.csv import DAILY_SCHEMA
+from zonecast.sources.csv import DAILY_SCHEMA, read_weather_csv
 
+PATHS_PER_READ = 10_000
+GLOB = re.compile(r"([\\*?\[\]{}])")       # characters that paths would be expanded by
 DAILY_PATH = r"/([0-9]{4})/([^/]+)\.csv$"
 
 
@@ -62,10 +68,13 @@ def require_inputs(df: DataFrame, what: str = "daily weather file for the manife
     return df
 
 
-def read_manifest_files(spark: SparkSession, base: str, manifest: DataFrame) -> DataFrame:
-    """Daily weather rows of the manifest's files: one recursive read of the
-    landed files, whose rows meet the manifest by their file's path."""
-    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv").schema(DAILY_SCHEMA).csv(base))
-    rows = rows.withColumnRenamed("STATION", "ID_STATION").select("*", *path_keys("_metadata.file_path"))
-    return rows.join(manifest.select("YEAR", "STN_ID"), ["YEAR", "STN_ID"], "left_semi").drop("YEAR", "STN_ID")
+def read_manifest_files(spark: SparkSession, base: str, existing: DataFrame,
+                        paths_per_read: int = PATHS_PER_READ) -> DataFrame:
+    """Daily weather rows of the landed files of a manifest; no other file is
+    opened or listed. The paths come to the driver, which plans file reads in
+    any case, as an iterator of batches; each batch is one read of its files."""
+    rows = [read_weather_csv(spark, batch) for batch in batched(
+        (f"{base.rstrip('/')}/{GLOB.sub(r'\\\1', r[0])}" for r in existing.select("REL_PATH").orderBy("REL_PATH").toLocalIterator()),
+        paths_per_read)]
+    none = spark.createDataFrame([], DAILY_SCHEMA).withColumnRenamed("STATION", "ID_STATION")
+    return reduce(DataFrame.unionByName, rows) if rows else none
