@@ -73,11 +73,39 @@ def input_rows(df: DataFrame) -> Counter:
     return read
 
 
+def shuffled_rows(df: DataFrame, table_marker: str) -> list[int]:
+    """Runs ``df``; rows written by each exchange that moves rows of the scan, without an aggregate between."""
+    df.collect()
+    found = []
+
+    def unaggregated(node) -> bool:
+        name = node.nodeName()
+        if "Aggregate" in name or name.endswith("QueryStage"):
+            return False
+        return ("Scan" in name and table_marker in node.toString()) or any(unaggregated(c) for c in _children(node))
+
+    def walk(node) -> None:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange" and unaggregated(node.child()):
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for child in _children(node):
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
 def raw_shuffles(df: DataFrame, table_marker: str) -> list[str]:
     """Exchanges that would move raw rows of the scan whose description
-    contains ``table_marker``, i.e. with no aggregate between the scan and
-    the exchange. An empty list means every shuffle of that table's rows is
-    pre-aggregated (or the table is only broadcast/streamed)."""
+    contains ``table_marker``, i.e. with no aggregate and no membership filter
+    (a Bloom filter of the keys the join keeps) between the scan and the
+    exchange. An empty list means every shuffle of that table's rows is
+    pre-aggregated or cut to the wanted keys (or the table is only
+    broadcast/streamed)."""
     found = []
 
     def scans_below(node, seen_agg: bool) -> bool:
@@ -87,7 +115,7 @@ def raw_shuffles(df: DataFrame, table_marker: str) -> list[str]:
             return scans_below(node.relation().cachedPlan(), seen_agg)
         if "Scan" in name and table_marker in node.toString():
             return not seen_agg
-        agg = seen_agg or "Aggregate" in name
+        agg = seen_agg or "Aggregate" in name or (name == "Filter" and "getbit(" in node.toString().split("\n")[0])
         return any(scans_below(c, agg) for c in _children(node))
 
     def walk(node):

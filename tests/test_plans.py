@@ -2,7 +2,7 @@
 
 import pytest
 
-from scripts.audit import input_rows, plan_facts, plan_text, raw_shuffles
+from scripts.audit import input_rows, plan_facts, plan_text, raw_shuffles, shuffled_rows
 from tests.conftest import SF_SMALL
 from zonecast.plans.catalog import QUERIES
 
@@ -115,3 +115,29 @@ def no_auto_broadcast(spark):
 def test_weather_aggregates_never_shuffle_raw_rows_with_large_dimensions(no_auto_broadcast, name):
     df = queries()[name](no_auto_broadcast, SF_SMALL)
     assert raw_shuffles(df, "lineitem.parquet") == []
+
+
+@pytest.mark.parametrize("name", ["local_weather", "box_stats_local", "paired_series_local"])
+def test_local_views_move_no_rows_of_other_stations(no_auto_broadcast, name):
+    """Without any broadcast, only observations of the nearby stations (and what
+    a Bloom filter lets through by chance) are shuffled."""
+    df = queries()[name](no_auto_broadcast, SF_SMALL)
+    assert raw_shuffles(df, "lineitem.parquet") == []
+    whole = no_auto_broadcast.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    near = queries()["local_weather"](no_auto_broadcast, SF_SMALL).count()
+    moved = shuffled_rows(queries()[name](no_auto_broadcast, SF_SMALL), "lineitem.parquet")
+    assert near < whole / 2 and all(n <= near + whole / 100 for n in moved)
+    assert moved or name == "paired_series_local"
+
+
+def test_no_window_on_the_station(spark):
+    for name in ("zone_weather_idw", "zone_display", "active_stations", "radius_join"):
+        assert "Window" not in plan_text(queries()[name](spark, SF_SMALL))
+
+
+def test_box_statistics_read_the_observations_twice(spark):
+    from zonecast.operators import metrics, stats
+    from zonecast.sources import tables
+    rows = tables.weather_observations(spark, SF_SMALL)
+    read = input_rows(stats.box_stats(rows, metrics.WEATHER_VARS))
+    assert read["lineitem"] == 2 * rows.count()

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.geo import idw_weight
 from zonecast.functions.numeric import round_half_even
 from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
+from zonecast.operators.membership import semi_join_filtered
 from zonecast.operators.spatial import radius_join_left, radius_pairs
 
 WEATHER_VARS = ("TEMP", "WDSP", "DEWP")
 # zone metric name for each weather variable
 ZONE_METRIC = {"TEMP": "W_TEMP", "WDSP": "W_WIND", "DEWP": "W_DEWP"}
 ZONE_KEY = ("GEOCODE", "LATITUDE_ZONE", "LONGITUDE_ZONE")
+SPREAD = 16        # groups of a station's variants
 ALL_ZONES_LABEL = "Tous quartiers"   # fixed value: the "all zones" option label
 
 
@@ -32,6 +34,8 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
 
     One pass over the observations: a renamed or moved station keeps one
     row per variant, each with the id-level mean (the fan-out of the model).
+    Variants are mergeable partial sums, spread over SPREAD groups an id, so
+    that an id with very many of them never meets in one task.
 
     With ``names`` (ID_STATION, NAME), the observations carry no name and
     the name dimension is joined after aggregation: the shuffle then moves
@@ -39,20 +43,24 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
     """
     keys = [c for c in STATION_COLUMNS if c != "NAME" or names is None]
     in_range = F.col("DATE").between(lit_date(start), lit_date(end))
-    sums = []
+    parts = {"_rows": F.count(F.when(in_range, F.lit(1)))}
     for v in WEATHER_VARS:
         x = F.when(in_range, F.col(v))
-        sums += [F.sum(x).alias(f"_s_{v}"), F.count(x).alias(f"_n_{v}")]
+        parts |= {f"_s_{v}": F.sum(x), f"_n_{v}": F.count(x)}
     per_variant = weather.where(F.col("ID_STATION").isNotNull()).groupBy(*keys).agg(
-        *sums, F.count(F.when(in_range, F.lit(1))).alias("_rows"))
-    # over the positions of an id, already aggregated; joining means back would read the observations twice
-    by_id = Window.partitionBy("ID_STATION")
-    means = {}
-    for v in WEATHER_VARS:
-        n = F.sum(f"_n_{v}").over(by_id)
-        means[v] = F.when(n > 0, F.sum(f"_s_{v}").over(by_id) / n)
-    out = (per_variant.withColumns({**means, "_id_rows": F.sum("_rows").over(by_id)})
-           .where(F.col("_id_rows") > 0).select(*keys, *WEATHER_VARS))
+        *[agg.alias(c) for c, agg in parts.items()])
+    total = [F.sum(c).alias(c) for c in parts]
+    # an id's variants lie in SPREAD groups; each group gets the sums of all of them, and keeps its own variants
+    variant = F.struct(*[c for c in keys if c != "ID_STATION"])
+    groups = (per_variant.groupBy("ID_STATION", F.pmod(F.xxhash64(variant), F.lit(SPREAD)).alias("_g"))
+              .agg(*total, F.collect_list(variant).alias("_v")))
+    shared = groups.select("ID_STATION", *parts, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_to"),
+                           F.when(F.col("_to") == F.col("_g"), F.col("_v")).alias("_v"))
+    by_id = (shared.groupBy("ID_STATION", "_to").agg(*total, F.first("_v", ignorenulls=True).alias("_v"))
+             .where("_v IS NOT NULL AND _rows > 0"))
+    means = [F.when(F.col(f"_n_{v}") > 0, F.col(f"_s_{v}") / F.col(f"_n_{v}")).alias(v) for v in WEATHER_VARS]
+    out = by_id.select("ID_STATION", *means, F.explode("_v").alias("_v")).select(
+        "ID_STATION", *[F.col(f"_v.{c}") for c in keys if c != "ID_STATION"], *WEATHER_VARS)
     if names is not None:
         out = out.join(names, "ID_STATION", "inner")
     return out.select(*STATION_COLUMNS, *WEATHER_VARS)
@@ -214,13 +222,17 @@ def count_near(point: DataFrame, stations: DataFrame, radius_km: float) -> DataF
     return stations_near(point, stations, radius_km).agg(F.count(F.lit(1)).cast("int").alias("NB_VISIBLE"))
 
 
+def local_ids(stations: DataFrame, point: DataFrame, radius_km: float) -> DataFrame:
+    """Ids of the stations within the radius of a one-row point."""
+    return stations_near(point, stations, radius_km).select("ID_STATION").distinct()
+
+
 def local_weather(weather_in_range: DataFrame, stations: DataFrame, point: DataFrame,
                   radius_km: float) -> DataFrame:
-    """Observations of the stations within the radius of one zone: a semi
-    join on the ids of that circle, broadcast by the planner when their
-    measured size allows, else shuffled with skewed keys split."""
-    ids = stations_near(point, stations, radius_km).select("ID_STATION").distinct()
-    return weather_in_range.join(ids, "ID_STATION", "left_semi")
+    """Observations of the stations within the radius of one zone: rows are
+    tested against a Bloom filter of those ids where they are read; the exact
+    semi join then meets only what passed."""
+    return semi_join_filtered(weather_in_range, local_ids(stations, point, radius_km), "ID_STATION")
 
 
 def pollutant_list(air_in_range: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.time import bucket_label, calendar_labels
@@ -14,9 +14,9 @@ def resample_mean(df: DataFrame, date_col: str, value_cols, rule: str,
     """Mean of ``value_cols`` per calendar bucket, one row for every bucket
     between the first and the last observed bucket (empty ones NULL).
 
-    The bucket aggregate is tiny (one row per calendar day at most); it is
-    gathered into one row with its first and last bucket, from which the
-    calendar is generated and looked up, so the observations are scanned once.
+    The bucket aggregate is tiny (one row per calendar day at most): each of
+    its rows also gives the empty buckets up to the next one, so the calendar
+    is filled in one pass over it and the observations are scanned once.
 
     ``keep_keys`` restricts the rows to those whose ``key_col`` appears in it
     (e.g. stations present in a name dimension). The rows are then summed per
@@ -35,12 +35,12 @@ def resample_mean(df: DataFrame, date_col: str, value_cols, rule: str,
                    .join(keep_keys.select(key_col).distinct(), key_col, "left_semi"))
         per_bucket = per_key.groupBy(out_col).agg(*[
             F.when(F.sum(f"_n_{v}") > 0, F.sum(f"_s_{v}") / F.sum(f"_n_{v}")).alias(v) for v in values])
-    entry = F.struct(F.col(out_col).alias("k"), F.struct(*values).alias("v"))
-    series = per_bucket.agg(F.min(out_col).alias("_lo"), F.max(out_col).alias("_hi"),
-                            F.map_from_entries(F.collect_list(entry)).alias("_m"))
-    days = series.select(F.explode(calendar_labels(F.col("_lo"), F.col("_hi"), rule)).alias(out_col), "_m")
-    found = days.select(out_col, F.try_element_at("_m", F.col(out_col)).alias("_v"))
-    return found.select(out_col, *[F.col(f"_v.{v}").alias(v) for v in values])
+    following = F.lead(out_col).over(Window.orderBy(out_col))         # over calendar buckets, not observations
+    filled = per_bucket.withColumn("_next", following)
+    labels = calendar_labels(F.col(out_col), F.coalesce("_next", out_col), rule)
+    own = F.when(F.col("_next").isNull(), labels).otherwise(F.slice(labels, F.lit(1), F.size(labels) - 1))
+    each = filled.select(F.posexplode(own).alias("_i", "_label"), *values)
+    return each.select(F.col("_label").alias(out_col), *[F.when(F.col("_i") == 0, F.col(v)).alias(v) for v in values])
 
 
 def paired_series(air: DataFrame, weather: DataFrame, rule: str,

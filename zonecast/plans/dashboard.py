@@ -313,8 +313,10 @@ class Dashboard:
                                      metrics.zone_row(self.zones, self.zone), self.p.radius_km)
 
     def local_paired_series(self, rule: str | None = None) -> DataFrame:
-        return timeseries.paired_series(self.local_air_source(), self._local_rows(),
-                                        rule or self.rule)
+        """The observations are summed per station and bucket before those sums meet the nearby ids."""
+        rows = self._observations_in_range() if self._star else self.weather_in_range
+        near = metrics.local_ids(self.stations, metrics.zone_row(self.zones, self.zone), self.p.radius_km)
+        return timeseries.paired_series(self.local_air_source(), rows, rule or self.rule, weather_keys=near)
 
     def local_box_stats(self) -> DataFrame:
         return stats.box_stats(self._local_rows(), metrics.WEATHER_VARS)
