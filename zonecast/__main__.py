@@ -18,7 +18,7 @@ if not __package__:     # run as a script (spark-submit zonecast/__main__.py ...
 from zonecast.plans import etl  # noqa: E402
 from zonecast.plans.dashboard import Dashboard, Params  # noqa: E402
 from zonecast.session import build_session  # noqa: E402
-from zonecast.sources import geojson  # noqa: E402
+from zonecast.sources import geojson, parquet  # noqa: E402
 
 
 def _date(text: str) -> dt.date:
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     if args.command == "etl":
         layer = etl.weather_layer(spark, args.stations, args.weather, args.first_year, args.last_year)
         etl.write_weather_layer(layer, f"{args.out}/weather_raw")
-        raw = spark.read.parquet(f"{args.out}/weather_raw").drop("YEAR")
+        raw = parquet.read_layer(spark, f"{args.out}/weather_raw").drop("YEAR")
         air = etl.air_extract(spark, args.feed, args.zones, layout=args.feed_layout,
                               zones_collection=args.zones_collection)
         etl.write_extracts(air, raw, f"{args.out}/air", f"{args.out}/weather")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.time import resample_rule
 from zonecast.operators import clean, metrics, stats, timeseries
 from zonecast.sources import tables
+from zonecast.sources.parquet import read_layer
 
 
 @dataclass(frozen=True)
@@ -88,8 +89,8 @@ class Dashboard:
         """Serve from the ETL's parquet extracts (partitioned by year, so the
         date range prunes whole directories). The air extract is typed,
         cleaned and carries its zone's columns already."""
-        dash = cls(zones, None, spark.read.parquet(weather_extract).drop("YEAR"), params)
-        air = spark.read.parquet(air_extract)
+        weather, air = read_layer(spark, weather_extract), read_layer(spark, air_extract)
+        dash = cls(zones, None, weather.drop("YEAR"), params)
         dash.air_clean = dash.air = air.drop("YEAR")
         # in-range views read only the range's year directories; the station
         # dimension and the date bounds still see every date
@@ -97,7 +98,7 @@ class Dashboard:
         years = F.col("YEAR").between(start.year, end.year) if start else F.lit(True)
         dash._air_range_src = air.where(years).drop("YEAR")
         dash._weather_range_src = clean.clean_weather(
-            spark.read.parquet(weather_extract).where(years).drop("YEAR"), params.temp_max)
+            weather.where(years).drop("YEAR"), params.temp_max)
         return dash
 
     # --- widget values that default to the data's own ----------------------
