@@ -5,7 +5,7 @@ Each query runs to completion through the ``noop`` sink (full execution,
 no collect); every query first runs once on sf0.001 (JIT warm-up, not timed).
 ``value`` sums the headline queries. ``page_refresh_cached`` is reported
 beside them: every view of one page interaction (display, KPIs, pollutant
-list, series) with the cleaned layers persisted, as the page cache does.
+list, series) with the daily sums persisted, as the page cache does.
 """
 
 from __future__ import annotations
@@ -51,8 +51,8 @@ def main() -> None:
         t0 = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
         times[name] = round(time.perf_counter() - t0, 3)
-    # one page interaction on cached layers: new widget values, every view
-    base = Dashboard.from_tables(spark, sf_dir, Params(**FIXTURE)).persist()
+    # one page interaction on cached daily sums: new widget values, every view
+    base = Dashboard.from_tables(spark, sf_dir, Params(**FIXTURE)).daily().persist()
     for df in (base.observations, base.air_clean):
         run(df)                         # fill the cache (not timed)
     run(base.display())

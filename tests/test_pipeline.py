@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 from zonecast.plans import etl
 from zonecast.plans.catalog import FIXTURE, QUERIES, YEAR_1998
 from zonecast.plans.dashboard import Dashboard, Params
-from zonecast.sources import csv, geojson, jsonfeed, tables
+from zonecast.sources import csv, geojson, jsonfeed, parquet, tables
 
 
 def _rows(df):
@@ -68,7 +68,7 @@ def test_command_line_etl_then_dashboard(spark, tmp_path):
     assert {r.GEOCODE for r in disp.collect()} == {r.GEOCODE for r in tables.zones(spark, d).collect()}
     assert spark.read.parquet(f"{views}/kpi").count() == 1
     assert spark.read.parquet(f"{views}/detail").first().GEOCODE == "1"
-    landed = spark.read.parquet(f"{out}/weather_raw")
+    landed = parquet.read_layer(spark, f"{out}/weather_raw")
     assert landed.count() == QUERIES["weather_etl"](spark, d).count()
     with pytest.raises(LookupError):
         main(["dashboard", "--extracts", out, "--zones", zones_path, "--out", views, "--start", "1980-01-01",
@@ -83,3 +83,33 @@ def test_persist_and_unpersist_layers(spark):
     dash.resample_weather("M").count()
     dash.unpersist()
     assert not dash.observations.is_cached and not dash.air_clean.is_cached
+
+
+def test_daily_page_equals_the_page_and_reads_no_fact(spark):
+    from scripts.audit import input_rows
+    raw = Dashboard.from_tables(spark, SF_SMALL, Params(**FIXTURE))
+    days = raw.daily().persist()
+    assert days.observations.is_cached and days.air_clean.is_cached
+    days.observations.count(), days.air_clean.count()
+    for params in (Params(**FIXTURE), Params(**YEAR_1998, pollutant="2-HIGH", radius_km=25.0, zone="3")):
+        page, want = days.with_params(params), raw.with_params(params)
+        for name, view in page.views().items():
+            rounded = lambda df: sorted((tuple(round(x, 5) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+            assert rounded(view) == rounded(want.views()[name]), name
+            read = input_rows(view)
+            assert read["lineitem"] == read["orders"] == 0, name
+        assert _rows(page.box_stats()) == _rows(want.box_stats())
+        assert _rows(page.zone_detail()) == _rows(want.zone_detail())
+    warm = days.with_params(Params(**FIXTURE, temp_max=20.0))
+    assert _rows(warm.display()) == _rows(raw.with_params(Params(**FIXTURE, temp_max=20.0)).display())
+    days.unpersist()
+
+
+def test_daily_page_from_extracts(spark, tmp_path):
+    direct = Dashboard.from_tables(spark, SF_SMALL, Params(**FIXTURE))
+    air_out, weather_out = str(tmp_path / "air_x"), str(tmp_path / "weather_x")
+    etl.write_extracts(direct.air, tables.weather_raw(spark, SF_SMALL), air_out, weather_out)
+    served = Dashboard.from_extracts(spark, air_out, weather_out, tables.zones(spark, SF_SMALL), Params(**FIXTURE)).daily().persist()
+    assert _rows(served.display()) == _rows(direct.display())
+    assert _rows(served.pollutant_list()) == _rows(direct.pollutant_list())
+    served.unpersist()

@@ -10,6 +10,7 @@ from zonecast.functions.numeric import round_half_even
 from zonecast.functions.text import format_fixed
 from zonecast.operators.clean import STATION_COLUMNS, lit_date
 from zonecast.operators.membership import semi_join_filtered
+from zonecast.operators.partials import mean, present, totals
 from zonecast.operators.spatial import radius_join_left, radius_pairs
 
 WEATHER_VARS = ("TEMP", "WDSP", "DEWP")
@@ -25,7 +26,7 @@ def station_means(weather_in_range: DataFrame) -> DataFrame:
     with map-side partial sums, so a hot station costs one row per task).
     Rows without a station id form no group (as a pandas groupby)."""
     return (weather_in_range.where(F.col("ID_STATION").isNotNull())
-            .groupBy("ID_STATION").agg(*[F.avg(v).alias(v) for v in WEATHER_VARS]))
+            .groupBy("ID_STATION").agg(*[mean(weather_in_range, v).alias(v) for v in WEATHER_VARS]))
 
 
 def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None = None) -> DataFrame:
@@ -45,8 +46,7 @@ def stations_with_means(weather: DataFrame, start, end, names: DataFrame | None
     in_range = F.col("DATE").between(lit_date(start), lit_date(end))
     parts = {"_rows": F.count(F.when(in_range, F.lit(1)))}
     for v in WEATHER_VARS:
-        x = F.when(in_range, F.col(v))
-        parts |= {f"_s_{v}": F.sum(x), f"_n_{v}": F.count(x)}
+        parts[f"_s_{v}"], parts[f"_n_{v}"] = totals(weather, v, in_range)
     per_variant = weather.where(F.col("ID_STATION").isNotNull()).groupBy(*keys).agg(
         *[agg.alias(c) for c, agg in parts.items()])
     total = [F.sum(c).alias(c) for c in parts]
@@ -110,7 +110,7 @@ def pollutant_zone_mean(air: DataFrame, zones: DataFrame, pollutant: str,
     rows = air.where(F.col("NOM_POLLUANT") == pollutant)
     if start is not None:
         rows = rows.where(F.col("DATE_OBSERVATION").between(lit_date(start), lit_date(end)))
-    means = rows.groupBy("GEOJOIN_ID").agg(F.avg("VALEUR").alias("MEAN_POLLUANT"))
+    means = rows.groupBy("GEOJOIN_ID").agg(mean(rows, "VALEUR").alias("MEAN_POLLUANT"))
     known = zones.select(F.col("GEOCODE").cast("string").alias("GEOJOIN_ID"))
     return (means.join(known, "GEOJOIN_ID", "left_semi")
             .withColumnRenamed("GEOJOIN_ID", "GEOCODE"))
@@ -237,7 +237,7 @@ def local_weather(weather_in_range: DataFrame, stations: DataFrame, point: DataF
 
 def pollutant_list(air_in_range: DataFrame) -> DataFrame:
     """Pollutants with at least one value in the range, sorted."""
-    return (air_in_range.where(F.col("VALEUR").isNotNull())
+    return (air_in_range.where(present(air_in_range, "VALEUR"))
             .select("NOM_POLLUANT").distinct().orderBy("NOM_POLLUANT"))
 
 

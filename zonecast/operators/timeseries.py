@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.time import bucket_label, calendar_labels
+from zonecast.operators.partials import mean, totals
 
 
 def resample_mean(df: DataFrame, date_col: str, value_cols, rule: str,
@@ -28,9 +29,9 @@ def resample_mean(df: DataFrame, date_col: str, value_cols, rule: str,
     rows = df.where(F.col(date_col).isNotNull())
     bucket = bucket_label(F.col(date_col), rule).alias(out_col)
     if keep_keys is None:
-        per_bucket = rows.groupBy(bucket).agg(*[F.avg(v).alias(v) for v in values])
+        per_bucket = rows.groupBy(bucket).agg(*[mean(rows, v).alias(v) for v in values])
     else:
-        sums = [agg for v in values for agg in (F.sum(v).alias(f"_s_{v}"), F.count(v).alias(f"_n_{v}"))]
+        sums = [agg.alias(f"{c}_{v}") for v in values for c, agg in zip(("_s", "_n"), totals(rows, v), strict=True)]
         per_key = (rows.groupBy(F.col(key_col), bucket).agg(*sums)
                    .join(keep_keys.select(key_col).distinct(), key_col, "left_semi"))
         per_bucket = per_key.groupBy(out_col).agg(*[

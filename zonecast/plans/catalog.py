@@ -172,6 +172,32 @@ def q_paired_series(spark, d):
     return _dash(spark, d).paired_series()
 
 
+# --- daily layers, which the page is answered from ------------------------
+
+@query("weather_daily")
+def q_weather_daily(spark, d):
+    days = _dash(spark, d).daily().observations
+    return days.select("ID_STATION", "LATITUDE", "LONGITUDE", "DATE", *[c for v in metrics.WEATHER_VARS for c in (
+        round_half_even(f"S_{v}", 6).alias(f"S_{v}"), F.col(f"N_{v}"))])
+
+
+@query("air_daily")
+def q_air_daily(spark, d):
+    days = _dash(spark, d).daily().air_clean
+    return days.withColumn("S_VALEUR", round_half_even("S_VALEUR", 2))
+
+
+@query("zone_display_daily")
+def q_zone_display_daily(spark, d):
+    return _dash(spark, d).daily().display()
+
+
+@query("paired_series_daily")
+def q_paired_series_daily(spark, d):
+    out = _dash(spark, d).daily().paired_series()
+    return out.withColumns({v: round_half_even(v, 4) for v in ("VALEUR", *metrics.WEATHER_VARS)})
+
+
 # --- stage 4: indicators and the one-zone view ----------------------------
 
 @query("kpi_global")
@@ -216,7 +242,8 @@ def q_box_stats(spark, d):
 
 @query("paired_series_local")
 def q_paired_series_local(spark, d):
-    return _dash(spark, d).local_paired_series()
+    out = _dash(spark, d).local_paired_series()
+    return out.withColumns({v: round_half_even(v, 4) for v in ("VALEUR", *metrics.WEATHER_VARS)})
 
 
 @query("box_stats_local")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions.time import resample_rule
-from zonecast.operators import clean, metrics, stats, timeseries
+from zonecast.operators import clean, metrics, partials, stats, timeseries
 from zonecast.sources import tables
 from zonecast.sources.parquet import read_layer
 
@@ -47,6 +47,7 @@ class Dashboard:
         # optional narrower sources for in-range views (partition-pruned reads)
         self._air_range_src: DataFrame | None = None
         self._weather_range_src: DataFrame | None = None
+        self._raw: Dashboard | None = None      # of a daily dashboard: the one that has the rows
 
     def _input(self, name: str) -> DataFrame | None:
         value = self._inputs[name]
@@ -153,6 +154,22 @@ class Dashboard:
             self.air_clean = self.air
         return self
 
+    def daily(self) -> "Dashboard":
+        """The same page on daily sums and counts: a row a station position
+        and day, and a zone, pollutant and day. Its means, lists and series
+        read no row of the facts; once persisted, every widget state is
+        answered from it. Views of single rows (box statistics, the weather
+        of one zone) still go to the facts."""
+        other = self.with_params(self.p)
+        other._raw, other._air_range_src, other._weather_range_src = self, None, None
+        if self.observations is not None:
+            other.observations = partials.daily(self.observations, metrics.WEATHER_VARS)
+            other.air_clean = partials.daily(self.air_clean, ("VALEUR",))
+        else:
+            other.weather = partials.daily(self.weather, metrics.WEATHER_VARS)
+            other.air = other.air_clean = partials.daily(self.air, ("VALEUR",))
+        return other
+
     def unpersist(self) -> "Dashboard":
         """Release the layers kept by :meth:`persist` (the caller ends the session)."""
         for name in self._layers():
@@ -162,7 +179,9 @@ class Dashboard:
     def with_params(self, params: Params) -> "Dashboard":
         """The same (possibly persisted) layers under new widget values: one
         interaction of the page. Cleaned weather is shared only when the
-        cleaning parameters are unchanged."""
+        cleaning parameters are unchanged (daily sums are made anew else)."""
+        if self._raw is not None and params.temp_max != self.p.temp_max:
+            return self._raw.with_params(params).daily()
         other = object.__new__(Dashboard)
         keep = ["_air_range_src", "_weather_range_src", "zones", "air_clean", "station_names"]
         if self.observations is None:
@@ -171,6 +190,7 @@ class Dashboard:
             keep += ["weather", "observations"]
         other.__dict__.update({k: v for k, v in self.__dict__.items() if k in keep})
         other._inputs = dict(self._inputs)
+        other._raw = None if self._raw is None else self._raw.with_params(params)
         other.p = params
         return other
 
@@ -261,6 +281,8 @@ class Dashboard:
         return counted.select(F.lit(self.zone).alias("GEOCODE"), "NB_VISIBLE")
 
     def local_weather(self) -> DataFrame:
+        if self._raw is not None:
+            return self._raw.local_weather()
         return metrics.local_weather(self.weather_in_range, self.stations, metrics.zone_row(self.zones, self.zone),
                                      self.p.radius_km)
 
@@ -293,6 +315,8 @@ class Dashboard:
         return timeseries.paired_series(self.air_series_source(), rows, rule or self.rule, weather_keys=keys)
 
     def box_stats(self) -> DataFrame:
+        if self._raw is not None:
+            return self._raw.box_stats()
         if self._star:          # observations of named stations, without their names
             named = self.station_names.select("ID_STATION").distinct()
             rows = self._observations_in_range().join(named, "ID_STATION", "left_semi")
@@ -320,4 +344,6 @@ class Dashboard:
         return timeseries.paired_series(self.local_air_source(), rows, rule or self.rule, weather_keys=near)
 
     def local_box_stats(self) -> DataFrame:
+        if self._raw is not None:
+            return self._raw.local_box_stats()
         return stats.box_stats(self._local_rows(), metrics.WEATHER_VARS)
