@@ -131,6 +131,38 @@ def test_shards_are_even_and_keep_equal_texts(spark, tmp_path):
     assert {len(s) for s in place.values()} == {1}
 
 
+def test_large_groups_are_cut_only_where_a_shard_is_full(spark, tmp_path):
+    rows = [(k, data.prose(k, 30), "en", "s", 0) for k in range(600)]
+    rows += [(1000 + 100 * g + k, f"group {g} " * 12, "en", "s", 0) for g in range(8) for k in range(30 + 4 * g)]
+    rows += [(5000 + k, "the hot text " * 9, "en", "s", 0) for k in range(900)]
+    got = sharding.shard_by_bytes(data.docs(spark, rows, tmp_path / "d"), shards=6, part_rows=50).collect()
+    size, slots, place = Counter(), defaultdict(list), defaultdict(Counter)
+    for r in got:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        place[r.text_crc32][r.shard] += 1
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(size.values()) / 6
+    assert max(size.values()) <= 1.03 * mean and min(size.values()) >= 0.97 * mean
+    hot = zlib.crc32(("the hot text " * 9).encode())
+    assert {len(s) for t, s in place.items() if t != hot} == {1}
+    assert 2 <= len(place[hot]) <= 4                          # a group of 2.4 shards
+
+
+def test_no_group_that_fits_in_a_shard_parts(spark):
+    got = sharding.op10_sharding(spark, "/root/testdata/sf0.01")
+    assert got.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+    size = [r["sum(size)"] for r in got.groupBy("shard").sum("size").collect()]
+    assert len(size) == 24 and max(size) <= 1.05 * sum(size) / 24 + 33_100      # the longest text of them
+
+
+def test_planned_groups():
+    pieces, held = sharding.plan_groups([(1, 50), (2, 250), (3, 40), (4, 90)], 400, 4)
+    assert pieces[1] != pieces[3] and all(len(pieces[h]) == 1 for h in (1, 3, 4)) and len(pieces[2]) >= 3
+    assert sum(held) == 430 and sorted(a for a, _ in pieces[2])[0] == 0
+    assert sharding.plan_groups([], 0, 3) == ({}, [0, 0, 0])
+
+
 def raked(cells, languages, topics, rounds):
     keys = sorted(cells)
     weight = {c: float(cells[c]) for c in keys}
