@@ -56,6 +56,21 @@ def test_near_duplicates_by_all_pairs(spark, tmp_path, size, similar):
     assert sum(r.first for r in got) == len(set(part))
 
 
+def test_a_second_cluster_just_below_the_bound_without_pairs(spark, tmp_path, monkeypatch):
+    """Near copies of one text and of another that lies just below the bound to it: one leader, then one of their own."""
+    a = data.prose(70, 120).split(" ")
+    b = a[:50] + [f"other{k}" for k in range(8)] + a[58:]              # 10 of 118 shingles differ on each side
+    rows = [(k, " ".join(a[:100 + k % 3]) + f" end{k}", "en", "s", 0) for k in range(40)]
+    rows += [(100 + k, " ".join(b[:100 + k % 3]) + f" end{k}", "en", "s", 0) for k in range(120)]
+    made = []
+    compared = jaccard_join._compared
+    monkeypatch.setattr(jaccard_join, "_compared", lambda texts, pairs, *r: (made.append(pairs.count()), compared(texts, pairs, *r))[1])
+    got = jaccard_join.near_duplicates(data.docs(spark, rows, tmp_path / "d")).collect()
+    part = data.grouped([r[1] for r in rows], 3, 9, 10)
+    assert {r.doc_id: r.component_id for r in got} == {r[0]: rows[p][0] for r, p in zip(rows, part, strict=True)}
+    assert sum(made) < 10 * len(rows)                                 # 7,140 pairs in the second cluster alone
+
+
 def test_near_copies_around_a_hub_without_pairs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharedkeys, "SAMPLE", 1)              # keys of 16 sets are hot
     base = data.prose(50, 140)
