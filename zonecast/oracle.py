@@ -272,8 +272,8 @@ def dashboard_sql() -> dict[str, str]:
         f", a AS (WITH {a_series}), w AS (WITH {lw_series})\n"
         "SELECT coalesce(a.BUCKET, w.BUCKET) AS BUCKET, a.VALEUR, w.TEMP, w.WDSP, w.DEWP\n"
         "FROM a FULL OUTER JOIN w ON a.BUCKET = w.BUCKET")
-    r4 = ", ".join(f"round_even({v} * 1e4, 0) / 1e4 AS {v}" for v in ("VALEUR", "TEMP", "WDSP", "DEWP"))
-    q["paired_series_local"] = f"SELECT BUCKET, {r4} FROM ({q['paired_series_local']})"
+    fine = ", ".join(f"round_even({v} * 1e{k}, 0) / 1e{k} AS {v}" for v, k in (("VALEUR", 7), ("TEMP", 9), ("WDSP", 9), ("DEWP", 9)))
+    q["paired_series_local"] = f"SELECT BUCKET, {fine} FROM ({q['paired_series_local']})"
     sums = ", ".join(f"round_even(sum({v}) * 1e6, 0) / 1e6 AS S_{v}, count({v}) AS N_{v}" for v in ("TEMP", "WDSP", "DEWP"))
     q["weather_daily"] = _with(W_ALL) + (
         f"SELECT ID_STATION, LATITUDE, LONGITUDE, DATE, {sums} FROM weather GROUP BY ID_STATION, LATITUDE, LONGITUDE, DATE")
@@ -281,7 +281,7 @@ def dashboard_sql() -> dict[str, str]:
         "SELECT GEOJOIN_ID, DATE_OBSERVATION, NOM_POLLUANT, round_even(sum(VALEUR) * 1e2, 0) / 1e2 AS S_VALEUR,\n"
         "  count(VALEUR) AS N_VALEUR FROM air_clean GROUP BY GEOJOIN_ID, DATE_OBSERVATION, NOM_POLLUANT")
     q["zone_display_daily"] = q["zone_display"]
-    q["paired_series_daily"] = f"SELECT BUCKET, {r4} FROM ({q['paired_series']})"
+    q["paired_series_daily"] = f"SELECT BUCKET, {fine} FROM ({q['paired_series']})"
     q["box_stats"] = _box_sql(_with(W_ALL), "weather_range")
     q["box_stats_local"] = _box_sql(_with(W_ALL, SEL_ZONE), local_w)
     return q
