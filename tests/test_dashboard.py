@@ -198,3 +198,23 @@ def test_views_and_display_positions(spark):
     with_pos = d.display(keep_position=True)
     assert with_pos.columns[-2:] == ["LATITUDE_ZONE", "LONGITUDE_ZONE"]
     assert with_pos.where("GEOCODE = '1'").first().LATITUDE_ZONE == 40.70
+
+
+def test_sparse_states_reach_their_gaps():
+    """The sparse queries meet what they are there for (by their SQL, on the smallest tables)."""
+    import duckdb
+
+    from tests.conftest import SF_SMALL
+    from zonecast.oracle import queries_sql
+    con = duckdb.connect()
+    for t in "region nation customer supplier part orders lineitem".split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    sql = queries_sql()
+    rows = con.sql(f"SELECT MEAN_POLLUANT, W_WIND, NB_STATIONS FROM ({sql['zone_display_sparse']})").fetchall()
+    assert any(r[0] == 0 for r in rows) and any(r[0] > 0 for r in rows)              # P17, P18
+    assert any(r[1] is None and r[2] == 0 for r in rows)                             # P19, P20
+    assert con.sql(sql["kpi_formatted_no_station"]).fetchall()[0][1:] == ("N/A", "N/A")   # P23
+    assert con.sql(f"SELECT AVG_TEMP, NB_ZONES FROM ({sql['kpi_global_no_measurement']})").fetchall() == [(0.0, 0)]
+    assert con.sql(sql["resample_air_empty"]).fetchall() == []                       # T4
+    gaps = con.sql(f"SELECT count(*), count(VALEUR), count(TEMP) FROM ({sql['paired_series_sparse']})").fetchall()[0]
+    assert gaps[1] < gaps[0]                                                         # T3

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from zonecast.operators import spatial
 from zonecast.operators.spatial import LambertConic, radius_pairs, with_centroid
 
 
@@ -59,6 +60,38 @@ def test_grid_near_poles_and_antimeridian(spark):
         assert _pairs(radius_pairs(L, R, radius, **kw)) == _brute(left, right, radius)
 
 
+@pytest.mark.parametrize("dense", [1, 7, 50])
+def test_divided_cells_give_the_same_pairs(spark, dense):
+    rnd = random.Random(dense)
+    left = [(i, 40.7 + rnd.uniform(-.3, .3), -74 + rnd.uniform(-.3, .3)) for i in range(25)]
+    left += [(100 + i, rnd.uniform(-80, 89.99), rnd.choice([179.99, -179.99, 180.0])) for i in range(15)]
+    right = [(i, 40.7 + rnd.gauss(0, .02), -74 + rnd.gauss(0, .02)) for i in range(200)]         # a city
+    right += [(1000 + i, 40.71, -74.01) for i in range(60)]                                      # one position
+    right += [(2000 + i, rnd.uniform(-81, 90), rnd.choice([-1, 1]) * rnd.uniform(179.9, 180)) for i in range(150)]
+    right += [(3000, None, 1.0), (3001, 1.0, None)]
+    L, R = _points(spark, left, "L"), _points(spark, right, "R")
+    kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
+    for radius in (2.0, 30.0):
+        got = radius_pairs(L, R, radius, dense=dense, **kw)
+        assert _pairs(got) == _brute(left, [p for p in right if None not in p], radius)
+        assert got.columns == radius_pairs(L, R, radius, **kw).columns
+
+
+def test_no_place_holds_more_than_its_bound(spark):
+    """A third of all stations in one city, and many at one position."""
+    rnd = random.Random(4)
+    right = [(i, rnd.uniform(35, 45), rnd.uniform(-80, -70)) for i in range(2000)]
+    right += [(5000 + i, 40.7 + rnd.gauss(0, .01), -74 + rnd.gauss(0, .01)) for i in range(700)]
+    right += [(9000 + i, 40.75, -74.02) for i in range(300)]
+    kw = dict(left_lat="L_LAT", left_lon="L_LON", right_lat="R_LAT", right_lon="R_LON")
+    left, rights = _points(spark, [(1, 40.7, -74.0)], "L"), _points(spark, right, "R")
+    lcells, rcells = spatial._search_cells(left, "L_LAT", "L_LON", 15.0), spatial._home_cell(rights, "R_LAT", "R_LON", 15.0)
+    _, placed, keys = spatial._divided(lcells, rcells, 15.0, 50, **kw)
+    assert placed.count() == len(right)
+    assert rcells.groupBy("_cy", "_cx").count().agg(F.max("count")).first()[0] > 600
+    assert placed.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 75       # parts by hash: about 50 each
+
+
 def test_point_exactly_at_the_radius_is_inside(spark):
     L = _points(spark, [(1, 40.7, -74.0)], "L")
     R = _points(spark, [(7, 40.8, -73.9)], "R")

@@ -91,13 +91,14 @@ def zone_weather_idw(zones: DataFrame, stations: DataFrame, radius_km: float) ->
                     F.coalesce(F.col("NB_STATIONS"), F.lit(0)).cast("int").alias("NB_STATIONS")))
 
 
-def radius_join(zones: DataFrame, stations: DataFrame, radius_km: float) -> DataFrame:
-    """Zone x station rows within the radius (left outer on zones)."""
+def radius_join(zones: DataFrame, stations: DataFrame, radius_km: float, dense: int | None = None) -> DataFrame:
+    """Zone x station rows within the radius (left outer on zones); at most
+    ``dense`` stations meet in one place, if it is given."""
     z = zones.select(*ZONE_KEY)
     s = stations.select(*STATION_COLUMNS)
     return radius_join_left(z, s, radius_km, left_key=list(ZONE_KEY),
                             left_lat="LATITUDE_ZONE", left_lon="LONGITUDE_ZONE",
-                            right_lat="LATITUDE", right_lon="LONGITUDE")
+                            right_lat="LATITUDE", right_lon="LONGITUDE", dense=dense)
 
 
 def pollutant_zone_mean(air: DataFrame, zones: DataFrame, pollutant: str,

@@ -5,7 +5,8 @@ Each right row sits in its single home cell; each left row is expanded to the
 cells overlapping the bounding box of its search circle (exact bounds, so
 nothing within the radius is missed), then the exact haversine predicate is
 applied. Each (left, right) pair meets in exactly one cell, so no pair
-repeats. It scales like a hash join and lets AQE split a crowded cell.
+repeats. It scales like a hash join and lets AQE split a crowded cell; with a
+bound on the right rows of a cell (``dense``) crowded cells are divided.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from zonecast.functions.geo import angular_radius_deg, haversine_km, lon_half_ex
 
 KM_PER_DEG = 111.0          # a little under 111.19, so cells are never too small
 EPS_DEG = 1e-9              # guard against rounding at the circle's edge
+MAX_SPLIT = 64              # of a crowded cell, a side; what stays crowded is dealt by hash
 
 
 def _grid(radius_km: float) -> tuple[int, float]:
@@ -53,30 +55,82 @@ def _search_cells(df: DataFrame, lat: str, lon: str, radius_km: float) -> DataFr
             .withColumn("_cx", F.pmod(F.col("_cx"), F.lit(ncols))))
 
 
+def _within(at: Column, cell: Column, k: Column) -> Column:
+    """The one of ``k`` equal slices of a cell that ``at`` (in cells) lies in; the nearest one for places outside."""
+    return F.greatest(F.lit(0), F.least(F.floor((at - cell) * k), k - 1)).cast("int")
+
+
+def _divided(lcells: DataFrame, rcells: DataFrame, radius_km: float, dense: int, *,
+             left_lat: str, left_lon: str, right_lat: str, right_lon: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the keys they meet by once cells of more than ``dense`` right rows are divided.
+
+    Such a cell becomes k x k slices, k by its count; a left row goes to the
+    slices its bounding box overlaps. A slice that still holds too many rows
+    (a cluster, or one position) is dealt into parts by a hash of the row,
+    and the left rows go to every part. A right row stays in one place, so
+    pairs still meet once.
+    """
+    ncols, size = _grid(radius_km)
+    cell, keys = ["_cy", "_cx"], ["_cy", "_cx", "_sy", "_sx"]
+    k = F.coalesce("_k", F.lit(1))
+    crowded = (rcells.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense)
+               .select(*cell, F.least(F.ceil(F.sqrt(F.col("_n") / dense)), F.lit(MAX_SPLIT)).cast("int").alias("_k")))
+
+    y, x = (F.col(right_lat) + 90.0) / size, (F.col(right_lon) + 180.0) / size
+    columns = [c for c in rcells.columns if c not in cell]
+    placed = (rcells.join(crowded, cell, "left")
+              .withColumns({"_sy": _within(y, F.floor(y), k), "_sx": _within(x, F.floor(x), k)}))
+    parts = (placed.where("_k IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense)
+             .select(*keys, F.ceil(F.col("_n") / dense).cast("int").alias("_parts")))
+    n_parts = F.coalesce("_parts", F.lit(1))
+    rights = (placed.join(parts, keys, "left")
+              .withColumn("_part", F.pmod(F.xxhash64(*columns), n_parts).cast("int")).drop("_k", "_parts"))
+
+    d_lat = angular_radius_deg(radius_km) + EPS_DEG
+    d_lon = lon_half_extent_deg(F.col(left_lat), radius_km) + EPS_DEG
+    lo, hi = (F.col(left_lon) - d_lon + 180.0) / size, (F.col(left_lon) + d_lon + 180.0) / size
+    around = d_lon.isNull() | (F.floor(hi) - F.floor(lo) + 1 >= ncols)
+    turned = F.floor(lo) + F.pmod(F.col("_cx") - F.floor(lo), F.lit(ncols))        # the cell, counted on from the box
+    sx = F.when(around, F.sequence(F.lit(0), k - 1)).otherwise(F.sequence(_within(lo, turned, k), _within(hi, turned, k)))
+    cy = F.col("_cy")
+    sy = F.sequence(_within((F.col(left_lat) - d_lat + 90.0) / size, cy, k), _within((F.col(left_lat) + d_lat + 90.0) / size, cy, k))
+    lefts = (lcells.join(crowded, cell, "left").withColumn("_sy", F.explode(sy)).withColumn("_sx", F.explode(sx))
+             .join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n_parts - 1))).drop("_k", "_parts"))
+    return lefts, rights, [*keys, "_part"]
+
+
 def radius_pairs(left: DataFrame, right: DataFrame, radius_km: float, *,
                  left_lat: str, left_lon: str, right_lat: str, right_lon: str,
-                 dist_col: str = "DIST_KM") -> DataFrame:
+                 dist_col: str = "DIST_KM", dense: int | None = None) -> DataFrame:
     """Every (left row, right row) with haversine distance <= ``radius_km``
-    (inclusive), plus the distance. Column names of the sides must differ."""
+    (inclusive), plus the distance. Column names of the sides must differ.
+
+    ``dense`` bounds the right rows that meet in one place, whatever their
+    positions (see :func:`_divided`). The right side is then counted before
+    it is joined: give a table, not a long plan."""
+    places = {"left_lat": left_lat, "left_lon": left_lon, "right_lat": right_lat, "right_lon": right_lon}
     lcells = _search_cells(left, left_lat, left_lon, radius_km)
     rcells = _home_cell(right.where(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull()),
                         right_lat, right_lon, radius_km)
+    keys = ["_cy", "_cx"]
+    if dense is not None:
+        lcells, rcells, keys = _divided(lcells, rcells, radius_km, dense, **places)
     dist = haversine_km(left_lon, left_lat, right_lon, right_lat)
-    return (lcells.join(rcells, ["_cy", "_cx"], "inner")
-            .drop("_cy", "_cx")
+    return (lcells.join(rcells, keys, "inner")
+            .drop(*keys)
             .withColumn(dist_col, dist)
             .where(F.col(dist_col) <= radius_km))
 
 
 def radius_join_left(left: DataFrame, right: DataFrame, radius_km: float, *, left_key: list[str],
                      left_lat: str, left_lon: str, right_lat: str, right_lon: str,
-                     dist_col: str = "DIST_KM") -> DataFrame:
+                     dist_col: str = "DIST_KM", dense: int | None = None) -> DataFrame:
     """Left-outer form: left rows with no right row within the radius are
     kept once, with NULL right columns. The unmatched rows come from an
     anti join on the distinct matched keys (an aggregate), not from a
     per-key window, so a key with a third of all pairs stays spread out."""
     pairs = radius_pairs(left, right, radius_km, left_lat=left_lat, left_lon=left_lon,
-                         right_lat=right_lat, right_lon=right_lon, dist_col=dist_col)
+                         right_lat=right_lat, right_lon=right_lon, dist_col=dist_col, dense=dense)
     matched = pairs.select(*left_key).distinct()
     alone = left.join(matched, left_key, "left_anti")
     return pairs.unionByName(alone, allowMissingColumns=True)

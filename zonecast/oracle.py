@@ -12,6 +12,8 @@ import math
 
 # the widget values of the registered queries; the range is that of the air measurements
 SPAN = ("(SELECT min(DATE_OBSERVATION) FROM air)", "(SELECT max(DATE_OBSERVATION) FROM air)")
+SPARSE_RANGE, SPARSE_RADIUS = ("DATE '1998-01-01'", "DATE '1998-02-28'"), "5e0"
+NO_STATION_RADIUS = "0.01e0"
 YEAR_1998 = ("DATE '1998-01-01'", "DATE '1998-12-31'")
 RULE = "Q"              # of a range of more than two years
 POLL = "'1-URGENT'"
@@ -68,12 +70,16 @@ means AS (SELECT ID_STATION, avg(TEMP) AS TEMP, avg(WDSP) AS WDSP, avg(DEWP) AS
 sw AS (SELECT s.ID_STATION, s.NAME, s.LATITUDE, s.LONGITUDE, m.TEMP, m.WDSP, m.DEWP
        FROM stations s JOIN means m ON s.ID_STATION = m.ID_STATION)"""
 
-PAIRS = f"""zkeys AS (SELECT DISTINCT GEOCODE, LATITUDE_ZONE, LONGITUDE_ZONE FROM zones),
+def pairs_sql(radius: str) -> str:
+    return f"""zkeys AS (SELECT DISTINCT GEOCODE, LATITUDE_ZONE, LONGITUDE_ZONE FROM zones),
 pairs AS (
   SELECT z.GEOCODE, z.LATITUDE_ZONE, z.LONGITUDE_ZONE, sw.*,
          {hav('z.LONGITUDE_ZONE', 'z.LATITUDE_ZONE', 'sw.LONGITUDE', 'sw.LATITUDE')} AS DIST_KM
   FROM zkeys z, sw
-  WHERE {hav('z.LONGITUDE_ZONE', 'z.LATITUDE_ZONE', 'sw.LONGITUDE', 'sw.LATITUDE')} <= {RADIUS})"""
+  WHERE {hav('z.LONGITUDE_ZONE', 'z.LATITUDE_ZONE', 'sw.LONGITUDE', 'sw.LATITUDE')} <= {radius})"""
+
+
+PAIRS = pairs_sql(RADIUS)
 
 
 def _idw(v: str, out: str) -> str:
@@ -99,7 +105,7 @@ AIR_RAW = """
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
 
 
-def air_sql(start: str, end: str, raw: str | None = None) -> str:
+def air_sql(start: str, end: str, raw: str | None = None, poll: str = POLL) -> str:
     return f"""air_raw AS ({raw or AIR_RAW}),
 air_clean AS (
   SELECT GEOJOIN_ID, TRY_CAST(DATE_MESURE_BRUTE AS DATE) AS DATE_OBSERVATION, NOM_POLLUANT,
@@ -110,7 +116,7 @@ air AS (
   FROM air_clean a JOIN zones z ON a.GEOJOIN_ID = z.GEOCODE),
 air_range AS (SELECT * FROM air WHERE DATE_OBSERVATION BETWEEN {start} AND {end}),
 pm AS (SELECT GEOJOIN_ID AS GEOCODE, avg(VALEUR) AS MEAN_POLLUANT FROM air_range
-       WHERE NOM_POLLUANT = {POLL} GROUP BY GEOJOIN_ID)"""
+       WHERE NOM_POLLUANT = {poll} GROUP BY GEOJOIN_ID)"""
 
 DISPLAY = """display AS (
   SELECT z.GEOCODE, z.GEONAME, z.BOROUGH,
@@ -139,6 +145,10 @@ AIR = air_sql(*SPAN)
 W_ALL = ",\n".join([ZONES, WEATHER_RAW, AIR, weather_sql(*SPAN)])
 DASH = ",\n".join([W_ALL, PAIRS, ZONE_WEATHER, DISPLAY])
 W_1998 = ",\n".join([ZONES, WEATHER_RAW, air_sql(*YEAR_1998), weather_sql(*YEAR_1998)])
+W_SPARSE = ",\n".join([ZONES, WEATHER_RAW, air_sql(*SPARSE_RANGE), weather_sql(*SPARSE_RANGE)])
+DASH_SPARSE = ",\n".join([W_SPARSE, pairs_sql(SPARSE_RADIUS), ZONE_WEATHER, DISPLAY])
+DASH_NO_STATION = ",\n".join([W_ALL, pairs_sql(NO_STATION_RADIUS), ZONE_WEATHER, DISPLAY])
+DASH_NO_MEASUREMENT = ",\n".join([ZONES, WEATHER_RAW, air_sql(*SPAN, poll="'none such'"), weather_sql(*SPAN), PAIRS, ZONE_WEATHER, DISPLAY])
 DASH_1998 = ",\n".join([W_1998, PAIRS, ZONE_WEATHER, DISPLAY])
 
 
@@ -200,6 +210,7 @@ def dashboard_sql() -> dict[str, str]:
         "  AND rp.LATITUDE_ZONE = z.LATITUDE_ZONE AND rp.LONGITUDE_ZONE = z.LONGITUDE_ZONE)")
     q["radius_join"] = radius
     q["radius_join_grid"] = radius
+    q["radius_join_divided"] = radius
     q["zone_weather_idw"] = _with(W_ALL, PAIRS, ZONE_WEATHER) + "SELECT * FROM zw"
     q["pollutant_zone_mean"] = _with(ZONES, AIR) + "SELECT * FROM pm"
     q["zone_display"] = _with(DASH) + (
@@ -262,6 +273,21 @@ def dashboard_sql() -> dict[str, str]:
         "SELECT w.ID_STATION, w.NAME, w.LATITUDE, w.LONGITUDE, w.DATE, w.TEMP, w.DEWP, w.WDSP\n"
         "FROM weather_range w WHERE w.ID_STATION IN (SELECT s.ID_STATION FROM stations s, sel c WHERE "
         + hav("c.LONGITUDE_ZONE", "c.LATITUDE_ZONE", "s.LONGITUDE", "s.LATITUDE") + f" <= {RADIUS})")
+    q["zone_display_sparse"] = q["zone_display"].replace(DASH, DASH_SPARSE)
+    q["kpi_global_sparse"] = _with(DASH_SPARSE, KPI) + "SELECT * FROM kpi"
+    q["kpi_formatted_no_station"] = q["kpi_formatted"].replace(DASH, DASH_NO_STATION)
+    q["kpi_global_no_measurement"] = _with(DASH_NO_MEASUREMENT, KPI) + "SELECT * FROM kpi"
+    q["resample_air_empty"] = _with(ZONES, AIR) + ", " + resample_sql(
+        "(SELECT * FROM air_range WHERE NOM_POLLUANT = 'none such')", "DATE_OBSERVATION", ("VALEUR",), RULE, "DATE_OBSERVATION")
+    near_zone = ("(SELECT w.* FROM weather_range w WHERE w.ID_STATION IN (SELECT s.ID_STATION FROM stations s, sel c WHERE "
+                 + hav("c.LONGITUDE_ZONE", "c.LATITUDE_ZONE", "s.LONGITUDE", "s.LATITUDE") + f" <= {SPARSE_RADIUS}))")
+    a_days = resample_sql(f"(SELECT * FROM air_range WHERE NOM_POLLUANT = {POLL} AND GEOJOIN_ID = {ZONE})",
+                          "DATE_OBSERVATION", ("VALEUR",), "D", "BUCKET")
+    w_days = resample_sql(near_zone, "DATE", ("TEMP", "WDSP", "DEWP"), "D", "BUCKET")
+    q["paired_series_sparse"] = _with(W_SPARSE, SEL_ZONE) + (
+        f", a AS (WITH {a_days}), w AS (WITH {w_days})\n"
+        "SELECT coalesce(a.BUCKET, w.BUCKET) AS BUCKET, a.VALEUR, w.TEMP, w.WDSP, w.DEWP\n"
+        "FROM a FULL OUTER JOIN w ON a.BUCKET = w.BUCKET")
     local_w = ("(SELECT w.* FROM weather_range w WHERE w.ID_STATION IN (SELECT s.ID_STATION FROM stations s, sel c"
                " WHERE " + hav("c.LONGITUDE_ZONE", "c.LATITUDE_ZONE", "s.LONGITUDE", "s.LATITUDE")
                + f" <= {RADIUS}))")
@@ -274,6 +300,7 @@ def dashboard_sql() -> dict[str, str]:
         "FROM a FULL OUTER JOIN w ON a.BUCKET = w.BUCKET")
     fine = ", ".join(f"round_even({v} * 1e{k}, 0) / 1e{k} AS {v}" for v, k in (("VALEUR", 7), ("TEMP", 9), ("WDSP", 9), ("DEWP", 9)))
     q["paired_series_local"] = f"SELECT BUCKET, {fine} FROM ({q['paired_series_local']})"
+    q["paired_series_sparse"] = f"SELECT BUCKET, {fine} FROM ({q['paired_series_sparse']})"
     sums = ", ".join(f"round_even(sum({v}) * 1e6, 0) / 1e6 AS S_{v}, count({v}) AS N_{v}" for v in ("TEMP", "WDSP", "DEWP"))
     q["weather_daily"] = _with(W_ALL) + (
         f"SELECT ID_STATION, LATITUDE, LONGITUDE, DATE, {sums} FROM weather GROUP BY ID_STATION, LATITUDE, LONGITUDE, DATE")
@@ -416,6 +443,7 @@ def ingest_sql() -> dict[str, str]:
     q["ingest_manifest"] = base + "SELECT * FROM manifest"
     q["manifest_existing"] = base + \
         "SELECT * FROM manifest m WHERE EXISTS (SELECT 1 FROM landed l WHERE l.YEAR = m.YEAR AND l.STN_ID = m.STN_ID)"
+    q["required_inputs"] = f"SELECT REL_PATH FROM ({q['manifest_existing']})"
     q["manifest_missing"] = base + \
         "SELECT * FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.YEAR = m.YEAR AND l.STN_ID = m.STN_ID)"
     rows = "SELECT ID_STATION, NAME, LATITUDE, LONGITUDE, {} AS DATE, TEMP, DEWP, WDSP FROM files f " \

@@ -16,6 +16,7 @@ from zonecast.functions.numeric import round_half_even
 from zonecast.functions.time import resample_rule
 from zonecast.operators import clean, metrics
 from zonecast.plans.dashboard import Dashboard, Params
+from zonecast.session import scratch_path
 from zonecast.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,10 @@ def query(name: str):
 FIXTURE = {"pollutant": "1-URGENT", "zone": "1"}
 #: Decimals of series whose means come from sums in any order: fine enough that no mean lies on a tie.
 FINE = {"VALEUR": 7, "TEMP": 9, "WDSP": 9, "DEWP": 9}
+CROWDED = 4             # stations of a grid cell from which it is divided; low, as the test tables' cells hold few
+#: A short range and a small circle: zones without measurements or stations, days without observations.
+SPARSE = {"start": dt.date(1998, 1, 1), "end": dt.date(1998, 2, 28), "radius_km": 5.0}
+NO_STATION = {"radius_km": 0.01}        # no station within any circle
 YEAR_1998 = {"start": dt.date(1998, 1, 1), "end": dt.date(1998, 12, 31)}
 
 
@@ -76,20 +81,28 @@ def q_haversine(spark, d):
     return with_centre.withColumn("DIST_CENTER_KM", dist).drop("_c_lat", "_c_lon")
 
 
-def _radius(spark, d):
-    out = _dash(spark, d).radius_join()
+def _radius(out):
     return out.select("GEOCODE", "LATITUDE_ZONE", "LONGITUDE_ZONE", *clean.STATION_COLUMNS,
                       round_half_even("DIST_KM", 6).alias("DIST_KM"))
 
 
 @query("radius_join")
 def q_radius_join(spark, d):
-    return _radius(spark, d)
+    return _radius(_dash(spark, d).radius_join())
 
 
 @query("radius_join_grid")
 def q_radius_join_grid(spark, d):
-    return _radius(spark, d)
+    return _radius(_dash(spark, d).radius_join())
+
+
+@query("radius_join_divided")
+def q_radius_join_divided(spark, d):
+    """The same pairs with crowded cells divided, over a station table written first."""
+    dash = _dash(spark, d)
+    path = scratch_path(spark, "stations")
+    dash.stations_with_means().write.parquet(path)
+    return _radius(metrics.radius_join(dash.zones, spark.read.parquet(path), dash.p.radius_km, dense=CROWDED))
 
 
 @query("zone_weather_idw")
@@ -174,6 +187,41 @@ def q_paired_series(spark, d):
     return _dash(spark, d).paired_series()
 
 
+# --- sparse widget states: what is missing, and how it shows ---------------
+
+@query("zone_display_sparse")
+def q_zone_display_sparse(spark, d):
+    return _dash(spark, d, **SPARSE).display()
+
+
+@query("kpi_global_sparse")
+def q_kpi_global_sparse(spark, d):
+    return _dash(spark, d, **SPARSE).kpi_global()
+
+
+@query("kpi_formatted_no_station")
+def q_kpi_formatted_no_station(spark, d):
+    return _dash(spark, d, **NO_STATION).kpi_formatted()
+
+
+@query("kpi_global_no_measurement")
+def q_kpi_global_no_measurement(spark, d):
+    return _dash(spark, d, pollutant="none such").kpi_global()
+
+
+@query("paired_series_sparse")
+def q_paired_series_sparse(spark, d):
+    """Daily series of one zone; days without an observation stay, empty."""
+    out = _dash(spark, d, **SPARSE).local_paired_series()
+    return out.withColumns({v: round_half_even(v, k) for v, k in FINE.items()})
+
+
+@query("resample_air_empty")
+def q_resample_air_empty(spark, d):
+    """The series of a pollutant that nobody measured: no bucket at all."""
+    return _dash(spark, d, pollutant="none such").resample_air()
+
+
 # --- daily layers, which the page is answered from ------------------------
 
 @query("weather_daily")

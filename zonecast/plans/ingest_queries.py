@@ -85,6 +85,13 @@ def q_manifest_missing(spark, d):
     return manifest.manifest_missing(m, landed)
 
 
+@query("required_inputs")
+def q_required_inputs(spark, d):
+    """The files of the manifest behind the gate that stops an ingest without any."""
+    _, m, landed = _manifest_and_landed(spark, d)
+    return manifest.require_inputs(manifest.manifest_existing(m, landed)).select("REL_PATH")
+
+
 @query("scan_weather_csv")
 def q_scan_weather_csv(spark, d):
     base, m, landed = _manifest_and_landed(spark, d)
