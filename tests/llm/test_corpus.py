@@ -269,6 +269,22 @@ def test_personal_data_by_context(spark, tmp_path):
         assert got[i] == ",".join(want)
 
 
+def test_personal_data_by_words_alone(spark, tmp_path):
+    """A context without a label mark; inner blanks, brackets; a second round; a frequent word is no pattern."""
+    rows = [(k, f"you may ring me under +1 (262) 555-{1000 + k} today", "en", "s", 0) for k in range(8)]
+    found = {20: "(030) 123 45", 21: "030 99 17 5", 22: "555-2002"}
+    rows += [(i, f"so ring me under {v} or else", "en", "s", 0) for i, v in found.items()]
+    rows += [(30 + i, f"her desk line rings {v} daily", "en", "s", 0) for i, v in enumerate(found.values())]      # new pattern
+    rows += [(40, "her desk line rings 030-777 daily", "en", "s", 0)]                                         # by the second round
+    rows += [(50 + k, f"go to the +1 (262) 555-{3000 + k} or to the 77{k} 88 of the key 04db{k}e of the end", "en", "s", 0) for k in range(5)]
+    rows += [(60, "ring me under deadbeef4 or never", "en", "s", 0)]                                          # no phone has letters
+    spots = {**found, **{30 + i: v for i, v in enumerate(found.values())}, 40: "030-777"}
+    got = {r.doc_id: r.spans for r in pii.personal_data(data.docs(spark, rows, tmp_path / "d")).collect()}
+    for i, text, *_ in rows:
+        at = text.index(spots[i]) if i in spots else 0
+        assert got[i] == ",".join(seeds(text) + ([f"phone:{at}:{at + len(spots[i])}"] if i in spots else [])), i
+
+
 def test_oracles(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{data.SMALL}/documents.parquet'")

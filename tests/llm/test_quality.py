@@ -139,6 +139,17 @@ def test_languages(spark):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+def test_a_rare_language_is_learned(spark):
+    """One row in hundreds, and bounds far below the table: sample and n-grams are a language's own."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("lang IN ('en', 'es')")
+    few = [(-i, f"zwyk{'łą'[i % 2]}y dzie{'ń'} {i} przyszed{'ł'} szybko wszędzie", "pl", "s", 0) for i in range(1, 4)]
+    rare = spark.createDataFrame(few, docs.schema)
+    model = language_id.learn(docs.unionByName(rare), sample=50)
+    assert model.languages == ["en", "es", "pl"]
+    rows = [(1, "dzień szybko przyszedł", None, None, 0)]
+    assert [r.lang_pred for r in language_id.identify(data.docs(spark, rows), model).collect()] == ["pl"]
+
+
 def test_spans_and_awkward_texts(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     model = language_id.learn(docs)

@@ -1,8 +1,9 @@
 """Language identification of mixed texts: script ranges, word scores, Viterbi.
 
-From a bounded sample of labelled texts (``SAMPLE`` documents, drawn by a hash
-of the id) each language gets the log frequencies of the character n-grams of
-its words, and the scripts that make up its letters. A word scores, for every
+From a bounded sample of labelled texts (about ``SAMPLE`` documents a language,
+all of a rarer one, drawn by a hash of the id) each language gets the log
+frequencies of the character n-grams of its words (``GRAMS_KEPT`` most frequent
+ones of each language), and the scripts that make up its letters. A word scores, for every
 language that uses its script, the sum over its n-grams. Over the words of a
 text, Viterbi finds the best sequence of languages when every change costs
 ``SWITCH``; its runs are the labelled spans. The text's language is the one
@@ -28,17 +29,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonecast.llm.statistics import id_remainder
-from zonecast.llm.storage import bound_batches, documents, picked
+from zonecast.llm.storage import bound_batches, documents, picked, written
 from zonecast.llm.wordhash import slices
 
-SAMPLE = 6_000
+SAMPLE = 1_500
 FOLDS, HELD_OUT = 4, 2
 GRAMS = (2, 3)
-GRAMS_KEPT = 60_000
+GRAMS_KEPT = 15_000
 SWITCH = 15.0
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.02
@@ -112,10 +113,10 @@ class Model:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model of labelled documents (columns doc_id, text, lang), at most about ``sample`` of them."""
+    """The model of labelled documents (columns doc_id, text, lang), at most about ``sample`` of a language."""
     rows = picked(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    rate = min(1.0, sample / max(rows.count(), 1))
-    rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < int(rate * 1_000_000))
+    share = rows.groupBy("lang").agg((F.lit(sample * 1_000_000) / F.count(F.lit(1))).alias("share"))
+    rows = rows.join(share, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < F.col("share"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -130,10 +131,14 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     bound_batches(docs.sparkSession)
     counts = rows.select("text", "lang").mapInPandas(count, "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = written(counts, "grams")
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    wide = counts.groupBy("gram").agg(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}")
-                                        for i, x in enumerate(languages)], F.sum("n").alias("all"))
-    wide = wide.orderBy(F.col("gram").startswith("#").desc(), F.col("all").desc(), "gram").limit(GRAMS_KEPT).collect()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
+    often = counts.where("gram NOT LIKE '#%'").select("gram", nth.alias("nth")).where(F.col("nth") <= GRAMS_KEPT)
+    script = counts.where("gram LIKE '#%'").select("gram")
+    wide = counts.join(often.select("gram").unionByName(script).distinct(), "gram")
+    wide = wide.groupBy("gram").agg(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}")
+                                        for i, x in enumerate(languages)], F.count(F.lit(1)).alias("held")).orderBy("gram").collect()
     scripts = {r["gram"][1:]: r for r in wide if len(r["gram"]) > 1 and r["gram"][0] == "#"}
     kept = [r for r in wide if r["gram"][0] != "#"]
     total = [sum(r[f"n{i}"] for r in scripts.values()) for i in range(len(languages))]
