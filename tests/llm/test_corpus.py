@@ -218,6 +218,20 @@ def test_margins_without_tokens_have_no_weight(spark, tmp_path):
     assert Counter(map(tuple, got)) == Counter(want.fetchall())
 
 
+def test_mixing_scale_is_that_of_held_cells(spark, tmp_path):
+    """A source of one document, and most combinations of margins empty: some document is surely taken, in query and SQL."""
+    rows = [(k, f"{data.prose(k, 40 + k)}{' licence' * (k % 9 == 0)}", ["en", "de"][k % 2], f"s{k % 3}", 0) for k in range(60)]
+    rows += [(90, "a@b.example only one", "fr", "tiny", 0), (91, " ", "es", "tiny", 0)]
+    path = tmp_path / "documents.parquet"
+    data.docs(spark, rows).write.parquet(str(path))
+    got = {r.doc_id: r for r in mixing.op7_mixing(spark, str(tmp_path)).collect()}
+    assert max(r.probability for r in got.values()) == 1.0
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}/*.parquet'")
+    want = con.execute(f"select doc_id, probability, selected from ({mixing.oracle_sql()})").fetchall()
+    assert {(i, p, s) for i, p, s in want} == {(i, r.probability, r.selected) for i, r in got.items()}
+
+
 def test_mixing_awkward_rows(spark):
     df = data.docs(spark)
     got = mixing.with_probability(df).collect()

@@ -5,9 +5,7 @@ the cells have, weights are raked in turn until the tokens of each source,
 language and topic have the target shares; each document is then sampled with
 its cell's probability, weight / largest weight, by a hash of its id and text.
 The largest weight is that of the cells with tokens: that is the largest sample
-without repeats whose expected mixture is the fitted one. ``op7_mixing`` takes
-it over every combination of margins with tokens instead, held by a document or
-not, as its SQL does; its sample has the same mixture, but can be smaller.
+without repeats whose expected mixture is the fitted one.
 
 Targets are shares by language and by topic (``OTHER`` takes what they don't
 name; categories without tokens are left out and the rest scaled up), so these
@@ -107,11 +105,10 @@ def _sum(columns: list[Column]) -> Column:
 
 def with_probability(docs: DataFrame, languages: dict[str, float] | None = None,
                      topics: dict[str, float] | None = None, temper: float = TEMPER,
-                     rounds: int = ROUNDS, held: bool = True) -> DataFrame:
+                     rounds: int = ROUNDS) -> DataFrame:
     """``numbered(docs)`` with source, lang, topic, tokens, p and u (sampled if u < p).
 
-    p is 1 where the weight is largest: among the cells that have tokens
-    (``held``), or among all combinations of margins that have.
+    p is 1 where the weight is largest among the cells that have tokens.
     """
     languages, topics = languages or LANGUAGES, topics or TOPICS
     lang, text = column_of(docs, "lang"), whole(column_of(docs, "text"))
@@ -126,7 +123,7 @@ def with_probability(docs: DataFrame, languages: dict[str, float] | None = None,
     rows = rows.withColumn("topic", F.when(kind.isin(*topics), kind).otherwise(F.lit(OTHER)))
     cells = written(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "cells")
     weights = written(fit_weights(cells, languages, topics, temper, rounds), "weights")
-    scale = weights.join(cells.where("tokens > 0"), ["source", "lang", "topic"], "left_semi") if held else weights
+    scale = weights.join(cells.where("tokens > 0"), ["source", "lang", "topic"], "left_semi")
     most = scale.agg(F.max("weight").alias("m")).first()["m"] or 1.0
     probability = weights.select("source", "lang", "topic", F.least(F.col("weight") / F.lit(most), F.lit(1.0)).alias("p"))
     out = rows.join(probability, ["source", "lang", "topic"], "left")
@@ -141,7 +138,7 @@ def sample(docs: DataFrame, **options) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return with_probability(docs, held=False).select(       # as the SQL scales it
+    return with_probability(docs).select(
         column_of(docs, "doc_id").alias("doc_id"), "source", "lang", "topic", "tokens",
         F.round("p", 6).alias("probability"), (F.col("u") < F.col("p")).alias("selected"))
 
@@ -179,7 +176,8 @@ def oracle_sql() -> str:
   FROM cells x JOIN a{i} USING (source) JOIN b{i + 1} USING (lang) JOIN c{i} USING (topic) GROUP BY topic)""")
     ctes.append(f"""weights AS MATERIALIZED (SELECT source, lang, topic, a * b * c AS w
   FROM a{ROUNDS} CROSS JOIN b{ROUNDS} CROSS JOIN c{ROUNDS})""")
+    ctes.append("""most AS MATERIALIZED (SELECT max(w) AS w FROM weights JOIN cells USING (source, lang, topic) WHERE cells.tokens > 0)""")
     return "WITH " + ",\n".join(ctes) + """
-SELECT doc_id, r.source, r.lang, r.topic, r.tokens, round(coalesce(w / (SELECT max(w) FROM weights), 0e0), 6) AS probability,
-       u < coalesce(w / (SELECT max(w) FROM weights), 0e0) AS selected
+SELECT doc_id, r.source, r.lang, r.topic, r.tokens, round(least(coalesce(w / (SELECT w FROM most), 0e0), 1e0), 6) AS probability,
+       u < least(coalesce(w / (SELECT w FROM most), 0e0), 1e0) AS selected
 FROM rows r LEFT JOIN weights USING (source, lang, topic)"""
