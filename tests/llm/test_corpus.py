@@ -223,7 +223,7 @@ def test_mixing_scale_is_that_of_held_cells(spark, tmp_path):
     rows = [(k, f"{data.prose(k, 40 + k)}{' licence' * (k % 9 == 0)}", ["en", "de"][k % 2], f"s{k % 3}", 0) for k in range(60)]
     rows += [(90, "a@b.example only one", "fr", "tiny", 0), (91, " ", "es", "tiny", 0)]
     path = tmp_path / "documents.parquet"
-    data.docs(spark, rows).write.parquet(str(path))
+    spark.createDataFrame(rows, data.SCHEMA).write.parquet(str(path))
     got = {r.doc_id: r for r in mixing.op7_mixing(spark, str(tmp_path)).collect()}
     assert max(r.probability for r in got.values()) == 1.0
     con = duckdb.connect()
