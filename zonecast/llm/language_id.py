@@ -115,8 +115,10 @@ class Model:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of labelled documents (columns doc_id, text, lang), at most about ``sample`` of a language."""
     rows = picked(docs, "doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    share = rows.groupBy("lang").agg((F.lit(sample * 1_000_000) / F.count(F.lit(1))).alias("share"))
-    rows = rows.join(share, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < F.col("share"))
+    sizes = rows.groupBy("lang").count().collect()          # one row a language, as the model has
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], sample * 1_000_000 / r["count"])]) if sizes else None
+    if share is not None:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < share[F.col("lang")])
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
