@@ -197,3 +197,41 @@ def test_registered_scan_opens_what_the_manifest_lists(spark):
     from zonecast.plans.catalog import QUERIES
     opened = {"/".join(unquote(f).split("/")[-2:]) for f in QUERIES["scan_weather_csv"](spark, SF_SMALL).inputFiles()}
     assert opened == {r.REL_PATH for r in QUERIES["manifest_existing"](spark, SF_SMALL).collect()}
+
+
+def test_daily_files_are_written_under_their_names(spark, tmp_path):
+    rows = [("7", "2001-01-01", 40.5, 'a "quoted", name', 1e-7, 2001, "s1"), ("7", "2001-01-02", None, " padded ", 51.25, 2001, "s1"),
+            ("8", None, 1e9, "", None, 2001, "a/b*=c"), ("9", "2002-01-01", 2.0, "x", 3.0, 2002, "s1"), ("9", "2002-01-01", 2.0, "x", 3.0, 2002, "s1"),
+            (None, "2002-02-02", 1.0, "y", 0.1, 2002, None), ("1", "none", 1.0, "é", 0.1, None, "s1")]
+    frame = spark.createDataFrame(rows, "STATION string, DATE string, LATITUDE double, NAME string, TEMP double, YEAR int, STN_ID string")
+    named, renamed = str(tmp_path / "named"), str(tmp_path / "renamed")
+    csv.write_weather_csv(frame, named)
+    assert not os.path.exists(f"{named}-parts")                  # no second pass over the files by the driver
+    cols = [F.col(c) if c in frame.columns else F.lit(None).cast(csv.DAILY_SCHEMA[c].dataType).alias(c) for c in csv.DAILY_COLUMNS]
+    csv._write_renamed(frame.select(*cols, "YEAR", "STN_ID").repartition("YEAR", "STN_ID"), renamed)
+
+    def files(base):
+        found = {}
+        for folder, _, names in os.walk(base):
+            for name in names:
+                if not name.startswith("."):
+                    with open(f"{folder}/{name}", encoding="utf-8") as f:
+                        head, *lines = f.read().splitlines()
+                    found[os.path.relpath(f"{folder}/{name}", base)] = head, sorted(lines)
+        return found
+    assert files(named) == files(renamed) and len(files(named)) == 5
+
+
+def test_the_landed_files_are_listed_once_by_few_tasks(spark, tmp_path):
+    for station in range(70):
+        _write(f"{tmp_path}/d/2001/{station}.csv", ",".join(csv.DAILY_COLUMNS) + f"\n{station},2001-01-01,1.0,2.0" + "," * 24 + "\n")
+    landed = manifest.landed_files(spark, f"{tmp_path}/d")
+    assert not any(f.endswith(".csv") for f in landed.inputFiles()) and landed.count() == 70      # kept as a table
+    conf, tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext.statusTracker()
+    before = spark.conf.get(conf)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    rows = csv.read_weather_csv(spark, [f"{tmp_path}/d/2001/{s}.csv" for s in range(70)])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tasks.getStageInfo(s) for j in tasks.getJobIdsForGroup("listing") for s in tasks.getJobInfo(j).stageIds]
+    assert max((s.numTasks for s in stages if s), default=0) <= csv.LISTING_TASKS < 70
+    assert spark.conf.get(conf) == before and rows.count() == 70

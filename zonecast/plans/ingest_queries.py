@@ -61,16 +61,16 @@ def q_bbox_filter(spark, d):
     return clean.bbox_filter(clean.drop_null_subset(_keyed_stations(spark, d)))
 
 
-@query("ingest_manifest")
-def q_ingest_manifest(spark, d):
+def _manifest_and_landed(spark, d):
+    base = _weather_files(spark, d)
+    landed = manifest.landed_files(spark, base)
     st = clean.bbox_filter(clean.drop_null_subset(_keyed_stations(spark, d)))
-    return manifest.ingest_manifest(st, *manifest.year_span(manifest.landed_files(spark, _weather_files(spark, d))))
+    return base, manifest.ingest_manifest(st, *manifest.year_span(landed)), landed
 
 
-def _manifest_and_landed(spark, d):
-    base = _weather_files(spark, d)
-    m = q_ingest_manifest(spark, d)
-    return base, m, manifest.landed_files(spark, base)
+@query("ingest_manifest")
+def q_ingest_manifest(spark, d):
+    return _manifest_and_landed(spark, d)[1]
 
 
 @query("manifest_existing")

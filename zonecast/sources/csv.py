@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -39,6 +47,9 @@ DAILY_SCHEMA = StructType([
 ])
 DAILY_COLUMNS = [f.name for f in DAILY_SCHEMA.fields]
 
+RENAMES = 16                # at once, from the driver
+LISTING_TASKS = 64          # of one read; Spark's own number is a task a path
+
 STATION_FIELDS = ("USAF", "WBAN", "STATION NAME", "LAT", "LON")
 
 
@@ -63,32 +74,107 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
     station column is renamed ID_STATION for the raw layer."""
     reader = spark.read.option("header", True).option("sep", ",").option("mode", "PERMISSIVE")
     paths = paths if isinstance(paths, str) else list(paths)
-    return reader.schema(DAILY_SCHEMA).csv(paths).withColumnRenamed("STATION", "ID_STATION")
+    with few_listing_tasks(spark):
+        rows = reader.schema(DAILY_SCHEMA).csv(paths)
+    return rows.withColumnRenamed("STATION", "ID_STATION")
+
+
+@contextmanager
+def set_while(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for what is started inside."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def few_listing_tasks(spark: SparkSession):
+    """Many given paths are looked up by LISTING_TASKS tasks."""
+    return set_while(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTING_TASKS)})
 
 
 def write_weather_csv(weather: DataFrame, base: str) -> None:
     """The layout the daily files are published in: ``{base}/{year}/{station}.csv``.
 
     ``weather`` has file columns (missing ones are left empty) and the layout
-    columns YEAR and STN_ID. Spark writes one directory a file into
-    ``{base}-parts``, from where each file is renamed on the shared storage.
+    columns YEAR and STN_ID. One task holds all rows of a station and year.
     """
-    spark = weather.sparkSession
     cols = [F.col(c) if c in weather.columns else F.lit(None).cast(DAILY_SCHEMA[c].dataType).alias(c)
             for c in DAILY_COLUMNS]
-    # one task a station and year: a file each, as published
-    (weather.select(*cols, "YEAR", "STN_ID").repartition("YEAR", "STN_ID")
-     .write.mode("overwrite").partitionBy("YEAR", "STN_ID").option("header", True).csv(f"{base}-parts"))
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    files = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for year in files.listStatus(path(f"{base}-parts")):
-        if not year.isDirectory():
-            continue
-        name = year.getPath().getName().split("=")[1]
-        files.mkdirs(path(f"{base}/{name}"))
-        for station in files.listStatus(year.getPath()):
-            parts = files.globStatus(path(station.getPath(), "part-*.csv"))
-            if len(parts) != 1:
-                raise OSError(f"{len(parts)} files instead of one in {station.getPath()}")
-            files.rename(parts[0].getPath(), path(f"{base}/{name}/{station.getPath().getName().split('=')[1]}.csv"))
+    rows = weather.select(*cols, "YEAR", "STN_ID").repartition("YEAR", "STN_ID")
+    path = weather.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(weather.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        _write_named(rows, path.toUri().getPath())
+    else:
+        _write_renamed(rows, base)
+
+
+def _write_named(rows: DataFrame, base: str) -> None:
+    """Each task writes its files under their own names into the shared folder.
+
+    Spark formats the lines. A file appears whole, by one rename, and a task
+    that runs again replaces it by the same rows.
+    """
+    header = ",".join(DAILY_COLUMNS) + "\n"
+
+    def name(value) -> str:                                  # as Spark writes it in paths
+        if value in (None, ""):
+            return "__HIVE_DEFAULT_PARTITION__"
+        return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", str(value))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, made, now, out, part = 0, set(), None, None, None
+
+        def close():
+            out.close()
+            os.replace(part, f"{base}/{now[0]}/{now[1]}.csv")
+
+        for batch in batches:
+            for year, station, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key = name(year), name(station)
+                if key != now:
+                    if out:
+                        close()
+                    if key[0] not in made:
+                        os.makedirs(f"{base}/{key[0]}", exist_ok=True)
+                        made.add(key[0])
+                    now, files = key, files + 1
+                    part = f"{base}/{key[0]}/.{uuid.uuid4().hex}"
+                    out = open(part, "w", encoding="utf-8", newline="")
+                    out.write(header)
+                out.write(f"{line}\n")
+        if out:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    lines = rows.select("YEAR", "STN_ID", F.to_csv(F.struct(*DAILY_COLUMNS)).alias("line"))
+    lines.sortWithinPartitions("YEAR", "STN_ID").mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
+def _write_renamed(rows: DataFrame, base: str) -> None:
+    """Where tasks reach the storage through Spark only: a directory a file in
+    ``{base}-parts``, from where the driver renames each file."""
+    # tasks commit their own files; the folder is new and nobody else reads it
+    (rows.write.mode("overwrite").partitionBy("YEAR", "STN_ID").option("header", True)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{base}-parts"))
+    context = rows.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(context._jsc.hadoopConfiguration())
+
+    def rename(station, name):
+        parts = files.globStatus(path(station, "part-*.csv"))
+        if len(parts) != 1:
+            raise OSError(f"{len(parts)} files instead of one in {station}")
+        files.rename(parts[0].getPath(), path(f"{base}/{name}/{station.getName().split('=', 1)[1]}.csv"))
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        for year in files.listStatus(path(f"{base}-parts")):
+            if year.isDirectory():
+                name = year.getPath().getName().split("=", 1)[1]
+                files.mkdirs(path(f"{base}/{name}"))
+                list(pool.map(lambda s: rename(s.getPath(), name), files.listStatus(year.getPath())))

@@ -15,6 +15,7 @@ from itertools import batched
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.session import scratch_path
 from zonecast.sources.csv import DAILY_SCHEMA, read_weather_csv
 
 PATHS_PER_READ = 10_000
@@ -38,10 +39,14 @@ def ingest_manifest(stations: DataFrame, first_year: int, last_year: int) -> Dat
 
 def landed_files(spark: SparkSession, base: str) -> DataFrame:
     """(YEAR, STN_ID) of every landed file under ``base``. Only the path
-    column is selected, so file contents are never read."""
+    column is selected, so file contents are never read. The listing is kept
+    as a table: what is asked of it later sees the same files and lists none."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                .option("pathGlobFilter", "*.csv").load(base).select("path"))
-    return listing.select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
+    landed = listing.select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
+    out = scratch_path(spark, "landed")
+    landed.write.parquet(out)
+    return spark.read.schema(landed.schema).parquet(out)
 
 
 def year_span(landed: DataFrame) -> tuple[int, int]:

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from zonecast.operators import clean
 from zonecast.sources import jsonfeed
-from zonecast.sources.csv import DAILY_SCHEMA
+from zonecast.sources.csv import DAILY_SCHEMA, few_listing_tasks, set_while
 from zonecast.sources.manifest import path_keys
 
-MAX_FILES_PER_TRIGGER = 1000
+MAX_FILES_PER_TRIGGER = 20_000      # daily files are small: a batch holds some 100 MB
+OPEN_COST = "64k"                   # of a daily file: more of them a task, fewer files in the layer
 
 
 def weather_file_stream(spark: SparkSession, source_dir: str,
@@ -49,9 +50,10 @@ def land_new_files(spark: SparkSession, source_dir: str, layer_path: str, checkp
     if stations is not None:
         rows = rows.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
     rows, before = rows.drop("STN_ID"), _rows_in(spark, layer_path)
-    q = (rows.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).partitionBy("YEAR")
-         .trigger(availableNow=True).start(layer_path))
+    with few_listing_tasks(spark), set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):     # the query keeps them
+        q = (rows.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).partitionBy("YEAR")
+             .trigger(availableNow=True).start(layer_path))
     q.awaitTermination()
     return _rows_in(spark, layer_path) - before
 
