@@ -80,3 +80,10 @@ def test_no_document_and_broken_ones(spark, tmp_path):
     for i, text in enumerate(("", "   ", "[", "[[1,2],[3", "null", "{}", "[]", "[[]]")):
         (tmp_path / f"{i}.json").write_text(text)
     assert found(array_elements(spark, str(tmp_path))) == ["[1, 2]", "[3]", "[]"]
+
+
+def test_the_documents_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"data": records(6, 50)}))
+    df = array_elements(spark, str(tmp_path / "a.json"), key="data")
+    assert df.inputFiles() and not any("a.json" in f for f in df.inputFiles())
+    assert found(df) == sorted(map(json.dumps, records(6, 50)))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from zonecast.operators import clean
 from zonecast.operators.spatial import with_centroid
 from zonecast.sources import csv, geojson, jsonfeed, manifest, parquet
+from zonecast.sources.jsonsplit import kept
 
 
 def stations_in_box(spark: SparkSession, stations_csv) -> DataFrame:
@@ -55,6 +56,8 @@ def air_extract(spark: SparkSession, feed_path, zones_path, envelope: bool = Tru
     feed holds no record (an empty ``data`` array stops the load)."""
     layout = layout or ("envelope" if envelope else "lines")
     records = jsonfeed.read_records(spark, feed_path, layout)
+    if layout != "lines":               # records of documents are found once, for the guard and the extract
+        records = kept(records, "feed-records")
     manifest.require_inputs(records, "air-quality record in the feed")
     air = clean.clean_air(jsonfeed.to_air_raw(jsonfeed.name_fields(jsonfeed.whole_records(records))))
     zones = ensure_centroid(geojson.read_geojson(spark, zones_path, collection=zones_collection),

@@ -8,8 +8,10 @@ the splits of a file (a row a split), give every piece its state. An element
 ends where a closing bracket comes back to the array's depth; pieces of one
 element, also of one that crosses splits, are joined by its number.
 
-Only numbers are shuffled to find the states; the text is shuffled by split
-(at most ``spark.sql.files.maxPartitionBytes``) and by element. Windows run
+The pieces are parsed once and kept as a table with what they change: states
+come from its numbers alone, and only the elements read its text again, which
+is shuffled by split (at most ``spark.sql.files.maxPartitionBytes``) and by
+element. Windows run
 over one split or over the rows of a file's splits. Compressed files are one
 split. A document that breaks off in an element ends it there.
 """
@@ -19,11 +21,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zonecast.session import scratch_path
+
 _STRING = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'        # a string, or the part of one that has begun
 _REST = r'(?s)^[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'          # the rest of a string
 _SPLIT = ("_file", "_block")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own under the shared checkpoint folder: read again, not computed again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _quotes(text: Column) -> Column:
     plain = F.regexp_replace(text, r"(?s)\\.", "")
     return (F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))) % 2
@@ -51,7 +62,7 @@ def _pieces(spark: SparkSession, path, close: str, head: str) -> DataFrame:
             f"_d{k}": _depth(out) - F.when(F.col("_p") == k, 1).otherwise(0),       # the bracket behind the piece
             f"_closes{k}": F.concat(out, F.lit(close)).rlike(r"^\s*+\]"),
             f"_at{k}": F.when(text.rlike(head) & (_quotes(before) == 0) & ~empty, _depth(_outside(before)))})
-    return rows
+    return rows.drop("_v1")
 
 
 def _within(rows: DataFrame) -> DataFrame:
@@ -65,8 +76,7 @@ def _within(rows: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """Pieces with their depth at the start and whether they start inside a string."""
-    rows = _within(rows)
+    """Pieces (``_within`` their splits) with their depth at the start and whether they start inside a string."""
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)   # a row a split
     splits = rows.groupBy(*_SPLIT).agg((F.sum("_p") % 2).alias("_p"), F.sum("_e0").alias("_e0"), F.sum("_e1").alias("_e1"))
     splits = splits.withColumn("_in", F.coalesce(F.sum("_p").over(before), F.lit(0)) % 2)
@@ -90,13 +100,13 @@ def array_elements(spark: SparkSession, path, key: str | None = None, objects: b
     close, begin = ("}", "{") if objects else ("]", "[")
     base = 1 if key is None else 2
     head = r"(?s)^(\s*+)\[" if key is None else rf'(?s)^(.*?)"{key}"\s*+:\s*+\['
-    rows = _pieces(spark, path, close, head)
+    rows = kept(_within(_pieces(spark, path, close, head)), "json-pieces")
     place = F.struct("_block", "_row")
     starts = F.col("_depth") + F.col("_at") == base - 1
     ends = F.col("_ends") & (F.col("_after") == base)
     closes = F.col("_closes") & (F.col("_depth") == base)
 
-    numbers = _placed(rows.drop("_v0", "_v1"))                # what the splits hold: numbers only
+    numbers = _placed(rows.drop("_v0"))                       # what the splits hold: numbers only
     facts = numbers.groupBy(*_SPLIT).agg(
         F.count(F.when(ends, 1)).alias("_n"), F.min(F.when(starts, place)).alias("_start"),
         F.collect_list(F.when(closes, place)).alias("_close"))            # arrays right below the top, few
@@ -110,7 +120,7 @@ def array_elements(spark: SparkSession, path, key: str | None = None, objects: b
     before = Window.partitionBy(*_SPLIT).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     main = main.withColumn("_element", F.col("_n") + F.coalesce(F.sum(ends.cast("int")).over(before), F.lit(0)))
     main = main.where((place >= F.col("_start")) & (F.col("_stop").isNull() | (place < F.col("_stop"))))
-    text = F.when(F.col("_inside") == 0, F.col("_v0")).otherwise(F.col("_v1"))
+    text = F.when(F.col("_inside") == 0, F.col("_v0")).otherwise(F.regexp_replace("_v0", _REST, ""))
     text = F.when(place == F.col("_start"), F.regexp_replace(text, head, "")).otherwise(F.col("_v0"))
     parts = main.select("_file", "_element", F.struct("_block", "_row", F.concat(text, F.lit(close)).alias("t"), ends.alias("e")).alias("_part"))
     whole = parts.groupBy("_file", "_element").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
