@@ -14,9 +14,10 @@ Scale. A row of two numbers a super-k-mer is shuffled to find the repeated
 minimisers; texts and packed strings move only for documents that have some.
 Documents of equal word sequences are one sequence with a number of copies (a
 sequence of at least WINDOW words with two copies is removed whole). Strings
-of hot minimisers (at most sharedkeys.HOT_KEYS) don't meet in one bucket: equal
-ones are counted by their sha256 with partial aggregation, and only the
-windows of strings that occur once are then counted singly.
+of hot minimisers (at most sharedkeys.HOT_KEYS) don't meet in one bucket: of
+equal ones in a slice of texts one travels, equal ones are counted by their
+sha256 with partial aggregation, and only the windows of strings that occur
+once are then counted singly.
 
 Defined cases: null has no words; a text of fewer than WINDOW words is kept;
 words stay unchanged and kept ones are joined by one space; repeated rows are
@@ -26,6 +27,7 @@ copies of each other.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,8 +98,12 @@ def _sequences(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _pack(texts: DataFrame, window: int, hot: bool) -> DataFrame:
-    """bucket, sid, start, packed: the super-k-mers in ``runs`` of each text, the hot or the others."""
-    schema = "bucket long, sid long, start int, packed binary"
+    """bucket, sid, start, packed: the super-k-mers in ``runs`` of each text, the hot or the others.
+
+    Also last (start of the last window in it) and, of the hot ones, whether there are ``more``
+    equal ones in the slice: one of these has the string, the others null.
+    """
+    schema = "bucket long, sid long, start int, packed binary, last int, more boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,11 +113,16 @@ def _pack(texts: DataFrame, window: int, hot: bool) -> DataFrame:
                     words = text.encode().split()
                     for r in runs:
                         a = r["start"]
-                        out.append((r["mini"], sid, a, b" ".join(words[a:a + r["size"] + window - 1])))
-                columns = list(zip(*out, strict=True)) or [()] * 4
-                kinds = pa.int64(), pa.int64(), pa.int32(), pa.binary()
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                                 names=["bucket", "sid", "start", "packed"])
+                        out.append((r["mini"], sid, a, b" ".join(words[a:a + r["size"] + window - 1]), a + r["size"] - 1))
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                more = [False] * len(out)
+                if hot:
+                    count, sent = Counter(columns[3]), set()
+                    more = [count[s] > 1 for s in columns[3]]
+                    columns[3] = [None if s in sent else sent.add(s) or s for s in columns[3]]
+                kinds = pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.bool_()
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*columns, more], kinds, strict=True)],
+                                                 names=["bucket", "sid", "start", "packed", "last", "more"])
 
     wanted = F.filter("runs", lambda r: r["hot"] if hot else ~r["hot"])
     return texts.select("sid", "text", wanted.alias("runs")).where(F.size("runs") > 0).mapInArrow(run, schema)
@@ -121,15 +132,18 @@ def _count_hot(packed: DataFrame, window: int) -> DataFrame:
     """sid, starts of repeated windows of hot super-k-mers, without a bucket.
 
     Equal strings are counted first, by their sha256: all windows of one that
-    occurs twice repeat. Of the others the windows are counted one by one,
+    occurs twice repeat (those with equal ones in their slice are known). Of the others the windows are counted one by one,
     against those of one string of each kind.
     """
     rows = written(packed.withColumn("name", F.unhex(F.sha2("packed", 256))).select(
-        "sid", "start", "name", "packed", (F.size(F.split(F.col("packed").cast("string"), " ")) - window).alias("last")), "hot")
-    names = written(rows.groupBy("name").agg(F.count("*").alias("n"), F.min(F.struct("sid", "start")).alias("one")), "strings")
-    twice = rows.select("sid", "start", "name", "last").join(names.where("n > 1").select("name"), "name", "left_semi").select(
-        "sid", F.sequence("start", F.col("start") + F.col("last")).alias("starts"))
-    each = rows.join(names, "name").where((F.col("sid") == F.col("one.sid")) & (F.col("start") == F.col("one.start")))
+        "sid", "start", "name", "packed", "last", "more"), "hot")
+    sent = rows.where("packed IS NOT NULL")
+    names = written(sent.groupBy("name").agg(F.sum(F.when(F.col("more"), 2).otherwise(1)).alias("n"),
+                                             F.min(F.struct("sid", "start")).alias("one")), "strings")
+    single = sent.where("NOT more").join(names.where("n > 1").select("name"), "name", "left_semi")
+    twice = rows.where("more").select("sid", "start", "last").unionByName(single.select("sid", "start", "last")).select(
+        "sid", F.sequence("start", "last").alias("starts"))
+    each = sent.join(names, "name").where((F.col("sid") == F.col("one.sid")) & (F.col("start") == F.col("one.start")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +214,7 @@ def _count(packed: DataFrame, window: int) -> DataFrame:
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = packed.select("bucket", "sid", "start", "packed").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "sid long, starts array<int>")
 
 
