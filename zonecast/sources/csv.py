@@ -9,7 +9,9 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -48,6 +50,7 @@ DAILY_SCHEMA = StructType([
 DAILY_COLUMNS = [f.name for f in DAILY_SCHEMA.fields]
 
 RENAMES = 16                # at once, from the driver
+OPEN_COST = "64k"           # of a daily file: more of them a task than by Spark's 4 MB
 LISTING_TASKS = 64          # of one read; Spark's own number is a task a path
 
 STATION_FIELDS = ("USAF", "WBAN", "STATION NAME", "LAT", "LON")
@@ -117,15 +120,15 @@ def write_weather_csv(weather: DataFrame, base: str) -> None:
 def _write_named(rows: DataFrame, base: str) -> None:
     """Each task writes its files under their own names into the shared folder.
 
-    Spark formats the lines. A file appears whole, by one rename, and a task
+    Spark formats the lines; those of a file are written at once. A file appears whole, by one rename, and a task
     that runs again replaces it by the same rows.
     """
-    header = ",".join(DAILY_COLUMNS) + "\n"
+    header = (",".join(DAILY_COLUMNS) + "\n").encode()
 
     def name(value) -> str:                                  # as Spark writes it in paths
-        if value in (None, ""):
+        if value == "":
             return "__HIVE_DEFAULT_PARTITION__"
-        return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", str(value))
+        return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, made, now, out, part = 0, set(), None, None, None
@@ -135,8 +138,15 @@ def _write_named(rows: DataFrame, base: str) -> None:
             os.replace(part, f"{base}/{now[0]}/{now[1]}.csv")
 
         for batch in batches:
-            for year, station, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                key = name(year), name(station)
+            if not batch.num_rows:
+                continue
+            year, station, line = (c.cast(pa.large_string()) for c in batch.columns)
+            at = np.frombuffer(line.buffers()[1], np.int64)[line.offset:line.offset + len(line) + 1]
+            text = memoryview(line.buffers()[2])
+            new = pc.or_(pc.not_equal(year[1:], year[:-1]), pc.not_equal(station[1:], station[:-1]))
+            heads = np.concatenate([[0], np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1])
+            for head, end in zip(heads.tolist(), [*heads[1:].tolist(), len(line)], strict=True):
+                key = name(year[head].as_py()), name(station[head].as_py())
                 if key != now:
                     if out:
                         close()
@@ -145,15 +155,17 @@ def _write_named(rows: DataFrame, base: str) -> None:
                         made.add(key[0])
                     now, files = key, files + 1
                     part = f"{base}/{key[0]}/.{uuid.uuid4().hex}"
-                    out = open(part, "w", encoding="utf-8", newline="")
+                    out = open(part, "wb")
                     out.write(header)
-                out.write(f"{line}\n")
+                out.write(text[at[head]:at[end]])
         if out:
             close()
         yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
 
-    lines = rows.select("YEAR", "STN_ID", F.to_csv(F.struct(*DAILY_COLUMNS)).alias("line"))
-    lines.sortWithinPartitions("YEAR", "STN_ID").mapInArrow(run, "files long").agg(F.sum("files")).collect()
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    lines = rows.sortWithinPartitions("YEAR", "STN_ID").select(
+        text("YEAR"), text("STN_ID"), F.concat(F.to_csv(F.struct(*DAILY_COLUMNS)), F.lit("\n")).alias("line"))
+    lines.mapInArrow(run, "files long").agg(F.sum("files")).collect()
 
 
 def _write_renamed(rows: DataFrame, base: str) -> None:

@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.session import scratch_path
-from zonecast.sources.csv import DAILY_SCHEMA, read_weather_csv
+from zonecast.sources.csv import DAILY_SCHEMA, OPEN_COST, read_weather_csv, set_while
 
 PATHS_PER_READ = 10_000
+TASKS_PER_READ = 16         # Spark's own number is a task for 32 small files
 GLOB = re.compile(r"([\\*?\[\]{}])")       # characters that paths would be expanded by
 DAILY_PATH = r"/([0-9]{4})/([^/]+)\.csv$"
 
@@ -45,7 +46,8 @@ def landed_files(spark: SparkSession, base: str) -> DataFrame:
                .option("pathGlobFilter", "*.csv").load(base).select("path"))
     landed = listing.select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
     out = scratch_path(spark, "landed")
-    landed.write.parquet(out)
+    with set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):
+        landed.write.parquet(out)
     return spark.read.schema(landed.schema).parquet(out)
 
 
@@ -77,8 +79,9 @@ def read_manifest_files(spark: SparkSession, base: str, existing: DataFrame,
                         paths_per_read: int = PATHS_PER_READ) -> DataFrame:
     """Daily weather rows of the landed files of a manifest; no other file is
     opened or listed. The paths come to the driver, which plans file reads in
-    any case, as an iterator of batches; each batch is one read of its files."""
-    rows = [read_weather_csv(spark, batch) for batch in batched(
+    any case, as an iterator of batches; each batch is one read of its files, by
+    at most TASKS_PER_READ tasks (a daily file has a line a day)."""
+    rows = [read_weather_csv(spark, batch).coalesce(TASKS_PER_READ) for batch in batched(
         (f"{base.rstrip('/')}/{GLOB.sub(r'\\\1', r[0])}" for r in existing.select("REL_PATH").orderBy("REL_PATH").toLocalIterator()),
         paths_per_read)]
     none = spark.createDataFrame([], DAILY_SCHEMA).withColumnRenamed("STATION", "ID_STATION")

@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from zonecast.operators import clean
 from zonecast.sources import jsonfeed
-from zonecast.sources.csv import DAILY_SCHEMA, few_listing_tasks, set_while
+from zonecast.sources.csv import DAILY_SCHEMA, OPEN_COST, few_listing_tasks, set_while
 from zonecast.sources.manifest import path_keys
 
 MAX_FILES_PER_TRIGGER = 20_000      # daily files are small: a batch holds some 100 MB
-OPEN_COST = "64k"                   # of a daily file: more of them a task, fewer files in the layer
 
 
 def weather_file_stream(spark: SparkSession, source_dir: str,
