@@ -71,6 +71,20 @@ def test_a_second_cluster_just_below_the_bound_without_pairs(spark, tmp_path, mo
     assert sum(made) < 10 * len(rows)                                 # 7,140 pairs in the second cluster alone
 
 
+def test_a_group_apart_from_its_leader_is_paired_in_a_later_round(spark):
+    """70 sets that no leader links, equal in what the leader lacks: a leader of their own first, then their pairs."""
+    rows = [(0, k, True, 100, 100, 20, [7]) for k in range(1, 71)]
+    compared = spark.createDataFrame(rows, "a long, b long, led boolean, n_a long, n_b long, differ long, prefix array<long>")
+    flat = bytes([1] * jaccard_join.BUCKETS)
+    used = spark.createDataFrame([(k, 100, flat if k % 2 else bytes(jaccard_join.BUCKETS)) for k in range(71)], "rid long, n long, histogram binary")
+    first, most = jaccard_join._beside(compared, used, (9, 10), jaccard_join.BESIDE, None)
+    assert most == 70 * jaccard_join.BESIDE and first.where("led").count() == first.count() == 69
+    pairs = jaccard_join._beside(compared, used, (9, 10), 4 * jaccard_join.BESIDE, 70 * 70)[0]
+    assert pairs.where("led").count() == 0
+    assert {(r.a, r.b) for r in pairs.collect()} == {(i, j) for i in range(1, 71) for j in range(i + 1, 71) if i % 2 == j % 2}
+    assert jaccard_join._beside(compared, used, (9, 10), 4 * jaccard_join.BESIDE, 70 * 70 - 1)[0].where("led").count() == 69
+
+
 def test_near_copies_around_a_hub_without_pairs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharedkeys, "SAMPLE", 1)              # keys of 16 sets are hot
     base = data.prose(50, 140)
@@ -138,6 +152,20 @@ def test_repeated_windows_go(spark, tmp_path, monkeypatch, hot):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
 
 
+def test_equal_hot_strings_of_a_slice_travel_once(spark):
+    passage = data.prose(72, 60)
+    rows = [(k, f"{passage} {data.prose(700 + k, 40)}", [(0, 20, 5, True), (20, 6, 6, True)]) for k in range(50)]
+    texts = spark.createDataFrame(rows, "sid long, text string, runs array<struct<start:int,size:int,mini:long,hot:boolean>>").coalesce(1)
+    packed = substring_dedup._pack(texts, 35, True).collect()
+    assert sum(r.packed is not None for r in packed) == 2 and len(packed) == 100
+    assert all(r.more for r in packed if r.packed is not None)
+    marks = substring_dedup._count_hot(substring_dedup._pack(texts, 35, True), 35).collect()
+    found = defaultdict(set)
+    for r in marks:
+        found[r.sid].update(r.starts)
+    assert found == {k: set(range(26)) for k in range(50)}
+
+
 def test_super_kmers_cover_each_window_once():
     import pyarrow as pa
 
