@@ -235,3 +235,16 @@ def test_the_landed_files_are_listed_once_by_few_tasks(spark, tmp_path):
     stages = [tasks.getStageInfo(s) for j in tasks.getJobIdsForGroup("listing") for s in tasks.getJobInfo(j).stageIds]
     assert max((s.numTasks for s in stages if s), default=0) <= csv.LISTING_TASKS < 70
     assert spark.conf.get(conf) == before and rows.count() == 70
+
+
+def test_many_daily_files_are_read_by_few_tasks(spark, tmp_path):
+    from zonecast.sources import manifest
+    from zonecast.sources.csv import DAILY_COLUMNS
+    (tmp_path / "1998").mkdir()
+    names = [f"1998/{k:011d}.csv" for k in range(900)]
+    for k, name in enumerate(names):
+        (tmp_path / name).write_text(",".join(DAILY_COLUMNS) + f"\n{k},1998-01-01" + "," * 26 + "\n")
+    existing = spark.createDataFrame([(n,) for n in names], "REL_PATH string")
+    rows = manifest.read_manifest_files(spark, str(tmp_path), existing)
+    assert rows.rdd.getNumPartitions() <= manifest.TASKS_PER_READ
+    assert {r.ID_STATION for r in rows.collect()} == {str(k) for k in range(900)}
