@@ -136,6 +136,18 @@ def test_stream_lands_only_new_files(spark, tmp_path):
         "2001-01-01", "2001-01-02", "2002-01-01"]
 
 
+def test_stream_reads_many_daily_files_by_few_tasks(spark, tmp_path):
+    base, layer, ckpt = (str(tmp_path / n) for n in ("src", "layer", "ckpt"))
+    cores = spark.sparkContext.defaultParallelism
+    for k in range(64 * cores):                                  # Spark's own open cost makes a task of 32 files
+        _write(f"{base}/2001/{k}.csv", ",".join(csv.DAILY_COLUMNS) + f"\n{k},2001-01-01,1.0,2.0" + "," * 24 + "\n")
+    conf = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(conf)
+    assert ingest.land_new_files(spark, base, layer, ckpt) == 64 * cores
+    assert len(os.listdir(f"{layer}/YEAR=2001")) < 2 * 1.5 * cores       # with each file's checksum
+    assert spark.conf.get(conf) == before
+
+
 def test_air_stream_lands_only_new_feed_files(spark, tmp_path):
     feed, out, ckpt = (str(tmp_path / n) for n in ("feed", "extract", "ckpt"))
     zones = spark.createDataFrame([("1", "Alpha", 40.7, -74.0)],

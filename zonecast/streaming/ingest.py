@@ -49,11 +49,12 @@ def land_new_files(spark: SparkSession, source_dir: str, layer_path: str, checkp
     if stations is not None:
         rows = rows.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
     rows, before = rows.drop("STN_ID"), _rows_in(spark, layer_path)
-    with few_listing_tasks(spark), set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):     # the query keeps them
+    # the file source asks the session for these in each batch, so they hold until the last one
+    with few_listing_tasks(spark), set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):
         q = (rows.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint).partitionBy("YEAR")
              .trigger(availableNow=True).start(layer_path))
-    q.awaitTermination()
+        q.awaitTermination()
     return _rows_in(spark, layer_path) - before
 
 
