@@ -249,6 +249,22 @@ def test_the_landed_files_are_listed_once_by_few_tasks(spark, tmp_path):
     assert spark.conf.get(conf) == before and rows.count() == 70
 
 
+def test_landed_files_are_listed_by_names_alone(spark, tmp_path):
+    """As by Spark's listing; no file becomes a part of a read's plan."""
+    base = tmp_path / "daily"
+    for name in ("2001/1.csv", "2001/a b%2F.csv", "2002/1.csv", "2002/_1.csv", "2002/_k=1.csv", "2002/.1.csv", "2002/1.txt", "20/1.csv", "1.csv",
+                 "_old/2003/1.csv", ".x/2003/1.csv", "new/2001/1.csv", "new/2004/deep/2005/1.csv"):
+        _write(f"{base}/{name}", "STATION\n")
+    spark_lists = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(str(base))
+                   .select(*manifest.path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct())
+    want = sorted(map(tuple, spark_lists.collect()))
+    for given in (str(base), f"file:{base}/", f"{tmp_path}/d*y"):
+        assert sorted(map(tuple, manifest.landed_files(spark, given).collect())) == want
+    assert len(want) == 5
+    assert sorted(map(tuple, manifest.landed_files(spark, f"{base}/2001").collect())) == [(2001, "1"), (2001, "a b%2F")]
+    assert not any(f.endswith(".csv") for f in manifest._csv_paths(spark, str(base)).inputFiles())     # no plan of a file each
+
+
 def test_many_daily_files_are_read_by_few_tasks(spark, tmp_path):
     from zonecast.sources import manifest
     from zonecast.sources.csv import DAILY_COLUMNS

@@ -8,20 +8,24 @@ meet by (year, station), the two parts of a file's path
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 from functools import reduce
 from itertools import batched
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.session import scratch_path
-from zonecast.sources.csv import DAILY_SCHEMA, OPEN_COST, read_weather_csv, set_while
+from zonecast.sources.csv import DAILY_SCHEMA, LISTING_TASKS, OPEN_COST, read_weather_csv, set_while
 
 PATHS_PER_READ = 10_000
 TASKS_PER_READ = 16         # Spark's own number is a task for 32 small files
 GLOB = re.compile(r"([\\*?\[\]{}])")       # characters that paths would be expanded by
 DAILY_PATH = r"/([0-9]{4})/([^/]+)\.csv$"
+HIDDEN = re.compile(r"(?!_common_metadata|_metadata)(\.|_[^=]*$|.*\._COPYING_$)", re.S)      # names that Spark's own listing skips
 
 
 def path_keys(path: str) -> list[Column]:
@@ -39,18 +43,43 @@ def ingest_manifest(stations: DataFrame, first_year: int, last_year: int) -> Dat
 
 
 def landed_files(spark: SparkSession, base: str) -> DataFrame:
-    """(YEAR, STN_ID) of every landed file under ``base``. Only the path
-    column is selected, so file contents are never read. The listing is kept
-    as a table: what is asked of it later sees the same files and lists none."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-               .option("pathGlobFilter", "*.csv").load(base).select("path"))
-    landed = listing.select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
+    """(YEAR, STN_ID) of every landed file under ``base``. File contents are
+    never read. The listing is kept as a table: what is asked of it later sees
+    the same files and lists none."""
+    landed = _csv_paths(spark, base).select(*path_keys("path")).where("YEAR IS NOT NULL AND STN_ID IS NOT NULL").distinct()
     out = scratch_path(spark, "landed")
     with set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):
         landed.write.parquet(out)
     return spark.read.schema(landed.schema).parquet(out)
 
 
+def _csv_paths(spark: SparkSession, base: str) -> DataFrame:
+    """``path`` of the CSV files under ``base``: in a folder of the shared file
+    system a task lists each of its folders by names alone; elsewhere, or by a
+    pattern, Spark's file listing asks for each file's status."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = path.toUri().getPath()
+    if store.getUri().getScheme() != "file" or GLOB.search(base) or not os.path.isdir(top):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.csv").load(base).select("path"))
+
+    def fail(error: OSError) -> None:
+        raise error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                for at, inner, names in os.walk(folder, onerror=fail, followlinks=True):
+                    inner[:] = [n for n in inner if folder != top and not HIDDEN.match(n)]      # those of ``top`` have tasks
+                    found = [f"{at}/{n}" for n in names if n.endswith(".csv") and not HIDDEN.match(n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["path"])
+
+    folders = [top, *(e.path for e in os.scandir(top) if e.is_dir() and not HIDDEN.match(e.name))]
+    tasks = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), LISTING_TASKS))
+    return tasks.mapInArrow(run, "path string")
+
+
 def year_span(landed: DataFrame) -> tuple[int, int]:
     """First and last landed year."""
     low, high = landed.agg(F.min("YEAR"), F.max("YEAR")).first()
