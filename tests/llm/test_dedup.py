@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zonecast.llm import components, exact_dedup, jaccard_join, sharedkeys, substring_dedup
 from tests.llm import data
@@ -127,6 +128,23 @@ def test_every_linked_pair_shares_a_key():
                     assert asked & there or (n == big and asked_y & there_x), (similar, n, big, common)
 
 
+def test_rows_of_wanted_keys_are_found_without_a_shuffle(spark):
+    rows = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("k"), "id")
+    rows = rows.unionByName(rows.where("id % 70 = 0"))
+    for wanted, hits in ((rows.where("id % 7 = 0"), 2858 + 286), (rows.where("id = 5"), 1), (rows.where("id < 0"), 0)):
+        got = sharedkeys.likely(rows, wanted.select("k"), "k")
+        assert got.columns == rows.columns
+        assert got.join(wanted, "k", "left_semi").count() == hits <= got.count() <= hits + 20_000 // 30
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" not in plan and "SortMergeJoin" not in plan
+
+
+def test_one_text_a_task_is_sent_of_equal_ones(spark, tmp_path):
+    docs = data.docs(spark, [(k, "one text for all", "en", "s", 0) for k in range(50)] + [(50, "not wanted", "en", "s", 0)], tmp_path / "d")
+    used = spark.createDataFrame([(7,)], "rid long").withColumn("text_key", F.unhex(F.sha2(F.lit("one text for all"), 256)))
+    assert [tuple(r) for r in jaccard_join._texts(jaccard_join.picked(docs, "doc_id", "text"), used).collect()] == [(7, "one text for all")]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(100, 100 + k) for k in range(1, 20)] + [(50, 110)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
@@ -167,8 +185,7 @@ def test_equal_hot_strings_of_a_slice_travel_once(spark):
 
 
 def test_super_kmers_cover_each_window_once():
-    import pyarrow as pa
-
+    
     texts = [data.prose(9, 200, "ab"), "x " * 90, data.prose(3, 34), None, data.prose(4, 35)]
     owner, start, size, mini = substring_dedup.super_kmers(pa.array(texts), 35, 14)
     seen = Counter((int(o), int(s) + k) for o, s, n in zip(owner, start, size, strict=True) for k in range(n))
