@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +130,21 @@ def test_every_linked_pair_shares_a_key():
                     assert asked & there or (n == big and asked_y & there_x), (similar, n, big, common)
 
 
+def test_a_task_holds_the_shingles_of_few_texts():
+    texts = [data.prose(k, 300) for k in range(5_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5_000)), pa.array(range(5_000)), pa.array([b"k"] * 5_000), pa.array(texts)],
+                                       names=["rid", "doc_id", "text_key", "text"])
+    run = jaccard_join._set_rows(5, jaccard_join.Bands((8, 10)), 5_000)
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 5_000 and batch.nbytes > 7 << 20
+    assert peak < 64 << 20
+
+
 def test_rows_of_wanted_keys_are_found_without_a_shuffle(spark):
     rows = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("k"), "id")
     rows = rows.unionByName(rows.where("id % 70 = 0"))
@@ -185,7 +202,8 @@ def test_equal_hot_strings_of_a_slice_travel_once(spark):
 
 
 def test_super_kmers_cover_each_window_once():
-    
+    import pyarrow as pa
+
     texts = [data.prose(9, 200, "ab"), "x " * 90, data.prose(3, 34), None, data.prose(4, 35)]
     owner, start, size, mini = substring_dedup.super_kmers(pa.array(texts), 35, 14)
     seen = Counter((int(o), int(s) + k) for o, s, n in zip(owner, start, size, strict=True) for k in range(n))
