@@ -88,6 +88,35 @@ def test_a_group_apart_from_its_leader_is_paired_in_a_later_round(spark):
     assert jaccard_join._beside(compared, used, (9, 10), 4 * jaccard_join.BESIDE, 70 * 70 - 1)[0].where("led").count() == 69
 
 
+def test_texts_with_a_passage_in_common_are_not_compared(spark, tmp_path, monkeypatch):
+    """Half of each text is its own, so none links and no leader is asked; two copies beside them are."""
+    passage = data.prose(900, 60)
+    rows = [(k, passage + " " + " ".join(f"own{k}x{j}" for j in range(60)), "en", "s", 0) for k in range(40)]
+    rows += [(100 + k, data.prose(901, 150) + f" end{k}", "en", "s", 0) for k in range(2)]
+    made = []
+    compared = jaccard_join._compared
+    monkeypatch.setattr(jaccard_join, "_compared", lambda texts, pairs, *r: (made.append(pairs.count()), compared(texts, pairs, *r))[1])
+    for size, similar in ((3, (9, 10)), (5, (8, 10))):
+        made.clear()
+        got = jaccard_join.near_duplicates(data.docs(spark, rows, tmp_path / f"d{size}"), size, similar).collect()
+        assert {r.doc_id: r.component_id for r in got} == {r[0]: min(r[0], 100) for r in rows}
+        assert sum(made) == 1
+
+
+def test_members_of_one_part_or_with_many_own_shingles_are_not_paired(spark):
+    rows = [(0, k, True, 100, 100, 20, [7]) for k in range(1, 11)]
+    compared = spark.createDataFrame(rows, "a long, b long, led boolean, n_a long, n_b long, differ long, prefix array<long>")
+    used = spark.createDataFrame([(k, 100, bytes(jaccard_join.BUCKETS)) for k in range(11)], "rid long, n long, histogram binary")
+
+    def pairs(known):
+        known = spark.createDataFrame([(k, *known(k)) for k in range(11)], "node long, part long, own long")
+        return {(r.a, r.b) for r in jaccard_join._beside(compared, used, (9, 10), jaccard_join.BESIDE, None, known)[0].collect()}
+
+    assert pairs(lambda k: (1, 0)) == set()
+    assert pairs(lambda k: (min(k, 9), 0)) == {(i, j) for i in range(1, 11) for j in range(i + 1, 11)} - {(9, 10)}
+    assert pairs(lambda k: (k, 2 if k > 8 else 9)) == {(9, 10)}
+
+
 def test_near_copies_around_a_hub_without_pairs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharedkeys, "SAMPLE", 1)              # keys of 16 sets are hot
     base = data.prose(50, 140)
