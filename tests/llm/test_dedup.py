@@ -103,6 +103,23 @@ def test_texts_with_a_passage_in_common_are_not_compared(spark, tmp_path, monkey
         assert sum(made) == 1
 
 
+def test_texts_alone_by_their_own_shingles_give_no_keys(spark, tmp_path, monkeypatch):
+    passage = data.prose(900, 60)
+    rows = [(k, passage + " " + " ".join(f"own{k}x{j}" for j in range(60)), "en", "s", 0) for k in range(40)]
+    rows += [(100 + k, data.prose(901, 150) + f" end{k}", "en", "s", 0) for k in range(2)]
+    held, written = [], jaccard_join.written
+
+    def kept(df, name):
+        out = written(df, name)
+        if name == "held":
+            held.extend(r.node for r in out.select("node").distinct().collect())
+        return out
+    monkeypatch.setattr(jaccard_join, "written", kept)
+    got = jaccard_join.near_duplicates(data.docs(spark, rows, tmp_path / "d"), 5, (8, 10)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {r[0]: min(r[0], 100) for r in rows}
+    assert len(held) == 2
+
+
 def test_members_of_one_part_or_with_many_own_shingles_are_not_paired(spark):
     rows = [(0, k, True, 100, 100, 20, [7]) for k in range(1, 11)]
     compared = spark.createDataFrame(rows, "a long, b long, led boolean, n_a long, n_b long, differ long, prefix array<long>")
@@ -197,6 +214,19 @@ def test_components_of_chains_and_stars(spark):
     assert {r.node: r.part for r in got} == {**{i: 1 for i in range(1, 31)}, **{100 + k: 50 for k in range(20)}, 50: 50}
 
 
+def test_components_in_one_task_and_by_stars(spark, monkeypatch):
+    pick = np.random.default_rng(5)
+    ends = {(int(min(e)), int(max(e))) for e in pick.integers(0, 400, (300, 2)) if e[0] != e[1]} | {(k, k + 1) for k in range(1000, 1200)}
+    links = spark.createDataFrame(sorted(ends), "a long, b long")
+    ran = []
+    monkeypatch.setattr(components, "_stars", lambda *a, f=components._stars: (ran.append(1), f(*a))[1])
+    one = {(r.node, r.part) for r in components.components(links).collect()}
+    assert not ran                                            # few links: no rounds of shuffles
+    monkeypatch.setattr(components, "ONE_TASK", 0)
+    assert {(r.node, r.part) for r in components.components(links).collect()} == one and ran
+    assert len(one) == components.components(links).count() == len({n for e in ends for n in e})
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_repeated_windows_go(spark, tmp_path, monkeypatch, hot):
     if hot:
