@@ -4,6 +4,7 @@ import json
 import os
 from urllib.parse import unquote
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +277,72 @@ def test_many_daily_files_are_read_by_few_tasks(spark, tmp_path):
     rows = manifest.read_manifest_files(spark, str(tmp_path), existing)
     assert rows.rdd.getNumPartitions() <= manifest.TASKS_PER_READ
     assert {r.ID_STATION for r in rows.collect()} == {str(k) for k in range(900)}
+
+
+ODD_FILES = {
+    "2001/a b.csv": "", "2001/head.csv": "H\n", "2001/blank.csv": "\n \t\nSTATION,DATE\n\n1,2001-01-01,1.5\n  \n2,2001-01-02,x,2.5",
+    "2001/crlf.csv": "\ufeffSTATION\r\n3,2001-01-03\r\n4,2001-01-04\r5,2001-01-05",
+    "2002/quotes.csv": 'STATION\n"6","2002-01-01","1.0","2.0","","A ""b"", c","  50.6"\n7,2002-01-02,\u00e9,"open\n8,2002\n',
+    "2002/many.csv": "STATION\n" + "".join(f"s{k},2002-01-01,{k}.5\n" for k in range(300)), "2002/wide.csv": "S\n9" + "," * 40 + "\n",
+}
+
+
+def test_more_files_than_the_driver_plans_are_opened_by_tasks(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "daily")
+    for name, text in ODD_FILES.items():
+        _write(f"{base}/{name}", text)
+    with open(f"{base}/2002/bytes.csv", "wb") as f:
+        f.write(b"STATION\n\xff\xfe,2002-02-02\n")
+    landed = manifest.landed_files(spark, base)
+    stations = landed.select("STN_ID").distinct()
+    existing = manifest.manifest_existing(manifest.ingest_manifest(stations, 2001, 2002), landed)
+    planned = manifest.read_manifest_files(spark, base, existing)
+    assert len(planned.inputFiles()) == 8
+    monkeypatch.setattr(manifest, "PLANNED", 7)
+    opened = manifest.read_manifest_files(spark, f"file:{base}/", existing)
+    assert opened.inputFiles() and not any(f.endswith(".csv") for f in opened.inputFiles()) and opened.columns == planned.columns
+    key = lambda df: sorted(map(repr, df.collect()))
+    assert key(opened) == key(planned) and planned.count() > 308
+    for block in (1, 2, 7, 64):
+        got = b"".join(csv._line_blocks(f"{base}/2001/crlf.csv"))
+        monkeypatch.setattr(csv, "BLOCK", block)
+        assert b"".join(csv._line_blocks(f"{base}/2001/crlf.csv")) == got == b"3,2001-01-03\n4,2001-01-04\n5,2001-01-05\n"
+
+
+def test_stream_driver_holds_batches_not_files(spark, tmp_path):
+    base, layer, ckpt = (str(tmp_path / n) for n in ("src", "layer", "ckpt"))
+    for name, text in ODD_FILES.items():
+        _write(f"{base}/{name}", text)
+    _write(f"{base}/stray.csv", "STATION\n1,2001-01-01\n")
+    rows = csv.read_weather_csv(spark, [f"{base}/{n}" for n in ODD_FILES])
+    assert ingest.land_new_files(spark, base, layer, ckpt, max_files_per_trigger=3) == rows.count()
+    key = lambda df: sorted(map(repr, df.select(rows.columns).collect()))
+    assert key(ingest.read_landed(spark, layer)) == key(rows)
+    log = spark.read.text(f"{ckpt}/sources/0").where("value LIKE '{%'")
+    assert log.count() and log.where("value LIKE '%.csv%'").isEmpty()
+    assert max(spark.read.parquet(f"{ckpt}/listed").groupBy("_metadata.file_path").count().collect(), key=lambda r: r[1])[1] <= 3
+    # a listing whose landing failed is landed by the next run, once
+    _write(f"{base}/2003/late.csv", "STATION\n10,2003-01-01\n")
+    ingest._list_new(spark, base, f"{ckpt}/listed", 3)
+    assert ingest.land_new_files(spark, base, layer, ckpt, spark.createDataFrame([("late",)], "STN_ID string")) == 1
+    assert ingest.land_new_files(spark, f"file:{base}/", layer, ckpt) == 0
+
+
+def test_a_stream_begun_by_files_goes_on_so(spark, tmp_path, monkeypatch):
+    base, layer, ckpt = (str(tmp_path / n) for n in ("src", "layer", "ckpt"))
+    _write(f"{base}/2001/a.csv", "STATION\n1,2001-01-01\n")
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "shared_folder", lambda *a: None)
+        assert ingest.land_new_files(spark, base, layer, ckpt) == 1
+    _write(f"{base}/2001/b.csv", "STATION\n2,2001-01-01\n")
+    assert ingest.land_new_files(spark, base, layer, ckpt) == 1
+    assert sorted(r.ID_STATION for r in ingest.read_landed(spark, layer).collect()) == ["1", "2"]
+
+
+def test_a_large_folder_is_listed_in_parts(tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "NAMES", 10)
+    for name in [f"2001/{k}.csv" for k in range(64)] + ["2001/in/65.csv", "66.csv"]:
+        _write(f"{tmp_path}/{name}", "")
+    folders = pa.RecordBatch.from_pydict({"folder": [str(tmp_path), f"{tmp_path}/2001"]})
+    sent = [b.column(0).to_pylist() for b in manifest._csv_names(iter([folders]), str(tmp_path))]
+    assert max(map(len, sent)) == 10 and len({p for paths in sent for p in paths}) == sum(map(len, sent)) == 66

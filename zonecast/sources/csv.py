@@ -52,6 +52,8 @@ DAILY_COLUMNS = [f.name for f in DAILY_SCHEMA.fields]
 RENAMES = 16                # at once, from the driver
 OPEN_COST = "64k"           # of a daily file: more of them a task than by Spark's 4 MB
 LISTING_TASKS = 64          # of one read; Spark's own number is a task a path
+BLOCK = 1 << 20             # bytes of daily files that a task reads and sends at once
+BLANK = bytes(range(33))    # what Spark trims from a line to see whether it is empty
 
 STATION_FIELDS = ("USAF", "WBAN", "STATION NAME", "LAT", "LON")
 
@@ -82,6 +84,67 @@ def read_weather_csv(spark: SparkSession, paths) -> DataFrame:
     return rows.withColumnRenamed("STATION", "ID_STATION")
 
 
+def _line_blocks(file: str) -> Iterator[bytes]:
+    """The lines below the header of a file in blocks of whole lines, each ended by a line feed."""
+    rest, header, begun = b"", True, False
+    with open(file, "rb") as f:
+        while True:
+            piece = f.read(BLOCK)
+            block, rest = rest + piece, b""
+            if piece:
+                cut = max(block.rfind(b"\n"), block.rfind(b"\r", 0, -1)) + 1      # a last \r may belong to a \n not read yet
+                block, rest = block[:cut], block[cut:]
+            elif block and block[-1] not in b"\r\n":
+                block += b"\n"
+            if block and not begun:
+                block, begun = block.removeprefix(b"\xef\xbb\xbf"), True
+            if b"\r" in block:
+                block = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
+            while header and block:                           # the first line that isn't empty
+                line, _, block = block.partition(b"\n")
+                header = not line.strip(BLANK)
+            if block:
+                yield block
+            if not piece:
+                return
+
+
+def _listed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``line`` of the files at ``path``, beside the other columns."""
+    def lines(batch, at, blocks):
+        data = np.frombuffer(b"".join(blocks), np.uint8)
+        ends = np.flatnonzero(data == 10)
+        offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+        text = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data[data != 10]))
+        rows = pa.array(np.repeat(at, [b.count(b"\n") for b in blocks]))
+        names = [n for n in batch.schema.names if n != "path"]
+        return pa.RecordBatch.from_arrays([*[batch.column(n).take(rows) for n in names], text], names=[*names, "line"])
+
+    for batch in batches:
+        at, blocks, size = [], [], 0
+        for k, file in enumerate(batch.column("path").to_pylist()):
+            for block in _line_blocks(file):
+                at.append(k)
+                blocks.append(block)
+                size += len(block)
+                if size >= BLOCK:
+                    yield lines(batch, at, blocks)
+                    at, blocks, size = [], [], 0
+        if blocks:
+            yield lines(batch, at, blocks)
+
+
+def read_listed_csv(files: DataFrame) -> DataFrame:
+    """The rows that ``read_weather_csv`` gives of the files of the shared file system at ``path``, followed by the
+    other columns of ``files``. The tasks open the files: no path passes through the driver, and a task holds BLOCK."""
+    other = [c for c in files.columns if c != "path"]
+    kinds = [f"{c} {files.schema[c].dataType.simpleString()}" for c in other]
+    lines = files.mapInArrow(_listed_lines, ", ".join([*kinds, "line string"])).where(F.col("line").rlike(r"[^\x00-\x20]"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DAILY_SCHEMA)
+    rows = lines.select(F.from_csv("line", schema, {"mode": "PERMISSIVE"}).alias("row"), *other).select("row.*", *other)
+    return rows.withColumnRenamed("STATION", "ID_STATION")
+
+
 @contextmanager
 def set_while(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     """Settings of the session for what is started inside."""
