@@ -5,6 +5,11 @@ on disk. A file stream source does this natively: its checkpoint records
 every file already committed, so each run (``availableNow``) reads only
 new files, in bounded micro-batches, and the parquet sink commits each
 batch exactly once (a failed batch is retried from the log).
+
+The driver of a file stream holds every file it has ever seen. Daily files in
+a folder of the shared file system are therefore listed by tasks: those not
+listed yet are appended to a table beside the checkpoint's logs, a file a batch,
+and that table is what is streamed; the tasks of a batch open its files.
 """
 
 from __future__ import annotations
@@ -13,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.operators import clean
-from zonecast.sources import jsonfeed
-from zonecast.sources.csv import DAILY_SCHEMA, OPEN_COST, few_listing_tasks, set_while
+from zonecast.session import scratch_path
+from zonecast.sources import jsonfeed, manifest
+from zonecast.sources.csv import DAILY_SCHEMA, OPEN_COST, few_listing_tasks, read_listed_csv, set_while
 from zonecast.sources.manifest import path_keys
 
 MAX_FILES_PER_TRIGGER = 20_000      # daily files are small: a batch holds some 100 MB
+LISTED = "listed"                   # the table of daily files, in the checkpoint's folder
+LISTED_SCHEMA = "path string, YEAR int, STN_ID string"
 
 
 def weather_file_stream(spark: SparkSession, source_dir: str,
@@ -30,6 +38,40 @@ def weather_file_stream(spark: SparkSession, source_dir: str,
     return rows.withColumnRenamed("STATION", "ID_STATION").select("*", *path_keys("_metadata.file_path"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def _list_new(spark: SparkSession, source_dir: str, listed: str, most: int) -> None:
+    """Append the daily files under ``source_dir`` that ``listed`` doesn't have to it, at most ``most`` a file.
+
+    Files of the table appear whole. What a run has listed and not landed is landed by the next one, from the table.
+    """
+    found = manifest._csv_paths(spark, source_dir).select("path", *path_keys("path")).where("YEAR IS NOT NULL")
+    before = _exists(spark, listed)
+    if before:
+        found = found.join(spark.read.schema(LISTED_SCHEMA).parquet(listed), "path", "left_anti")
+    out = scratch_path(spark, "new-files")
+    found.write.parquet(out)
+    new = spark.read.schema(LISTED_SCHEMA).parquet(out)
+    count = new.count()
+    if count or not before:
+        new.repartition(count // most + 1).write.mode("append").option("maxRecordsPerFile", most).parquet(listed)
+
+
+def listed_file_stream(spark: SparkSession, source_dir: str, checkpoint: str, stations: DataFrame | None = None,
+                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming rows of the daily files under ``source_dir``, a folder of the
+    shared file system, with YEAR from the path; ``stations`` as below."""
+    listed = f"{checkpoint.rstrip('/')}/{LISTED}"
+    _list_new(spark, source_dir, listed, max_files_per_trigger)
+    files = spark.readStream.schema(LISTED_SCHEMA).option("maxFilesPerTrigger", 1).parquet(listed)
+    if stations is not None:
+        files = files.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
+    return read_listed_csv(files.select("path", "YEAR").repartition(spark.sparkContext.defaultParallelism))
+
+
 def _rows_in(spark: SparkSession, path: str) -> int:
     """Rows a sink has committed (0 before its first batch)."""
     store = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -45,10 +87,16 @@ def land_new_files(spark: SparkSession, source_dir: str, layer_path: str, checkp
     """Append every not-yet-landed file to the raw layer (partitioned by
     year); returns the number of rows written by this run. ``stations``
     (STN_ID) restricts the load to their files, as the manifest does."""
-    rows = weather_file_stream(spark, source_dir, max_files_per_trigger).where("YEAR IS NOT NULL")
-    if stations is not None:
-        rows = rows.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
-    rows, before = rows.drop("STN_ID"), _rows_in(spark, layer_path)
+    logs = checkpoint.rstrip("/")
+    by_files = _exists(spark, f"{logs}/sources") and not _exists(spark, f"{logs}/{LISTED}")     # begun so, it goes on so
+    if manifest.shared_folder(spark, source_dir) is None or by_files:
+        rows = weather_file_stream(spark, source_dir, max_files_per_trigger).where("YEAR IS NOT NULL")
+        if stations is not None:
+            rows = rows.join(stations.select("STN_ID").distinct(), "STN_ID", "left_semi")
+        rows = rows.drop("STN_ID")
+    else:
+        rows = listed_file_stream(spark, source_dir, checkpoint, stations, max_files_per_trigger)
+    before = _rows_in(spark, layer_path)
     # the file source asks the session for these in each batch, so they hold until the last one
     with few_listing_tasks(spark), set_while(spark, {"spark.sql.files.openCostInBytes": OPEN_COST}):
         q = (rows.writeStream.format("parquet").outputMode("append")
